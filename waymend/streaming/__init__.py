@@ -1,0 +1,5 @@
+"""Everything this package computes is batch work, so there is no streaming job.
+
+The row rules in ``waymend.operators.audit.row_flags`` and every column function in
+``waymend.functions`` are stateless expressions and also accept a streaming DataFrame.
+"""
