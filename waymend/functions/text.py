@@ -190,7 +190,7 @@ def parse_packed_stops(c) -> Column:
             F.split(body, ","),
             lambda p: (F.instr(p, "=") > 0) & (trim_ws(F.substring_index(p, "=", 1)) == key),
         )
-        last = F.element_at(pairs, -1)
+        last = F.try_element_at(pairs, F.lit(-1))
         value = trim_ws(F.substring(last, F.instr(last, "=") + 1, F.length(last)))
         return F.when(F.size(pairs) > 0, value).otherwise(F.lit(""))
 
