@@ -69,7 +69,7 @@ def main():
     wanted = sys.argv[2:]
     spark = build_session(
         "compare", "local[8]",
-        **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "12g"},
+        **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "12g"},
     )
     spark.sparkContext.setLogLevel("ERROR")
     connection = oracle_connection(folder)

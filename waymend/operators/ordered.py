@@ -117,14 +117,15 @@ def hot_keys(df: DataFrame, keys: list, hot_rows: int):
 
 
 def with_ordered(
-    df: DataFrame, keys: list, order: list, specs: dict, hot_rows: int = HOT_ROWS
+    df: DataFrame, keys: list, order: list, specs: dict, hot_rows: int = HOT_ROWS, hot=None
 ) -> DataFrame:
     """Add the columns of ``specs`` (name -> Ordered).
 
     ``order`` names columns that sort the rows of a key completely, ascending with
-    nulls last; the key columns must not be null.
+    nulls last; the key columns must not be null. ``hot`` is an earlier result of
+    ``hot_keys`` for the same keys, when several calls share it.
     """
-    hot, total = hot_keys(df, keys, hot_rows)
+    hot, total = hot or hot_keys(df, keys, hot_rows)
     if not total:
         return _add(df, keys, order, specs)
 
