@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-AREAS = ["audit"]
+AREAS = ["audit", "text"]
 
 
 def _areas():

@@ -80,7 +80,7 @@ def packed_stops(trains: DataFrame) -> DataFrame:
     """Flat rows with the names as written: source, kept intermediates, destination.
 
     Intermediates named like the source or destination (any case, control prefix of
-    the end removed) are skipped.
+    the end removed) are skipped. Other columns of ``trains`` are carried along.
     """
     ends = [F.lower(strip_control_prefix("source")), F.lower(strip_control_prefix("destination"))]
     blank = F.lit("")
@@ -100,33 +100,31 @@ def packed_stops(trains: DataFrame) -> DataFrame:
     )
     first = F.array(stop(F.col("source"), blank, F.col("departure_time"), blank))
     last = F.array(stop(F.col("destination"), F.col("arrival_time"), blank, F.col("distance")))
-    keep = ["train_no", "train_name", "classes", "running_days", "source", "destination"]
+    used = ("row_id", "intermediate_stops", "departure_time", "arrival_time", "distance")
+    keep = [c for c in trains.columns if c not in used]
     return trains.select(*keep, F.posexplode(F.concat(first, middle, last)).alias("pos", "stop")).select(
         *keep, F.col("pos").cast("bigint").alias("pos"), "stop.*"
     )
 
 
-def named_stops(stops: DataFrame, matches: DataFrame) -> DataFrame:
-    """Flat packed stops with resolved codes; what is not resolved keeps its own name.
-
-    matches: name, station_code, canonical_name (of the name without control prefix).
-    """
-    known = matches.where("station_code <> ''").select("name", "station_code", "canonical_name")
-
-    def attach(df, column, code, shown):
-        key = strip_control_prefix(column)
-        one = known.select(
-            F.col("name").alias("_key"), F.col("station_code").alias("_code"),
-            F.col("canonical_name").alias("_name"),
-        )
-        joined = df.withColumn("_key", key).join(one, "_key", "left")
-        return joined.withColumns(
-            {code: F.coalesce("_code", F.lit(UNKNOWN)), shown: F.coalesce("_name", F.col(column))}
-        ).drop("_key", "_code", "_name")
-
-    out = attach(stops, "name", "station_code", "station_name")
-    out = attach(out, "source", "source_code", "source_name")
-    out = attach(out, "destination", "dest_code", "dest_name")
+def _attach(df: DataFrame, matches: DataFrame, column: str, code: str, shown: str) -> DataFrame:
+    """Code and display name of a name column; an unresolved name stays as written."""
+    known = matches.where("station_code <> ''").select(
+        F.col("name").alias("_key"), F.col("station_code").alias("_code"),
+        F.col("canonical_name").alias("_name"),
+    )
+    joined = df.withColumn("_key", strip_control_prefix(column)).join(known, "_key", "left")
+    return joined.withColumns(
+        {code: F.coalesce("_code", F.lit(UNKNOWN)), shown: F.coalesce("_name", F.col(column))}
+    ).drop("_key", "_code", "_name")
+
+
+def named_stops(trains: DataFrame, matches: DataFrame) -> DataFrame:
+    """Flat, resolved stop rows. The two ends are looked up once per train, before the
+    stops are unpacked. matches: name, station_code, canonical_name."""
+    ends = _attach(trains, matches, "source", "source_code", "source_name")
+    ends = _attach(ends, matches, "destination", "dest_code", "dest_name")
+    out = _attach(packed_stops(ends), matches, "name", "station_code", "station_name")
     return out.withColumn("seq", F.col("pos") + 1).select(
         *STOP, "source_name", "dest_name", "classes", "running_days", "name"
     )
@@ -139,8 +137,9 @@ def station_names(stops: DataFrame) -> DataFrame:
 
 def new_schedule(df: DataFrame, master: DataFrame, groups: int = NAME_GROUPS) -> DataFrame:
     """Per-train rows with packed stops as flat, resolved stop rows."""
-    stops = packed_stops(packed_trains(df))
-    return named_stops(stops, resolve_names(station_names(stops), master, groups=groups))
+    trains = packed_trains(df)
+    names = station_names(packed_stops(trains))
+    return named_stops(trains, resolve_names(names, master, groups=groups))
 
 
 def unresolved_names(stops: DataFrame) -> DataFrame:
