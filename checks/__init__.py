@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-AREAS = ["audit", "text"]
+AREAS = ["audit", "text", "quality"]
 
 
 def _areas():

@@ -128,14 +128,14 @@ def plain_form(c):
 
 def reference_form(c):
     return (
-        rf"trim(regexp_replace(regexp_replace(regexp_replace(upper({c}), '[.\-]', '', 'g'),"
+        rf"trim(regexp_replace(regexp_replace(regexp_replace(upper(replace({c}, 'ß', 'SS')), '[.\-]', '', 'g'),"
         rf" '\bJUNCTION\b', 'JN', 'g'), '\s+', ' ', 'g'))"
     )
 
 
 def endpoint_form(c):
     return (
-        rf"regexp_replace(regexp_replace(upper({c}),"
+        rf"regexp_replace(regexp_replace(upper(replace({c}, 'ß', 'SS')),"
         rf" '\b(JN|JUNCTION|CITY|CENTRAL|CNTL|TOWN|TERMINUS|TERM)\b', '', 'g'), '[^A-Z]', '', 'g')"
     )
 
