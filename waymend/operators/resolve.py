@@ -5,7 +5,7 @@ Every stage sees the distinct names the earlier stages left over. The master tab
 last row counts, of equal scores the name that came first.
 """
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -13,10 +13,12 @@ from waymend.functions.fixed_values import FUZZY_ACCEPT, SUGGESTIONS, extra_alia
 from waymend.functions.text import normalize_name
 from waymend.functions.weighted import Names
 from waymend.operators.keyed import last_per_key, top_per_key
+from waymend.session import frozen
 
 # Reference names scored together, and groups of open names per block.
 BLOCK_NAMES = 4096
 NAME_GROUPS = 64
+_SCORED = pa.schema([("query", pa.string()), ("score", pa.float64()), ("first_ord", pa.int64())])
 
 
 def canonical_names(master: DataFrame) -> DataFrame:
@@ -85,17 +87,19 @@ def resolve_prefix(queries: DataFrame, master: DataFrame) -> DataFrame:
 
 
 def _score_block(names, block):
-    """Best names of one block for each open name of one group."""
-    if names.empty or block.empty:
-        return pd.DataFrame({"query": [], "score": [], "first_ord": []})
-    block = block.sort_values("first_ord")
-    prepared, places = Names(block["name"].tolist()), block["first_ord"].tolist()
+    """Best names of one block for each open name of one group (Arrow tables)."""
+    stations = sorted(zip(block["first_ord"].to_pylist(), block["name"].to_pylist()))
+    queries = names["query"].to_pylist() if stations else []
+    prepared = Names([name for _, name in stations]) if queries else None
     out = [
-        (query, score, places[i])
-        for query in names["query"]
+        (query, score, stations[i][0])
+        for query in queries
         for score, i in prepared.top(query, SUGGESTIONS)
     ]
-    return pd.DataFrame(out, columns=["query", "score", "first_ord"])
+    columns = list(zip(*out)) or [(), (), ()]
+    return pa.table(
+        {"query": columns[0], "score": columns[1], "first_ord": columns[2]}, schema=_SCORED
+    )
 
 
 def closest_names(queries: DataFrame, canonical: DataFrame, groups: int = NAME_GROUPS) -> DataFrame:
@@ -122,7 +126,7 @@ def closest_names(queries: DataFrame, canonical: DataFrame, groups: int = NAME_G
     )
     scored = (
         left.groupBy("group", "block").cogroup(right.groupBy("group", "block"))
-        .applyInPandas(_score_block, "query string, score double, first_ord bigint")
+        .applyInArrow(_score_block, "query string, score double, first_ord bigint")
     )
     return top_per_key(scored, ["query"], [F.desc("score"), F.asc("first_ord")], SUGGESTIONS, "rank")
 
@@ -130,25 +134,43 @@ def closest_names(queries: DataFrame, canonical: DataFrame, groups: int = NAME_G
 def resolve_queries(queries: DataFrame, master: DataFrame, groups: int = NAME_GROUPS) -> DataFrame:
     """Matches of distinct normalised, non-empty names.
 
-    query, matched, station_code, canonical_name, method, confidence, suggestions.
+    query, matched, station_code, canonical_name, method, confidence, suggestions. The
+    names left after a stage are checkpointed: they are few next to the rows they come
+    from, and every later stage reads them more than once.
     """
     none = F.lit(None).cast("array<string>")
 
-    def done(df, method):
-        return df.select(
-            "query", F.lit(True).alias("matched"), F.col("code").alias("station_code"),
-            "canonical_name", F.lit(method).alias("method"),
-            F.lit(100.0).alias("confidence"), none.alias("suggestions"),
+    def staged(names, *found):
+        """Names with the first method that knows them."""
+        out, codes, titles, methods = names.select("query"), [], [], []
+        for i, (method, df) in enumerate(found):
+            out = out.join(
+                df.select("query", F.col("code").alias(f"c{i}"), F.col("canonical_name").alias(f"n{i}"),
+                          F.lit(method).alias(f"m{i}")),
+                "query", "left",
+            )
+            codes.append(F.when(F.col(f"m{i}").isNotNull(), F.col(f"c{i}")))
+            titles.append(F.when(F.col(f"m{i}").isNotNull(), F.col(f"n{i}")))
+            methods.append(F.col(f"m{i}"))
+        return frozen(
+            out.select(
+                "query", F.coalesce(*codes).alias("station_code"),
+                F.coalesce(*titles).alias("canonical_name"), F.coalesce(*methods).alias("method"),
+            )
         )
 
-    exact = resolve_exact(queries, master)
-    open_ = queries.join(exact.select("query"), "query", "left_anti")
-    alias = resolve_alias(open_, master)
-    open_ = open_.join(alias.select("query"), "query", "left_anti")
-    prefix = resolve_prefix(open_, master)
-    open_ = open_.join(prefix.select("query"), "query", "left_anti")
+    def done(df):
+        return df.where("method is not null").select(
+            "query", F.lit(True).alias("matched"), "station_code", "canonical_name", "method",
+            F.lit(100.0).alias("confidence"), none.alias("suggestions"),
+        )
 
     canonical = canonical_names(master)
+    by_table = staged(queries, ("EXACT", canonical), ("ALIAS", alias_names(master)))
+    open_ = by_table.where("method is null")
+    by_prefix = staged(open_, ("PREFIX", resolve_prefix(open_.select("query"), master)))
+    open_ = by_prefix.where("method is null").select("query")
+
     best = closest_names(open_, canonical, groups).join(
         canonical.select("first_ord", "code", "canonical_name"), "first_ord"
     )
@@ -165,10 +187,7 @@ def resolve_queries(queries: DataFrame, master: DataFrame, groups: int = NAME_GR
         F.when(good, F.bround("top.score", 2)).otherwise(0.0).alias("confidence"),
         F.when(~good, F.transform("names", lambda x: x["canonical_name"])).alias("suggestions"),
     )
-    return (
-        done(exact, "EXACT").unionByName(done(alias, "ALIAS")).unionByName(done(prefix, "PREFIX"))
-        .unionByName(fuzzy)
-    )
+    return frozen(done(by_table).unionByName(done(by_prefix)).unionByName(fuzzy))
 
 
 def resolve_names(names: DataFrame, master: DataFrame, column="name", groups: int = NAME_GROUPS) -> DataFrame:
@@ -176,7 +195,7 @@ def resolve_names(names: DataFrame, master: DataFrame, column="name", groups: in
 
     A name that is empty once normalised is unmatched and has no suggestions.
     """
-    distinct = names.select(column).distinct().withColumn("query", normalize_name(column))
+    distinct = frozen(names.select(column).distinct().withColumn("query", normalize_name(column)))
     queries = distinct.select("query").where("query <> ''").distinct()
     matches = resolve_queries(queries, master, groups)
     text = {c: F.coalesce(c, F.lit("")) for c in ("station_code", "canonical_name", "method")}

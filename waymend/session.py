@@ -1,6 +1,7 @@
 """Session settings the jobs rely on, and the shared folder that cuts lineage."""
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,20 +25,28 @@ def build_session(app_name="waymend", master=None, **conf) -> SparkSession:
     return builder.getOrCreate()
 
 
-def frozen(df: DataFrame) -> DataFrame:
-    """Checkpoint ``df`` so that values tied to the physical layout cannot change.
+def shared_folder(spark: SparkSession) -> str:
+    """Folder for tables that cut lineage: ``spark.checkpoint.dir``.
 
-    Uses ``spark.checkpoint.dir``. Only a local session without that setting gets a
-    folder of its own; a cluster must name a shared one.
+    Only a local session without that setting gets a folder of its own; a cluster must
+    name one that all executors share.
     """
-    spark = df.sparkSession
-    context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        if context.getCheckpointDir() is None:
-            context.setCheckpointDir(folder)
-    elif context.getCheckpointDir() is None:
-        if not context.master.startswith("local"):
+    if not folder:
+        if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="waymend-checkpoint-"))
-    return df.checkpoint(eager=True)
+        folder = tempfile.mkdtemp(prefix="waymend-")
+        spark.conf.set("spark.checkpoint.dir", folder)
+    return folder.rstrip("/")
+
+
+def frozen(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the shared folder once and go on from the written table.
+
+    Cuts lineage, so that values tied to the physical layout cannot change and nothing
+    upstream runs again, also after the loss of an executor.
+    """
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
