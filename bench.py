@@ -35,6 +35,8 @@ def main():
         **{
             "spark.sql.shuffle.partitions": cpus,
             "spark.driver.memory": "20g",
+            # Small data on one machine: keep all cores busy after a shuffle.
+            "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
         },

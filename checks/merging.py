@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from checks.tables import S, as_stops, day, numbered, sql, stops, table, whole
 from waymend.operators import merge as m
 from waymend.roles import BASE
+from waymend.session import frozen
 
 
 def sibling(spark, folder):
@@ -37,7 +38,7 @@ def sibling(spark, folder):
 
 def _both(spark, folder):
     one, two = stops(spark, folder), sibling(spark, folder)
-    filled1, filled2 = m.cross_fill(one, two), m.cross_fill(two, one)
+    filled1, filled2 = frozen(m.cross_fill(one, two)), frozen(m.cross_fill(two, one))
     return one, two, filled1, filled2, m.overlap_decisions(filled1, filled2)
 
 

@@ -2,14 +2,14 @@
 
 from pyspark.sql import functions as F
 
-from checks.tables import table
+from checks.tables import spread, table
 from waymend.functions import text as t
 from waymend.functions.similarity import similarity_ratio
 
 
 def normalize_names(spark, folder):
     """The three name forms over whole document texts."""
-    docs = table(spark, folder, "documents")
+    docs = spread(table(spark, folder, "documents").select("doc_id", "text"))
     return docs.select(
         "doc_id",
         t.normalize_name("text").alias("plain_form"),
@@ -95,7 +95,7 @@ def similarity(spark, folder):
     """Similarity of customer names and their segment/nation texts, whole tables."""
     customers = table(spark, folder, "customer")
     nations = table(spark, folder, "nation")
-    joined = customers.join(nations, customers.c_nationkey == nations.n_nationkey)
+    joined = spread(customers).join(nations, customers.c_nationkey == nations.n_nationkey)
     left = F.concat("c_mktsegment", F.lit(" "), "n_name")
     score = similarity_ratio(left, F.concat("c_name", F.lit(" "), "c_mktsegment"))
     return joined.select("c_custkey", F.round(score, 6).alias("score"))

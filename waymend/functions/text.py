@@ -11,7 +11,11 @@ from pyspark.sql import functions as F
 
 from waymend.functions import fixed_values as fv
 
-# Everything a text editor would call blank, including the four ASCII separators.
+# The characters that count as white space, and the same as a pattern.
+WHITE_SPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
+    "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
 _BLANK = r"[\s\x1c-\x1f]"
 
 
@@ -21,7 +25,7 @@ def _column(c) -> Column:
 
 def trim_ws(c) -> Column:
     """Strip all leading and trailing white space (Spark's trim only strips blanks)."""
-    return F.regexp_replace(_column(c), rf"(?U)^{_BLANK}+|{_BLANK}+\z", "")
+    return F.btrim(_column(c), F.lit(WHITE_SPACE))
 
 
 def cell_text(c) -> Column:
@@ -29,6 +33,7 @@ def cell_text(c) -> Column:
 
 
 def is_blank(c) -> Column:
+    """Null or nothing but white space."""
     return F.coalesce(trim_ws(c) == "", F.lit(True))
 
 

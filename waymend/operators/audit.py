@@ -11,7 +11,7 @@ from waymend.functions.text import (
     codes_are_aliases, has_encoding_issue, is_blank, is_clock, to_number,
 )
 from waymend.operators.keyed import rows_of_repeated_keys
-from waymend.operators.ordered import HOT_ROWS, Ordered, position, with_ordered
+from waymend.operators.ordered import HOT_ROWS, Ordered, hot_keys, position, with_ordered
 from waymend.roles import BASE, BASE_HEADERS
 
 REQUIRED = ["train_no", "train_name", "seq", "station_code", "station_name"]
@@ -224,16 +224,15 @@ def seq_values(df: DataFrame) -> DataFrame:
     )
 
 
-def seq_discontinuities(df: DataFrame) -> DataFrame:
-    """Trains whose whole-number SEQ values are not exactly 1..n, one row each.
-
-    n values within 1..n, all different, are 1..n; no list is built to find out.
-    """
-    values = seq_values(df).withColumn("seq_int", F.col("seq_num").try_cast("long"))
-    per_number = values.groupBy("train_no", "seq_int").agg(
+def _seq_checked(values: DataFrame, with_list: bool) -> DataFrame:
+    """Numbering of each train: n values within 1..n, all different, are 1..n."""
+    numbered = values.withColumn("seq_int", F.col("seq_num").try_cast("bigint"))
+    per_number = numbered.groupBy("train_no", "seq_int").agg(
         F.count("*").alias("n"), F.min(F.struct("seq_num", "row_id")).alias("first")
     )
     known = F.col("seq_int").isNotNull()
+    listed = F.array_sort(F.collect_list(F.when(known, F.struct("seq_int", "n"))))
+    each = F.flatten(F.transform(listed, lambda x: F.array_repeat(x["seq_int"], x["n"].cast("int"))))
     per_train = per_number.groupBy("train_no").agg(
         F.sum("n").alias("stops"),
         F.count("seq_int").alias("different"),
@@ -243,29 +242,35 @@ def seq_discontinuities(df: DataFrame) -> DataFrame:
             F.min(F.when(known, F.col("first"))).getField("row_id"),
             F.min(F.when(~known, F.col("first"))).getField("row_id"),
         ).alias("row_id"),
+        (F.array_join(each, ",") if with_list else F.lit(None).cast("string")).alias("listed"),
     )
     whole = (F.col("different") == F.col("stops")) & (F.col("low") == 1) & (F.col("high") == F.col("stops"))
     return per_train.where((F.col("stops") > 1) & ~F.coalesce(whole, F.lit(False)))
 
 
+def seq_discontinuities(df: DataFrame, list_rows: int = DETAIL_LIST_ROWS) -> DataFrame:
+    """Trains whose whole-number SEQ values are not exactly 1..n, one row each.
+
+    ``listed`` holds the values of trains with at most ``list_rows`` rows; no list is
+    built for longer ones, whose values ``seq_values`` has in full.
+    """
+    values = seq_values(df)
+    long, total = hot_keys(df.where("train_no is not null").select("train_no"), ["train_no"], list_rows)
+    if not total:
+        return _seq_checked(values, True)
+    short = _seq_checked(values.join(long, "train_no", "left_anti"), True)
+    return short.unionByName(_seq_checked(values.join(long, "train_no", "left_semi"), False))
+
+
 def seq_discontinuity_flags(df: DataFrame, list_rows: int = DETAIL_LIST_ROWS) -> DataFrame:
-    bad = seq_discontinuities(df)
-    listed = (
-        seq_values(df).join(bad.where(F.col("stops") <= list_rows).select("train_no"), "train_no", "left_semi")
-        .where("seq_num is not null")
-        .groupBy("train_no")
-        .agg(F.array_sort(F.collect_list(F.col("seq_num").try_cast("long"))).alias("listed"))
-    )
-    text = F.when(
-        F.col("stops") <= list_rows,
-        F.concat(F.lit("seq "), F.array_join(F.coalesce("listed", F.array().cast("array<bigint>")), ",")),
-    ).otherwise(
+    text = F.coalesce(
+        F.concat(F.lit("seq "), F.col("listed")),
         F.concat(
             F.col("different").cast("string"), F.lit(" different seq values "),
             shown(F.col("low").cast("string")), F.lit(".."), shown(F.col("high").cast("string")),
-        )
+        ),
     )
-    return bad.join(listed, "train_no", "left").select(
+    return seq_discontinuities(df, list_rows).select(
         "row_id", "train_no",
         F.lit("seq_discontinuity").alias("category"),
         F.concat(text, F.lit(" is not 1.."), F.col("stops").cast("string")).alias("detail"),

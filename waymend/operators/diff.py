@@ -1,7 +1,5 @@
 """What changed between two schedules, and the rows to import because of it."""
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -19,60 +17,55 @@ IMPORT_HEADERS = {
 }
 
 
-def headers(stops: DataFrame) -> DataFrame:
-    """One row per train: its stop count and what its first row declares."""
-    first = F.min_by(F.struct("train_name", "source_code", "dest_code"), F.col("pos"))
-    return stops.groupBy("train_no").agg(F.count("*").alias("stops"), first.alias("h")).select(
-        "train_no", "stops", "h.*"
-    )
-
+def schedule_status(old: DataFrame, new: DataFrame) -> DataFrame:
+    """train_no, status (new, updated, unchanged, missing), changes (array).
 
-def stop_changes(old: DataFrame, new: DataFrame) -> DataFrame:
-    """Per train and kind, the first place at which both schedules differ."""
+    One full join of the stops on (train, place), whose keys are unique on both sides,
+    and one aggregate per train. Header fields are compared on the first stop, which
+    every train has; stop kinds come in the order of the place they first differ at.
+    """
+    header = ["train_name", "source_code", "dest_code"]
     fields = ["station_code", "arrival", "departure", "distance"]
-    a = old.select("train_no", "pos", *[F.col(f).alias(f"old_{f}") for f in fields])
-    b = new.select("train_no", "pos", *fields)
-    pairs = a.join(b, ["train_no", "pos"])
-    tests = {
-        kind: F.col(f"old_{f}") != F.col(f) for kind, f in zip(STOP_KINDS, fields)
-    }
-    tests["DISTANCE"] = tests["DISTANCE"] & (F.col("old_distance") != "") & (F.col("distance") != "")
-    different = reduce(lambda x, y: x | y, tests.values())
-    return pairs.where(different).groupBy("train_no").agg(
-        *[F.min(F.when(test, F.col("pos"))).alias(kind) for kind, test in tests.items()]
-    )
 
+    def side(df, tag):
+        first = F.col("pos") == 0
+        return df.select(
+            "train_no", "pos", F.lit(True).alias(f"{tag}_has"),
+            *[F.when(first, F.col(h)).alias(f"{tag}_{h}") for h in header],
+            *[F.col(f).alias(f"{tag}_{f}") for f in fields],
+        )
 
-def schedule_status(old: DataFrame, new: DataFrame) -> DataFrame:
-    """train_no, status (new, updated, unchanged, missing), changes (array)."""
-    a, b = headers(old), headers(new)
-    fields = ["train_name", "source_code", "dest_code", "stops"]
-    a = a.select("train_no", *[F.col(f).alias(f"old_{f}") for f in fields], F.lit(True).alias("in_old"))
-    b = b.select("train_no", *fields, F.lit(True).alias("in_new"))
-    joined = a.join(b, "train_no", "full_outer").join(stop_changes(old, new), "train_no", "left")
-    both = F.col("in_old").isNotNull() & F.col("in_new").isNotNull()
+    def differs(f):
+        return F.col(f"old_{f}") != F.col(f"new_{f}")
+
+    joined = side(old, "old").join(side(new, "new"), ["train_no", "pos"], "full_outer")
+    tests = {kind: differs(f) for kind, f in zip(STOP_KINDS, fields)}
+    tests["DISTANCE"] = tests["DISTANCE"] & (F.col("old_distance") != "") & (F.col("new_distance") != "")
+    per_train = joined.groupBy("train_no").agg(
+        F.count("old_has").alias("old_stops"),
+        F.count("new_has").alias("new_stops"),
+        *[F.min(F.when(differs(h), F.lit(-1).cast("bigint"))).alias(k) for k, h in zip(HEADER_KINDS, header)],
+        *[F.min(F.when(test, F.col("pos"))).alias(kind) for kind, test in tests.items()],
+    ).withColumn(
+        "STOP_COUNT", F.when(F.col("old_stops") != F.col("new_stops"), F.lit(-1).cast("bigint"))
+    )
     entries = [
-        F.when(
-            F.col(f"old_{f}") != F.col(f),
-            F.struct(F.lit(-1).cast("bigint").alias("pos"), F.lit(i).alias("rank"), F.lit(kind).alias("kind")),
-        )
-        for i, (kind, f) in enumerate(zip(HEADER_KINDS, fields))
-    ] + [
         F.when(
             F.col(kind).isNotNull(),
             F.struct(F.col(kind).alias("pos"), F.lit(i).alias("rank"), F.lit(kind).alias("kind")),
         )
-        for i, kind in enumerate(STOP_KINDS)
+        for i, kind in enumerate(HEADER_KINDS + STOP_KINDS)
     ]
     found = F.array_sort(F.filter(F.array(*entries), lambda x: x.isNotNull()))
+    both = (F.col("old_stops") > 0) & (F.col("new_stops") > 0)
     changes = F.when(both, F.transform(found, lambda x: x["kind"])).otherwise(
         F.array().cast("array<string>")
     )
     status = (
-        F.when(F.col("in_old").isNull(), "new").when(F.col("in_new").isNull(), "missing")
+        F.when(F.col("old_stops") == 0, "new").when(F.col("new_stops") == 0, "missing")
         .when(F.size("changes") > 0, "updated").otherwise("unchanged")
     )
-    return joined.withColumn("changes", changes).select("train_no", status.alias("status"), "changes")
+    return per_train.withColumn("changes", changes).select("train_no", status.alias("status"), "changes")
 
 
 def status_totals(status: DataFrame) -> DataFrame:

@@ -177,20 +177,17 @@ def previous_in_file(
     """Struct ``name`` = ``values`` of the row with the row number one lower.
 
     ``row_id`` must be dense. Rows are grouped into equal blocks of the file, so the
-    windows are the same size whatever the keys are; the first row of a block gets
-    its neighbour from the one-row-per-block table of block ends.
+    windows are the same size whatever the keys are; the last row of a block is also
+    shown to the block behind it, for which no second scan or join is needed.
     """
-    fields = F.struct(*values)
-    blocked = df.withColumn("_block", F.floor(F.col(row_id) / block))
-    in_block = Window.partitionBy("_block").orderBy(row_id)
-    local = blocked.withColumn(name, F.lag(fields).over(in_block))
-    ends = (
-        blocked.where(F.col(row_id) % block == block - 1)
-        .select((F.col("_block") + 1).alias("_block"), fields.alias("_end"))
+    own = F.expr(f"`{row_id}` div {block}")
+    last = F.col(row_id) % block == block - 1
+    shown = df.withColumn(
+        "_block", F.explode(F.when(last, F.array(own, own + 1)).otherwise(F.array(own)))
     )
-    starts_block = F.col(row_id) % block == 0
+    in_block = Window.partitionBy("_block").orderBy(row_id)
     return (
-        local.join(ends, "_block", "left")
-        .withColumn(name, F.when(starts_block, F.col("_end")).otherwise(F.col(name)))
-        .drop("_block", "_end")
+        shown.withColumn(name, F.lag(F.struct(*values)).over(in_block))
+        .where(F.col("_block") == own)
+        .drop("_block")
     )

@@ -90,8 +90,12 @@ class Merged:
 
 
 def fill_and_merge(ds1: DataFrame, ds2: DataFrame) -> Merged:
-    """Cross-fill both tables from each other, then keep one table per train."""
-    filled1, filled2 = merge.cross_fill(ds1, ds2), merge.cross_fill(ds2, ds1)
+    """Cross-fill both tables from each other, then keep one table per train.
+
+    The filled tables are results of their own; they are written once and the merge
+    reads the written ones.
+    """
+    filled1, filled2 = frozen(merge.cross_fill(ds1, ds2)), frozen(merge.cross_fill(ds2, ds1))
     decisions = merge.overlap_decisions(filled1, filled2)
     merged = merge.merge_sources(filled1, filled2, decisions)
     return Merged(

@@ -16,6 +16,17 @@ def _raw_csv(spark, path, multiline=False):
     )
 
 
+def spread(df: DataFrame, *keys) -> DataFrame:
+    """Share rows out when a scan has fewer tasks than the cluster has cores.
+
+    A file written as one large piece is read by one task; everything up to the next
+    shuffle would run there. Larger inputs have more pieces than cores and stay as
+    they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
+
+
 def _stripped_headers(df: DataFrame) -> DataFrame:
     return df.toDF(*[c.strip() for c in df.columns])
 
@@ -104,7 +115,7 @@ def read_parquet_with_row_id(spark: SparkSession, path, columns=None, name="row_
     index = F.col("_metadata.row_index")
     files = df.inputFiles()
     if len(files) == 1:
-        return df.select(*picked, index.alias(name))
+        return spread(df.select(*picked, index.alias(name)), name)
     placed = df.select(*picked, F.col("_metadata.file_path").alias("_file"), index.alias("_order"))
     return _numbered(placed, ["_file"], F.col("_order"), name).drop("_order")
 
