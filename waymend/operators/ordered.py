@@ -129,7 +129,7 @@ def with_ordered(
     if not total:
         return _add(df, keys, order, specs)
 
-    cold_part = _add(df.join(hot, keys, "left_anti"), keys, order, specs)
+    cold_part = _add(df.join(hot, keys, "left_anti").select(df.columns), keys, order, specs)
     pieces = ceil(total / hot_rows) + 1
     sort = [F.col(k).asc() for k in keys] + [F.col(c).asc_nulls_last() for c in order]
     cut = frozen(
