@@ -62,14 +62,18 @@ def compare(spark, connection, folder, name, query, sql):
 
 
 def main():
+    from pyspark.sql import SparkSession
+
     from checks import all_queries, all_sql
-    from waymend.session import build_session
 
     folder = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     wanted = sys.argv[2:]
-    spark = build_session(
-        "compare", "local[8]",
-        **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "12g"},
+    # Default settings on purpose: results must not lean on the package's own session.
+    spark = (
+        SparkSession.builder.appName("compare").master("local[8]")
+        .config("spark.sql.shuffle.partitions", "8").config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false").config("spark.driver.memory", "12g")
+        .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
     connection = oracle_connection(folder)

@@ -15,6 +15,9 @@ WORD_SCALE = 0.95
 SLICE_SCALE, FAR_SLICE_SCALE = 0.9, 0.6
 SLICE_FROM, FAR_FROM = 1.5, 8.0
 
+# Numbers an array of the working memory may hold.
+CELLS = 1_000_000
+
 
 class Block:
     """Names of one form, as rows of letter numbers (0 = beyond the end)."""
@@ -104,7 +107,19 @@ def _best_slice_of_text(text, block, letters, pick):
 
 
 def best_slice(text, block, letters, pick):
-    """Best ratio of the shorter text against slices of the longer, for picked names."""
+    """Best ratio of the shorter text against slices of the longer, for picked names.
+
+    Long texts take the names in smaller portions, which bounds the working arrays.
+    """
+    portion = max(1, CELLS // (block.rows.shape[1] + 2 * len(text) + 1))
+    parts = [
+        _best_slice(text, block, letters, pick[i : i + portion])
+        for i in range(0, len(pick), portion)
+    ]
+    return np.concatenate(parts) if parts else np.zeros(0)
+
+
+def _best_slice(text, block, letters, pick):
     out = np.zeros(len(pick))
     shorter = block.size[pick] >= len(text)
     if shorter.any():

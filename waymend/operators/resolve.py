@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from waymend.functions.fixed_values import FUZZY_ACCEPT, SUGGESTIONS, extra_aliases
 from waymend.functions.text import normalize_name
-from waymend.functions.weighted import Names
+from waymend.functions.weighted import CELLS, Names
 from waymend.operators.keyed import last_per_key, top_per_key
 from waymend.session import frozen
 
@@ -86,15 +86,31 @@ def resolve_prefix(queries: DataFrame, master: DataFrame) -> DataFrame:
     )
 
 
+def _portions(stations):
+    """Names of similar length together, so that a long one does not widen all."""
+    portion = []
+    for station in sorted(stations, key=lambda s: (len(s[1]), s[0])):
+        if portion and (len(portion) + 1) * len(station[1]) > CELLS:
+            yield sorted(portion)
+            portion = []
+        portion.append(station)
+    if portion:
+        yield sorted(portion)
+
+
 def _score_block(names, block):
     """Best names of one block for each open name of one group (Arrow tables)."""
-    stations = sorted(zip(block["first_ord"].to_pylist(), block["name"].to_pylist()))
+    stations = list(zip(block["first_ord"].to_pylist(), block["name"].to_pylist()))
     queries = names["query"].to_pylist() if stations else []
-    prepared = Names([name for _, name in stations]) if queries else None
+    found = {query: [] for query in queries}
+    for portion in _portions(stations) if queries else ():
+        prepared = Names([name for _, name in portion])
+        for query, best in found.items():
+            best += [(-score, portion[i][0]) for score, i in prepared.top(query, SUGGESTIONS)]
     out = [
-        (query, score, stations[i][0])
-        for query in queries
-        for score, i in prepared.top(query, SUGGESTIONS)
+        (query, -score, place)
+        for query, best in found.items()
+        for score, place in sorted(best)[:SUGGESTIONS]
     ]
     columns = list(zip(*out)) or [(), (), ()]
     return pa.table(
