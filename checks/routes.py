@@ -7,6 +7,7 @@ from checks.text import endpoint_form, ratio_sql
 from waymend.operators import distance as dist
 from waymend.operators import replace as rep
 from waymend.roles import BASE
+from waymend.session import frozen
 from waymend.sources.readers import last_routes, needed_meta
 
 # ------------------------------------------------------------ replacement
@@ -69,14 +70,21 @@ def _routes(spark, folder):
     return last_routes(rows)
 
 
-def _decisions(spark, folder):
+def _sides(spark, folder):
     routes, duplicates = _routes(spark, folder)
-    meta = needed_meta(_needed(spark, folder))
-    return meta, routes, duplicates, rep.match_routes(meta, routes)
+    return needed_meta(_needed(spark, folder)), routes, duplicates
+
+
+def _decisions(spark, folder):
+    """Several results read the decisions, so they are written once."""
+    meta, routes, duplicates = _sides(spark, folder)
+    routes = frozen(routes)
+    return meta, routes, duplicates, frozen(rep.match_routes(meta, routes))
 
 
 def match_routes(spark, folder):
-    return _decisions(spark, folder)[-1]
+    meta, routes, _ = _sides(spark, folder)
+    return rep.match_routes(meta, routes)
 
 
 def _table(spark, folder):

@@ -39,20 +39,18 @@ def _masks(chars: Column) -> Column:
 
 def _lcs_one_word(short: Column, long: Column) -> Column:
     full = F.call_function("shiftleft", F.lit(1).cast("long"), F.length(short)) - 1
+    # A one-element array binds masks and start value, so that they are made once.
+    once = F.array(F.struct(_masks(_chars(short)).alias("masks"), full.alias("full")))
 
-    def step(state, c):
-        masks, v = state["masks"], state["v"]
-        hit = F.coalesce(F.try_element_at(masks, c), F.lit(0).cast("long")).bitwiseAND(v)
-        return F.struct(
-            masks.alias("masks"),
-            (v + hit).bitwiseOR(v - hit).bitwiseAND(state["full"]).alias("v"),
-            state["full"].alias("full"),
-        )
+    def fold(bound):
+        def step(v, c):
+            known = F.coalesce(F.try_element_at(bound["masks"], c), F.lit(0).cast("long"))
+            hit = known.bitwiseAND(v)
+            return (v + hit).bitwiseOR(v - hit).bitwiseAND(bound["full"])
 
-    start = F.struct(
-        _masks(_chars(short)).alias("masks"), full.alias("v"), full.alias("full")
-    )
-    left = F.aggregate(_chars(long), start, step, lambda s: s["v"])
+        return F.aggregate(_chars(long), bound["full"], step)
+
+    left = F.element_at(F.transform(once, fold), 1)
     return F.length(short) - F.bit_count(left)
 
 
@@ -107,7 +105,8 @@ def lcs_length(a, b) -> Column:
     short = F.when(swap, b).otherwise(a)
     long = F.when(swap, a).otherwise(b)
     return (
-        F.when(F.length(short) == 0, F.lit(0))
+        F.when(a == b, F.length(a))
+        .when(F.length(short) == 0, F.lit(0))
         .when(F.length(short) <= WORD_BITS, _lcs_one_word(short, long))
         .otherwise(_lcs_rows(short, long))
     )

@@ -17,14 +17,14 @@ def _raw_csv(spark, path, multiline=False):
 
 
 def spread(df: DataFrame, *keys) -> DataFrame:
-    """Share rows out when a scan has far fewer tasks than the cluster has cores.
+    """Share rows out when a scan has at most half as many tasks as the cluster has cores.
 
     A file written as one large piece is read by one task; everything up to the next
     shuffle would run there. Larger inputs have more pieces than cores and stay as
     they are.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    few = df.rdd.getNumPartitions() * 4 <= cores
+    few = df.rdd.getNumPartitions() * 2 <= cores
     return df.repartition(cores, *keys) if few else df
 
 
