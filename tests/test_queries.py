@@ -33,3 +33,18 @@ def test_plan(spark, name):
 def test_only_similarity_has_no_sql():
     assert set(all_queries()) - set(all_sql()) == {"resolve_names", "suggest_top5"}
     assert set(all_sql()) <= set(all_queries())
+
+
+def test_ranks_are_limited_before_the_shuffle(spark):
+    """Keeping the first rows of a key must not gather the key."""
+    from waymend.operators.keyed import drop_duplicates_keep_first, top_per_key
+
+    df = spark.range(100).selectExpr("id", "id % 3 as k")
+    for out in (drop_duplicates_keep_first(df, ["k"], ["id"]), top_per_key(df, ["k"], ["id"], 5, "r")):
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "WindowGroupLimit" in plan and "Partial" in plan
+
+
+def test_only_needed_columns_are_read(spark):
+    plan = all_queries()["dup_stop"](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
+    assert "l_partkey" in plan and "l_shipdate" not in plan and "l_quantity" not in plan

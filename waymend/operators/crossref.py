@@ -7,6 +7,9 @@ from waymend.functions import fixed_values as fv
 from waymend.functions.text import digits_key, is_truncation_of, norm_ref_name
 from waymend.operators.keyed import first_per_key
 
+# Names printed per code; a code with more shows their number, the list has them all.
+NAME_LIST = 1000
+
 
 def station_crossref(stops: DataFrame, reference: DataFrame, secondary: DataFrame) -> DataFrame:
     """One row per distinct code with its status.
@@ -26,14 +29,22 @@ def station_crossref(stops: DataFrame, reference: DataFrame, secondary: DataFram
     )
 
     name, other = norm_ref_name("station_name"), norm_ref_name("name")
-    related = (
-        codes.join(secondary.select(F.col("code").alias("station_code"), "name").distinct(), "station_code")
-        .groupBy("station_code")
+    pairs = secondary.select(F.col("code").alias("station_code"), "name").distinct()
+    counted = (
+        codes.join(pairs, "station_code").groupBy("station_code")
         .agg(
             F.max(name.contains(other) | other.contains(name)).alias("secondary_match"),
-            F.array_join(F.sort_array(F.collect_list("name")), "; ").alias("secondary_names"),
+            F.count("*").alias("secondary_count"),
         )
     )
+    few = counted.where(F.col("secondary_count") <= NAME_LIST).select("station_code")
+    listed = pairs.join(few, "station_code", "left_semi").groupBy("station_code").agg(
+        F.array_join(F.sort_array(F.collect_list("name")), "; ").alias("secondary_names")
+    )
+    related = counted.join(listed, "station_code", "left").withColumn(
+        "secondary_names",
+        F.coalesce("secondary_names", F.concat(F.col("secondary_count").cast("string"), F.lit(" names"))),
+    )
     joined = found.join(related, "station_code", "left")
     primary_hit = F.col("found_in_primary_reference")
     named = F.coalesce(F.col("reference_name") != "", F.lit(False))

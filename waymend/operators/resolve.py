@@ -54,29 +54,38 @@ def resolve_alias(queries: DataFrame, master: DataFrame) -> DataFrame:
     return queries.join(alias_names(master), "query")
 
 
-def _prefixes(text, name):
-    """All prefixes of a column, from the empty one to the whole text."""
-    cut = F.transform(
-        F.sequence(F.lit(0), F.length(text)), lambda n: F.substring(text, F.lit(1), n)
-    )
-    return F.explode(cut).alias(name)
+def _lengths(df: DataFrame, column: str) -> list:
+    """Distinct text lengths: a handful of numbers, whatever the table's size."""
+    return sorted(r[0] for r in df.select(F.length(column)).distinct().collect())
+
+
+def _prefixes(column: str, lengths: list, name: str):
+    """Prefixes of a column that can equal a text of one of the given lengths."""
+    possible = F.filter(F.array(*[F.lit(n) for n in lengths]), lambda n: n <= F.length(column))
+    return F.explode(
+        F.transform(possible, lambda n: F.substring(column, F.lit(1), n))
+    ).alias(name)
 
 
 def resolve_prefix(queries: DataFrame, master: DataFrame) -> DataFrame:
     """Names that begin, or are begun by, the name of exactly one station.
 
-    Both directions are equi joins on a prefix: counts per prefix are made before the
-    join, so a common prefix is one row and not a list of stations.
+    Both directions are equi joins on a prefix, cut only at lengths the other side has.
+    Stations are counted per prefix before the join, so a common prefix is one row and
+    not a list of stations.
     """
     stations = master.select("code", "canonical_name", normalize_name("canonical_name").alias("name"))
+    query_lengths, name_lengths = _lengths(queries, "query"), _lengths(stations, "name")
+    if not query_lengths or not name_lengths:
+        return stations.where("false").select(F.col("name").alias("query"), "code", "canonical_name")
     station = F.struct("code", "canonical_name")
     longer = (
-        stations.select("code", "canonical_name", _prefixes(F.col("name"), "query"))
+        stations.select("code", "canonical_name", _prefixes("name", query_lengths, "query"))
         .groupBy("query").agg(F.count("*").alias("n"), F.min(station).alias("s"))
     )
     equal = stations.groupBy("name").agg(F.count("*").alias("n"), F.min(station).alias("s"))
     shorter = (
-        queries.select("query", _prefixes(F.col("query"), "name"))
+        queries.select("query", _prefixes("query", name_lengths, "name"))
         .where("name <> query").join(equal, "name").select("query", "n", "s")
     )
     found = queries.join(longer, "query").select("query", "n", "s").unionByName(shorter)
