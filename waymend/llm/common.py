@@ -58,37 +58,18 @@ def fold_remainder(column: Column, modulus: int) -> Column:
     return F.crc32(column.cast("string").cast("binary")) % modulus
 
 
-class WordHashes(dict):
-    """64-bit hash of a word (bytes); forgets everything once ``limit`` words are known."""
-
-    def __init__(self, limit: int = 300_000):
-        super().__init__()
-        self.limit = limit
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= self.limit:
-            self.clear()
-        value = xxhash.xxh3_64_intdigest(word)
-        self[word] = value
-        return value
-
-    def of(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
-
-    def of_text(self, text: str | None, lower: bool = False) -> np.ndarray:
-        """Hashes of a text's words in order; A-Z in lower case if asked. Long texts in pieces."""
-        return np.concatenate([np.empty(0, np.uint64), *map(self.of, word_pieces(text, lower))])
-
-
 def word_pieces(text: str | None, lower: bool = False, piece: int = 1 << 20):
     """Lists of words (bytes) of a text, cut between words every ``piece`` bytes or so."""
-    raw = (text or "").encode("utf-8", "surrogatepass")
+    for part in _cut((text or "").encode("utf-8", "surrogatepass"), piece):
+        yield (part.lower() if lower else part).split()
+
+
+def _cut(raw: bytes, piece: int):
     at = 0
     while at < len(raw):
         found = GAP.search(raw, at + piece)
         end = found.start() if found else len(raw)
-        part = raw[at:end]
-        yield (part.lower() if lower else part).split()
+        yield raw[at:end]
         at = end
 
 
@@ -101,6 +82,40 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
+#: A random value for each byte (0 for white space) and the powers of a random odd number.
+_RANDOM = np.random.default_rng(20240229)
+BYTE_VALUES = _RANDOM.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+BYTE_VALUES[[32, *range(9, 14)]] = 0
+IS_GAP = BYTE_VALUES == 0
+LONG_WORD = 512
+POWERS = np.cumprod(np.full(LONG_WORD, FACTORS[1]))
+
+
+def _hashes(raw: bytes) -> np.ndarray:
+    b = np.frombuffer(raw, np.uint8)
+    gaps = np.flatnonzero(IS_GAP[b])
+    starts = np.concatenate([[0], gaps + 1])
+    sizes = np.diff(np.append(starts, len(b) + 1)) - 1
+    if starts[-1] == len(b):
+        starts, sizes = starts[:-1], sizes[:-1]
+    if not len(starts):
+        return np.empty(0, np.uint64)
+    place = np.arange(len(b)) - np.repeat(starts, np.diff(np.append(starts, len(b))))
+    np.minimum(place, LONG_WORD - 1, out=place)
+    sums = np.add.reduceat(BYTE_VALUES[b] * POWERS[place], starts)
+    out = mixed(sums + sizes.astype(np.uint64) * FACTORS[2])
+    for i in np.flatnonzero(sizes >= LONG_WORD):
+        out[i] = xxhash.xxh3_64_intdigest(raw[starts[i] : starts[i] + sizes[i]])
+    return out[sizes > 0]
+
+
+def word_hashes(text: str | None, lower: bool = False) -> np.ndarray:
+    """64-bit hashes of a text's words in order; A-Z in lower case if asked. Long texts in pieces."""
+    raw = (text or "").encode("utf-8", "surrogatepass")
+    parts = [_hashes(part.lower() if lower else part) for part in _cut(raw, 1 << 17)]
+    return parts[0] if len(parts) == 1 else np.concatenate([np.empty(0, np.uint64), *parts])
+
+
 def window_hashes(words: np.ndarray, width: int, seed: int = 0) -> np.ndarray:
     """One 64-bit hash for every run of ``width`` consecutive word hashes."""
     count = len(words) - width + 1

@@ -35,13 +35,16 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from waymend.llm.common import WordHashes, staged, window_hashes
+from waymend.llm.common import staged, window_hashes, word_hashes
 from waymend.llm.components import components
 
 
 def shingle_set(words: np.ndarray, width: int) -> np.ndarray:
     """Sorted distinct shingle hashes."""
-    return np.unique(window_hashes(words, min(width, len(words)))) if len(words) else np.empty(0, np.uint64)
+    if not len(words):
+        return np.empty(0, np.uint64)
+    h = np.sort(window_hashes(words, min(width, len(words))))
+    return h[np.append(True, h[1:] != h[:-1])]
 
 
 def bitmap_bits(n: int) -> int:
@@ -77,11 +80,10 @@ def _scan(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
     id_type = dict(docs.dtypes)[id_col]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordHashes()
         for batch in batches:
             sets, n, keys, bits, seen = [], [], [], [], set()
             for text in batch.column(1).to_pylist():
-                s = shingle_set(words.of_text(text, lower=True), width)
+                s = shingle_set(word_hashes(text, lower=True), width)
                 n.append(len(s))
                 keys.append(key_of(s))
                 bits.append(bitmap(s))
@@ -112,14 +114,14 @@ def _prefixes(docs: DataFrame, text_col: str, width: int, num: int, den: int, ho
     shared = spark.sparkContext.broadcast(hot)  # at most most_hot numbers, the rarest first
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, hot = WordHashes(), shared.value
+        hot = shared.value
         order = np.argsort(hot)
         sorted_hot = hot[order]
         for batch in batches:
             for start in range(0, batch.num_rows, 2048):
                 tokens, keys, sizes, last = [], [], [], set()
                 for text in batch.column(0).slice(start, 2048).to_pylist():
-                    s = shingle_set(words.of_text(text, lower=True), width)
+                    s = shingle_set(word_hashes(text, lower=True), width)
                     if not len(s) or (key := key_of(s)) in last:
                         continue
                     last.add(key)
@@ -305,11 +307,10 @@ def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, id_col: str
     ids = named.select(F.col("a").alias("_cls")).union(named.select(F.col("b").alias("_cls"))).distinct()
 
     def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordHashes()
         for batch in batches:
             for start in range(0, batch.num_rows, 1024):
                 part = batch.slice(start, 1024)
-                sets = [shingle_set(words.of_text(t, lower=True), width) for t in part.column(1).to_pylist()]
+                sets = [shingle_set(word_hashes(t, lower=True), width) for t in part.column(1).to_pylist()]
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array(map(key_of, sets), pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary())],
                     names=["cls", "key", "shingles"],

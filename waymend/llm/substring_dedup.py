@@ -31,7 +31,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from waymend.llm.common import WordHashes, shuffle_partitions, window_hashes, word_pieces
+from waymend.llm.common import shuffle_partitions, window_hashes, word_hashes, word_pieces
 
 NO_DOC = np.iinfo(np.int64).max
 
@@ -40,11 +40,10 @@ class Batch:
     """Word hashes of the documents of one batch, side by side."""
 
     def __init__(self, docs: pd.DataFrame):
-        words = WordHashes()
         docs = docs.sort_values("doc", kind="stable", na_position="last")
         self.ids = docs["doc"].tolist()
         self.texts = docs["text"].tolist()
-        hashes = [words.of_text(t) for t in self.texts]
+        hashes = [word_hashes(t) for t in self.texts]
         self.sizes = np.array([len(h) for h in hashes], np.int64)
         self.words = np.concatenate([np.empty(0, np.uint64), *hashes])
         self.starts = np.cumsum(self.sizes) - self.sizes
