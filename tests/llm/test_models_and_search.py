@@ -273,7 +273,7 @@ def test_language_flags_mixed_texts(spark):
     rows = [(i, spoken(rng, lang), lang) for i in range(400) for lang in [rng.choice(["en", "de", "fr"])]]
     model = language.train(docs(spark, rows), bits=12)
     mixed = docs(spark, [(1, spoken(rng, "en") * 5, None), (2, "the sch ing ung er ver wh keit", None)])
-    got = {r["doc_id"]: r["ambiguous"] for r in language.identify(mixed, model, keep=["doc_id"], ambiguous_below=0.3).collect()}
+    got = {r["doc_id"]: r["ambiguous"] for r in language.identify(mixed, model, keep=["doc_id"]).collect()}
     assert got == {1: False, 2: True}
 
 

@@ -101,7 +101,7 @@ def test_jaccard_join_of_a_family_in_small_tiles(spark):
         text = base.copy()
         for _ in range(rng.randrange(1, 4)):
             text[rng.randrange(60)] = f"z{rng.randrange(10)}"
-        rows.append((i * 3 % 150 + 1000 * (i % 2), " ".join(text)))
+        rows.append((i * 7 % 150 + 1000 * (i % 2), " ".join(text)))
     rows += [(5000 + i, " ".join(base[:20]) + " " + words(rng, 30, 4000)) for i in range(60)]
     got = jaccard_join.jaccard_join(docs(spark, rows).repartition(5), tile_rows=7, most_hot=50)
     assert found(got, *COLUMNS6) == plain_components(rows)
@@ -119,8 +119,9 @@ def test_bitmaps_never_hide_a_link():
         a = np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64))
         for change in (0, 1, max(1, n // 12), n):
             b = np.unique(np.concatenate([a[change:], rng.integers(0, 1 << 63, change, dtype=np.uint64)]))
-            far = jaccard_join.apart([jaccard_join.bitmap(a)], [jaccard_join.bitmap(b)])[0]
-            assert far <= len(np.setxor1d(a, b))
+            for share in (jaccard_join.NARROW, jaccard_join.WIDE):
+                far = jaccard_join.apart([jaccard_join.bitmap(a, share)], [jaccard_join.bitmap(b, share)])[0]
+                assert far <= len(np.setxor1d(a, b))
 
 
 def test_components(spark):

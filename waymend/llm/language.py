@@ -35,6 +35,8 @@ from waymend.llm.common import FACTORS, free_name, mixed
 LETTERS = regex.compile(r"\p{L}+")
 SIZES = (1, 2, 3)
 REMEMBERED, LONG_WORD, PIECE = 150_000, 40, 1_000_000
+#: No single n-gram says more than this; how steeply a margin becomes a loss.
+MOST_ODDS, STEEP = 3.0, 3.0
 
 
 def codewords(languages: int, seed: int = 5) -> np.ndarray:
@@ -93,7 +95,7 @@ class Model:
 
     def losses(self, margins: np.ndarray) -> np.ndarray:
         """texts x languages, weighted by trust."""
-        loss = np.log1p(np.exp(-np.clip(8 * margins[:, None, :] * self.code[None], -50, 50)))
+        loss = np.log1p(np.exp(-np.clip(STEEP * margins[:, None, :] * self.code[None], -50, 50)))
         return (loss * self.trust[None]).sum(2) / self.trust.sum(1)[None]
 
 
@@ -235,7 +237,7 @@ def train(learned: DataFrame, id_col="doc_id", text_col="text", lang_col="lang",
     found = sides.toPandas()  # at most 2**bits places for each bit
     yes[found["place"], found["bit"]], no[found["place"], found["bit"]] = found["yes"], found["no"]
     small = 1e-6
-    weights = np.log((yes / (code > 0).sum(0) + small) / (no / (code < 0).sum(0) + small))
+    weights = np.log((yes / (code > 0).sum(0) + small) / (no / (code < 0).sum(0) + small)).clip(-MOST_ODDS, MOST_ODDS)
     sample = rows.select(F.col(id_col).alias("_id")).orderBy(F.xxhash64("_id", F.lit(seed)), "_id").limit(trust_rows)
     picked = rows.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"), F.col(lang_col).cast("string").alias("lang")).join(
         F.broadcast(sample.distinct()), "_id"
@@ -249,7 +251,7 @@ def train(learned: DataFrame, id_col="doc_id", text_col="text", lang_col="lang",
     return Model(languages, code, weights, trust)
 
 
-def identify(docs: DataFrame, model: Model, text_col="text", keep: list[str] | None = None, ambiguous_below=0.15) -> DataFrame:
+def identify(docs: DataFrame, model: Model, text_col="text", keep: list[str] | None = None, ambiguous_below=0.6) -> DataFrame:
     """``keep`` columns (default: all), lang_pred, score (0 to 1) and ambiguous."""
     kept = docs.columns if keep is None else keep
     base = docs.select(*kept)
@@ -272,7 +274,7 @@ def identify(docs: DataFrame, model: Model, text_col="text", keep: list[str] | N
                 best, score, close = [None] * len(found), np.zeros(len(found)), np.zeros(len(found), bool)
                 if known.any():
                     loss = m.losses(np.array([f for f, k in zip(found, known, strict=True) if k]))
-                    chance = np.exp(-6 * (loss - loss.min(1, keepdims=True)))
+                    chance = np.exp(-2 * (loss - loss.min(1, keepdims=True)))
                     chance /= chance.sum(1, keepdims=True)
                     order = np.argsort(loss, axis=1, kind="stable")
                     score[known] = np.take_along_axis(chance, order[:, :1], 1)[:, 0]

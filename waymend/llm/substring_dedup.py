@@ -89,8 +89,10 @@ def _from_planes(raw: bytes, dtype) -> np.ndarray:
 
 
 def _by_bucket(bucket: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    if not len(bucket):
+        return
     order = np.argsort(bucket, kind="stable")
-    cuts = np.flatnonzero(np.append(True, bucket[order][1:] != bucket[order][:-1])) if len(bucket) else []
+    cuts = np.flatnonzero(np.append(True, bucket[order][1:] != bucket[order][:-1]))
     for a, b in zip(cuts, [*cuts[1:], len(bucket)], strict=True):
         yield int(bucket[order[a]]), order[a:b]
 
