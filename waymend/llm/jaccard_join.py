@@ -15,9 +15,10 @@ above: every bit that differs is at least one shingle that only one of the two h
 that pass are compared exactly by their sorted arrays.
 
 First each class meets the first and the next one of its tile. The classes that these links
-join are one component; then only pairs of different components are compared, so a large
-group of near copies does not become all its pairs. Tiles beyond ``tile_rows`` are cut into
-blocks, and each pair of blocks is a tile of its own.
+join are one component; then only pairs of different components are compared, inside their
+tile and with wider bitmaps, and what is found joins components at once: a tile hands on at
+most one link per row, so a large group of near copies does not become all its pairs. Tiles
+beyond ``tile_rows`` are cut into blocks, and each pair of blocks is a tile of its own.
 
 Defined cases: a null text or one without words has an empty set and is linked with nothing;
 with fewer words than ``width`` the whole sequence is the one shingle; rows without an id take
@@ -47,14 +48,18 @@ def shingle_set(words: np.ndarray, width: int) -> np.ndarray:
     return h[np.append(True, h[1:] != h[:-1])]
 
 
-def bitmap_bits(n: int) -> int:
-    """Width for a set of n shingles: at least half of n, so that chance does not fill it."""
-    return 1 << min(13, max(6, (max(n, 2) // 2 - 1).bit_length()))
+#: Bits for each shingle: few for the first look at all tiles, more for the open ones.
+NARROW, WIDE = 0.5, 4
 
 
-def bitmap(shingles: np.ndarray) -> bytes:
+def bitmap_bits(n: int, share: float) -> int:
+    """Width for a set of n shingles, a power of two."""
+    return 1 << min(13, max(6, (int(max(n, 2) * share) - 1).bit_length()))
+
+
+def bitmap(shingles: np.ndarray, share: float = NARROW) -> bytes:
     """Parity of the shingles at each bit. Half the width is the xor of both halves."""
-    bits = bitmap_bits(len(shingles))
+    bits = bitmap_bits(len(shingles), share)
     places = (shingles & np.uint64(bits - 1)).astype(np.int64)
     return np.packbits((np.bincount(places, minlength=bits) & 1).astype(np.uint8)).tobytes()
 
@@ -81,12 +86,13 @@ def _scan(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets, n, keys, bits, seen = [], [], [], [], set()
+            sets, n, keys, bits, wide, seen = [], [], [], [], [], set()
             for text in batch.column(1).to_pylist():
                 s = shingle_set(word_hashes(text, lower=True), width)
                 n.append(len(s))
                 keys.append(key_of(s))
                 bits.append(bitmap(s))
+                wide.append(bitmap(s, WIDE))
                 if keys[-1] not in seen:
                     seen.add(keys[-1])
                     sets.append(s)
@@ -97,15 +103,15 @@ def _scan(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
                 [
                     pa.concat_arrays([batch.column(0), pa.nulls(more, batch.column(0).type)]),
                     pa.array(n + [None] * more, pa.int32()), pa.array(keys + [None] * more, pa.binary()),
-                    pa.array(bits + [None] * more, pa.binary()),
+                    pa.array(bits + [None] * more, pa.binary()), pa.array(wide + [None] * more, pa.binary()),
                     pa.array([None] * rows + shingles[often].view(np.int64).tolist(), pa.int64()),
                     pa.array([None] * rows + times[often].tolist(), pa.int64()),
                 ],
-                names=["doc", "n", "key", "bits", "hot", "times"],
+                names=["doc", "n", "key", "bits", "wide", "hot", "times"],
             )
 
     picked = docs.select(F.col(id_col), F.col(text_col).cast("string"))
-    return picked.mapInArrow(run, f"doc {id_type}, n int, key binary, bits binary, hot long, times long")
+    return picked.mapInArrow(run, f"doc {id_type}, n int, key binary, bits binary, wide binary, hot long, times long")
 
 
 def _prefixes(docs: DataFrame, text_col: str, width: int, num: int, den: int, hot: np.ndarray) -> DataFrame:
@@ -236,75 +242,140 @@ def _first_pairs(tiles: DataFrame, num: int, den: int) -> DataFrame:
     return by_token.select("token", "cls", "n", "bits").mapInArrow(run, PAIR).distinct()
 
 
-def _other_pairs(tiles: DataFrame, labels: DataFrame, num: int, den: int, tile_rows: int) -> DataFrame:
-    """All further pairs of classes of different components that may be similar.
+def near_pairs(n: np.ndarray, bits: list[bytes], apart_from: np.ndarray, num: int, den: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs (i < j) of rows sorted by size that may be similar and differ in ``apart_from``."""
+    width = np.fromiter(map(len, bits), int, len(bits))
+    for w in np.unique(width):
+        own = np.flatnonzero(width == w)
+        near = np.flatnonzero(width >= w)  # larger ones come behind
+        packed = np.empty((len(near), w // 8), np.uint64)
+        for v in np.unique(width[near]):
+            at = np.flatnonzero(width[near] == v)
+            packed[at] = np.ascontiguousarray(folded(np.frombuffer(b"".join(bits[k] for k in near[at]), np.uint8).reshape(len(at), v), w)).view(np.uint64)
+        place = np.searchsorted(near, own)
+        for start in range(0, len(own), 64):
+            some, at = own[start : start + 64], place[start : start + 64]
+            stop = int(np.searchsorted(n[near], n[some].max() * den // num, side="right"))
+            begin = int(at[0])
+            far = np.zeros((len(some), stop - begin), np.int64)
+            for k in range(packed.shape[1]):
+                far += np.bitwise_count(packed[at, k][:, None] ^ packed[begin:stop, k][None])
+            b = near[begin:stop]
+            ok = fitting(n[some][:, None], n[b][None], far, num, den) & (some[:, None] < b[None])
+            ok &= apart_from[some][:, None] != apart_from[b][None]
+            x, y = np.nonzero(ok)
+            if len(x):
+                yield some[x], b[y]
+
+
+def similar(x: np.ndarray, y: np.ndarray, num: int, den: int) -> bool:
+    """Exact: two sorted arrays without repeats."""
+    both = np.sort(np.concatenate([x, y]), kind="stable")
+    overlap = int((both[1:] == both[:-1]).sum())
+    return den * overlap >= num * (len(x) + len(y) - overlap)
+
+
+def link_tile(n: np.ndarray, component: np.ndarray, bits: list[bytes], sets: list[bytes], num: int, den: int) -> list[tuple[int, int]]:
+    """Links between rows of different components, until none is left that would join two."""
+    links, joined = [], {c: c for c in component.tolist()}
+
+    def root(c):
+        while joined[c] != c:
+            joined[c] = c = joined[joined[c]]
+        return c
+
+    for left, right in near_pairs(n, bits, component, num, den):
+        for i, j in zip(left.tolist(), right.tolist(), strict=True):
+            a, b = root(int(component[i])), root(int(component[j]))
+            if a != b and similar(np.frombuffer(sets[i], np.uint64), np.frombuffer(sets[j], np.uint64), num, den):
+                joined[max(a, b)] = min(a, b)
+                links.append((i, j))
+    return links
+
+
+def _tiles_of(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[tuple[tuple, list[list]]]:
+    """Rows of each tile (equal first ``keys`` columns) of sorted batches."""
+    tile, held = None, []
+    for batch in batches:
+        columns = [c.to_pylist() for c in batch.columns]
+        ends = [k for k in range(1, batch.num_rows) if any(c[k] != c[k - 1] for c in columns[:keys])]
+        for a, b in zip([0, *ends], [*ends, batch.num_rows], strict=True):
+            if a == b:
+                continue
+            if (now := tuple(c[a] for c in columns[:keys])) != tile:
+                if tile is not None:
+                    yield tile, held
+                tile, held = now, [[] for _ in columns[keys:]]
+            for own, c in zip(held, columns[keys:], strict=True):
+                own += c[a:b]
+    if tile is not None:
+        yield tile, held
+
+
+def _open_rows(tiles: DataFrame, classes: DataFrame, labels: DataFrame, num: int, den: int, tile_rows: int) -> DataFrame:
+    """(token, i, j, cls, component, n, wide): rows of a tile that may be similar to one of another component.
 
     Tiles of up to three rows, and tiles within one component, are done already.
     """
-    labelled = tiles.join(labels.withColumnRenamed("node", "cls"), "cls", "left").withColumn("component", F.coalesce("component", "cls"))
+    labelled = tiles.select("token", "cls", "n").join(labels.withColumnRenamed("node", "cls"), "cls", "left").withColumn(
+        "component", F.coalesce("component", "cls")
+    )
     open_ = labelled.groupBy("token").agg(
         F.count(F.lit(1)).alias("rows"), F.min("component").alias("low"), F.max("component").alias("high")
     ).where("rows > 3 and low <> high").select("token", F.ceil(F.col("rows") / tile_rows).cast("int").alias("blocks"))
     placed = labelled.join(open_, "token").withColumn("block", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    placed = placed.withColumn("other", other).select(
-        "token", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "n", "cls", "component", "bits"
+    placed = placed.withColumn("other", other).join(classes.select("cls", "wide"), "cls").select(
+        "token", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "n", "cls", "component", "wide"
     )
 
-    def compare(rows) -> Iterator[pa.RecordBatch]:
-        i, j, block, n, cls, component, bits = rows
-        n, cls, component, block = (np.array(x, np.int64) for x in (n, cls, component, block))
-        width = np.fromiter(map(len, bits), int, len(bits))
-        for w in np.unique(width):
-            own = np.flatnonzero(width == w)
-            near = np.flatnonzero(width >= w)  # larger ones come behind
-            packed = np.empty((len(near), w // 8), np.uint64)
-            for v in np.unique(width[near]):
-                at = np.flatnonzero(width[near] == v)
-                packed[at] = np.ascontiguousarray(folded(np.frombuffer(b"".join(bits[k] for k in near[at]), np.uint8).reshape(len(at), v), w)).view(np.uint64)
-            place = np.searchsorted(near, own)
-            for start in range(0, len(own), 64):
-                some, at = own[start : start + 64], place[start : start + 64]
-                stop = int(np.searchsorted(n[near], n[some].max() * den // num, side="right"))
-                begin = int(at[0])
-                far = np.zeros((len(some), stop - begin), np.int64)
-                for k in range(packed.shape[1]):
-                    far += np.bitwise_count(packed[at, k][:, None] ^ packed[begin:stop, k][None])
-                b = near[begin:stop]
-                ok = fitting(n[some][:, None], n[b][None], far, num, den) & (some[:, None] < b[None])
-                ok &= component[some][:, None] != component[b][None]
-                if i != j:
-                    ok &= block[some][:, None] != block[b][None]
-                x, y = np.nonzero(ok)
-                if len(x):
-                    p, q = cls[some[x]], cls[b[y]]
-                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(p, q)), pa.array(np.maximum(p, q))], names=["a", "b"])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tile, held = None, [[] for _ in range(5)]
-        for batch in batches:
-            columns = [batch.column(k).to_pylist() for k in range(8)]
-            ends = [k for k in range(1, batch.num_rows) if any(columns[c][k] != columns[c][k - 1] for c in range(3))]
-            for a, b in zip([0, *ends], [*ends, batch.num_rows], strict=True):
-                if a == b:
-                    continue
-                if (now := tuple(columns[c][a] for c in range(3))) != tile:
-                    if tile is not None:
-                        yield from compare((tile[1], tile[2], *held))
-                    tile, held = now, [[] for _ in range(5)]
-                for c in range(5):
-                    held[c] += columns[3 + c][a:b]
-        if tile is not None:
-            yield from compare((tile[1], tile[2], *held))
+    def active(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for tile, (n, cls, component, wide) in _tiles_of(batches, 3):
+            sizes, groups = np.array(n, np.int64), np.array(component, np.int64)
+            on = np.zeros(len(n), bool)
+            for left, right in near_pairs(sizes, wide, groups, num, den):
+                on[left] = on[right] = True
+            at = np.flatnonzero(on)
+            if len(at):
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([tile[0]] * len(at), pa.int64()), pa.array([tile[1]] * len(at), pa.int32()), pa.array([tile[2]] * len(at), pa.int32()),
+                        pa.array(np.array(cls, np.int64)[at]), pa.array(groups[at]), pa.array(sizes[at].astype(np.int32)),
+                        pa.array([wide[k] for k in at], pa.binary()),
+                    ],
+                    names=["token", "i", "j", "cls", "component", "n", "wide"],
+                )
 
     by_tile = placed.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j", "n", "cls")
-    return by_tile.mapInArrow(run, PAIR).distinct()
+    return by_tile.mapInArrow(active, "token long, i int, j int, cls long, component long, n int, wide binary")
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, id_col: str, text_col: str, width: int, num: int, den: int) -> DataFrame:
-    """The pairs whose sets are similar enough: sorted arrays, intersected exactly."""
-    named = pairs.select("a", "b")
-    ids = named.select(F.col("a").alias("_cls")).union(named.select(F.col("b").alias("_cls"))).distinct()
+def _late_links(rows: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """Links between different components in the tiles of ``_open_rows``, compared exactly.
+
+    Tiles with the same rows (a family shares many shingles) are worked off once.
+    """
+    tile = ["token", "i", "j"]
+    same = rows.groupBy(*tile).agg(
+        F.count(F.lit(1)).alias("rows"), F.sum(F.xxhash64("cls").cast("decimal(38,0)")).alias("a"),
+        F.sum(F.xxhash64(F.lit(1), "cls").cast("decimal(38,0)")).alias("b"),
+    ).groupBy("rows", "a", "b").agg(F.min(F.struct(*tile)).alias("t")).select("t.*")
+    full = rows.join(same, tile, "left_semi").join(sets, "cls").select(*tile, "n", "cls", "component", "wide", "shingles")
+
+    def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, (n, cls, component, wide, shingles) in _tiles_of(batches, 3):
+            pairs = link_tile(np.array(n, np.int64), np.array(component, np.int64), wide, shingles, num, den)
+            if pairs:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([cls[i] for i, _ in pairs], pa.int64()), pa.array([cls[j] for _, j in pairs], pa.int64())], names=["a", "b"]
+                )
+
+    by_tile = full.repartition(*tile).sortWithinPartitions(*tile, "n", "cls")
+    return by_tile.mapInArrow(link, PAIR).distinct()
+
+
+def _sets(ids: DataFrame, docs: DataFrame, classes: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
+    """(cls, shingles): the sorted sets of the classes in ``ids``, made of the texts again."""
 
     def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -316,31 +387,34 @@ def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, id_col: str
                     names=["cls", "key", "shingles"],
                 )
 
-    wanted = docs.select(F.col(id_col).cast("long").alias("_cls"), F.col(text_col).cast("string").alias("_text")).join(
-        ids.hint("shuffle_hash"), "_cls", "left_semi"
+    wanted = docs.select(F.col(id_col).cast("long").alias("cls"), F.col(text_col).cast("string").alias("_text")).join(
+        ids.select("cls").distinct().hint("shuffle_hash"), "cls", "left_semi"
     )
     sets = wanted.mapInArrow(sets_of, "cls long, key binary, shingles binary")
     # Only the set of the class itself, once, where an id has several rows.
-    sets = staged(sets.join(classes.select("cls", "key"), ["cls", "key"], "left_semi").dropDuplicates(["cls", "key"]).select("cls", "shingles"))
+    own = sets.join(classes.select("cls", "key"), ["cls", "key"], "left_semi").dropDuplicates(["cls", "key"])
+    return staged(own.select("cls", "shingles"))
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """The pairs whose sets are similar enough: sorted arrays, intersected exactly."""
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            good = []
-            for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                both = np.sort(np.concatenate([x, y]), kind="stable")
-                overlap = int((both[1:] == both[:-1]).sum())
-                good.append(den * overlap >= num * (len(x) + len(y) - overlap))
+            good = [
+                similar(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), num, den)
+                for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)
+            ]
             yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
-    first = named.join(sets.select(F.col("cls").alias("a"), F.col("shingles").alias("x")), "a")
+    first = pairs.join(sets.select(F.col("cls").alias("a"), F.col("shingles").alias("x")), "a")
     both = first.join(sets.select(F.col("cls").alias("b"), F.col("shingles").alias("y")), "b")
-    return both.select("a", "b", "x", "y").mapInArrow(check, PAIR).distinct()
+    return both.select("a", "b", "x", "y").mapInArrow(check, PAIR)
 
 
 def jaccard_join(
     docs: DataFrame, id_col="doc_id", text_col="text", width: int = 4, similarity: tuple[int, int] = (85, 100),
-    tile_rows: int = 4096, most_hot: int = 100_000,
+    tile_rows: int = 2048, most_hot: int = 100_000,
 ) -> DataFrame:
     """One row per input row: id, n_shingles, component_id (smallest id reachable by links)."""
     num, den = similarity
@@ -350,17 +424,20 @@ def jaccard_join(
     frequent = hot.toPandas().sort_values(["times", "hot"])["hot"].to_numpy(np.int64).view(np.uint64)
     classes = staged(
         rows.where("n > 0 and doc is not null").groupBy("key").agg(
-            F.min(F.col("doc").cast("long")).alias("cls"), F.min("n").alias("n"), F.min("bits").alias("bits")
+            F.min(F.col("doc").cast("long")).alias("cls"), F.min("n").alias("n"), F.min("bits").alias("bits"), F.min("wide").alias("wide")
         )
     )
     shared = _shared(_prefixes(docs, text_col, width, num, den, frequent), num, den)
     tiles = staged(shared.select("token", "key").join(classes, "key").select("token", "cls", "n", "bits"))
-    links = staged(_verified(staged(_first_pairs(tiles, num, den)), docs, classes, id_col, text_col, width, num, den))
+    pairs = staged(_first_pairs(tiles, num, den))
+    ends = pairs.select(F.col("a").alias("cls")).union(pairs.select(F.col("b").alias("cls")))
+    links = staged(_verified(pairs, _sets(ends, docs, classes, id_col, text_col, width), num, den))
     joined = staged(components(links))
-    more = staged(_other_pairs(tiles, joined, num, den, tile_rows))
+    rows_left = staged(_open_rows(tiles, classes, joined, num, den, tile_rows))
     found = joined
-    if not more.isEmpty():  # else the texts need not be read again
-        late = _verified(more, docs, classes, id_col, text_col, width, num, den)
+    if not rows_left.isEmpty():  # else the texts need not be read again
+        late = _late_links(rows_left, _sets(rows_left, docs, classes, id_col, text_col, width), num, den)
+        # What is joined already counts as one node.
         found = staged(components(joined.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(late)))
     placed = classes.select("key", "cls").join(found.withColumnRenamed("node", "cls"), "cls", "left").select(
         "key", F.coalesce("component", "cls").alias("component")
