@@ -32,6 +32,11 @@ def seq_discontinuity(spark, folder):
     return a.seq_discontinuity_flags(stops(spark, folder)).select(*FLAG)
 
 
+def seq_values(spark, folder):
+    """The whole numbering behind every discontinuity."""
+    return a.seq_values(stops(spark, folder))
+
+
 def clock_rules(spark, folder):
     return _only(
         a.ordered_flags(event_stops(spark, folder)),
@@ -69,6 +74,10 @@ def code_name_consistency(spark, folder):
     return a.code_name_flags(rows).select(*FLAG)
 
 
+def code_name_pairs(spark, folder):
+    return a.code_name_pairs(stops(spark, folder))
+
+
 def audit_flag_counts(spark, folder):
     return a.flag_counts(a.audit(stops(spark, folder)))
 
@@ -83,6 +92,7 @@ QUERIES = {
     for f in (
         audit_row_flags, audit_document_flags, audit_ordered_flags, seq_discontinuity, clock_rules,
         endpoint_integrity, dup_exact, dup_seq, dup_stop, code_name_consistency,
+        seq_values, code_name_pairs,
         audit_flag_counts, audit_summary,
     )
 }
@@ -204,9 +214,10 @@ _ORIGIN_DISTANCE = _flag(
 _ORDERED_RULES = _endpoint_rules("ranked") + _clock_rules("ranked") + [_ORIGIN_DISTANCE]
 _SEQ_RULE = """
   SELECT first_row AS row_id, train_no, 'seq_discontinuity' AS category,
-    'seq ' || listed || ' is not 1..' || CAST(n AS VARCHAR) AS detail, 'critical' AS severity
+    CAST(different AS VARCHAR) || ' different seq values ' || CAST(low AS VARCHAR) || '..' || CAST(high AS VARCHAR)
+      || ' is not 1..' || CAST(n AS VARCHAR) AS detail, 'critical' AS severity
   FROM (SELECT train_no, count(*) AS n, arg_min(row_id, pos) AS first_row,
-          string_agg(seq, ',' ORDER BY CAST(seq AS BIGINT)) AS listed,
+          count(DISTINCT seq) AS different, min(CAST(seq AS BIGINT)) AS low, max(CAST(seq AS BIGINT)) AS high,
           count(*) FILTER (CAST(seq AS BIGINT) <> pos) AS wrong
         FROM ranked GROUP BY train_no) WHERE n > 1 AND wrong > 0"""
 
@@ -225,10 +236,10 @@ _DUP_STOP = _repeated("stops", "train_no, station_code", "duplicate_stop_on_trai
 def _names(source):
     return f"""
   SELECT row_id, train_no, 'station_code_name_inconsistency' AS category,
-    'code ' || station_code || ' goes with ' || CAST(n AS VARCHAR) || ' names: ' || listed AS detail,
+    'code ' || station_code || ' goes with ' || CAST(n AS VARCHAR) || ' names: ' || low || ' .. ' || high AS detail,
     'warning' AS severity
   FROM {source} JOIN (SELECT station_code, count(DISTINCT station_name) AS n,
-      string_agg(DISTINCT station_name, ', ' ORDER BY station_name) AS listed
+      min(station_name) AS low, max(station_name) AS high
     FROM {source} GROUP BY station_code HAVING count(DISTINCT station_name) > 1) USING (station_code)
   WHERE station_name IS NOT NULL"""
 
@@ -279,6 +290,10 @@ ORACLE = {
     "dup_seq": sql(_DUP_SEQ),
     "dup_stop": sql(_DUP_STOP),
     "code_name_consistency": sql(_names("brands"), _BRANDS),
+    "seq_values": sql("SELECT train_no, row_id, seq, CAST(seq AS DOUBLE) AS seq_num FROM stops WHERE train_no IS NOT NULL"),
+    "code_name_pairs": sql(
+        "SELECT DISTINCT station_code, station_name FROM stops WHERE station_code IS NOT NULL AND station_name IS NOT NULL"
+    ),
     "audit_flag_counts": sql(
         "SELECT category, severity, count(*) AS n FROM all_flags GROUP BY 1, 2", _ALL_VIEWS
     ),

@@ -5,7 +5,6 @@ from pyspark.sql import functions as F
 from checks.tables import S, as_stops, day, numbered, sql, stops, table, whole
 from waymend.operators import merge as m
 from waymend.roles import BASE
-from waymend.session import frozen
 
 
 def sibling(spark, folder):
@@ -38,7 +37,7 @@ def sibling(spark, folder):
 
 def _both(spark, folder):
     one, two = stops(spark, folder), sibling(spark, folder)
-    filled1, filled2 = frozen(m.cross_fill(one, two)), frozen(m.cross_fill(two, one))
+    filled1, filled2 = m.cross_fill(one, two), m.cross_fill(two, one)
     return one, two, filled1, filled2, m.overlap_decisions(filled1, filled2)
 
 
@@ -64,9 +63,8 @@ def merge_sources(spark, folder):
 
 
 def merge_log(spark, folder):
-    one, two, filled1, filled2, decisions = _both(spark, folder)
-    merged = m.merge_sources(filled1, filled2, decisions)
-    return m.merge_log(one, two, filled1, filled2, decisions, merged)
+    _, _, filled1, filled2, decisions = _both(spark, folder)
+    return m.merge_log(filled1, filled2, m.merge_sources(filled1, filled2, decisions))
 
 
 def decision_sample(spark, folder):

@@ -328,7 +328,7 @@ _VIEWS = {
 ORACLE = {
     "old_schedule": sql(
         """SELECT train_no, row_number() OVER (PARTITION BY train_no ORDER BY l_linenumber, row_id) - 1 AS pos,
-          CAST(l_linenumber AS BIGINT) AS seq, station_code, station_name, arrival, station_code AS source_code
+          CAST(l_linenumber AS VARCHAR) AS seq, station_code, station_name, arrival, station_code AS source_code
         FROM old_rows WHERE l_returnflag <> 'R'""",
         _VIEWS,
     ),
@@ -371,7 +371,7 @@ ORACLE = {
     "schedule_status": sql("SELECT * FROM statuses", _VIEWS),
     "status_totals": sql("SELECT status, count(*) AS n FROM statuses GROUP BY 1", _VIEWS),
     "import_rows": sql(
-        """SELECT w.train_no AS "Train No", train_name AS "Train Name", CAST(seq AS BIGINT) AS "SEQ", code AS "Station Code",
+        """SELECT w.train_no AS "Train No", train_name AS "Train Name", CAST(seq AS VARCHAR) AS "SEQ", code AS "Station Code",
           code AS "Station Name", CASE WHEN lower(arrival) = 'first' THEN '' ELSE arrival END AS "Arrival Time",
           CASE WHEN lower(departure) = 'last' THEN '' ELSE departure END AS "Departure Time", distance AS "Distance",
           a AS "Source Station", a AS "Source Station Name", b AS "Destination Station", b AS "Destination Station Name",

@@ -85,6 +85,10 @@ def station_crossref(spark, folder):
     return x.station_crossref(stops(spark, folder), primary, secondary)
 
 
+def secondary_names(spark, folder):
+    return x.secondary_names(stops(spark, folder), _references(spark, folder)[1])
+
+
 def crossref_status_counts(spark, folder):
     return x.status_counts(station_crossref(spark, folder))
 
@@ -145,6 +149,10 @@ def repair_log(spark, folder):
     return r.repair_log(_torn_rows(spark, folder))
 
 
+def repair_changes(spark, folder):
+    return r.repair_changes(_torn_rows(spark, folder))
+
+
 def adjacent_duplicates(spark, folder):
     lines = numbered(
         spark, folder, "lineitem",
@@ -179,8 +187,8 @@ def code_suggestion(spark, folder):
 QUERIES = {
     f.__name__: f
     for f in (
-        validate_stops, validate_trains, quality_score, station_crossref, crossref_status_counts,
-        enrich, train_crossref, split_row_repair, repair_log, adjacent_duplicates, code_suggestion,
+        validate_stops, validate_trains, quality_score, station_crossref, secondary_names, crossref_status_counts,
+        enrich, train_crossref, split_row_repair, repair_log, repair_changes, adjacent_duplicates, code_suggestion,
     )
 }
 
@@ -226,7 +234,7 @@ _VIEWS = {
           WHEN s.hit THEN '{fv.SECONDARY_ONLY}' WHEN NOT s.hit THEN '{fv.MANUAL}' ELSE '{fv.NOT_FOUND}' END AS status
       FROM (SELECT station_code, arg_min(station_name, row_id) AS station_name FROM stops GROUP BY 1) c
       LEFT JOIN primary_ref p ON p.code = station_code
-      LEFT JOIN (SELECT code, string_agg(name, '; ' ORDER BY name) AS names,
+      LEFT JOIN (SELECT code, count(*) || ' names: ' || min(name) || ' .. ' || max(name) AS names,
           bool_or(contains({reference_form('p_name')}, {reference_form('name')})
                OR contains({reference_form('name')}, {reference_form('p_name')})) AS hit
         FROM secondary_ref JOIN part ON code = CAST(p_partkey AS VARCHAR) GROUP BY code) s ON s.code = station_code""",
@@ -312,6 +320,9 @@ ORACLE = {
         _VIEWS,
     ),
     "station_crossref": sql("SELECT * FROM crossref", _VIEWS),
+    "secondary_names": sql(
+        "SELECT DISTINCT code AS station_code, name FROM secondary_ref WHERE code IN (SELECT station_code FROM stops)", _VIEWS
+    ),
     "crossref_status_counts": sql("SELECT status, count(*) AS n FROM crossref GROUP BY 1", _VIEWS),
     "enrich": sql(
         f"""SELECT row_id, s.station_code, coalesce(status, '{fv.MANUAL}') AS validation_status,
@@ -340,6 +351,12 @@ ORACLE = {
         FROM (SELECT count(*) FILTER (fixed) AS n, count(*) AS total FROM neighbours)""",
         _VIEWS,
     ),
+    "repair_changes": sql(
+        f"""SELECT row_id, train_no, seq, station_code, {', '.join(f"{c} AS {c}_before" for c in _TAIL)},
+          {', '.join(f"n{i + 1} AS {c}_after" for i, c in enumerate(_TAIL))}, row_id + 1 AS removed_row_id
+        FROM neighbours WHERE fixed""",
+        _VIEWS,
+    ),
     "adjacent_duplicates": sql(
         """SELECT row_id, train_no, seq,
           CASE WHEN adjacent_kind = 'complementary' THEN lo_a ELSE arrival END AS arrival,

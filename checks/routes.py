@@ -7,7 +7,6 @@ from checks.text import endpoint_form, ratio_sql
 from waymend.operators import distance as dist
 from waymend.operators import replace as rep
 from waymend.roles import BASE
-from waymend.session import frozen
 from waymend.sources.readers import last_routes, needed_meta
 
 # ------------------------------------------------------------ replacement
@@ -76,10 +75,8 @@ def _sides(spark, folder):
 
 
 def _decisions(spark, folder):
-    """Several results read the decisions, so they are written once."""
     meta, routes, duplicates = _sides(spark, folder)
-    routes = frozen(routes)
-    return meta, routes, duplicates, frozen(rep.match_routes(meta, routes))
+    return meta, routes, duplicates, rep.match_routes(meta, routes)
 
 
 def match_routes(spark, folder):
@@ -100,9 +97,7 @@ def gated_replace(spark, folder):
 
 def replace_log(spark, folder):
     meta, routes, duplicates, decisions = _decisions(spark, folder)
-    rows, needed = _table(spark, folder), _needed(spark, folder)
-    new, still = rep.replace_trains(rows, needed, routes, decisions)
-    return rep.replace_log(rows, needed, meta, routes, duplicates, decisions, new, still)
+    return rep.replace_log(_table(spark, folder), _needed(spark, folder), meta, routes, duplicates, decisions)
 
 
 # ------------------------------------------------------------ distance
@@ -279,7 +274,7 @@ ORACLE = {
     ),
     "segment_median": sql(_segments("l_suppkey")),
     "chain_log": sql(
-        """SELECT CAST(k AS VARCHAR) AS train_no, CAST(s1 AS BIGINT) AS from_seq, CAST(s2 AS BIGINT) AS to_seq, status,
+        """SELECT CAST(k AS VARCHAR) AS train_no, CAST(s1 AS VARCHAR) AS from_seq, CAST(s2 AS VARCHAR) AS to_seq, status,
           CASE WHEN complete THEN round_even((u2 - u1)::DOUBLE / 1000000, 2) END AS chain_sum,
           CASE WHEN complete THEN round_even((d2 - d1)::DOUBLE / 1000000, 2) END AS known_gap FROM chains""",
         _FILL,

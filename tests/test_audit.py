@@ -116,16 +116,24 @@ def test_clean_table_has_zero_counts(spark):
     assert got["total_flags_raised"] == 0 and got["trains_with_seq_discontinuity"] == 0
 
 
-def test_long_lists_are_summarised_not_cut(spark):
-    rows = [full("1", str(i), f"C{i}") for i in range(2, 9)] + [full("2", "1", "AA"), full("2", "3", "AA")]
-    df = stops(spark, rows)
-    details = {r.train_no: r.detail for r in a.seq_discontinuity_flags(df, list_rows=3).collect()}
+def test_texts_have_one_form_and_lists_are_tables(spark):
+    long = [full("1", str(i), f"C{i}") for i in range(2, 1500)]
+    df = stops(spark, long + [full("2", "1", "AA"), full("2", "3", "AA")])
+    details = {r.train_no: r.detail for r in a.seq_discontinuity_flags(df).collect()}
     assert details == {
-        "1": "7 different seq values 2..8 is not 1..7", "2": "seq 1,3 is not 1..2",
+        "1": "1498 different seq values 2..1499 is not 1..1498", "2": "2 different seq values 1..3 is not 1..2",
     }
-    names = stops(spark, [full(str(i), "1", "AA", station_name=f"n{i}") for i in range(4)])
-    assert {r.detail for r in a.code_name_flags(names, list_rows=3).collect()} == {"code AA goes with 4 names"}
-    assert {r.detail for r in a.code_name_flags(names).collect()} == {"code AA goes with 4 names: n0, n1, n2, n3"}
+    assert a.seq_values(df).count() == 1500
+    names = stops(spark, [full(str(i), "1", "AA", station_name=f"n{i % 1200:04d}") for i in range(1300)])
+    assert {r.detail for r in a.code_name_flags(names).collect()} == {"code AA goes with 1200 names: n0000 .. n1199"}
+    assert a.code_name_pairs(names).count() == 1200
+
+
+def test_seq_beyond_doubles_is_not_merged(spark):
+    big = 2**60
+    df = stops(spark, [full("1", str(big), "AA"), full("1", str(big + 1), "BB")])
+    (flag,) = a.seq_discontinuity_flags(df).collect()
+    assert flag.detail == f"2 different seq values {big}..{big + 1} is not 1..2"
 
 
 def test_hot_keys_equal_plain_windows(spark):

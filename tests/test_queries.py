@@ -1,6 +1,8 @@
 """Registered queries: agreement with their SQL on the smallest tables, and their plans."""
 
 import os
+import subprocess
+import sys
 
 import pytest
 
@@ -48,3 +50,17 @@ def test_ranks_are_limited_before_the_shuffle(spark):
 def test_only_needed_columns_are_read(spark):
     plan = all_queries()["dup_stop"](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
     assert "l_partkey" in plan and "l_shipdate" not in plan and "l_quantity" not in plan
+
+
+def test_workers_need_no_copy_of_the_package(tmp_path):
+    """Another working directory, no PYTHONPATH: the code travels with the job."""
+    root = os.path.abspath(os.path.join(os.path.dirname(__file__), ".."))
+    code = (
+        f"import sys; sys.path.insert(0, {root!r})\n"
+        "from waymend.session import build_session\n"
+        "from checks import all_queries\n"
+        "spark = build_session('elsewhere', 'local[2]', **{'spark.ui.enabled': 'false', 'spark.sql.shuffle.partitions': '2'})\n"
+        f"assert all_queries()['resolve_names'](spark, {FOLDER!r}).count() > 0\n"
+    )
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, check=True, timeout=300)

@@ -28,7 +28,7 @@ def test_station_statuses(spark):
         "F": fv.NOT_FOUND, "G": fv.NAME_MISMATCH, None: fv.NOT_FOUND,
     }
     assert got["A"].station_name_in_dataset == "Agra Jn" and got["A"].suggested_full_name is None
-    assert got["B"].suggested_full_name == "Abcdefghijklmnop" and got["D"].secondary_names_for_code == "New Delhi; Zzz"
+    assert got["B"].suggested_full_name == "Abcdefghijklmnop" and got["D"].secondary_names_for_code == "2 names: New Delhi .. Zzz"
     assert got["G"].name_match is None and got["F"].found_in_secondary_reference is False
     enriched = {(e.station_code, e.validation_status, e.reference_name) for e in x.enrich(df, x.station_crossref(df, reference, secondary)).collect()}
     assert (None, fv.MANUAL, "") in enriched and ("B", fv.TRUNCATED, "Abcdefghijklmnop") in enriched
@@ -146,7 +146,7 @@ def test_merge(spark):
         ("4", "A", fv.FIRST_SOURCE), ("5", "A", fv.SECOND_SOURCE), (None, "A", fv.FIRST_SOURCE),
     ], key=repr)
     assert merged.columns == m.MERGED_COLUMNS
-    log = {e.measure: e.value for e in m.merge_log(one, two, filled1, filled2, decisions, merged).collect()}
+    log = {e.measure: e.value for e in m.merge_log(filled1, filled2, merged).collect()}
     assert log["exact_duplicate_rows_removed_in_final_pass"] == 1 and log["trains_present_in_both"] == 4
     assert log["dataset1_cross_fill_counts:departure"] == 1 and log["final_merged_row_count"] == 8
     assert log["dataset2_filled_rows_dropped"] + log["dataset2_filled_rows_retained"] == filled2.where(f"timing_source = '{fv.FILLED}'").count()

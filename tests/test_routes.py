@@ -58,7 +58,7 @@ def test_replace(spark):
     ]
     assert new.columns == BASE and new.count() == 6
     assert sorted(r.train_no for r in still.collect()) == ["102", "103", "104", "106", "999"]
-    log = {m.measure: m.value for m in rep.replace_log(old, needed, needed_meta(needed), routes, duplicates, decisions, new, still).collect()}
+    log = {m.measure: m.value for m in rep.replace_log(old, needed, needed_meta(needed), routes, duplicates, decisions).collect()}
     assert (log["table_rows_dropped_old_fragments"], log["table_rows_added_new"], log["table_rows_after"]) == (2, 3, 6)
     assert log["source_duplicate_train_numbers"] == 1 and log["needed_rows_dropped_resolved"] == 2
     assert [r.number for r in rep.rejected_sample(decisions, 2).collect()] == ["102", "103"]

@@ -87,11 +87,21 @@ def test_old_schedule(spark):
     for hot in (1000, 2):
         flat = sc.old_schedule(df, hot_rows=hot)
         assert table(flat, "train_no", "pos", "seq", "station_code", "train_name") == [
-            ("7", 0, 2, "B", "U"), ("7", 1, 2, "B2", "V"), ("7", 2, 10, "C", "T"),
+            ("7", 0, "2", "B", "U"), ("7", 1, "2", "B2", "V"), ("7", 2, "10", "C", "T"),
         ]
     assert table(sc.skipped_rows(df), "seq", "rows", "trains", "first_trains") == [("", 1, 1, "8"), ("x", 2, 2, "7, 9")]
 
 
+def test_old_schedule_orders_numbers_of_any_length(spark):
+    long = "1" + "0" * 29
+    df = stops(spark, [dict(train_no="1", seq=s, station_code=c) for s, c in (
+        (long + "1", "D"), (long, "B"), ("007", "A"), ("0" * 40 + long[:-1] + "1", "C"))])
+    flat = sc.old_schedule(df)
+    assert table(flat, "pos", "seq", "station_code") == [
+        (0, "7", "A"), (1, long, "B"), (2, long[:-1] + "1", "C"), (3, long + "1", "D"),
+    ]
+
+
 def new_table(spark, rows):
     return spark.createDataFrame(
         [(i, *r) for i, r in enumerate(rows)],

@@ -8,17 +8,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from waymend.functions.text import (
-    codes_are_aliases, has_encoding_issue, is_blank, is_clock, to_number,
+    cell_text, codes_are_aliases, has_encoding_issue, is_blank, is_clock, to_number,
 )
 from waymend.operators.keyed import rows_of_repeated_keys
-from waymend.operators.ordered import HOT_ROWS, Ordered, hot_keys, position, with_ordered
+from waymend.operators.ordered import HOT_ROWS, Ordered, position, with_ordered
 from waymend.roles import BASE, BASE_HEADERS
 
 REQUIRED = ["train_no", "train_name", "seq", "station_code", "station_name"]
 OPTIONAL = [c for c in BASE if c not in REQUIRED]
-# Lists printed inside a detail text; longer ones are available as tables
-# (``seq_values``, ``code_name_pairs``), which are never shortened.
-DETAIL_LIST_ROWS = 1000
 
 CRITICAL, WARNING, INFO = "critical", "warning", "info"
 FLAG_COLUMNS = ["row_id", "train_no", "category", "detail", "severity"]
@@ -217,6 +214,13 @@ def ordered_flags(df: DataFrame, hot_rows: int = HOT_ROWS, alias_pairs=None) ->
     return _exploded(s, rules)
 
 
+def whole_number(c):
+    """Whole part of a number text as decimal(38,0): exact for all-digit texts of up to 38 digits."""
+    text = cell_text(c)
+    exact = F.when(text.rlike(r"^[+-]?\d+\z"), text.try_cast("decimal(38,0)"))
+    return F.coalesce(exact, F.when(text.rlike(r"[.eE]"), to_number(c).try_cast("decimal(38,0)")))
+
+
 def seq_values(df: DataFrame) -> DataFrame:
     """(train_no, row_id, seq, seq_num): the numbering behind any discontinuity."""
     return df.where(F.col("train_no").isNotNull()).select(
@@ -224,15 +228,16 @@ def seq_values(df: DataFrame) -> DataFrame:
     )
 
 
-def _seq_checked(values: DataFrame, with_list: bool) -> DataFrame:
-    """Numbering of each train: n values within 1..n, all different, are 1..n."""
-    numbered = values.withColumn("seq_int", F.col("seq_num").try_cast("bigint"))
+def seq_discontinuities(df: DataFrame) -> DataFrame:
+    """Trains whose whole-number SEQ values are not exactly 1..n, one row each.
+
+    n values within 1..n, all different, are 1..n. ``seq_values`` lists the values.
+    """
+    numbered = seq_values(df).withColumn("seq_int", whole_number("seq"))
     per_number = numbered.groupBy("train_no", "seq_int").agg(
         F.count("*").alias("n"), F.min(F.struct("seq_num", "row_id")).alias("first")
     )
     known = F.col("seq_int").isNotNull()
-    listed = F.array_sort(F.collect_list(F.when(known, F.struct("seq_int", "n"))))
-    each = F.flatten(F.transform(listed, lambda x: F.array_repeat(x["seq_int"], x["n"].cast("int"))))
     per_train = per_number.groupBy("train_no").agg(
         F.sum("n").alias("stops"),
         F.count("seq_int").alias("different"),
@@ -242,38 +247,20 @@ def _seq_checked(values: DataFrame, with_list: bool) -> DataFrame:
             F.min(F.when(known, F.col("first"))).getField("row_id"),
             F.min(F.when(~known, F.col("first"))).getField("row_id"),
         ).alias("row_id"),
-        (F.array_join(each, ",") if with_list else F.lit(None).cast("string")).alias("listed"),
     )
     whole = (F.col("different") == F.col("stops")) & (F.col("low") == 1) & (F.col("high") == F.col("stops"))
     return per_train.where((F.col("stops") > 1) & ~F.coalesce(whole, F.lit(False)))
 
 
-def seq_discontinuities(df: DataFrame, list_rows: int = DETAIL_LIST_ROWS) -> DataFrame:
-    """Trains whose whole-number SEQ values are not exactly 1..n, one row each.
-
-    ``listed`` holds the values of trains with at most ``list_rows`` rows; no list is
-    built for longer ones, whose values ``seq_values`` has in full.
-    """
-    values = seq_values(df)
-    long, total = hot_keys(df.where("train_no is not null").select("train_no"), ["train_no"], list_rows)
-    if not total:
-        return _seq_checked(values, True)
-    short = _seq_checked(values.join(long, "train_no", "left_anti"), True)
-    return short.unionByName(_seq_checked(values.join(long, "train_no", "left_semi"), False))
-
-
-def seq_discontinuity_flags(df: DataFrame, list_rows: int = DETAIL_LIST_ROWS) -> DataFrame:
-    text = F.coalesce(
-        F.concat(F.lit("seq "), F.col("listed")),
+def seq_discontinuity_flags(df: DataFrame) -> DataFrame:
+    return seq_discontinuities(df).select(
+        "row_id", "train_no",
+        F.lit("seq_discontinuity").alias("category"),
         F.concat(
             F.col("different").cast("string"), F.lit(" different seq values "),
             shown(F.col("low").cast("string")), F.lit(".."), shown(F.col("high").cast("string")),
-        ),
-    )
-    return seq_discontinuities(df, list_rows).select(
-        "row_id", "train_no",
-        F.lit("seq_discontinuity").alias("category"),
-        F.concat(text, F.lit(" is not 1.."), F.col("stops").cast("string")).alias("detail"),
+            F.lit(" is not 1.."), F.col("stops").cast("string"),
+        ).alias("detail"),
         F.lit(CRITICAL).alias("severity"),
     )
 
@@ -286,24 +273,20 @@ def code_name_pairs(df: DataFrame) -> DataFrame:
 
 
 def ambiguous(pairs: DataFrame, key: str) -> DataFrame:
-    """Keys with more than one partner in a table of distinct pairs, with ``n``."""
-    return pairs.groupBy(key).agg(F.count("*").alias("n")).where("n > 1")
+    """Keys with more than one partner in a table of distinct pairs: ``n``, ``low``, ``high``."""
+    partner = next(c for c in pairs.columns if c != key)
+    return pairs.groupBy(key).agg(
+        F.count("*").alias("n"), F.min(partner).alias("low"), F.max(partner).alias("high")
+    ).where("n > 1")
 
 
-def code_name_flags(df: DataFrame, list_rows: int = DETAIL_LIST_ROWS) -> DataFrame:
-    """Every row of a code that goes with several names."""
-    pairs = code_name_pairs(df)
-    bad = ambiguous(pairs, "station_code")
-    listed = (
-        pairs.join(bad.where(F.col("n") <= list_rows), "station_code", "left_semi")
-        .groupBy("station_code")
-        .agg(F.array_join(F.sort_array(F.collect_list("station_name")), ", ").alias("listed"))
-    )
+def code_name_flags(df: DataFrame) -> DataFrame:
+    """Every row of a code that goes with several names; ``code_name_pairs`` lists them."""
     detail = F.concat(
         F.lit("code "), F.col("station_code"), F.lit(" goes with "), F.col("n").cast("string"),
-        F.lit(" names"), F.coalesce(F.concat(F.lit(": "), F.col("listed")), F.lit("")),
+        F.lit(" names: "), F.col("low"), F.lit(" .. "), F.col("high"),
     )
-    texts = bad.join(listed, "station_code", "left").select("station_code", detail.alias("detail"))
+    texts = ambiguous(code_name_pairs(df), "station_code").select("station_code", detail.alias("detail"))
     rows = df.where("station_name is not null").select("row_id", "train_no", "station_code")
     return rows.join(texts, "station_code").select(
         "row_id", "train_no",

@@ -7,9 +7,6 @@ from waymend.functions import fixed_values as fv
 from waymend.functions.text import digits_key, is_truncation_of, norm_ref_name
 from waymend.operators.keyed import first_per_key
 
-# Names printed per code; a code with more shows their number, the list has them all.
-NAME_LIST = 1000
-
 
 def station_crossref(stops: DataFrame, reference: DataFrame, secondary: DataFrame) -> DataFrame:
     """One row per distinct code with its status.
@@ -29,22 +26,15 @@ def station_crossref(stops: DataFrame, reference: DataFrame, secondary: DataFram
     )
 
     name, other = norm_ref_name("station_name"), norm_ref_name("name")
-    pairs = secondary.select(F.col("code").alias("station_code"), "name").distinct()
-    counted = (
-        codes.join(pairs, "station_code").groupBy("station_code")
+    related = (
+        codes.join(_secondary_pairs(secondary), "station_code").groupBy("station_code")
         .agg(
             F.max(name.contains(other) | other.contains(name)).alias("secondary_match"),
-            F.count("*").alias("secondary_count"),
+            F.concat(
+                F.count("*").cast("string"), F.lit(" names: "), F.min("name"), F.lit(" .. "), F.max("name")
+            ).alias("secondary_names"),
         )
     )
-    few = counted.where(F.col("secondary_count") <= NAME_LIST).select("station_code")
-    listed = pairs.join(few, "station_code", "left_semi").groupBy("station_code").agg(
-        F.array_join(F.sort_array(F.collect_list("name")), "; ").alias("secondary_names")
-    )
-    related = counted.join(listed, "station_code", "left").withColumn(
-        "secondary_names",
-        F.coalesce("secondary_names", F.concat(F.col("secondary_count").cast("string"), F.lit(" names"))),
-    )
     joined = found.join(related, "station_code", "left")
     primary_hit = F.col("found_in_primary_reference")
     named = F.coalesce(F.col("reference_name") != "", F.lit(False))
@@ -73,6 +63,16 @@ def station_crossref(stops: DataFrame, reference: DataFrame, secondary: DataFram
     )
 
 
+def _secondary_pairs(secondary: DataFrame) -> DataFrame:
+    return secondary.select(F.col("code").alias("station_code"), "name").distinct()
+
+
+def secondary_names(stops: DataFrame, secondary: DataFrame) -> DataFrame:
+    """(station_code, name): every secondary name of every code in the stops."""
+    codes = stops.select("station_code").distinct()
+    return _secondary_pairs(secondary).join(codes, "station_code", "left_semi")
+
+
 def train_crossref(stops: DataFrame, reference: DataFrame) -> DataFrame:
     """One row per distinct train number; reference: number_key, name, zone, from/to."""
     trains = first_per_key(stops, "train_no", ["train_name"]).withColumn(

@@ -5,12 +5,15 @@ with ``row_id`` (dense in ``known``, whose file order defines the segments). Len
 are whole micro-kilometres, so sums are exact and independent of any row order.
 """
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from waymend.functions.fixed_values import DISTANCE_TOLERANCE_KM
+from waymend.functions import fixed_values as fv
 from waymend.functions.text import cell_text, to_number
 from waymend.operators.keyed import join_on_keys
+from waymend.operators.measures import measures, report, total
 from waymend.operators.ordered import (
     HOT_ROWS, Ordered, hot_keys, position, previous_in_file, with_ordered,
 )
@@ -26,7 +29,7 @@ def micro(km):
 def seq_number(c):
     """Whole-number SEQ, null for any other text."""
     text = cell_text(c)
-    return F.when(text.rlike(r"^[+-]?\d+\z"), text.try_cast("bigint"))
+    return F.when(text.rlike(r"^[+-]?\d+\z"), text.try_cast("decimal(38,0)"))
 
 
 def segments(known: DataFrame) -> DataFrame:
@@ -143,11 +146,11 @@ def _chain_columns(end):
     total = end("upto") - F.col("opener.upto")
     gap = end("dist") - F.col("opener.dist")
     complete = end("gaps") == F.col("opener.gaps")
-    close = F.abs(total - gap) <= int(DISTANCE_TOLERANCE_KM * MICRO)
+    close = F.abs(total - gap) <= int(fv.DISTANCE_TOLERANCE_KM * MICRO)
     status = (
-        F.when(~complete, "rejected_gap_in_segment_lookup")
-        .when(close, "verified_and_filled")
-        .otherwise("rejected_inconsistent")
+        F.when(~complete, fv.CHAIN_GAP)
+        .when(close, fv.CHAIN_FILLED)
+        .otherwise(fv.CHAIN_INCONSISTENT)
     )
     return total, gap, complete, status
 
@@ -160,8 +163,8 @@ def chain_log(chains: DataFrame) -> DataFrame:
     )
     return ends.select(
         "train_no",
-        F.col("opener.place").alias("from_seq"),
-        F.col("place").alias("to_seq"),
+        F.col("opener.place").cast("string").alias("from_seq"),
+        F.col("place").cast("string").alias("to_seq"),
         status.alias("status"),
         F.when(complete, F.bround(total / MICRO, 2)).alias("chain_sum"),
         F.when(complete, F.bround(gap / MICRO, 2)).alias("known_gap"),
@@ -171,7 +174,7 @@ def chain_log(chains: DataFrame) -> DataFrame:
 def filled_places(chains: DataFrame) -> DataFrame:
     """(train_no, place, filled): micro-km of every place that is resolved now."""
     _, _, _, status = _chain_columns(lambda c: F.col(f"closer.{c}"))
-    between = F.col("opener").isNotNull() & F.col("closer").isNotNull() & (status == "verified_and_filled")
+    between = F.col("opener").isNotNull() & F.col("closer").isNotNull() & (status == fv.CHAIN_FILLED)
     value = F.when(F.col("dist").isNotNull(), F.col("dist")).when(
         between, F.col("opener.dist") + F.col("upto") - F.col("opener.upto")
     )
@@ -218,29 +221,34 @@ def move_filled(known: DataFrame, filled: DataFrame) -> tuple[DataFrame, DataFra
     return known.select(*BASE).unionByName(moved), stay
 
 
+FILL_STATUSES = ["filled", "open", "already_known", "duplicate_seq", "bad_seq"]
+
+
 def fill_log(known, filled, chains, lookup) -> DataFrame:
-    """(measure, value) rows of a distance fill."""
+    """(measure, value) rows of a distance fill: one aggregate for each table.
 
-    def counted(df, name):
-        return df.agg(F.count("*").alias("value")).select(F.lit(name).alias("measure"), "value")
+    Statuses that no row or chain has are left out.
+    """
+    status = F.col("fill_status")
+    per_train = filled.groupBy("train_no").agg(*[total(status == s).alias(s) for s in FILL_STATUSES])
+    rows = reduce(lambda a, b: a + b, [F.col(s) for s in FILL_STATUSES])
+    of_rows = measures(
+        per_train,
+        {
+            "trains_processed": total(), "trains_with_at_least_one_fill": total(F.col("filled") > 0),
+            "rows_before": F.sum(rows), "known_rows_after": F.sum("filled"),
+            **{f"rows:{s}": F.sum(s) for s in FILL_STATUSES},
+        },
+    ).where(~F.col("measure").startswith("rows:") | (F.col("value") > 0))
+    of_chains = measures(
+        chain_log(chains),
+        {f"chains:{s}": total(status_is(s)) for s in (fv.CHAIN_GAP, fv.CHAIN_FILLED, fv.CHAIN_INCONSISTENT)},
+    ).where("value > 0")
+    return report(
+        measures(lookup, {"segment_lookup_size": total()}), of_rows, of_chains,
+        measures(known, {"known_rows_before": total(), "known_rows_after": total()}),
+    )
 
-    def named(df, column, prefix):
-        return df.groupBy(column).agg(F.count("*").alias("value")).select(
-            F.concat(F.lit(prefix), F.col(column)).alias("measure"), "value"
-        )
 
-    moved = filled.where("fill_status = 'filled'")
-    parts = [
-        counted(lookup, "segment_lookup_size"),
-        counted(filled.select("train_no").distinct(), "trains_processed"),
-        counted(moved.select("train_no").distinct(), "trains_with_at_least_one_fill"),
-        counted(filled, "rows_before"),
-        named(filled, "fill_status", "rows:"),
-        named(chain_log(chains), "status", "chains:"),
-        counted(known, "known_rows_before"),
-        counted(known.select("row_id").unionByName(moved.select("row_id")), "known_rows_after"),
-    ]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+def status_is(name):
+    return F.col("status") == name

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from waymend.functions import fixed_values as fv
 from waymend.operators.keyed import drop_duplicates_keep_first, join_on_keys
+from waymend.operators.measures import measures, report, total
 from waymend.roles import BASE, align_schema
 
 FIELDS = ["arrival", "departure", "distance"]
@@ -54,23 +55,49 @@ def fill_counts(filled: DataFrame) -> DataFrame:
     ).select("x.*")
 
 
-def missing_scores(df: DataFrame, name: str) -> DataFrame:
-    """Null fields per train; rows without a train number count as one train, score 0."""
+def train_sides(filled1: DataFrame, filled2: DataFrame) -> DataFrame:
+    """One row per train of either table, from one aggregate over both.
+
+    rows1, rows2; missing1, missing2 (null fields; rows without a train number count as one
+    train, score 0); fills1_*, fills2_* (values filled by field); filled1, filled2 (rows).
+    """
     nulls = reduce(lambda a, b: a + b, [F.col(f).isNull().cast("long") for f in FIELDS])
-    nulls = F.when(F.col("train_no").isNull(), F.lit(0)).otherwise(nulls)
-    return df.groupBy("train_no").agg(F.sum(nulls).alias(name))
+    parts = [
+        filled.select(
+            "train_no", F.lit(side).alias("side"),
+            F.when(F.col("train_no").isNull(), F.lit(0)).otherwise(nulls).alias("nulls"),
+            *[F.array_contains("filled", f).alias(f) for f in FIELDS],
+            (F.col("timing_source") == fv.FILLED).alias("touched"),
+        )
+        for side, filled in ((1, filled1), (2, filled2))
+    ]
+    sums = []
+    for side in (1, 2):
+        own = F.col("side") == side
+        sums += [
+            total(own).alias(f"rows{side}"),
+            F.coalesce(F.sum(F.when(own, F.col("nulls"))), F.lit(0)).alias(f"missing{side}"),
+            *[total(own & F.col(f)).alias(f"fills{side}_{f}") for f in FIELDS],
+            total(own & F.col("touched")).alias(f"filled{side}"),
+        ]
+    return parts[0].unionByName(parts[1]).groupBy("train_no").agg(*sums)
+
+
+def _shared():
+    return (F.col("rows1") > 0) & (F.col("rows2") > 0)
+
+
+def _first_wins():
+    return F.col("missing1") <= F.col("missing2")
 
 
 def overlap_decisions(filled1: DataFrame, filled2: DataFrame) -> DataFrame:
     """Trains of both tables, their missing fields, and which table keeps the train."""
-    one = missing_scores(filled1, "dataset1_missing_fields")
-    two = missing_scores(filled2, "dataset2_missing_fields")
-    first = F.col("dataset1_missing_fields") <= F.col("dataset2_missing_fields")
-    return join_on_keys(one, two, ["train_no"], "inner").select(
+    return train_sides(filled1, filled2).where(_shared()).select(
         "train_no",
-        F.when(first, "dataset1").otherwise("dataset2").alias("kept_source"),
-        F.when(first, "dataset2").otherwise("dataset1").alias("dropped_source"),
-        "dataset1_missing_fields", "dataset2_missing_fields",
+        F.when(_first_wins(), "dataset1").otherwise("dataset2").alias("kept_source"),
+        F.when(_first_wins(), "dataset2").otherwise("dataset1").alias("dropped_source"),
+        F.col("missing1").alias("dataset1_missing_fields"), F.col("missing2").alias("dataset2_missing_fields"),
     )
 
 
@@ -98,47 +125,31 @@ def merge_sources(filled1: DataFrame, filled2: DataFrame, decisions: DataFrame)
     return drop_duplicates_keep_first(both, BASE, ["_rank", "row_id"]).select(MERGED_COLUMNS)
 
 
-def merge_log(ds1, ds2, filled1, filled2, decisions, merged) -> DataFrame:
-    """(measure, value) rows of the merge."""
-
-    def counted(df, name):
-        return df.agg(F.count("*").alias("value")).select(F.lit(name).alias("measure"), "value")
-
-    def trains(df, name):
-        return counted(df.select("train_no").distinct(), name)
-
-    def different(df, column, name):
-        return df.agg(F.count_distinct(column).alias("value")).select(F.lit(name).alias("measure"), "value")
-
-    def fills(filled, name):
-        return fill_counts(filled).select(
-            F.concat(F.lit(f"{name}:"), F.col("field")).alias("measure"), F.col("n").alias("value")
-        )
-
-    filled_rows = filled2.where(F.col("timing_source") == fv.FILLED)
-    kept_filled = keep_won_trains(filled_rows, decisions, "dataset2")
-    lost = decisions.where("dropped_source = 'dataset2'").select("train_no")
-    lost_filled = join_on_keys(filled_rows, lost, ["train_no"], "left_semi")
-    before = counted(combine(filled1, filled2, decisions), "x")
-    after = counted(merged, "x")
-    removed = before.unionByName(after.withColumn("value", -F.col("value"))).agg(
-        F.sum("value").alias("value")
-    ).select(F.lit("exact_duplicate_rows_removed_in_final_pass").alias("measure"), "value")
-    parts = [
-        counted(ds1, "dataset1_input_rows"), counted(ds2, "dataset2_input_rows"),
-        trains(ds1, "dataset1_unique_trains"), trains(ds2, "dataset2_unique_trains"),
-        counted(decisions, "trains_present_in_both"),
-        counted(decisions.where("kept_source = 'dataset1'"), "trains_kept_from_dataset1_on_overlap"),
-        counted(decisions.where("kept_source = 'dataset2'"), "trains_kept_from_dataset2_on_overlap"),
-        fills(filled1, "dataset1_cross_fill_counts"), fills(filled2, "dataset2_cross_fill_counts"),
-        counted(lost_filled, "dataset2_filled_rows_dropped"),
-        counted(kept_filled, "dataset2_filled_rows_retained"),
-        removed,
-        counted(merged, "final_merged_row_count"),
-        different(merged, "train_no", "final_merged_unique_trains"),
-        different(merged, "station_code", "final_merged_unique_stations"),
-    ]
-    return reduce(lambda a, b: a.unionByName(b), parts)
+def merge_log(filled1: DataFrame, filled2: DataFrame, merged: DataFrame) -> DataFrame:
+    """(measure, value) rows of the merge: one aggregate over the trains, one over the result."""
+    first, second = _shared() & _first_wins(), _shared() & ~_first_wins()
+    kept = F.when(first, F.col("rows1")).when(second, F.col("rows2")).otherwise(F.col("rows1") + F.col("rows2"))
+    values = {fv.MERGE_BOTH: total(_shared()), fv.MERGE_KEPT[1]: total(first), fv.MERGE_KEPT[2]: total(second)}
+    for side in (1, 2):
+        values[fv.MERGE_ROWS[side]] = F.sum(f"rows{side}")
+        values[fv.MERGE_TRAINS[side]] = total(F.col(f"rows{side}") > 0)
+        values |= {f"{fv.MERGE_FILLS[side]}:{f}": F.sum(f"fills{side}_{f}") for f in FIELDS}
+    values[fv.MERGE_FILLED_DROPPED] = F.sum(F.when(first, F.col("filled2")))
+    values[fv.MERGE_FILLED_RETAINED] = F.sum(F.when(~first, F.col("filled2")))
+    values[fv.MERGE_REMOVED] = F.sum(kept)
+    of_result = {
+        fv.MERGED_ROWS: total(), fv.MERGED_TRAINS: F.count_distinct("train_no"),
+        fv.MERGED_STATIONS: F.count_distinct("station_code"),
+    }
+    result = measures(merged, of_result)
+    # Removed rows: all that were kept, less those of the result.
+    gone = F.when(F.col("measure") == fv.MERGED_ROWS, F.array(
+        F.struct(F.lit(fv.MERGED_ROWS).alias("measure"), F.col("value").alias("value")),
+        F.struct(F.lit(fv.MERGE_REMOVED).alias("measure"), (-F.col("value")).alias("value")),
+    )).otherwise(F.array(F.struct(F.col("measure").alias("measure"), F.col("value").alias("value"))))
+    return report(
+        measures(train_sides(filled1, filled2), values), result.select(F.explode(gone).alias("m")).select("m.*")
+    )
 
 
 def decision_sample(decisions: DataFrame, count: int = 25) -> DataFrame:

@@ -191,3 +191,28 @@ def previous_in_file(
         .where(F.col("_block") == own)
         .drop("_block")
     )
+
+
+def neighbours_in_file(
+    df: DataFrame, row_id: str, before: list, after: list, block: int = FILE_BLOCK
+) -> DataFrame:
+    """Structs ``before`` and ``after`` of the rows with the next lower and higher row number.
+
+    Like ``previous_in_file``, for both sides in the same pass: the rows at the edges of a
+    block are also shown to the block next to it.
+    """
+    own = F.expr(f"`{row_id}` div {block}")
+    place = F.col(row_id) % block
+    shown_to = F.filter(
+        F.array(own, F.when(place == block - 1, own + 1), F.when((place == 0) & (own > 0), own - 1)),
+        lambda b: b.isNotNull(),
+    )
+    in_block = Window.partitionBy("_block").orderBy(row_id)
+    shown = df.withColumn("_block", F.explode(shown_to))
+    found = shown.withColumns(
+        {
+            "before": F.lag(F.struct(*before)).over(in_block),
+            "after": F.lead(F.struct(*after)).over(in_block),
+        }
+    )
+    return found.where(F.col("_block") == own).drop("_block")

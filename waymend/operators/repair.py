@@ -1,5 +1,7 @@
 """Repairs that only use values already present in the table, and format cleaning."""
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -7,7 +9,7 @@ from waymend.functions.text import (
     is_na_placeholder, norm_ref_name, reformat_clock, strip_train_suffix, to_number,
 )
 from waymend.operators.audit import malformed_train_rule
-from waymend.operators.ordered import HOT_ROWS, Ordered, hot_keys, with_ordered
+from waymend.operators.ordered import HOT_ROWS, Ordered, hot_keys, neighbours_in_file, with_ordered
 from waymend.roles import BASE
 
 # A split-off row carries these seven fields shifted to the left.
@@ -16,35 +18,53 @@ SHIFTED = BASE[1:8]
 TIMING = ["arrival", "departure", "distance"]
 
 
-def split_row_fixes(df: DataFrame) -> DataFrame:
-    """One row per repairable pair: row_id of the good row, before, after, removed.
+def _with_pieces(df: DataFrame) -> DataFrame:
+    """Rows with their file neighbours; ``fixed``: the row behind completes this one;
+    ``gone``: this one completes the row in front of it.
 
     A malformed row completes the file row in front of it if all seven tail fields
     there are placeholders. Needs dense ``row_id``.
     """
-    pieces = df.where(malformed_train_rule()).select(
-        (F.col("row_id") - 1).alias("row_id"), F.struct(*BASE).alias("removed")
+    open_tail = reduce(lambda a, b: a & b, [is_na_placeholder(c) for c in TAIL])
+    marked = df.withColumns({"_open": open_tail, "_piece": malformed_train_rule()})
+    seen = neighbours_in_file(marked, "row_id", ["_open"], ["_piece", *BASE])
+    return seen.withColumns(
+        {
+            "fixed": F.coalesce(F.col("_open") & F.col("after._piece"), F.lit(False)),
+            "gone": F.coalesce(F.col("_piece") & F.col("before._open"), F.lit(False)),
+        }
     )
-    open_tail = F.lit(True)
-    for c in TAIL:
-        open_tail = open_tail & is_na_placeholder(c)
+
+
+def split_row_fixes(df: DataFrame) -> DataFrame:
+    """One row per repaired pair: row_id of the good row, before, after, removed (structs)."""
     after = [F.col(c) for c in BASE[:5]] + [
-        F.col(f"removed.{s}").alias(t) for t, s in zip(TAIL, SHIFTED)
+        F.col(f"after.{s}").alias(t) for t, s in zip(TAIL, SHIFTED)
     ]
-    return (
-        df.where(open_tail).join(pieces, "row_id")
-        .select("row_id", F.struct(*BASE).alias("before"), F.struct(*after).alias("after"), "removed")
+    return _with_pieces(df).where("fixed").select(
+        "row_id", F.struct(*BASE).alias("before"), F.struct(*after).alias("after"),
+        F.struct(*[F.col(f"after.{c}").alias(c) for c in BASE]).alias("removed"),
+    )
+
+
+def repair_changes(df: DataFrame) -> DataFrame:
+    """The repair row by row: row_id, train_no, seq, station_code, the tail before and after,
+    and the number of the row that was removed for it."""
+    fixes = split_row_fixes(df)
+    return fixes.select(
+        "row_id", "before.train_no", "before.seq", "before.station_code",
+        *[F.col(f"before.{c}").alias(f"{c}_before") for c in TAIL],
+        *[F.col(f"after.{c}").alias(f"{c}_after") for c in TAIL],
+        (F.col("row_id") + 1).alias("removed_row_id"),
     )
 
 
 def repair_split_rows(df: DataFrame) -> DataFrame:
     """The table with repaired rows completed and their split-off pieces removed."""
-    fixes = split_row_fixes(df)
-    gone = fixes.select((F.col("row_id") + 1).alias("row_id"))
-    kept = df.join(gone, "row_id", "left_anti").join(fixes.select("row_id", "after"), "row_id", "left")
-    fixed = F.col("after").isNotNull()
-    new = {c: F.when(fixed, F.col(f"after.{c}")).otherwise(F.col(c)) for c in TAIL}
-    return kept.withColumns(new).select(df.columns)
+    new = {
+        t: F.when(F.col("fixed"), F.col(f"after.{s}")).otherwise(F.col(t)) for t, s in zip(TAIL, SHIFTED)
+    }
+    return _with_pieces(df).where("not gone").withColumns(new).select(df.columns)
 
 
 def repair_log(df: DataFrame) -> DataFrame:

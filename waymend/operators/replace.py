@@ -3,12 +3,13 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from waymend.functions.fixed_values import ENDPOINT_ACCEPT
+from waymend.functions import fixed_values as fv
 from waymend.functions.similarity import similarity_ratio
 from waymend.functions.text import (
     cell_text, endpoint_arrival, endpoint_departure, norm_endpoint_name, number_key,
     parse_distance, split_station,
 )
+from waymend.operators.measures import measures, report, total
 from waymend.roles import BASE
 
 
@@ -38,8 +39,8 @@ def match_routes(meta: DataFrame, routes: DataFrame) -> DataFrame:
         }
     )
     empty = F.col("stops") <= 0
-    good = (F.col("src_score") >= ENDPOINT_ACCEPT) & (F.col("dst_score") >= ENDPOINT_ACCEPT)
-    reason = F.when(empty, "empty_route_in_source").when(~F.coalesce(good, F.lit(False)), "endpoint_mismatch")
+    good = (F.col("src_score") >= fv.ENDPOINT_ACCEPT) & (F.col("dst_score") >= fv.ENDPOINT_ACCEPT)
+    reason = F.when(empty, fv.EMPTY_ROUTE).when(~F.coalesce(good, F.lit(False)), fv.ENDPOINT_MISMATCH)
     return scored.select(
         "number",
         reason.isNull().alias("matched"),
@@ -91,33 +92,36 @@ def replace_trains(table: DataFrame, needed: DataFrame, routes: DataFrame, decis
     return old.select(*BASE).unionByName(new.select(*BASE)), still.select(*needed.columns)
 
 
-def replace_log(table, needed, meta, routes, duplicates, decisions, new_table, still) -> DataFrame:
-    """(measure, value) rows of the swap."""
-
-    def counted(df, name):
-        return df.agg(F.count("*").alias("value")).select(F.lit(name).alias("measure"), "value")
-
-    matched = decisions.where("matched").select("number")
-    dropped = table.withColumn("number", _number_in_table()).join(matched, "number", "left_semi")
-    added = route_stops(routes.join(matched, "number", "left_semi"))
-    resolved = needed.withColumn("number", number_key("train_no")).join(matched, "number", "left_semi")
-    extra = duplicates.agg(F.coalesce(F.sum("extra"), F.lit(0)).alias("value"))
-    parts = [
-        counted(routes, "source_unique_trains"),
-        extra.select(F.lit("source_duplicate_train_numbers").alias("measure"), "value"),
-        counted(meta, "needed_unique_trains_before"),
-        counted(decisions, "overlap_trains_by_number"),
-        counted(matched, "matched_trains_integrated"),
-        counted(decisions.where("not matched"), "rejected_trains_endpoint_mismatch_or_empty"),
-        counted(table, "table_rows_before"), counted(dropped, "table_rows_dropped_old_fragments"),
-        counted(added, "table_rows_added_new"), counted(new_table, "table_rows_after"),
-        counted(needed, "needed_rows_before"), counted(resolved, "needed_rows_dropped_resolved"),
-        counted(still, "needed_rows_after"),
-    ]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+def replace_log(table, needed, meta, routes, duplicates, decisions) -> DataFrame:
+    """(measure, value) rows of the swap: one aggregate for each table."""
+    matched = decisions.where("matched").select("number", F.lit(True).alias("hit"))
+    hit = F.col("hit").isNotNull()
+
+    def swapped(df, number, before, dropped, after):
+        rows = df.select(number.alias("number")).join(matched, "number", "left")
+        return measures(rows, {before: total(), dropped: total(hit), after: total(~hit)})
+
+    stops = F.when(hit & (F.size("route") > 0), F.size("route").cast("long"))
+    offered = routes.select("number", "route").join(matched, "number", "left")
+    return report(
+        measures(
+            offered,
+            {fv.REPLACE_SOURCE: total(), fv.REPLACE_TABLE_ADDED: F.sum(stops), fv.REPLACE_TABLE_AFTER: F.sum(stops)},
+        ),
+        measures(duplicates, {fv.REPLACE_REPEATED: F.sum("extra")}),
+        measures(meta, {fv.REPLACE_NEEDED: total()}),
+        measures(
+            decisions,
+            {
+                fv.REPLACE_OVERLAP: total(), fv.REPLACE_MATCHED: total(F.col("matched")),
+                fv.REPLACE_REJECTED: total(~F.col("matched")),
+            },
+        ),
+        swapped(table, _number_in_table(), fv.REPLACE_TABLE_BEFORE, fv.REPLACE_TABLE_DROPPED, fv.REPLACE_TABLE_AFTER),
+        swapped(
+            needed, number_key("train_no"), fv.REPLACE_NEEDED_BEFORE, fv.REPLACE_NEEDED_DROPPED, fv.REPLACE_NEEDED_AFTER
+        ),
+    )
 
 
 def rejected_sample(decisions: DataFrame, count: int = 30) -> DataFrame:

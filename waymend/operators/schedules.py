@@ -1,7 +1,8 @@
 """Two kinds of schedule files as flat stop rows: train, place, stop.
 
 Output of both: train_no, train_name, pos (0..n-1), seq, station_code, station_name,
-arrival, departure, distance, source_code, dest_code. Blanks are ''.
+arrival, departure, distance, source_code, dest_code. Blanks are ''. The ``seq`` of
+per-stop files is a text of digits (any number of them, no leading zeros).
 """
 
 from pyspark.sql import DataFrame
@@ -21,8 +22,8 @@ STOP = [
 
 
 def _digits():
-    """SEQ texts that number a stop (up to 18 digits)."""
-    return F.col("seq").rlike(r"^\d{1,18}\z")
+    """SEQ texts that number a stop."""
+    return F.col("seq").rlike(r"^\d+\z")
 
 
 def old_schedule(df: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
@@ -35,8 +36,10 @@ def old_schedule(df: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
         "row_id",
         *[cell_text(c).alias(c) for c in STOP if c != "pos"],
     ).where(_digits())
-    numbered = text.withColumn("seq", F.col("seq").cast("bigint"))
-    placed = with_ordered(numbered, ["train_no"], ["seq", "row_id"], {"pos": position()}, hot_rows)
+    # Texts without leading zeros sort as numbers of any length: by length, then as text.
+    bare = F.regexp_replace("seq", r"^0+(?=\d)", "")
+    numbered = text.withColumn("seq", bare).withColumn("_digits", F.length("seq"))
+    placed = with_ordered(numbered, ["train_no"], ["_digits", "seq", "row_id"], {"pos": position()}, hot_rows)
     return placed.withColumn("pos", F.col("pos") - 1).select(*STOP)
 
 

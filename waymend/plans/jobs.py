@@ -58,19 +58,26 @@ class Cleaned:
     train_crossref: DataFrame
     cleaned: DataFrame
     repair_log: DataFrame
+    repair_changes: DataFrame
+    station_status: DataFrame
+    train_status: DataFrame
 
 
 def clean(stops: DataFrame, stations: DataFrame, trains: DataFrame, secondary: DataFrame) -> Cleaned:
     """Audit, cross-reference, repair and enrich one per-stop table (roles, row_id)."""
     flags = audit_rules.audit(stops)
     codes = crossref.station_crossref(stops, stations, secondary)
+    numbers = crossref.train_crossref(stops, trains)
     return Cleaned(
         flags=flags,
         audit_summary=audit_rules.audit_summary(stops, flags),
         station_crossref=codes,
-        train_crossref=crossref.train_crossref(stops, trains),
+        train_crossref=numbers,
         cleaned=crossref.enrich(repair.repair_split_rows(stops), codes),
         repair_log=repair.repair_log(stops),
+        repair_changes=repair.repair_changes(stops),
+        station_status=crossref.status_counts(codes),
+        train_status=crossref.status_counts(numbers),
     )
 
 
@@ -100,7 +107,7 @@ def fill_and_merge(ds1: DataFrame, ds2: DataFrame) -> Merged:
     merged = merge.merge_sources(filled1, filled2, decisions)
     return Merged(
         filled1, filled2, decisions, merged,
-        merge.merge_log(ds1, ds2, filled1, filled2, decisions, merged),
+        merge.merge_log(filled1, filled2, merged),
     )
 
 
@@ -110,6 +117,7 @@ class Replaced:
     needed: DataFrame
     decisions: DataFrame
     log: DataFrame
+    rejected: DataFrame
 
 
 def gated_replacement(table, needed, routes, duplicates) -> Replaced:
@@ -117,8 +125,8 @@ def gated_replacement(table, needed, routes, duplicates) -> Replaced:
     meta = readers.needed_meta(needed)
     decisions = frozen(replace.match_routes(meta, routes))
     new_table, still = replace.replace_trains(table, needed, routes, decisions)
-    log = replace.replace_log(table, needed, meta, routes, duplicates, decisions, new_table, still)
-    return Replaced(new_table, still, decisions, log)
+    log = replace.replace_log(table, needed, meta, routes, duplicates, decisions)
+    return Replaced(new_table, still, decisions, log, replace.rejected_sample(decisions))
 
 
 @dataclass
@@ -160,6 +168,7 @@ def write_migration(result: Migration, folder, mode="errorifexists"):
     writers.write_change_reports(result.status, folder, mode)
     writers.write_summary_json(result.totals, f"{folder}/migration_summary", mode)
     writers.write_csv(result.unresolved, f"{folder}/unresolved_stations", mode)
+    writers.write_csv(result.skipped, f"{folder}/skipped_seq_values", mode)
 
 
 def write_cleaned(result: Cleaned, folder, mode="errorifexists"):
@@ -174,6 +183,9 @@ def write_cleaned(result: Cleaned, folder, mode="errorifexists"):
     writers.write_csv(result.train_crossref, f"{folder}/train_crossref", mode)
     writers.write_csv(to_headers(result.cleaned.drop("row_id"), headers), f"{folder}/cleaned", mode)
     writers.write_summary_json(result.repair_log, f"{folder}/cleaning_log", mode)
+    writers.write_csv(result.repair_changes, f"{folder}/repair_changes", mode)
+    writers.write_summary_json(result.station_status, f"{folder}/station_status", mode)
+    writers.write_summary_json(result.train_status, f"{folder}/train_status", mode)
 
 
 MERGED_HEADERS = {
@@ -196,6 +208,12 @@ def write_merged(result: Merged, folder, mode="errorifexists"):
     writers.write_summary_json(sample, f"{folder}/merge_decisions_sample", mode)
 
 
+def write_replacement(result: Replaced, folder, mode="errorifexists"):
+    writers.write_summary_json(result.log, f"{folder}/replacement_log", mode)
+    writers.write_csv(result.decisions, f"{folder}/replacement_decisions", mode)
+    writers.write_summary_json(result.rejected, f"{folder}/replacement_rejected_sample", mode)
+
+
 def write_new_tables(known: DataFrame, needed: DataFrame, folder, version: str):
     """Both rewritten tables under a new version, in the twelve base headers."""
     return [
