@@ -33,8 +33,11 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group that the join links."""
-    stays = jaccard_join.jaccard_join(docs).where("doc_id = component_id").select("doc_id").distinct()
+    """The document with the smallest id of each group that the join links.
+
+    Texts are linked from a Jaccard similarity of 0.8 of their five-word shingles on.
+    """
+    stays = jaccard_join.jaccard_join(docs, width=5, similarity=(4, 5)).where("doc_id = component_id").select("doc_id").distinct()
     return docs.select(*COLUMNS).join(stays, "doc_id", "left_semi")
 
 

@@ -65,5 +65,12 @@ def test_stages_on_awkward_rows_and_no_rows(spark):
     assert once.count(7) == 1
 
 
+def test_near_copies_from_four_fifths_of_five_word_shingles(spark):
+    text = [f"w{k}" for k in range(100)]
+    rows = [(2, " ".join(text)), (1, " ".join(text + [f"x{k}" for k in range(22)])), (3, " ".join(text + [f"y{k}" for k in range(30)]))]
+    got = texts_of(p.drop_near_copies(spark, docs(spark, rows), FOLDER))
+    assert sorted(i for i, _ in got) == [i for i, _, c in plain_components(rows, 4, 5, 5) if i == c] == [1, 3]
+
+
 def test_every_operator_is_registered():
     assert [int(n[2:].split("_")[0]) for n in QUERIES] == list(range(1, 11))
