@@ -72,5 +72,28 @@ def test_near_copies_from_four_fifths_of_five_word_shingles(spark):
     assert sorted(i for i, _ in got) == [i for i, _, c in plain_components(rows, 4, 5, 5) if i == c] == [1, 3]
 
 
+def test_rows_without_an_id_stay(spark):
+    text = [f"w{k}" for k in range(100)]
+    near, far = " ".join(text + ["x", "y"]), " ".join(f"v{k}" for k in range(50))
+    text = " ".join(text)
+
+    def after(stage, rows):
+        return sorted(texts_of(stage(spark, docs(spark, [(*r, "en", "a") for r in rows]), FOLDER)), key=repr)
+
+    exact, near_copies = p.drop_exact_copies, p.drop_near_copies
+    assert after(exact, [(None, "a b"), (None, "c")]) == [(None, "a b"), (None, "c")]
+    assert after(exact, [(5, "a b"), (None, "a b")]) == [(5, "a b")]
+    # The longest of its group, and rows of one id and one text once the white space is gone.
+    assert after(exact, [(5, "a b"), (None, "a  b"), (None, "ab"), (6, "ab")]) == [(None, "a  b")]
+    assert after(exact, [(5, "ab"), (5, "a b"), (5, "ab")]) == [(5, "a b")]
+    assert after(near_copies, [(None, text), (None, far), (3, "z")]) == sorted([(None, text), (None, far), (3, "z")], key=repr)
+    assert after(near_copies, [(9, text), (None, near), (None, far), (7, near)]) == sorted([(7, near), (None, far)], key=repr)
+    assert len(after(near_copies, [(None, text), (None, near)])) == 1
+    # All documents of the one source fit its target.
+    rows = [(None, text), (None, far), (3, "z")]
+    assert after(p.mix_sources, rows) == sorted(rows, key=repr)
+    assert len(p.tokenize(spark, docs(spark, rows), FOLDER).collect()) == 3
+
+
 def test_every_operator_is_registered():
     assert [int(n[2:].split("_")[0]) for n in QUERIES] == list(range(1, 11))
