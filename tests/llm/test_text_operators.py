@@ -113,6 +113,13 @@ def test_jaccard_join_defined_cases(spark):
     assert sorted(map(tuple, got.select(*COLUMNS6).collect()), key=repr) == sorted([(2, 3, 1), (2, 3, 1), (1, 3, 1), (None, 3, None)], key=repr)
 
 
+def test_jaccard_join_of_ids_with_several_texts(spark):
+    a, b = "a b c d e f", "g h i j k l"
+    got = jaccard_join.jaccard_join(docs(spark, [(3, a), (5, a), (5, b), (5, ""), (8, b), (4, ""), (None, b), (9, "m n o p")]))
+    want = [(3, 3, 3), (5, 3, 3), (5, 3, 3), (5, 0, 3), (8, 3, 3), (4, 0, 4), (None, 3, None), (9, 1, 9)]
+    assert sorted(map(tuple, got.select(*COLUMNS6).collect()), key=repr) == sorted(want, key=repr)
+
+
 def test_bitmaps_never_hide_a_link():
     rng = np.random.default_rng(3)
     for n in (1, 5, 40, 700, 3000):

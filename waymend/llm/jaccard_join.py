@@ -22,8 +22,9 @@ beyond ``tile_rows`` are cut into blocks, and each pair of blocks is a tile of i
 
 Defined cases: a null text or one without words has an empty set and is linked with nothing;
 with fewer words than ``width`` the whole sequence is the one shingle; rows without an id take
-no part in links (component null); rows that repeat an id count as one node; an empty table
-gives an empty result; further columns are ignored.
+no part in links (component null); rows that repeat an id count as one node, whatever their
+texts: a link of any of them joins all, one without words included; an empty table gives an
+empty result; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -412,6 +413,14 @@ def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFram
     return both.select("a", "b", "x", "y").mapInArrow(check, PAIR)
 
 
+def _repeated_ids(rows: DataFrame, classes: DataFrame) -> DataFrame:
+    """Links (a: class, b: id) for every set of the ids that occur with several sets."""
+    named = rows.where("doc is not null").select(F.col("doc").cast("long").alias("b"), "key")
+    several = named.groupBy("b").agg(F.min(F.xxhash64("key")).alias("low"), F.max(F.xxhash64("key")).alias("high")).where("low <> high")
+    held = named.join(several.select("b"), "b", "left_semi").distinct()
+    return held.join(classes.select("key", F.col("cls").alias("a")), "key").select("a", "b").distinct()
+
+
 def jaccard_join(
     docs: DataFrame, id_col="doc_id", text_col="text", width: int = 4, similarity: tuple[int, int] = (85, 100),
     tile_rows: int = 2048, most_hot: int = 100_000,
@@ -431,8 +440,9 @@ def jaccard_join(
     tiles = staged(shared.select("token", "key").join(classes, "key").select("token", "cls", "n", "bits"))
     pairs = staged(_first_pairs(tiles, num, den))
     ends = pairs.select(F.col("a").alias("cls")).union(pairs.select(F.col("b").alias("cls")))
-    links = staged(_verified(pairs, _sets(ends, docs, classes, id_col, text_col, width), num, den))
-    joined = staged(components(links))
+    links = _verified(pairs, _sets(ends, docs, classes, id_col, text_col, width), num, den)
+    repeated = staged(_repeated_ids(rows, classes))
+    joined = staged(components(staged(links.unionByName(repeated))))
     rows_left = staged(_open_rows(tiles, classes, joined, num, den, tile_rows))
     found = joined
     if not rows_left.isEmpty():  # else the texts need not be read again
@@ -442,8 +452,11 @@ def jaccard_join(
     placed = classes.select("key", "cls").join(found.withColumnRenamed("node", "cls"), "cls", "left").select(
         "key", F.coalesce("component", "cls").alias("component")
     )
-    out = rows.join(placed, "key", "left").select(
+    # Rows without words have no class; if their id has other rows, it has a component by them.
+    by_id = repeated.select(F.col("b").alias("node")).distinct().join(found, "node").select("node", F.col("component").alias("own"))
+    labelled = rows.join(placed, "key", "left").join(by_id, (F.col("n") == 0) & (F.col("doc").cast("long") == F.col("node")), "left")
+    out = labelled.select(
         F.col("doc").alias(id_col), F.col("n").cast("long").alias("n_shingles"),
-        F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc").cast("long")).alias("component_id"),
+        F.when(F.col("n") > 0, F.col("component")).otherwise(F.coalesce("own", F.col("doc").cast("long"))).alias("component_id"),
     )
     return out.withColumn("component_id", F.when(F.col(id_col).isNotNull(), F.col("component_id")))
