@@ -134,6 +134,15 @@ def test_mined_rules_against_brute_force(spark):
         assert judged[i]["verdict"] == (min(fits)[3] if fits else "allow")
 
 
+def test_a_rule_that_hangs_on_the_third_path_part(spark):
+    urls = [f"http://h.io/en/shop/pills/{i}/pills" if i % 2 else f"http://h.io/en/shop/books/{i}" for i in range(40)]
+    df = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    labels = spark.createDataFrame([(i, "block" if i % 2 else "allow") for i in range(30)], "page_id long, label string")
+    got = {r["page_id"]: r for r in url_filter.filter_urls(df, [], labels, min_support=0.1, min_confidence=0.9).collect()}
+    assert all(got[i]["verdict"] == ("block" if i % 2 else "allow") for i in range(40))
+    assert all(got[i]["mined_rule"] == ("p:pills" if i % 2 else "p:books") for i in range(40))
+
+
 # ------------------------------------------------------------------ revisits
 
 CAPTURES = "record_id long, url string, at long, kind string, etag string, last_modified string, headers map<string,string>, found string"

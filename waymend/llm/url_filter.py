@@ -5,7 +5,7 @@ url's path starts with the rule's path, and the longest fitting rule wins. Every
 its candidates up by an equi join on the suffixes of its host, so no url meets all rules.
 
 Urls that no listed rule fits are judged by association rules: FP-growth over the tokens of
-labelled urls (host labels, first path parts, query keys) finds token sets that come with a
+labelled urls (host labels, path parts, query keys) finds token sets that come with a
 verdict; rules need a least support and confidence, and a rule is pruned when a part of it
 does at least as well. Rules are matched through an inverted index: each rule is filed under
 its rarest token, a url probes with its tokens, and the remaining tokens of the rule are
@@ -53,10 +53,10 @@ def split_url(url: Column) -> tuple[Column, Column]:
 
 
 def url_tokens(url: Column, host: Column, path: Column) -> Column:
-    """Distinct tokens: h: labels of the host, p: the first two path parts (digits as #), q: query keys."""
+    """Distinct tokens: h: labels of the host, p: all path parts (digits as #), q: query keys."""
     text = F.coalesce(url.cast("string"), F.lit(""))
     labels = F.transform(F.array_distinct(F.split(host, r"\.")), lambda x: F.concat(F.lit("h:"), x))
-    parts = F.slice(F.filter(F.split(path, "/"), lambda x: x != ""), 1, 2)
+    parts = F.array_distinct(F.filter(F.split(path, "/"), lambda x: x != ""))
     parts = F.transform(parts, lambda x: F.concat(F.lit("p:"), F.regexp_replace(x, "[0-9]+", "#")))
     query = F.regexp_extract(text, r"\?([^#]*)", 1)
     keys = F.transform(F.split(query, "&"), lambda x: F.concat(F.lit("q:"), F.regexp_extract(x, "^([^=]*)", 1)))
