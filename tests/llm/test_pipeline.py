@@ -58,9 +58,13 @@ def test_stages_in_order(spark, tmp_path):
 
 def test_stages_on_awkward_rows_and_no_rows(spark):
     rows = awkward() + [(7, "twice"), (7, "twice")]
-    for df in (docs(spark, rows), docs(spark, [])):
+    for df, n in ((docs(spark, rows), len(rows)), (docs(spark, []), 0)):
         for name, stage in p.STAGES[:-1]:
-            assert stage(spark, df, FOLDER).columns == p.COLUMNS, name
+            kept = stage(spark, df, FOLDER)
+            assert kept.columns == p.COLUMNS and kept.count() <= 3 * n, name
+        assert p.STAGES[-1][1](spark, df, FOLDER).count() == n
+    empty = docs(spark, [(i, t) for i, t in enumerate([None, "", "", "<|endoftext|>"])])
+    assert sorted(r["n_tokens"] for r in p.tokenize(spark, empty, FOLDER).collect()) == [0, 0, 0, 1]
     once = [i for i, _ in texts_of(p.drop_exact_copies(spark, docs(spark, rows), FOLDER))]
     assert once.count(7) == 1
 

@@ -216,6 +216,17 @@ def test_bpe_equals_the_library(spark):
     assert bpe.encode(docs(spark, []), TOKENIZER).count() == 0
 
 
+def test_bpe_of_slices_without_a_new_word(spark):
+    library = pytest.importorskip("tokenizers").Tokenizer.from_file(TOKENIZER)
+    copies = [(i, "the same words again") for i in range(1200)]
+    for rows in ([(1, ""), (2, "")], [(1, None)], [(1, "<|endoftext|>"), (2, "<|endoftext|><|endoftext|>")], copies):
+        for r in bpe.encode_and_decode(docs(spark, rows).coalesce(1), TOKENIZER, with_ids=True).collect():
+            text = dict(rows)[r["doc_id"]] or ""
+            ids = library.encode(text, add_special_tokens=False).ids
+            assert r["token_ids"] == ids and r["n_tokens"] == len(ids)
+            assert r["decoded_sha256"] == hashlib.sha256(text.encode()).hexdigest()
+
+
 def test_bpe_long_texts_in_pieces(monkeypatch):
     with open(TOKENIZER) as file:
         content = file.read()

@@ -21,6 +21,7 @@ from __future__ import annotations
 import hashlib
 import heapq
 import json
+from collections import ChainMap
 from collections.abc import Iterable, Iterator
 from itertools import islice
 
@@ -215,6 +216,8 @@ class Vocabulary:
 
     def encode_words(self, words: list[str]) -> list[bytes]:
         """Ids (little-endian, 32 bits) of each word."""
+        if not words:  # a slice whose words are all known, or that has none
+            return []
         raw = [w.encode("utf-8", "surrogatepass") for w in words]
         tokens, owner = self.propose([w.decode("latin-1") for w in raw])
         failing = np.ones(len(words), bool)
@@ -285,7 +288,7 @@ class Coder:
             else:
                 parts = [list(self.pieces(t or "")) for t in texts[at:end]]
                 long = self.learn([x for p in parts for x in p if isinstance(x, list)])
-                get = self.known if not long else {**self.known, **long}
+                get = self.known if not long else ChainMap(self.known, long)
                 for p in parts:
                     out.append(b"".join(b"".join(map(get.__getitem__, x)) if isinstance(x, list) else x for x in p))
             at = end
@@ -293,7 +296,8 @@ class Coder:
 
     def _coded(self, lists: list[list[str]]) -> bytes:
         long = self.learn(lists)
-        return b"".join(self.known.get(w) or long[w] for words in lists for w in words)
+        get = ChainMap(self.known, long)
+        return b"".join(get[w] for words in lists for w in words)
 
     def decode(self, ids: bytes | None) -> str:
         tokens = np.frombuffer(ids or b"", "<u4").tolist()
