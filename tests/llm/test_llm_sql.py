@@ -15,8 +15,6 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no tables her
 @pytest.mark.parametrize("name", list(QUERIES))
 def test_same_as_sql(spark, name):
     query = QUERIES[name]
-    if name == "op8_substring_dedup":  # the spans are extra
-        query = lambda s, f: QUERIES[name](s, f).drop("removed")
     if name == "op7_exact_dedup":
         plan = query(spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
         assert not any(w in plan for w in ("Python", "Pandas", "Arrow"))

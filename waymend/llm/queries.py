@@ -68,7 +68,7 @@ def op7_exact_dedup(spark, folder):
 
 
 def op8_substring_dedup(spark, folder):
-    return substring_dedup.substring_dedup(table(spark, folder, "documents")).withColumn("removed", F.to_json("removed"))
+    return substring_dedup.substring_dedup(table(spark, folder, "documents")).drop("removed")
 
 
 def captures(spark, folder):
