@@ -295,6 +295,44 @@ def test_language_with_nothing_or_one_to_learn(spark):
     assert language.identify(docs(spark, []), one).count() == 0
 
 
+def test_language_of_long_texts_in_pieces(monkeypatch):
+    text = spoken(random.Random(3), "fr") + " " + "z" * 90 + " 12 " + spoken(random.Random(4), "de")
+    whole = [w for part in language.word_pieces(text) for w in part]
+    for size in (1, 7, 50):
+        monkeypatch.setattr(language, "PIECE", size)
+        assert [w for part in language.word_pieces(text) for w in part] == whole
+    assert list(language.word_pieces("")) == []
+
+
+def test_language_margins_and_decoding_against_loops():
+    rng = random.Random(8)
+    weights = np.random.default_rng(2).normal(size=(256, 3)).astype(np.float32)
+    text = spoken(rng, "de") + " " + spoken(rng, "es")
+    sums, count = np.zeros(3), 0
+    for word in [w for part in language.word_pieces(text) for w in part]:
+        for place in language.word_grams([word], 8)[0]:  # one word at a time
+            sums, count = sums + weights[place], count + 1
+    got = language.Margins(weights).of(text)
+    assert np.allclose(got, sums / count)
+    code = np.array([[1, 1, -1], [1, -1, 1], [-1, 1, 1]], np.int8)
+    trust = np.array([[0.9, 0.6, 0.7], [0.8, 0.8, 0.5], [0.6, 1.0, 0.9]])
+    losses = language.Model(["a", "b", "c"], code, weights, trust).losses(got[None])[0]
+    for lang in range(3):
+        want = sum(trust[lang, b] * np.log(1 + np.exp(-language.STEEP * got[b] * code[lang, b])) for b in range(3)) / trust[lang].sum()
+        assert abs(losses[lang] - want) < 1e-9
+
+
+def test_language_counts_against_loops(spark):
+    rows = [(i, spoken(random.Random(i), lang), lang) for i, lang in enumerate(["en", "de", "en", "fr"])]
+    want = {}
+    for _, text, lang in rows:
+        for word in [w for part in language.word_pieces(text) for w in part]:
+            for place in language.word_grams([word], 10)[0].tolist():
+                want[lang, place] = want.get((lang, place), 0) + 1
+    got = language.gram_counts(docs(spark, rows), "text", "lang", 10).collect()
+    assert {(r["lang"], r["place"]): r["n"] for r in got} == want
+
+
 def test_codewords_differ():
     for n in (2, 3, 6, 7, 40, 300):
         code = language.codewords(n)

@@ -14,7 +14,8 @@ scored in one pass without a shuffle.
 Defined cases: a text that is null or has no letter is ``und`` with score 0; rows without a
 language are not learned; when nothing is learned every text is ``und``; with a single
 language every text with letters gets it; ties go to the language that sorts first; repeated
-rows count and are scored each; extra columns are ignored or kept.
+rows count and are scored each; extra columns are ignored or kept; texts of any length are read
+in pieces cut between words, so that their length changes no n-gram.
 """
 
 from __future__ import annotations
@@ -78,12 +79,14 @@ def word_grams(words: list[str], bits: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def word_pieces(text: str) -> Iterator[list[str]]:
-    """Lower-cased words; a long text piece by piece."""
-    if len(text) <= PIECE:
-        yield LETTERS.findall(text.lower())
-        return
-    for start in range(0, len(text), PIECE):
-        yield LETTERS.findall(text[start : start + PIECE].lower())
+    """Lower-cased words; a long text piece by piece, cut between words."""
+    start = 0
+    while start < len(text):
+        end = start + PIECE
+        while end < len(text) and text[end].isalpha() and text[end - 1].isalpha():
+            end += 1  # never inside a word
+        yield LETTERS.findall(text[start:end].lower())
+        start = end
 
 
 @dataclass
@@ -261,11 +264,12 @@ def identify(docs: DataFrame, model: Model, text_col="text", keep: list[str] | N
         *base.schema.fields, T.StructField(names[0], T.StringType()), T.StructField(names[1], T.DoubleType()),
         T.StructField(names[2], T.BooleanType()),
     ])
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    # Plain lists and arrays: a broadcast names its classes by their module, which executors need not have.
+    shared = docs.sparkSession.sparkContext.broadcast((model.languages, model.code, model.weights.astype(np.float32), model.trust))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m: Model = shared.value
-        scorer = Margins(m.weights.astype(np.float32))
+        m = Model(*shared.value)
+        scorer = Margins(m.weights)
         for batch in batches:
             for start in range(0, batch.num_rows, 1024):
                 part = batch.slice(start, 1024)
