@@ -91,5 +91,38 @@ SELECT record_id, url, CAST(at_ AS BIGINT) AS "at", CASE WHEN etag = found_tag T
 FROM paired WHERE place = 1
 UNION ALL
 SELECT record_id, url, CAST(at_ AS BIGINT), NULL, 'not_a_capture', NULL FROM k WHERE NOT usable
+""",
+    "op11_collocations": r"""
+WITH piece_list AS (
+  SELECT doc_id, coalesce(lang, 'und') AS lang, string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]') AS p
+  FROM documents
+), pieces AS (SELECT lang, unnest(p) AS piece FROM piece_list),
+words AS (SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda w: w <> '') AS w FROM pieces),
+grams AS (
+  SELECT lang, 1 AS k, unnest(w) AS phrase FROM words
+  UNION ALL SELECT lang, 2, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) FROM words
+  UNION ALL SELECT lang, 3, unnest(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) FROM words
+), f AS (SELECT lang, k, phrase, count(*) AS a FROM grams GROUP BY lang, k, phrase HAVING count(*) >= 10),
+sizes AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM words GROUP BY lang),
+cuts AS (
+  SELECT c.lang, c.k AS length, c.phrase, c.a, cut.k AS k,
+    array_to_string(string_split(c.phrase, ' ')[:cut.k], ' ') AS first_part, array_to_string(string_split(c.phrase, ' ')[cut.k + 1:], ' ') AS last_part
+  FROM f c, (SELECT unnest([1, 2]) AS k) cut WHERE c.k > cut.k
+), scored AS (
+  SELECT c.lang, c.length, c.phrase, c.a, c.k, x.a AS l, y.a AS r,
+    CAST((CAST(1000000 AS HUGEINT) * c.a * c.a) // (CAST(x.a AS HUGEINT) * y.a) AS BIGINT) AS score
+  FROM cuts c JOIN f x ON x.lang = c.lang AND x.phrase = c.first_part JOIN f y ON y.lang = c.lang AND y.phrase = c.last_part
+), chosen AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+held AS (
+  SELECT lang, phrase, max(a) AS most FROM (
+    SELECT lang, array_to_string(string_split(phrase, ' ')[:2], ' ') AS phrase, a FROM f WHERE k = 3
+    UNION ALL SELECT lang, array_to_string(string_split(phrase, ' ')[2:], ' '), a FROM f WHERE k = 3
+  ) GROUP BY lang, phrase
+), ranked AS (
+  SELECT c.lang, row_number() OVER (PARTITION BY c.lang ORDER BY c.score DESC, c.a DESC, c.phrase) AS rank, c.phrase, c.a, c.l, c.r, c.score
+  FROM chosen c LEFT JOIN held h ON h.lang = c.lang AND h.phrase = c.phrase WHERE h.most IS NULL OR 100 * h.most < 50 * c.a
+)
+SELECT r.lang, r.rank, r.phrase, r.a, r.l, r.r, s.n, r.score FROM ranked r JOIN sizes s ON s.lang = r.lang WHERE r.rank <= 2000
 """,
 }

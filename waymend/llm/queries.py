@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waymend.llm import bpe, exact_dedup, jaccard_join, language, mixing, quality, substring_dedup, topk_search, url_filter, warc
+from waymend.llm import (
+    bpe, collocations, exact_dedup, jaccard_join, language, mixing, quality, substring_dedup, topk_search, url_filter, warc,
+)
 from waymend.llm.common import fold_remainder
 
 #: The contract's rules, and where the public vocabulary files lie.
@@ -109,10 +111,14 @@ def op10_language_id(spark, folder):
     )
 
 
+def op11_collocations(spark, folder):
+    return collocations.collocations(table(spark, folder, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_topk_search, op2_url_filter, op3_source_mixing, op4_bpe, op5_quality, op6_ngram_jaccard, op7_exact_dedup,
-        op8_substring_dedup, op9_warc_revisits, op10_language_id,
+        op8_substring_dedup, op9_warc_revisits, op10_language_id, op11_collocations,
     )
 }
