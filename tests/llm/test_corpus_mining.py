@@ -2,12 +2,14 @@
 
 import random
 import re
+import zlib
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from tests.llm.data import awkward, docs, words
-from waymend.llm import collocations
+from waymend.llm import collocations, spelling
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -84,3 +86,108 @@ def test_collocations_defined_cases(spark):
     rows = [(None, "a b", None)] * 10
     got = collocations.collocations(docs(spark, rows)).collect()
     assert [tuple(r) for r in got] == [("und", 1, "a b", 10, 10, 10, 20, 1_000_000)]
+
+
+# ------------------------------------------------------------------ spelling variants
+
+def near(a, b):
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b, strict=True)) == 1
+    if len(a) > len(b):
+        a, b = b, a
+    return len(b) == len(a) + 1 and any(b[:i] + b[i + 1 :] == a for i in range(len(b)))
+
+
+def plain_variants(rows, shortest=6, least=5, modulus=199, times=5):
+    counts = Counter()
+    for i, text in rows:
+        for run in re.findall("[A-Za-z\u00c0-\u00ff]+", text or ""):
+            run = run.translate(LOWER)
+            h = zlib.crc32(f"{'' if i is None else i}:{run}".encode())
+            if h % modulus == 0:
+                run = run[: h % len(run)] + run[h % len(run) + 1 :]
+            counts[run] += 1
+    words = {w: n for w, n in counts.items() if len(w) >= shortest and n >= least}
+    out, form = [], {}
+    for w, n in words.items():
+        found = sorted((-words[o], o) for o in words if near(w, o))
+        if found and -found[0][0] >= times * n:
+            form[w] = found[0][1]
+        out.append((w, n, len(found)))
+    full = []
+    for w, n, k in out:
+        root = w
+        while root in form:
+            root = form[root]
+        full.append((w, n, k, form.get(w), words.get(form.get(w)), root))
+    return sorted(full, key=repr)
+
+
+def misspelt(rng, count=160, alphabet="abcdeéÉ\u00d7ü"):
+    base = ["".join(rng.choice(alphabet) for _ in range(rng.randrange(4, 9))) for _ in range(12)] + ["aaaaaaa", "bbbbbbbb", "abcdefg", "gfedcba"]
+    rows = []
+    for i in range(count):
+        out = []
+        for _ in range(40):
+            w = rng.choice(base)
+            if rng.random() < 0.3:
+                k = rng.randrange(len(w))
+                w = rng.choice([w[:k] + w[k + 1 :], w[:k] + rng.choice("abcé") + w[k:], w[:k] + rng.choice("abcé") + w[k + 1 :]])
+            out.append(w.upper() if rng.random() < 0.1 else w)
+        rows.append((i * 37 % 1001, rng.choice([" ", "-", "漢", "1"]).join(out)))
+    return rows
+
+
+COLUMNS13 = ("word", "n", "n_near", "form", "form_n", "root")
+
+
+@pytest.mark.parametrize("cells", [{}, {"cell_words": 8, "sample_words": 200}])
+def test_spelling_variants(spark, cells):
+    rng = random.Random(11)
+    long = "y" * 400
+    rows = misspelt(rng) + awkward() + [(None, "yearly yearlx " * 9), (-5, f"{long} {long}z {long[1:]} " * 6)] + [(9, "repeated words")] * 7
+    got = spelling.variants(docs(spark, rows).repartition(4), modulus=7, times=2, **cells)
+    assert got.columns == list(COLUMNS13)
+    want = plain_variants(rows, modulus=7, times=2)
+    assert sorted((tuple(r) for r in got.collect()), key=repr) == want
+    assert max(w[2] for w in want) > 3 and any(w[3] and w[5] != w[3] for w in want)
+
+
+def test_spelling_of_long_texts_in_parts(spark, monkeypatch):
+    rows = misspelt(random.Random(12), 20)
+    monkeypatch.setattr(spelling, "PART", 30)
+    monkeypatch.setattr(spelling, "REMEMBERED", 20)
+    monkeypatch.setattr(spelling, "LEAF", 2)
+    monkeypatch.setattr(spelling, "MOST_PAIRS", 5)
+    got = spelling.variants(docs(spark, rows))
+    assert sorted((tuple(r) for r in got.collect()), key=repr) == plain_variants(rows)
+
+
+def test_tree_search_prunes_boxes_and_loses_nothing():
+    rng = np.random.default_rng(6)
+    points = rng.integers(0, 4, (400, spelling.LETTERS)).astype(np.uint8)
+    points[:, 8:] = 0
+    tree = spelling.Tree(points, 5)
+    assert sorted(np.concatenate(tree.leaves).tolist()) == list(range(400))
+    at = spelling.leaf_of(tree.nodes, points)
+    assert all(at[i] == leaf for leaf, rows in enumerate(tree.leaves) for i in rows)
+    for up, down in ((1, 1), (1, 0)):
+        pairs = 0
+        seen = {leaf: set(rows.tolist()) for leaf, rows in spelling.reached(tree.nodes, points, up, down)}
+        for q in range(400):
+            change = points.astype(int) - points[q]
+            for p in np.flatnonzero((np.maximum(change, 0).sum(1) <= up) & (np.maximum(-change, 0).sum(1) <= down)):
+                assert q in seen[at[p]]
+            pairs += sum(q in s for s in seen.values())
+        assert pairs < 400 * len(tree.leaves) / 2  # boxes are pruned
+
+
+def test_roots_follow_long_chains(spark):
+    links = [(f"w{i}", f"w{i + 1}") for i in range(37)] + [("x", "y")]
+    got = spelling.roots(spark.createDataFrame(links, "word string, form string")).collect()
+    assert {r["word"]: r["root"] for r in got} == {**{f"w{i}": "w37" for i in range(37)}, "x": "y"}
+
+
+def test_spelling_defined_cases(spark):
+    assert spelling.variants(docs(spark, [])).count() == 0
+    assert spelling.variants(docs(spark, [(1, None), (2, ""), (3, "12 !"), (4, "seldom")])).count() == 0

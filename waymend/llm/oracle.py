@@ -124,5 +124,38 @@ held AS (
   FROM chosen c LEFT JOIN held h ON h.lang = c.lang AND h.phrase = c.phrase WHERE h.most IS NULL OR 100 * h.most < 50 * c.a
 )
 SELECT r.lang, r.rank, r.phrase, r.a, r.l, r.r, s.n, r.score FROM ranked r JOIN sizes s ON s.lang = r.lang WHERE r.rank <= 2000
+""",
+    "op13_spelling_variants": r"""
+WITH RECURSIVE t8 AS (  -- the table of crc32, by its rule
+  SELECT list_transform(range(256), lambda b: list_reduce([b] || [0, 0, 0, 0, 0, 0, 0, 0], lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t
+), runs AS (
+  SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-z\x{00C0}-\x{00FF}]+')) AS run FROM documents WHERE text IS NOT NULL
+), lowered AS (SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run FROM runs WHERE length(run) >= 6),
+counted AS (SELECT doc_id, run, count(*) AS c FROM lowered GROUP BY doc_id, run),
+hashed AS (
+  SELECT run, c, xor(list_reduce([4294967295] || flatten(list_transform(string_split(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run, ''),
+    lambda x: CASE WHEN unicode(x) < 128 THEN [CAST(unicode(x) AS BIGINT)] ELSE [192 + (unicode(x) >> 6), 128 + (unicode(x) & 63)] END)),
+    lambda h, b: xor(h >> 8, t[CAST(xor(h & 255, b) AS BIGINT) + 1])), 4294967295) AS h
+  FROM counted, t8
+), words AS (
+  SELECT CASE WHEN h % 199 = 0 THEN left(run, CAST(h % length(run) AS BIGINT)) || substr(run, CAST(h % length(run) AS BIGINT) + 2) ELSE run END AS word, c FROM hashed
+), v AS (SELECT word, CAST(sum(c) AS BIGINT) AS n FROM words WHERE length(word) >= 6 GROUP BY word HAVING sum(c) >= 5),
+cuts AS (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM v),
+less AS (SELECT word, n, i, left(word, i - 1) || substr(word, i + 1) AS rest FROM cuts),
+near AS (
+  SELECT DISTINCT a.word, b.word AS other, b.n AS other_n FROM less a JOIN less b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM v a JOIN less b ON a.word = b.rest
+  UNION SELECT b.word, a.word, a.n FROM v a JOIN less b ON a.word = b.rest
+), best AS (
+  SELECT word, count(*) OVER (PARTITION BY word) AS n_near, other, other_n FROM near
+  QUALIFY row_number() OVER (PARTITION BY word ORDER BY other_n DESC, other) = 1
+), formed AS (
+  SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN other_n >= 5 * v.n THEN other END AS form, CASE WHEN other_n >= 5 * v.n THEN other_n END AS form_n
+  FROM v LEFT JOIN best USING (word)
+), chain(word, last) AS (
+  SELECT word, word FROM formed
+  UNION ALL SELECT chain.word, f.form FROM chain JOIN formed f ON f.word = chain.last WHERE f.form IS NOT NULL
+), ends AS (SELECT chain.word, last AS root FROM chain JOIN formed f ON f.word = chain.last WHERE f.form IS NULL)
+SELECT f.word, f.n, f.n_near, f.form, f.form_n, e.root FROM formed f JOIN ends e ON e.word = f.word
 """,
 }
