@@ -1,5 +1,6 @@
 """Collocations, spelling variants and byte-wise dedup against plain versions."""
 
+import hashlib
 import random
 import re
 import zlib
@@ -9,7 +10,7 @@ import numpy as np
 import pytest
 
 from tests.llm.data import awkward, docs, words
-from waymend.llm import collocations, spelling
+from waymend.llm import byte_dedup, collocations, spelling
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -191,3 +192,78 @@ def test_roots_follow_long_chains(spark):
 def test_spelling_defined_cases(spark):
     assert spelling.variants(docs(spark, [])).count() == 0
     assert spelling.variants(docs(spark, [(1, None), (2, ""), (3, "12 !"), (4, "seldom")])).count() == 0
+
+
+# ------------------------------------------------------------------ byte-wise dedup
+
+def plain_bytes(rows, width):
+    raw = [(i, (t or "").encode()) for i, t in rows]
+    starts = Counter(b[k : k + width] for _, b in raw for k in range(len(b) - width + 1))
+    out = []
+    for i, b in raw:
+        gone = np.zeros(len(b) + 1, bool)
+        for k in range(len(b) - width + 1):
+            if starts[b[k : k + width]] > 1:
+                gone[k : k + width] = True
+        spans = np.flatnonzero(np.diff(np.concatenate([[0], gone.astype(int)]))).reshape(-1, 2).tolist()
+        kept = bytes(x for x, g in zip(b, gone, strict=False) if not g)
+        out.append((i, len(b), len(b) - len(kept), len(spans), hashlib.sha256(kept).hexdigest(), spans))
+    return sorted(out, key=repr)
+
+
+COLUMNS12 = ("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "removed")
+
+
+def passages(rng, count=60):
+    """Texts that share passages, end in them, repeat themselves, or differ by single letters."""
+    shared = [words(rng, n, 500) for n in (12, 30, 80)] + ["ß漢" * 40, "ab" * 90, "x" * 150]
+    rows = []
+    for i in range(count):
+        parts = [words(rng, rng.randrange(25), 900), rng.choice(shared), words(rng, rng.randrange(25), 900), rng.choice(shared)]
+        text = rng.choice(["", " "]).join(parts[: rng.randrange(1, 5)])
+        if rng.random() < 0.5 and text:
+            k = rng.randrange(len(text))
+            text = text[:k] + rng.choice(["", "é", "zz"]) + text[k + 1 :]
+        rows.append((i * 31 % 997, text))
+    return rows
+
+
+@pytest.mark.parametrize("sizes", [{}, {"batch_chars": 700, "bucket_entries": 20}])
+@pytest.mark.parametrize("width, core", [(64, 40), (50, 1), (30, 30), (7, 256)])
+def test_byte_dedup(spark, monkeypatch, width, core, sizes):
+    if sizes:
+        monkeypatch.setattr(byte_dedup, "SLICE", 300)
+    rng = random.Random(width)
+    rows = passages(rng) + awkward() + [(None, "once more " * 9), (None, "once more " * 9), (5, None), (5, "")]
+    got = byte_dedup.byte_dedup(docs(spark, rows).repartition(3), width=width, core=core, **sizes)
+    assert got.columns == list(COLUMNS12)
+    want = plain_bytes(rows, width)
+    assert sorted((tuple(r) for r in got.collect()), key=repr) == want
+    assert sum(w[2] for w in want) > 2000
+
+
+def test_byte_dedup_of_a_passage_that_most_texts_share(spark):
+    rng = random.Random(1)
+    passage = words(rng, 60, 5000)
+    rows = [(i, words(rng, 20, 5000) + " " + passage + " " + words(rng, 20, 5000)) for i in range(150)] + [(1000 + i, passage) for i in range(40)]
+    got = byte_dedup.byte_dedup(docs(spark, rows), width=100, core=64, batch_chars=9_000, bucket_entries=300)
+    assert sorted((tuple(r) for r in got.collect()), key=repr) == plain_bytes(rows, 100)
+
+
+def test_byte_dedup_defined_cases(spark):
+    assert byte_dedup.byte_dedup(docs(spark, [])).count() == 0
+    text = "".join(chr(0x100 + i % 500) for i in range(200))  # 400 bytes
+    got = byte_dedup.byte_dedup(docs(spark, [(1, text), (1, text), (2, text[:-1]), (3, None)])).collect()
+    assert sorted(tuple(r)[:4] for r in got) == [(1, 400, 400, 1), (1, 400, 400, 1), (2, 398, 0, 0), (3, 0, 0, 0)]
+
+
+def test_slices_and_runs_of_windows():
+    keys = np.random.default_rng(3).integers(0, 1 << 62, 500, dtype=np.uint64)
+    for width in (1, 7, 64, 500):
+        want = [keys[i : i + width].min() for i in range(500 - width + 1)]
+        assert byte_dedup.sliding_least(keys, width).tolist() == want
+    texts = ["one text of some length, " * 9, None, "", "another one " * 20]
+    batch = byte_dedup.Batch(texts, 50, 20)
+    covered = [s.base + i for s in batch.slices() for i in byte_dedup.windows_of(s.first, s.last).tolist()]
+    first, last = len(texts[0]), len(texts[0]) + len(texts[3])
+    assert covered == [*range(first - 49), *range(first, last - 49)]

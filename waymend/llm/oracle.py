@@ -124,6 +124,23 @@ held AS (
   FROM chosen c LEFT JOIN held h ON h.lang = c.lang AND h.phrase = c.phrase WHERE h.most IS NULL OR 100 * h.most < 50 * c.a
 )
 SELECT r.lang, r.rank, r.phrase, r.a, r.l, r.r, s.n, r.score FROM ranked r JOIN sizes s ON s.lang = r.lang WHERE r.rank <= 2000
+""",
+    "op12_byte_dedup": r"""
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+starts AS (SELECT doc_id, unnest(range(0, length(h) // 2 - 399)) AS i, h FROM d WHERE length(h) >= 800),
+strings AS (SELECT doc_id, i, md5(substr(h, 2 * i + 1, 800)) AS s FROM starts),
+again AS (SELECT s FROM strings GROUP BY s HAVING count(*) > 1),
+gone AS (SELECT doc_id, i FROM strings JOIN again USING (s)),
+marked AS (SELECT doc_id, i, CASE WHEN i <= lag(i) OVER w + 400 THEN 0 ELSE 1 END AS new FROM gone WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+numbered AS (SELECT doc_id, i, sum(new) OVER (PARTITION BY doc_id ORDER BY i) AS span FROM marked),
+spans AS (SELECT doc_id, span, min(i) AS a, max(i) + 400 AS b FROM numbered GROUP BY doc_id, span),
+listed AS (SELECT doc_id, list(a ORDER BY a) AS a, list(b ORDER BY a) AS b FROM spans GROUP BY doc_id),
+cut AS (SELECT d.doc_id, h, coalesce(a, []) AS a, coalesce(b, []) AS b FROM d LEFT JOIN listed l ON l.doc_id = d.doc_id)
+SELECT doc_id, CAST(length(h) // 2 AS BIGINT) AS n_bytes,
+  CAST(coalesce(list_sum(b) - list_sum(a), 0) AS BIGINT) AS n_removed, CAST(len(a) AS BIGINT) AS n_spans,
+  sha256(unhex(array_to_string(list_transform(range(0, len(a) + 1), lambda k:
+    substr(h, 2 * (CASE WHEN k = 0 THEN 0 ELSE b[k] END) + 1, CASE WHEN k = len(a) THEN length(h) ELSE 2 * (a[k + 1] - CASE WHEN k = 0 THEN 0 ELSE b[k] END) END)), ''))) AS kept_sha256
+FROM cut
 """,
     "op13_spelling_variants": r"""
 WITH RECURSIVE t8 AS (  -- the table of crc32, by its rule

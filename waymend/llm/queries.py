@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from waymend.llm import (
-    bpe, collocations, exact_dedup, jaccard_join, language, mixing, quality, spelling, substring_dedup, topk_search,
+    bpe, byte_dedup, collocations, exact_dedup, jaccard_join, language, mixing, quality, spelling, substring_dedup, topk_search,
     url_filter, warc,
 )
 from waymend.llm.common import fold_remainder
@@ -116,6 +116,10 @@ def op11_collocations(spark, folder):
     return collocations.collocations(table(spark, folder, "documents"))
 
 
+def op12_byte_dedup(spark, folder):
+    return byte_dedup.byte_dedup(table(spark, folder, "documents")).drop("removed")
+
+
 def op13_spelling_variants(spark, folder):
     return spelling.variants(table(spark, folder, "documents"))
 
@@ -124,6 +128,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_topk_search, op2_url_filter, op3_source_mixing, op4_bpe, op5_quality, op6_ngram_jaccard, op7_exact_dedup,
-        op8_substring_dedup, op9_warc_revisits, op10_language_id, op11_collocations, op13_spelling_variants,
+        op8_substring_dedup, op9_warc_revisits, op10_language_id, op11_collocations, op12_byte_dedup,
+        op13_spelling_variants,
     )
 }
