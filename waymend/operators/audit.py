@@ -4,14 +4,16 @@ Input: the role columns of ``waymend.roles.BASE`` (only the empty text is null)
 ``row_id``. Every rule yields rows (row_id, train_no, category, detail, severity).
 """
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from waymend.functions.text import (
     cell_text, codes_are_aliases, has_encoding_issue, is_blank, is_clock, to_number,
 )
-from waymend.operators.keyed import rows_of_repeated_keys
-from waymend.operators.ordered import HOT_ROWS, Ordered, position, with_ordered
+from waymend.operators.keyed import join_on_keys, repeated_rows, rows_of_repeated_keys
+from waymend.operators.ordered import HOT_ROWS, Ordered, hot_keys, position, with_ordered
 from waymend.roles import BASE, BASE_HEADERS
 
 REQUIRED = ["train_no", "train_name", "seq", "station_code", "station_name"]
@@ -41,9 +43,12 @@ def _flag(rule, category, severity, *detail):
 def _exploded(df: DataFrame, rules: list) -> DataFrame:
     """All rules in one pass over the rows."""
     hits = F.filter(F.array(*rules), lambda r: r.isNotNull())
-    return df.select("row_id", "train_no", F.explode(hits).alias("_f")).select(
+    flags = df.select("row_id", "train_no", F.explode(hits).alias("_f")).select(
         "row_id", "train_no", "_f.category", "_f.detail", "_f.severity"
     )
+    # A train number that is missing is reported as the empty text.
+    no_number = (F.col("category") == "missing_required_value") & F.col("detail").endswith(BASE_HEADERS["train_no"])
+    return flags.withColumn("train_no", F.when(no_number, F.lit("")).otherwise(F.col("train_no")))
 
 
 def code_format_rule():
@@ -54,9 +59,9 @@ def malformed_train_rule():
     return F.coalesce(~F.col("train_no").rlike(r"^\d+$"), F.lit(True))
 
 
-def row_flags(df: DataFrame) -> DataFrame:
+def row_rules() -> list:
     """Rules that look at one row only."""
-    rules = [
+    return [
         _flag(is_blank(c), "missing_required_value", CRITICAL, f"no value in required column {BASE_HEADERS[c]}")
         for c in REQUIRED
     ] + [
@@ -76,12 +81,10 @@ def row_flags(df: DataFrame) -> DataFrame:
             "name ", shown("station_name"), " has control, stray blank or non-ASCII characters",
         ),
     ]
-    missing_number = (F.col("category") == "missing_required_value") & F.col("detail").endswith(
-        BASE_HEADERS["train_no"]
-    )
-    return _exploded(df, rules).withColumn(
-        "train_no", F.when(missing_number, F.lit("")).otherwise(F.col("train_no"))
-    )
+
+
+def row_flags(df: DataFrame) -> DataFrame:
+    return _exploded(df, row_rules())
 
 
 def _constant_flags(rows: DataFrame, category, severity, *detail) -> DataFrame:
@@ -94,43 +97,65 @@ def _constant_flags(rows: DataFrame, category, severity, *detail) -> DataFrame:
     )
 
 
+# What the duplicate rules say; used by the pass over trains and by the rules on their own.
+REPEATED_ROW = ["duplicate_exact_row", CRITICAL, "all fields equal another row"]
+
+
+def repeated_seq():
+    return [
+        "duplicate_train_seq", CRITICAL, "seq ", shown("seq"), " repeats on train ", shown("train_no")
+    ]
+
+
+def repeated_stop():
+    return [
+        "duplicate_stop_on_train", WARNING,
+        "station ", shown("station_code"), " repeats on train ", shown("train_no"), "; a loop is possible",
+    ]
+
+
 def duplicate_row_flags(df: DataFrame) -> DataFrame:
-    return _constant_flags(
-        rows_of_repeated_keys(df, BASE), "duplicate_exact_row", CRITICAL, "all fields equal another row"
-    )
+    """Only rows whose hash repeats are compared in full, so unique rows never travel."""
+    return _constant_flags(repeated_rows(df, BASE), *REPEATED_ROW)
 
 
 def duplicate_seq_flags(df: DataFrame) -> DataFrame:
     rows = rows_of_repeated_keys(df.select("row_id", "train_no", "seq"), ["train_no", "seq"])
-    return _constant_flags(
-        rows, "duplicate_train_seq", CRITICAL, "seq ", shown("seq"), " repeats on train ", shown("train_no")
-    )
+    return _constant_flags(rows, *repeated_seq())
 
 
 def duplicate_stop_flags(df: DataFrame) -> DataFrame:
     rows = rows_of_repeated_keys(
         df.select("row_id", "train_no", "station_code"), ["train_no", "station_code"]
     )
-    return _constant_flags(
-        rows, "duplicate_stop_on_train", WARNING,
-        "station ", shown("station_code"), " repeats on train ", shown("train_no"), "; a loop is possible",
-    )
+    return _constant_flags(rows, *repeated_stop())
+
+
+def seq_order():
+    """``seq_num`` and, where a double cannot tell whole numbers apart, ``seq_long``."""
+    text = cell_text("seq")
+    digits = F.regexp_replace(text, "^0+(?=.)", "")
+    long = text.rlike(r"^\d{16,}\z")
+    return [
+        to_number("seq").alias("seq_num"),
+        F.when(long, F.struct(F.length(digits).alias("n"), digits.alias("digits"))).alias("seq_long"),
+    ]
 
 
 def ordered_stops(df: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Rows with a train number plus what the ordered rules need to know.
 
-    Stops are ordered by numeric SEQ (nulls last), equal ones by ``row_id``.
+    Stops are ordered by numeric SEQ of any length (nulls last), equal ones by ``row_id``.
     """
     stops = df.where(F.col("train_no").isNotNull()).select(
         "row_id", "train_no", "seq", "station_code", "arrival", "departure", "distance",
         "source_code", "dest_code",
-        to_number("seq").alias("seq_num"),
+        *seq_order(),
         to_number("distance").alias("dist_num"),
     )
     seen = F.struct("seq", "distance", "dist_num")
     return with_ordered(
-        stops, ["train_no"], ["seq_num", "row_id"],
+        stops, ["train_no"], ["seq_num", "seq_long", "row_id"],
         {
             "pos": position(),
             "before": Ordered("previous", seen),
@@ -144,12 +169,11 @@ def ordered_stops(df: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     )
 
 
-def ordered_flags(df: DataFrame, hot_rows: int = HOT_ROWS, alias_pairs=None) -> DataFrame:
-    """Rules along the stops of a train, except the numbering rule.
+def ordered_rules(alias_pairs=None) -> list:
+    """Rules along the stops of a train, except the numbering rule; for the columns of ``ordered_stops``.
 
     A train with one row gets ``single_stop_train`` and nothing else.
     """
-    s = ordered_stops(df, hot_rows)
     many = F.col("stops") > 1
     first, last = (F.col("pos") == 1) & many, (F.col("pos") == F.col("stops")) & many
     middle = (F.col("pos") > 1) & (F.col("pos") < F.col("stops"))
@@ -177,7 +201,7 @@ def ordered_flags(df: DataFrame, hot_rows: int = HOT_ROWS, alias_pairs=None) ->
             _flag(differs & alias, "known_code_alias_inconsistency", INFO, *end_detail(label, declared)),
         ]
 
-    rules = [
+    return [
         _flag(F.col("stops") == 1, "single_stop_train", CRITICAL, "the train has one stop only"),
         _flag(
             many & dist.isNotNull() & (dist < before), "distance_not_monotonic", CRITICAL,
@@ -211,14 +235,30 @@ def ordered_flags(df: DataFrame, hot_rows: int = HOT_ROWS, alias_pairs=None) ->
         *end_rules(first, "source", "src_low", "source_station_mismatch"),
         *end_rules(last, "destination", "dst_low", "destination_station_mismatch"),
     ]
-    return _exploded(s, rules)
 
 
-def whole_number(c):
-    """Whole part of a number text as decimal(38,0): exact for all-digit texts of up to 38 digits."""
+def ordered_flags(df: DataFrame, hot_rows: int = HOT_ROWS, alias_pairs=None) -> DataFrame:
+    return _exploded(ordered_stops(df, hot_rows), ordered_rules(alias_pairs))
+
+
+def whole_text(c):
+    """A whole number of any length as text: a minus if it has one, no leading zeros. Numbers in
+    another notation give their whole part, up to 38 digits; other texts are null."""
     text = cell_text(c)
-    exact = F.when(text.rlike(r"^[+-]?\d+\z"), text.try_cast("decimal(38,0)"))
-    return F.coalesce(exact, F.when(text.rlike(r"[.eE]"), to_number(c).try_cast("decimal(38,0)")))
+    digits = F.regexp_replace(text, r"^[+-]?0*(?=\d)", "")
+    plain = F.when(text.startswith("-") & (digits != "0"), F.concat(F.lit("-"), digits)).otherwise(digits)
+    other = F.when(text.rlike(r"[.eE]"), to_number(c).try_cast("decimal(38,0)").cast("string"))
+    return F.when(text.rlike(r"^[+-]?\d+\z"), plain).otherwise(other)
+
+
+def number_place(whole):
+    """Sort key of ``whole_text``: sign, length, digits (turned round below zero)."""
+    below = whole.startswith("-")
+    sign = F.when(below, -1).otherwise(1)
+    digits = F.when(below, F.translate(F.substring(whole, 2, 1 << 30), "0123456789", "9876543210")).otherwise(whole)
+    return F.when(whole.isNotNull(), F.struct(
+        sign.alias("sign"), (sign * F.length(digits)).alias("n"), digits.alias("digits"), whole.alias("whole")
+    ))
 
 
 def seq_values(df: DataFrame) -> DataFrame:
@@ -228,41 +268,46 @@ def seq_values(df: DataFrame) -> DataFrame:
     )
 
 
+def numbering_fails():
+    """For the columns stops, different, low, high of a train: its whole numbers are not exactly 1..n."""
+    last = F.col("stops").cast("string")
+    whole = (F.col("different") == F.col("stops")) & (F.col("low.whole") == "1") & (F.col("high.whole") == last)
+    return (F.col("stops") > 1) & ~F.coalesce(whole, F.lit(False))
+
+
+def broken_numbering():
+    return [
+        "seq_discontinuity", CRITICAL,
+        F.col("different").cast("string"), " different seq values ", shown("low.whole"), "..", shown("high.whole"),
+        " is not 1..", F.col("stops").cast("string"),
+    ]
+
+
 def seq_discontinuities(df: DataFrame) -> DataFrame:
     """Trains whose whole-number SEQ values are not exactly 1..n, one row each.
 
     n values within 1..n, all different, are 1..n. ``seq_values`` lists the values.
     """
-    numbered = seq_values(df).withColumn("seq_int", whole_number("seq"))
-    per_number = numbered.groupBy("train_no", "seq_int").agg(
+    numbered = seq_values(df).withColumn("whole", whole_text("seq"))
+    per_number = numbered.groupBy("train_no", "whole").agg(
         F.count("*").alias("n"), F.min(F.struct("seq_num", "row_id")).alias("first")
     )
-    known = F.col("seq_int").isNotNull()
+    known = F.col("whole").isNotNull()
     per_train = per_number.groupBy("train_no").agg(
         F.sum("n").alias("stops"),
-        F.count("seq_int").alias("different"),
-        F.min("seq_int").alias("low"),
-        F.max("seq_int").alias("high"),
+        F.count("whole").alias("different"),
+        F.min(number_place(F.col("whole"))).alias("low"),
+        F.max(number_place(F.col("whole"))).alias("high"),
         F.coalesce(
             F.min(F.when(known, F.col("first"))).getField("row_id"),
             F.min(F.when(~known, F.col("first"))).getField("row_id"),
         ).alias("row_id"),
     )
-    whole = (F.col("different") == F.col("stops")) & (F.col("low") == 1) & (F.col("high") == F.col("stops"))
-    return per_train.where((F.col("stops") > 1) & ~F.coalesce(whole, F.lit(False)))
+    return per_train.where(numbering_fails())
 
 
 def seq_discontinuity_flags(df: DataFrame) -> DataFrame:
-    return seq_discontinuities(df).select(
-        "row_id", "train_no",
-        F.lit("seq_discontinuity").alias("category"),
-        F.concat(
-            F.col("different").cast("string"), F.lit(" different seq values "),
-            shown(F.col("low").cast("string")), F.lit(".."), shown(F.col("high").cast("string")),
-            F.lit(" is not 1.."), F.col("stops").cast("string"),
-        ).alias("detail"),
-        F.lit(CRITICAL).alias("severity"),
-    )
+    return _constant_flags(seq_discontinuities(df), *broken_numbering())
 
 
 def code_name_pairs(df: DataFrame) -> DataFrame:
@@ -280,37 +325,93 @@ def ambiguous(pairs: DataFrame, key: str) -> DataFrame:
     ).where("n > 1")
 
 
-def code_name_flags(df: DataFrame) -> DataFrame:
-    """Every row of a code that goes with several names; ``code_name_pairs`` lists them."""
+def code_name_texts(df: DataFrame) -> DataFrame:
+    """station_code, ``names_text``: what to say about a code that goes with several names."""
     detail = F.concat(
         F.lit("code "), F.col("station_code"), F.lit(" goes with "), F.col("n").cast("string"),
         F.lit(" names: "), F.col("low"), F.lit(" .. "), F.col("high"),
     )
-    texts = ambiguous(code_name_pairs(df), "station_code").select("station_code", detail.alias("detail"))
+    return ambiguous(code_name_pairs(df), "station_code").select("station_code", detail.alias("names_text"))
+
+
+SEVERAL_NAMES = ["station_code_name_inconsistency", WARNING]
+
+
+def code_name_flags(df: DataFrame) -> DataFrame:
+    """Every row of a code that goes with several names; ``code_name_pairs`` lists them."""
     rows = df.where("station_name is not null").select("row_id", "train_no", "station_code")
-    return rows.join(texts, "station_code").select(
-        "row_id", "train_no",
-        F.lit("station_code_name_inconsistency").alias("category"),
-        "detail",
-        F.lit(WARNING).alias("severity"),
-    )
+    return _constant_flags(rows.join(code_name_texts(df), "station_code"), *SEVERAL_NAMES, F.col("names_text"))
 
 
-def audit(df: DataFrame, hot_rows: int = HOT_ROWS, alias_pairs=None) -> DataFrame:
-    """All flags of all rules."""
+def _by_rule(df: DataFrame, hot_rows: int, alias_pairs) -> DataFrame:
+    """The rules along and across trains one by one: the way for trains of more than ``hot_rows`` rows."""
     parts = [
-        row_flags(df),
-        duplicate_row_flags(df),
-        duplicate_seq_flags(df),
-        duplicate_stop_flags(df),
-        ordered_flags(df, hot_rows, alias_pairs),
-        seq_discontinuity_flags(df),
-        code_name_flags(df),
+        row_flags(df), duplicate_row_flags(df), duplicate_seq_flags(df), duplicate_stop_flags(df),
+        ordered_flags(df, hot_rows, alias_pairs), seq_discontinuity_flags(df),
     ]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
+def _train_pass(df: DataFrame, texts: DataFrame, alias_pairs) -> DataFrame:
+    """All rules from one shuffle by train: every window below is of a train or of a part of one."""
+    rows = df.select(
+        "row_id", *BASE, *seq_order(), to_number("distance").alias("dist_num"), whole_text("seq").alias("whole"),
+        F.xxhash64(*BASE).alias("digest"),
+    ).join(texts, "station_code", "left")
+    train = Window.partitionBy("train_no")
+    along = train.orderBy(*[F.col(c).asc_nulls_last() for c in ("seq_num", "seq_long", "row_id")])
+    several = Window.partitionBy("train_no", "whole", "seq")
+    whole, one = F.col("whole"), F.lit(1)
+
+    def least_and_most(c):
+        return F.min(c).over(train), F.max(c).over(train)
+
+    src_low, src_high = least_and_most("source_code")
+    dst_low, dst_high = least_and_most("dest_code")
+    low, high = least_and_most(number_place(whole))
+    first = F.struct("seq_num", "row_id")
+    s = rows.withColumns({
+        "pos": F.row_number().over(along).cast("long"),
+        "before": F.lag(F.struct("seq", "distance", "dist_num")).over(along),
+        # Rows without a train number are no train.
+        "stops": F.when(F.col("train_no").isNotNull(), F.count(one).over(train)),
+        "src_low": src_low, "src_high": src_high, "dst_low": dst_low, "dst_high": dst_high, "low": low, "high": high,
+        "numbered": F.min(F.when(whole.isNotNull(), first)).over(train), "earliest": F.min(first).over(train),
+    }).withColumns({
+        "same_seq": F.count(one).over(several),
+        "new_number": F.row_number().over(Window.partitionBy("train_no", "whole").orderBy("seq")) == 1,
+    }).withColumn("different", F.count(F.when(whole.isNotNull() & F.col("new_number"), one)).over(train)).withColumns({
+        "same_stop": F.count(one).over(Window.partitionBy("train_no", "station_code")),
+        # The digest only makes the sort cheap; all fields have to agree.
+        "same_row": F.count(one).over(Window.partitionBy("train_no", "digest", *[c for c in BASE if c != "train_no"])),
+    })
+    spokesman = F.coalesce("numbered.row_id", "earliest.row_id") == F.col("row_id")
+    across = [
+        _flag(F.col("same_row") > 1, *REPEATED_ROW),
+        _flag(F.col("same_seq") > 1, *repeated_seq()),
+        _flag(F.col("same_stop") > 1, *repeated_stop()),
+        _flag(spokesman & numbering_fails(), *broken_numbering()),
+        _flag(F.col("names_text").isNotNull() & F.col("station_name").isNotNull(), *SEVERAL_NAMES, F.col("names_text")),
+    ]
+    return _exploded(s, row_rules() + ordered_rules(alias_pairs) + across)
+
+
+def audit(df: DataFrame, hot_rows: int = HOT_ROWS, alias_pairs=None) -> DataFrame:
+    """All flags of all rules.
+
+    Trains of up to ``hot_rows`` rows take one pass with a single shuffle; larger ones (and the
+    rows without a number, if there are as many) go rule by rule, each of which can cut them.
+    """
+    hot, total = hot_keys(df, ["train_no"], hot_rows)
+    texts = code_name_texts(df)
+    if not total:
+        return _train_pass(df, texts, alias_pairs)
+    large = join_on_keys(df, hot, ["train_no"], "left_semi")
+    named = _constant_flags(
+        large.where("station_name is not null").join(texts, "station_code"), *SEVERAL_NAMES, F.col("names_text")
+    )
+    small = _train_pass(join_on_keys(df, hot, ["train_no"], "left_anti"), texts, alias_pairs)
+    return small.unionByName(_by_rule(large, hot_rows, alias_pairs)).unionByName(named)
 
 
 # Summary measures that add up several categories.
@@ -332,47 +433,61 @@ def flag_counts(flags: DataFrame) -> DataFrame:
     return flags.groupBy("category", "severity").agg(F.count("*").alias("n"))
 
 
-def audit_summary(df: DataFrame, flags: DataFrame) -> DataFrame:
-    """(measure, value) rows; categories and severities as flags_by_...:name."""
+ROLLED_UP = [
+    "total_rows_analyzed", "total_unique_trains", "total_unique_station_codes", "station_codes_bad_format",
+    "station_codes_with_inconsistent_names", "station_names_with_inconsistent_codes",
+]
 
-    def measure(name, value):
-        return F.struct(name.alias("measure"), value.cast("long").alias("value"))
 
-    n = F.col("n")
-    always = ["total_flags_raised", *SUMMED_CATEGORIES]
-    of_flags = [
-        measure(F.lit("total_flags_raised"), n),
-        measure(F.concat(F.lit("flags_by_category:"), F.col("category")), n),
-        measure(F.concat(F.lit("flags_by_severity:"), F.col("severity")), n),
-    ] + [
-        measure(F.lit(name), F.when(F.col("category").isin(categories), n).otherwise(0))
-        for name, categories in SUMMED_CATEGORIES.items()
-    ]
-    zeros = df.sparkSession.createDataFrame([(m, 0) for m in always], "measure string, value long")
-    from_flags = (
-        flag_counts(flags).select(F.explode(F.array(*of_flags)).alias("m")).select("m.*")
-        .unionByName(zeros)
-        .groupBy("measure").agg(F.sum("value").alias("value"))
-    )
+def _measured(rows: DataFrame, values: list) -> DataFrame:
+    """(measure, value) for every (name, value) pair whose value is not null."""
+    pairs = F.array(*[
+        F.struct((F.lit(n) if isinstance(n, str) else n).alias("measure"), v.cast("long").alias("value")) for n, v in values
+    ])
+    return rows.select(F.explode(pairs).alias("m")).select("m.*").where("value is not null")
 
-    def counted(rows, name):
-        return rows.agg(F.count("*").alias("value")).select(F.lit(name).alias("measure"), "value")
 
-    def distinct(rows, column, name):
-        return rows.agg(F.count_distinct(column).alias("value")).select(
-            F.lit(name).alias("measure"), "value"
+def audit_summary(df: DataFrame, flags: DataFrame) -> DataFrame:
+    """(measure, value) rows; categories and severities as flags_by_...:name.
+
+    Flags: one aggregate over the grouping sets category, severity and all. Rows: every row is a row
+    of its train, of its code and of its name; keys are rolled up first, then the kinds of key.
+    """
+    n, category, severity = F.col("n"), F.col("category"), F.col("severity")
+    sets = flags.groupingSets([["category"], ["severity"], []], "category", "severity").agg(F.count(F.lit(1)).alias("n"))
+    of_flags = _measured(sets, [
+        ("total_flags_raised", F.when(category.isNull() & severity.isNull(), n)),
+        (F.concat(F.lit("flags_by_category:"), category), F.when(category.isNotNull(), n)),
+        (F.concat(F.lit("flags_by_severity:"), severity), F.when(severity.isNotNull(), n)),
+        *[(name, F.when(category.isin(categories), n)) for name, categories in SUMMED_CATEGORIES.items()],
+    ])
+
+    def key(kind, value, partner=None, bad=None):
+        partner = F.lit(None).cast("string") if partner is None else F.col(partner)
+        return F.struct(
+            F.lit(kind).alias("kind"), F.col(value).alias("key"), partner.alias("partner"),
+            F.coalesce(F.lit(False) if bad is None else bad, F.lit(False)).alias("bad"),
         )
 
-    pairs = code_name_pairs(df)
-    parts = [
-        counted(df, "total_rows_analyzed"),
-        distinct(df, "train_no", "total_unique_trains"),
-        distinct(df, "station_code", "total_unique_station_codes"),
-        distinct(df.where(code_format_rule()), "station_code", "station_codes_bad_format"),
-        counted(ambiguous(pairs, "station_code"), "station_codes_with_inconsistent_names"),
-        counted(ambiguous(pairs, "station_name"), "station_names_with_inconsistent_codes"),
-    ]
-    for part in parts:
-        from_flags = from_flags.unionByName(part)
-    return from_flags
+    keys = df.select(F.explode(F.array(
+        key("train", "train_no"), key("code", "station_code", "station_name", code_format_rule()),
+        key("name", "station_name", "station_code"),
+    )).alias("k")).select("k.*")
+    per_key = keys.groupBy("kind", "key").agg(
+        F.count(F.lit(1)).alias("n"), F.min("partner").alias("low"), F.max("partner").alias("high"), F.max("bad").alias("bad")
+    )
+    several = F.count(F.when(F.col("key").isNotNull() & (F.col("low") < F.col("high")), 1))
+    per_kind = per_key.groupBy("kind").agg(
+        F.sum("n").alias("n"), F.count("key").alias("keys"), several.alias("several"), F.count(F.when(F.col("bad"), 1)).alias("bad")
+    )
 
+    def of(kind, column):
+        return F.when(F.col("kind") == kind, F.col(column))
+
+    of_rows = _measured(per_kind, list(zip(
+        ROLLED_UP, [of("train", "n"), of("train", "keys"), of("code", "keys"), of("code", "bad"), of("code", "several"),
+                    of("name", "several")], strict=True,
+    )))
+    always = ["total_flags_raised", *SUMMED_CATEGORIES, *ROLLED_UP]
+    zeros = df.sparkSession.createDataFrame([(m, 0) for m in always], "measure string, value long")
+    return of_flags.unionByName(of_rows).unionByName(zeros).groupBy("measure").agg(F.sum("value").alias("value"))

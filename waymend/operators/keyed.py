@@ -32,6 +32,17 @@ def rows_of_repeated_keys(df: DataFrame, keys: list) -> DataFrame:
     return join_on_keys(df, repeated_keys(df, keys).select(*keys), keys, "left_semi")
 
 
+def repeated_rows(df: DataFrame, columns: list) -> DataFrame:
+    """All rows that equal another row in ``columns``, nulls like any value.
+
+    A 64-bit hash is counted first; only rows whose hash repeats are grouped by the columns
+    themselves, so texts of unique rows are neither shuffled nor compared.
+    """
+    hashed = df.withColumn("_hash", F.xxhash64(*columns))
+    suspects = hashed.groupBy("_hash").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_hash")
+    return rows_of_repeated_keys(hashed.join(suspects, "_hash", "left_semi"), ["_hash", *columns]).drop("_hash")
+
+
 def excess_rows(df: DataFrame, keys: list, name: str) -> DataFrame:
     """One row: how many rows go beyond the first of their group."""
     return (

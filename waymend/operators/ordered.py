@@ -1,20 +1,18 @@
 """Values that depend on the order of rows within a key, at any key size.
 
 A window function needs all rows of a key in one task. That is the plan for keys up
-to ``hot_rows`` rows. Larger keys are cut into pieces by a range shuffle on
-(key, order); the pieces are checkpointed, because the piece number is a property of
-the shuffle; each piece is computed on its own; and one summary row per piece carries
-the missing part across the borders. The summary has about rows / ``hot_rows`` rows.
+to ``hot_rows`` rows. Larger keys are cut into pieces at borders taken from the data:
+the quantiles of a hashed sample of their rows, one border for about ``hot_rows`` rows. A
+row's piece depends on its values alone, so nothing has to be written; each piece is
+computed on its own; and one summary row per piece carries the missing part across the
+borders. Borders and summary have about rows / ``hot_rows`` rows.
 """
 
 from dataclasses import dataclass
-from math import ceil
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from waymend.session import frozen
-
 HOT_ROWS = 2_000_000
 
 
@@ -116,6 +114,35 @@ def hot_keys(df: DataFrame, keys: list, hot_rows: int):
     return counts.select(*keys), total or 0
 
 
+#: Sampled rows for each border.
+PER_BORDER = 8
+
+
+def _place(order):
+    """The sort order as one value; nulls last."""
+    return F.struct(*[x for c in order for x in (F.col(c).isNull(), F.col(c))])
+
+
+def _borders(rows: DataFrame, keys: list, order: list, hot_rows: int) -> DataFrame:
+    """keys, ``_borders``: the sorted quantiles of a sample of each key's rows."""
+    per = min(PER_BORDER, hot_rows)
+    sample = rows.where(F.pmod(F.xxhash64(*order), F.lit(max(1, hot_rows // per))) == 0).select(*keys, *order)
+    up = Window.partitionBy(*keys).orderBy(*[F.col(c).asc_nulls_last() for c in order])
+    picked = sample.withColumn("_rank", F.row_number().over(up)).where(F.col("_rank") % per == 0)
+    return picked.groupBy(*keys).agg(F.array_sort(F.collect_list(_place(order))).alias("_borders"))
+
+
+def _borders_below(place, borders):
+    """How many of the sorted borders are not above ``place``: first in wide steps, then in one step."""
+    n = F.size(borders)
+    step = F.ceil(F.sqrt(n)).cast("int")
+    wide = F.size(F.filter(
+        F.sequence(F.lit(0), F.floor((n - 1) / step).cast("int")), lambda k: F.element_at(borders, k * step + 1) <= place
+    ))
+    start = F.greatest(wide - 1, F.lit(0)) * step
+    return F.when(n > 0, start + F.size(F.filter(F.slice(borders, start + 1, step), lambda b: b <= place))).otherwise(0)
+
+
 def with_ordered(
     df: DataFrame, keys: list, order: list, specs: dict, hot_rows: int = HOT_ROWS, hot=None
 ) -> DataFrame:
@@ -130,15 +157,13 @@ def with_ordered(
         return _add(df, keys, order, specs)
 
     cold_part = _add(df.join(hot, keys, "left_anti").select(df.columns), keys, order, specs)
-    pieces = ceil(total / hot_rows) + 1
-    sort = [F.col(k).asc() for k in keys] + [F.col(c).asc_nulls_last() for c in order]
-    cut = frozen(
-        df.join(hot, keys, "left_semi")
-        .repartitionByRange(pieces, *sort)
-        .withColumn("_piece", F.spark_partition_id())
+    hot_rows_ = df.join(hot, keys, "left_semi").select(df.columns)
+    place = _place(order)
+    cut = hot_rows_.join(_borders(hot_rows_, keys, order, hot_rows), keys, "left").select(
+        *df.columns,
+        F.coalesce(_borders_below(place, F.col("_borders")), F.lit(0)).alias("_piece"),
     )
     inner = keys + ["_piece"]
-    place = F.struct(*[x for c in order for x in (F.col(c).isNull(), F.col(c))])
     edges = cut.groupBy(*inner).agg(
         *[_edge(s, place).alias(f"_edge_{n}") for n, s in specs.items()]
     )
