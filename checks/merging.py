@@ -36,9 +36,7 @@ def sibling(spark, folder):
 
 
 def _both(spark, folder):
-    one, two = stops(spark, folder), sibling(spark, folder)
-    filled1, filled2 = m.cross_fill(one, two), m.cross_fill(two, one)
-    return one, two, filled1, filled2, m.overlap_decisions(filled1, filled2)
+    return stops(spark, folder), sibling(spark, folder)
 
 
 def cross_fill(spark, folder):
@@ -53,22 +51,19 @@ def cross_fill_counts(spark, folder):
 
 
 def overlap_resolution(spark, folder):
-    return _both(spark, folder)[-1]
+    return m.overlap_decisions(*_both(spark, folder))
 
 
 def merge_sources(spark, folder):
-    _, _, filled1, filled2, decisions = _both(spark, folder)
-    merged = m.merge_sources(filled1, filled2, decisions)
-    return merged.select(*BASE, "source_dataset", "timing_source")
+    return m.merge_sources(m.united(*_both(spark, folder))).select(*BASE, "source_dataset", "timing_source")
 
 
 def merge_log(spark, folder):
-    _, _, filled1, filled2, decisions = _both(spark, folder)
-    return m.merge_log(filled1, filled2, m.merge_sources(filled1, filled2, decisions))
+    return m.merge_log(m.united(*_both(spark, folder)))
 
 
 def decision_sample(spark, folder):
-    return m.decision_sample(_both(spark, folder)[-1])
+    return m.decision_sample(m.overlap_decisions(*_both(spark, folder)))
 
 
 QUERIES = {

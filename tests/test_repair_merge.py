@@ -136,17 +136,20 @@ def test_merge(spark):
     got1 = table(filled1, "row_id", "arrival", "departure", "distance", "timing_source")
     assert got1[:2] == [(0, "1", "8", "5", fv.FILLED), (1, None, "2", "6", fv.ORIGINAL)]
     assert got1[4] == (4, "1", "1", "1", fv.FILLED)
-    decisions = m.overlap_decisions(filled1, filled2)
+    rows = m.united(one, two)
+    for side, filled in ((1, filled1), (2, filled2)):  # the same as filling one table alone
+        assert table(rows.where(f"side = {side}"), *filled.columns) == table(filled)
+    decisions = m.overlap_decisions(one, two)
     kept = {d.train_no: (d.kept_source, d.dataset1_missing_fields, d.dataset2_missing_fields) for d in decisions.collect()}
     assert kept == {"1": ("dataset2", 1, 0), "2": ("dataset2", 6, 0), "3": ("dataset1", 0, 0), None: ("dataset1", 0, 0)}
-    merged = m.merge_sources(filled1, filled2, decisions)
-    rows = table(merged, "train_no", "station_code", "source_dataset")
-    assert rows == sorted([
+    merged = m.merge_sources(rows)
+    got = table(merged, "train_no", "station_code", "source_dataset")
+    assert got == sorted([
         ("1", "A", fv.SECOND_SOURCE), ("1", "B", fv.SECOND_SOURCE), ("1", "B", fv.SECOND_SOURCE), ("2", "D", fv.SECOND_SOURCE), ("3", "A", fv.FIRST_SOURCE),
         ("4", "A", fv.FIRST_SOURCE), ("5", "A", fv.SECOND_SOURCE), (None, "A", fv.FIRST_SOURCE),
     ], key=repr)
     assert merged.columns == m.MERGED_COLUMNS
-    log = {e.measure: e.value for e in m.merge_log(filled1, filled2, merged).collect()}
+    log = {e.measure: e.value for e in m.merge_log(rows).collect()}
     assert log["exact_duplicate_rows_removed_in_final_pass"] == 1 and log["trains_present_in_both"] == 4
     assert log["dataset1_cross_fill_counts:departure"] == 1 and log["final_merged_row_count"] == 8
     assert log["dataset2_filled_rows_dropped"] + log["dataset2_filled_rows_retained"] == filled2.where(f"timing_source = '{fv.FILLED}'").count()

@@ -1,13 +1,19 @@
-"""Fill two sibling tables from each other and merge them, whole trains at a time."""
+"""Fill two sibling tables from each other and merge them, whole trains at a time.
+
+Both tables are tagged and united. One aggregate over (train, station) finds what each side has
+to offer and what each side lacks; its roll-up by train gives the scores that decide which
+side keeps a train; the rows meet that one pair table once. So each table is read twice, and
+no group of rows ever has to be gathered.
+"""
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from waymend.functions import fixed_values as fv
 from waymend.operators.keyed import drop_duplicates_keep_first, join_on_keys
-from waymend.operators.measures import measures, report, total
+from waymend.operators.measures import measures, total
 from waymend.roles import BASE, align_schema
 
 FIELDS = ["arrival", "departure", "distance"]
@@ -55,101 +61,159 @@ def fill_counts(filled: DataFrame) -> DataFrame:
     ).select("x.*")
 
 
-def train_sides(filled1: DataFrame, filled2: DataFrame) -> DataFrame:
-    """One row per train of either table, from one aggregate over both.
+def tagged(one: DataFrame, two: DataFrame) -> DataFrame:
+    """Rows of both tables with ``side`` 1 or 2."""
+    return one.withColumn("side", F.lit(1)).unionByName(two.withColumn("side", F.lit(2)), allowMissingColumns=True)
+
+
+def _added(values) -> Column:
+    return reduce(lambda a, b: a + b, values)
 
-    rows1, rows2; missing1, missing2 (null fields; rows without a train number count as one
-    train, score 0); fills1_*, fills2_* (values filled by field); filled1, filled2 (rows).
+
+def pair_sides(rows: DataFrame) -> DataFrame:
+    """One row per (train, station) of the tagged rows: what each side offers, lacks and gets.
+
+    only1_*, only2_*: fields of the side's row if it is the only one (never for a null key); rows1, rows2;
+    missing1, missing2: null fields after filling (0 without a train number); fills1_*, fills2_*:
+    values filled by field; filled1, filled2: rows that got any.
     """
-    nulls = reduce(lambda a, b: a + b, [F.col(f).isNull().cast("long") for f in FIELDS])
-    parts = [
-        filled.select(
-            "train_no", F.lit(side).alias("side"),
-            F.when(F.col("train_no").isNull(), F.lit(0)).otherwise(nulls).alias("nulls"),
-            *[F.array_contains("filled", f).alias(f) for f in FIELDS],
-            (F.col("timing_source") == fv.FILLED).alias("touched"),
-        )
-        for side, filled in ((1, filled1), (2, filled2))
-    ]
-    sums = []
+    lacks = _added(F.when(F.col(f).isNull(), 1 << i).otherwise(0) for i, f in enumerate(FIELDS))
+    marked = rows.select(*KEY, "side", *FIELDS, lacks.alias("lacks"))
+    patterns = range(1, 1 << len(FIELDS))
+    counts = []
     for side in (1, 2):
         own = F.col("side") == side
-        sums += [
-            total(own).alias(f"rows{side}"),
-            F.coalesce(F.sum(F.when(own, F.col("nulls"))), F.lit(0)).alias(f"missing{side}"),
-            *[total(own & F.col(f)).alias(f"fills{side}_{f}") for f in FIELDS],
-            total(own & F.col("touched")).alias(f"filled{side}"),
-        ]
-    return parts[0].unionByName(parts[1]).groupBy("train_no").agg(*sums)
+        counts += [total(own).alias(f"rows{side}"), *[F.max(F.when(own, F.col(f))).alias(f"{f}{side}") for f in FIELDS]]
+        counts += [total(own & (F.col("lacks") == p)).alias(f"lacks{side}_{p}") for p in patterns]
+    pairs = marked.groupBy(*KEY).agg(*counts)
+    keyed = F.col("train_no").isNotNull() & F.col("station_code").isNotNull()
+    pairs = pairs.withColumns({
+        f"only{side}_{f}": F.when(keyed & (F.col(f"rows{side}") == 1), F.col(f"{f}{side}")) for side in (1, 2) for f in FIELDS
+    })
+    values = {}
+    for side, other in ((1, 2), (2, 1)):
+        offered = [F.col(f"only{other}_{f}").isNotNull() for f in FIELDS]
+
+        def rows_lacking(p, side=side):
+            return F.col(f"lacks{side}_{p}")
+
+        lacking = [_added(rows_lacking(p) for p in patterns if p >> i & 1) for i in range(len(FIELDS))]
+        open_ = _added(F.when(o, 0).otherwise(n) for o, n in zip(offered, lacking, strict=True))
+        values[f"missing{side}"] = F.when(F.col("train_no").isNull(), 0).otherwise(open_)
+        values |= {f"fills{side}_{f}": F.when(o, n).otherwise(0) for f, o, n in zip(FIELDS, offered, lacking, strict=True)}
+        values[f"filled{side}"] = _added(
+            F.when(reduce(lambda a, b: a | b, [o for i, o in enumerate(offered) if p >> i & 1]), rows_lacking(p)).otherwise(0)
+            for p in patterns
+        )
+    return pairs.withColumns(values)
+
 
+SIDE_SUMS = [
+    x for side in (1, 2) for x in (f"rows{side}", f"missing{side}", *[f"fills{side}_{f}" for f in FIELDS], f"filled{side}")
+]
 
-def _shared():
-    return (F.col("rows1") > 0) & (F.col("rows2") > 0)
 
+def train_sides(one: DataFrame, two: DataFrame) -> DataFrame:
+    """One row per train of either table: the sums of ``pair_sides`` (rows without a train number are one train)."""
+    return pair_sides(tagged(one, two)).groupBy("train_no").agg(*[F.sum(c).alias(c) for c in SIDE_SUMS])
 
-def _first_wins():
-    return F.col("missing1") <= F.col("missing2")
 
+def kept_side(rows1="rows1", rows2="rows2", missing1="missing1", missing2="missing2") -> Column:
+    """Which side keeps a train of both tables: the one with fewer missing fields; 0 for other trains."""
+    shared = (F.col(rows1) > 0) & (F.col(rows2) > 0)
+    return F.when(shared, F.when(F.col(missing1) <= F.col(missing2), 1).otherwise(2)).otherwise(0)
 
-def overlap_decisions(filled1: DataFrame, filled2: DataFrame) -> DataFrame:
+
+def overlap_decisions(one: DataFrame, two: DataFrame) -> DataFrame:
     """Trains of both tables, their missing fields, and which table keeps the train."""
-    return train_sides(filled1, filled2).where(_shared()).select(
+    names = {1: "dataset1", 2: "dataset2"}
+    decided = train_sides(one, two).withColumn("kept", kept_side()).where("kept > 0")
+    first = F.col("kept") == 1
+    return decided.select(
         "train_no",
-        F.when(_first_wins(), "dataset1").otherwise("dataset2").alias("kept_source"),
-        F.when(_first_wins(), "dataset2").otherwise("dataset1").alias("dropped_source"),
+        F.when(first, names[1]).otherwise(names[2]).alias("kept_source"),
+        F.when(first, names[2]).otherwise(names[1]).alias("dropped_source"),
         F.col("missing1").alias("dataset1_missing_fields"), F.col("missing2").alias("dataset2_missing_fields"),
     )
 
 
-def keep_won_trains(filled: DataFrame, decisions: DataFrame, source: str) -> DataFrame:
-    """Rows of trains only this table has, or that this table keeps."""
-    lost = decisions.where(F.col("dropped_source") == source).select("train_no")
-    return join_on_keys(filled, lost, ["train_no"], "left_anti")
+def united(one: DataFrame, two: DataFrame) -> DataFrame:
+    """All rows of both tables, filled from each other: ``side``, ``timing_source``, ``filled`` and
+    ``kept`` (the side that keeps the row's train, 0 if only one table has it)."""
+    rows = tagged(one, two)
+    train = Window.partitionBy("train_no")
+    sums = [f"{x}{side}" for x in ("rows", "missing") for side in (1, 2)]
+    pairs = pair_sides(rows)
+    pairs = pairs.withColumns({f"train_{c}": F.sum(c).over(train) for c in sums}).select(
+        *KEY, *[f"only{side}_{f}" for side in (1, 2) for f in FIELDS],
+        kept_side(*[f"train_{c}" for c in sums]).alias("kept"),
+    )
+    first = F.col("side") == 1
+    joined = join_on_keys(rows, pairs, KEY, "inner").withColumns(
+        {f"other_{f}": F.when(first, F.col(f"only2_{f}")).otherwise(F.col(f"only1_{f}")) for f in FIELDS}
+    )
+    filled = F.filter(F.array(*[F.when(_fills(f), F.lit(f)) for f in FIELDS]), lambda x: x.isNotNull())
+    return joined.withColumn("filled", filled).withColumns({f: F.coalesce(f, f"other_{f}") for f in FIELDS}).select(
+        *rows.columns, F.when(F.size("filled") > 0, fv.FILLED).otherwise(fv.ORIGINAL).alias("timing_source"), "filled", "kept",
+    )
 
 
-def combine(filled1: DataFrame, filled2: DataFrame, decisions: DataFrame) -> DataFrame:
-    """Kept rows of both tables in one schema, before the last duplicate pass."""
-    parts = []
-    for rank, (filled, source, tag) in enumerate(
-        ((filled1, "dataset1", fv.FIRST_SOURCE), (filled2, "dataset2", fv.SECOND_SOURCE))
-    ):
-        kept = keep_won_trains(filled, decisions, source).withColumn("source_dataset", F.lit(tag))
-        kept = kept.withColumn("_rank", F.lit(rank))
-        parts.append(align_schema(kept, MERGED_COLUMNS + ["_rank", "row_id"]))
-    return parts[0].unionByName(parts[1])
+def _stays() -> Column:
+    return (F.col("kept") == 0) | (F.col("kept") == F.col("side"))
 
 
-def merge_sources(filled1: DataFrame, filled2: DataFrame, decisions: DataFrame) -> DataFrame:
-    """The merged table: no two rows equal on the twelve base columns."""
-    both = combine(filled1, filled2, decisions)
-    return drop_duplicates_keep_first(both, BASE, ["_rank", "row_id"]).select(MERGED_COLUMNS)
+def merge_sources(rows: DataFrame) -> DataFrame:
+    """The merged table of ``united`` rows: no two rows equal on the twelve base columns."""
+    source = F.when(F.col("side") == 1, fv.FIRST_SOURCE).otherwise(fv.SECOND_SOURCE)
+    stay = rows.where(_stays()).withColumn("source_dataset", source)
+    both = align_schema(stay, MERGED_COLUMNS + ["side", "row_id"])
+    return drop_duplicates_keep_first(both, BASE, ["side", "row_id"]).select(MERGED_COLUMNS)
 
 
-def merge_log(filled1: DataFrame, filled2: DataFrame, merged: DataFrame) -> DataFrame:
-    """(measure, value) rows of the merge: one aggregate over the trains, one over the result."""
-    first, second = _shared() & _first_wins(), _shared() & ~_first_wins()
-    kept = F.when(first, F.col("rows1")).when(second, F.col("rows2")).otherwise(F.col("rows1") + F.col("rows2"))
-    values = {fv.MERGE_BOTH: total(_shared()), fv.MERGE_KEPT[1]: total(first), fv.MERGE_KEPT[2]: total(second)}
-    for side in (1, 2):
-        values[fv.MERGE_ROWS[side]] = F.sum(f"rows{side}")
-        values[fv.MERGE_TRAINS[side]] = total(F.col(f"rows{side}") > 0)
-        values |= {f"{fv.MERGE_FILLS[side]}:{f}": F.sum(f"fills{side}_{f}") for f in FIELDS}
-    values[fv.MERGE_FILLED_DROPPED] = F.sum(F.when(first, F.col("filled2")))
-    values[fv.MERGE_FILLED_RETAINED] = F.sum(F.when(~first, F.col("filled2")))
-    values[fv.MERGE_REMOVED] = F.sum(kept)
-    of_result = {
-        fv.MERGED_ROWS: total(), fv.MERGED_TRAINS: F.count_distinct("train_no"),
-        fv.MERGED_STATIONS: F.count_distinct("station_code"),
+def merge_log(rows: DataFrame) -> DataFrame:
+    """(measure, value) rows of the merge of ``united`` rows.
+
+    One chain of roll-ups: equal rows, then each train and each station, then the table.
+    """
+    sides = {side: F.col("side") == side for side in (1, 2)}
+    touched = F.col("timing_source") == fv.FILLED
+    sums = {
+        "kept_rows": total(_stays()), "filled2": total(sides[2] & touched),
+        **{f"rows{side}": total(own) for side, own in sides.items()},
+        **{f"fills{side}_{f}": total(own & F.array_contains("filled", f)) for side, own in sides.items() for f in FIELDS},
     }
-    result = measures(merged, of_result)
-    # Removed rows: all that were kept, less those of the result.
-    gone = F.when(F.col("measure") == fv.MERGED_ROWS, F.array(
-        F.struct(F.lit(fv.MERGED_ROWS).alias("measure"), F.col("value").alias("value")),
-        F.struct(F.lit(fv.MERGE_REMOVED).alias("measure"), (-F.col("value")).alias("value")),
-    )).otherwise(F.array(F.struct(F.col("measure").alias("measure"), F.col("value").alias("value"))))
-    return report(
-        measures(train_sides(filled1, filled2), values), result.select(F.explode(gone).alias("m")).select("m.*")
+    equal = rows.groupBy(*BASE).agg(F.max("kept").alias("kept"), *[v.alias(k) for k, v in sums.items()])
+    merged = (F.col("kept_rows") > 0).cast("long").alias("merged")
+    # Each distinct row belongs to a train and to a station; only the train carries the counts.
+    keys = equal.select(F.explode(F.array(
+        F.struct(F.lit("train").alias("kind"), F.col("train_no").alias("key"), merged, "kept", *sums),
+        F.struct(F.lit("station").alias("kind"), F.col("station_code").alias("key"), merged, F.lit(0).alias("kept"),
+                 *[F.lit(0).cast("long").alias(c) for c in sums]),
+    )).alias("k")).select("k.*")
+    per_key = keys.groupBy("kind", "key").agg(
+        F.max("kept").alias("kept"), *[F.sum(c).alias(c) for c in ("merged", *sums)]
     )
+    train, first = F.col("kind") == "train", F.col("kept") == 1
+
+    def summed(c, condition=None):
+        return F.coalesce(F.sum(F.when(train if condition is None else train & condition, F.col(c))), F.lit(0))
+
+    of_table = {
+        fv.MERGE_BOTH: total(train & (F.col("kept") > 0)), fv.MERGE_KEPT[1]: total(train & first),
+        fv.MERGE_KEPT[2]: total(train & (F.col("kept") == 2)),
+    }
+    for side in (1, 2):
+        of_table[fv.MERGE_ROWS[side]] = summed(f"rows{side}")
+        of_table[fv.MERGE_TRAINS[side]] = total(train & (F.col(f"rows{side}") > 0))
+        of_table |= {f"{fv.MERGE_FILLS[side]}:{f}": summed(f"fills{side}_{f}") for f in FIELDS}
+    present = (F.col("merged") > 0) & F.col("key").isNotNull()
+    of_table |= {
+        fv.MERGE_FILLED_DROPPED: summed("filled2", first), fv.MERGE_FILLED_RETAINED: summed("filled2", ~first),
+        fv.MERGE_REMOVED: summed("kept_rows") - summed("merged"),
+        fv.MERGED_ROWS: summed("merged"), fv.MERGED_TRAINS: total(train & present),
+        fv.MERGED_STATIONS: total(~train & present),
+    }
+    return measures(per_key, of_table)
 
 
 def decision_sample(decisions: DataFrame, count: int = 25) -> DataFrame:

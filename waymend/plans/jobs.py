@@ -99,15 +99,17 @@ class Merged:
 def fill_and_merge(ds1: DataFrame, ds2: DataFrame) -> Merged:
     """Cross-fill both tables from each other, then keep one table per train.
 
-    The filled tables are results of their own; they are written once and the merge
-    reads the written ones.
+    The filled rows of both tables are written once; every output but the decisions reads
+    the written ones.
     """
-    filled1, filled2 = frozen(merge.cross_fill(ds1, ds2)), frozen(merge.cross_fill(ds2, ds1))
-    decisions = merge.overlap_decisions(filled1, filled2)
-    merged = merge.merge_sources(filled1, filled2, decisions)
+    rows = frozen(merge.united(ds1, ds2))
+
+    def side(number, columns):
+        return rows.where(F.col("side") == number).select(*columns, "timing_source", "filled")
+
     return Merged(
-        filled1, filled2, decisions, merged,
-        merge.merge_log(filled1, filled2, merged),
+        side(1, ds1.columns), side(2, ds2.columns), merge.overlap_decisions(ds1, ds2), merge.merge_sources(rows),
+        merge.merge_log(rows),
     )
 
 
