@@ -143,21 +143,19 @@ def chain_log(spark, folder):
 
 
 def chain_fill(spark, folder):
-    needed, _, _, chains = _fill_inputs(spark, folder)
-    return dist.fill_distances(needed, chains).select("row_id", "train_no", "seq", "distance", "fill_status")
+    return dist.fill_distances(_fill_inputs(spark, folder)[-1]).select("row_id", "train_no", "seq", "distance", "fill_status")
 
 
 def move_rows(spark, folder):
-    needed, known, _, chains = _fill_inputs(spark, folder)
-    moved, stay = dist.move_filled(known, dist.fill_distances(needed, chains))
-    return moved.withColumn("table", F.lit("known")).unionByName(stay.withColumn("table", F.lit("needed"))).select(
+    _, known, _, chains = _fill_inputs(spark, folder)
+    return dist.placed_rows(known, dist.fill_distances(chains)).select(
         "table", "train_no", "seq", "station_code", "distance"
     )
 
 
 def fill_log(spark, folder):
-    needed, known, lookup, chains = _fill_inputs(spark, folder)
-    return dist.fill_log(known, dist.fill_distances(needed, chains), chains, lookup)
+    _, _, lookup, chains = _fill_inputs(spark, folder)
+    return dist.fill_log(chains, lookup)
 
 
 QUERIES = {

@@ -123,7 +123,7 @@ def test_distance_fill_equals_loop(spark):
     want = loop_fill(needed, known, plain)
     for hot in (10_000, 3):
         chains = dist.chained(n, k, lookup, hot_rows=hot)
-        got = dist.fill_distances(n, chains)
+        got = dist.fill_distances(chains)
         for r in got.collect():
             value = want[(r.train_no, int(r.seq))]
             if value is None:
@@ -132,7 +132,7 @@ def test_distance_fill_equals_loop(spark):
                 assert (r.fill_status, r.distance) == ("filled", str(round(value)))
     statuses = {r.status for r in dist.chain_log(chains).collect()}
     assert statuses == {"verified_and_filled", "rejected_inconsistent", "rejected_gap_in_segment_lookup"}
-    log = {m.measure: m.value for m in dist.fill_log(k, got, chains, lookup).collect()}
+    log = {m.measure: m.value for m in dist.fill_log(chains, lookup).collect()}
     moved, stay = dist.move_filled(k, got)
     assert moved.count() == log["known_rows_after"] and moved.count() + stay.count() == len(known) + len(needed)
 
@@ -160,10 +160,10 @@ def test_quarantine(spark):
         dict(train_no="2", seq="2", station_code="A"), dict(train_no="2", seq="3", station_code="A"),
     ])
     lookup = spark.createDataFrame([("A", "B", 10.5), ("B", "B", 0.0), ("B", "C", 9.5)], "a string, b string, km double")
-    got = dist.fill_distances(needed, dist.chained(needed, known, lookup))
+    got = dist.fill_distances(dist.chained(needed, known, lookup))
     assert [(r.fill_status, r.distance) for r in got.orderBy("row_id").collect()] == [
         ("already_known", None), ("filled", "10"), ("duplicate_seq", None), ("duplicate_seq", None),
         ("bad_seq", None), ("open", None), ("filled", "0"), ("open", None),
     ]
-    strict = dist.fill_distances(needed, dist.chained(needed, known, lookup, verify_first=True))
+    strict = dist.fill_distances(dist.chained(needed, known, lookup, verify_first=True))
     assert strict.where("train_no = '2' and fill_status = 'filled'").count() == 0

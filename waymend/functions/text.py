@@ -48,6 +48,31 @@ def to_number(c) -> Column:
     return F.when(plain, text.try_cast("double"))
 
 
+def whole_digits(c):
+    """A whole number of any length as text: a minus if it has one, no leading zeros; null for
+    any other text."""
+    text = cell_text(c)
+    digits = F.regexp_replace(text, r"^[+-]?0*(?=\d)", "")
+    plain = F.when(text.startswith("-") & (digits != "0"), F.concat(F.lit("-"), digits)).otherwise(digits)
+    return F.when(text.rlike(r"^[+-]?\d+\z"), plain)
+
+
+def whole_text(c):
+    """As ``whole_digits``; numbers in another notation give their whole part, up to 38 digits."""
+    other = F.when(cell_text(c).rlike(r"[.eE]"), to_number(c).try_cast("decimal(38,0)").cast("string"))
+    return F.coalesce(whole_digits(c), other)
+
+
+def number_place(whole):
+    """Sort key of a whole number given as text: sign, length, digits (turned round below zero)."""
+    below = whole.startswith("-")
+    sign = F.when(below, -1).otherwise(1)
+    digits = F.when(below, F.translate(F.substring(whole, 2, 1 << 30), "0123456789", "9876543210")).otherwise(whole)
+    return F.when(whole.isNotNull(), F.struct(
+        sign.alias("sign"), (sign * F.length(digits)).alias("n"), digits.alias("digits"), whole.alias("whole")
+    ))
+
+
 def is_clock(c) -> Column:
     return F.coalesce(_column(c).rlike(r"^\d{2}:\d{2}:\d{2}$"), F.lit(False))
 

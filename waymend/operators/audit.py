@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from waymend.functions.text import (
-    cell_text, codes_are_aliases, has_encoding_issue, is_blank, is_clock, to_number,
+    cell_text, codes_are_aliases, has_encoding_issue, is_blank, is_clock, number_place, to_number, whole_text,
 )
 from waymend.operators.keyed import join_on_keys, repeated_rows, rows_of_repeated_keys
 from waymend.operators.ordered import HOT_ROWS, Ordered, hot_keys, position, with_ordered
@@ -241,26 +241,6 @@ def ordered_flags(df: DataFrame, hot_rows: int = HOT_ROWS, alias_pairs=None) ->
     return _exploded(ordered_stops(df, hot_rows), ordered_rules(alias_pairs))
 
 
-def whole_text(c):
-    """A whole number of any length as text: a minus if it has one, no leading zeros. Numbers in
-    another notation give their whole part, up to 38 digits; other texts are null."""
-    text = cell_text(c)
-    digits = F.regexp_replace(text, r"^[+-]?0*(?=\d)", "")
-    plain = F.when(text.startswith("-") & (digits != "0"), F.concat(F.lit("-"), digits)).otherwise(digits)
-    other = F.when(text.rlike(r"[.eE]"), to_number(c).try_cast("decimal(38,0)").cast("string"))
-    return F.when(text.rlike(r"^[+-]?\d+\z"), plain).otherwise(other)
-
-
-def number_place(whole):
-    """Sort key of ``whole_text``: sign, length, digits (turned round below zero)."""
-    below = whole.startswith("-")
-    sign = F.when(below, -1).otherwise(1)
-    digits = F.when(below, F.translate(F.substring(whole, 2, 1 << 30), "0123456789", "9876543210")).otherwise(whole)
-    return F.when(whole.isNotNull(), F.struct(
-        sign.alias("sign"), (sign * F.length(digits)).alias("n"), digits.alias("digits"), whole.alias("whole")
-    ))
-
-
 def seq_values(df: DataFrame) -> DataFrame:
     """(train_no, row_id, seq, seq_num): the numbering behind any discontinuity."""
     return df.where(F.col("train_no").isNotNull()).select(

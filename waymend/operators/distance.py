@@ -3,21 +3,25 @@
 ``known`` has rows with a distance, ``needed`` rows without one; both in role columns
 with ``row_id`` (dense in ``known``, whose file order defines the segments). Lengths
 are whole micro-kilometres, so sums are exact and independent of any row order.
+
+Both tables go through one ordered pass by train: (place, known before needed, later rows first).
+The first row of a place speaks for it; the others only learn that they are not alone. The
+needed rows carry their own columns, so nothing is joined back.
 """
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from waymend.functions import fixed_values as fv
-from waymend.functions.text import cell_text, to_number
-from waymend.operators.keyed import join_on_keys
+from waymend.functions.text import cell_text, number_place, to_number, whole_digits
 from waymend.operators.measures import measures, report, total
 from waymend.operators.ordered import (
     HOT_ROWS, Ordered, hot_keys, position, previous_in_file, with_ordered,
 )
 from waymend.roles import BASE
+from waymend.session import frozen
 
 MICRO = 1_000_000
 
@@ -26,12 +30,6 @@ def micro(km):
     return F.bround(km * MICRO, 0).cast("bigint")
 
 
-def seq_number(c):
-    """Whole-number SEQ, null for any other text."""
-    text = cell_text(c)
-    return F.when(text.rlike(r"^[+-]?\d+\z"), text.try_cast("decimal(38,0)"))
-
-
 def segments(known: DataFrame) -> DataFrame:
     """(a, b, km): every pair of neighbouring file rows of a train with both distances.
 
@@ -76,68 +74,76 @@ def segment_lookup(known: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     )
 
 
-def _sides(needed: DataFrame, known: DataFrame) -> DataFrame:
-    """Usable rows of the trains that need something, from both tables."""
-    trains = needed.select("train_no").distinct()
-    columns = ["train_no", "row_id", seq_number("seq").alias("place"), cell_text("station_code").alias("code")]
-    open_ = needed.select(*columns, F.lit(None).cast("bigint").alias("dist"), F.lit(0).alias("side"))
-    anchors = join_on_keys(known, trains, ["train_no"], "left_semi").select(
-        *columns, micro(to_number("distance")).alias("dist"), F.lit(1).alias("side")
-    ).where("dist is not null")
-    both = open_.unionByName(anchors).where("place is not null")
-    return both.withColumn("train_no", F.coalesce("train_no", F.lit("")))
-
-
-def route_rows(needed: DataFrame, known: DataFrame) -> DataFrame:
-    """One row per (train, place): a known row goes over a needed one, later over earlier."""
-    pick = F.max_by(F.struct("code", "dist"), F.struct("side", "row_id"))
-    return (
-        _sides(needed, known).groupBy("train_no", "place")
-        .agg(
-            pick.alias("_p"),
-            F.sum((F.col("side") == 0).cast("long")).alias("needed_rows"),
-            F.max("side").alias("has_known"),
-        )
-        .select("train_no", "place", "_p.code", "_p.dist", "needed_rows", "has_known")
+def tagged(needed: DataFrame, known: DataFrame) -> DataFrame:
+    """Rows of both tables: ``train``, ``side`` (1 known), ``place`` (whole-number SEQ; null if the row is
+    no stop of the route), ``code``, ``dist``, and the whole needed row as ``row``."""
+    columns = [F.coalesce("train_no", F.lit("")).alias("train"), cell_text("station_code").alias("code")]
+    place = number_place(whole_digits("seq"))
+    open_ = needed.select(
+        *columns, place.alias("place"), F.lit(None).cast("bigint").alias("dist"), F.lit(0).alias("side"),
+        # Known rows first, then the later row first.
+        F.lit(0).alias("later"), (-F.col("row_id")).alias("back"), F.struct(*needed.columns).alias("row"),
+    )
+    dist = micro(to_number("distance"))
+    anchors = known.select(
+        *columns, F.when(dist.isNotNull(), place).alias("place"), dist.alias("dist"), F.lit(1).alias("side"),
+        F.lit(-1).alias("later"), (-F.col("row_id")).alias("back"), F.lit(None).cast(open_.schema["row"].dataType).alias("row"),
     )
+    return open_.unionByName(anchors)
+
+
+ORDER = ["place", "later", "back"]
+
+
+def _chain(rows: DataFrame, lookup: DataFrame, verify_first: bool, hot_rows: int, hot) -> DataFrame:
+    """One ordered pass; between its steps the rows of long trains are written."""
+    def step(df, specs):
+        out = with_ordered(df, ["train"], ORDER, specs, hot_rows, hot)
+        return frozen(out) if hot[1] else out
+
+    place, is_stop = F.col("place"), F.col("place").isNotNull()
+    seen = step(rows, {
+        "before": Ordered("previous", F.struct("place")), "behind": Ordered("following", F.struct("place")),
+        "known_place": Ordered("last_before", F.when(F.col("side") == 1, place)),
+    })
+    after_same = is_stop & F.col("before.place").eqNullSafe(place)
+    seen = seen.withColumns({
+        "leads": is_stop & ~F.col("before.place").eqNullSafe(place),
+        "several": after_same | (is_stop & F.col("behind.place").eqNullSafe(place)),
+        "covered": is_stop & F.col("known_place").eqNullSafe(place),
+    }).drop("before", "behind", "known_place")
+    leads = F.col("leads")
+    paced = step(seen, {
+        "pos": Ordered("running", leads.cast("bigint")), "last": Ordered("last_before", F.when(leads, F.struct("code"))),
+    })
+    first = F.col("pos") == 1
+    start = F.col("dist") if verify_first else F.when(first, F.coalesce("dist", F.lit(0))).otherwise(F.col("dist"))
+    linked = leads & ~first
+    keyed = paced.withColumns({
+        "dist": F.when(leads, start),
+        "a": F.when(linked, F.least("code", "last.code")), "b": F.when(linked, F.greatest("code", "last.code")),
+    }).drop("last")
+    measured = keyed.join(lookup.select("a", "b", micro(F.col("km")).alias("step")), ["a", "b"], "left")
+    summed = step(measured, {
+        "upto": Ordered("running", F.col("step")),
+        "gaps": Ordered("running", (linked & F.col("step").isNull()).cast("bigint")),
+    })
+    anchor = F.when(F.col("dist").isNotNull(), F.struct(F.col("place.whole").alias("place"), "pos", "dist", "upto", "gaps"))
+    return step(summed, {"opener": Ordered("last_before", anchor), "closer": Ordered("next_after", anchor)})
 
 
 def chained(needed, known, lookup, verify_first=False, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Route rows with the anchors around them and the lengths summed so far.
+    """All rows of both tables with the anchors around them and the lengths summed so far.
 
     A first stop without distance is an anchor at 0 unless ``verify_first``.
     """
-    rows = route_rows(needed, known)
-    hot = hot_keys(_sides(needed, known).select("train_no"), ["train_no"], hot_rows)
-    placed = with_ordered(
-        rows, ["train_no"], ["place"],
-        {"pos": position(), "before": Ordered("previous", F.struct("code"))}, hot_rows, hot,
-    )
-    first = F.col("pos") == 1
-    if not verify_first:
-        placed = placed.withColumn(
-            "dist", F.when(first, F.coalesce("dist", F.lit(0))).otherwise(F.col("dist"))
-        )
-    keyed = placed.withColumns(
-        {"a": F.least("code", "before.code"), "b": F.greatest("code", "before.code")}
-    ).withColumns({"a": F.when(~first, F.col("a")), "b": F.when(~first, F.col("b"))})
-    measured = keyed.join(lookup.select("a", "b", micro(F.col("km")).alias("step")), ["a", "b"], "left")
-    summed = with_ordered(
-        measured, ["train_no"], ["place"],
-        {
-            "upto": Ordered("running", F.col("step")),
-            "gaps": Ordered("running", (F.col("step").isNull() & ~first).cast("bigint")),
-        },
-        hot_rows, hot,
-    )
-    anchor = F.when(
-        F.col("dist").isNotNull(),
-        F.struct("place", "pos", "dist", "upto", "gaps"),
-    )
-    return with_ordered(
-        summed, ["train_no"], ["place"],
-        {"opener": Ordered("last_before", anchor), "closer": Ordered("next_after", anchor)},
-        hot_rows, hot,
+    rows = tagged(needed, known)
+    hot, total = hot_keys(rows.select("train"), ["train"], hot_rows)
+    if not total:
+        return _chain(rows, lookup, verify_first, hot_rows, (hot, 0))
+    small, large = rows.join(hot, "train", "left_anti"), rows.join(hot, "train", "left_semi")
+    return _chain(small, lookup, verify_first, hot_rows, (hot, 0)).unionByName(
+        _chain(large, lookup, verify_first, hot_rows, (hot, total))
     )
 
 
@@ -155,32 +161,34 @@ def _chain_columns(end):
     return total, gap, complete, status
 
 
+def _chain_ends():
+    """Rows that close a chain with at least one stop between its two anchors."""
+    return F.col("dist").isNotNull() & F.col("opener").isNotNull() & (F.col("pos") - F.col("opener.pos") > 1)
+
+
 def chain_log(chains: DataFrame) -> DataFrame:
-    """One row per chain with at least one stop between its two anchors."""
+    """One row per chain with at least one stop between its two anchors, of trains that need something.
+
+    Trains without needed rows have anchors only, so no stop lies between two of theirs.
+    """
     total, gap, complete, status = _chain_columns(F.col)
-    ends = chains.where(
-        F.col("dist").isNotNull() & F.col("opener").isNotNull() & (F.col("pos") - F.col("opener.pos") > 1)
-    )
-    return ends.select(
-        "train_no",
-        F.col("opener.place").cast("string").alias("from_seq"),
-        F.col("place").cast("string").alias("to_seq"),
+    return chains.where(_chain_ends()).select(
+        F.col("train").alias("train_no"),
+        F.col("opener.place").alias("from_seq"),
+        F.col("place.whole").alias("to_seq"),
         status.alias("status"),
         F.when(complete, F.bround(total / MICRO, 2)).alias("chain_sum"),
         F.when(complete, F.bround(gap / MICRO, 2)).alias("known_gap"),
     )
 
 
-def filled_places(chains: DataFrame) -> DataFrame:
-    """(train_no, place, filled): micro-km of every place that is resolved now."""
+def filled_value() -> Column:
+    """Micro-km of a place that is resolved: its own distance, or the sum of a verified chain."""
     _, _, _, status = _chain_columns(lambda c: F.col(f"closer.{c}"))
     between = F.col("opener").isNotNull() & F.col("closer").isNotNull() & (status == fv.CHAIN_FILLED)
-    value = F.when(F.col("dist").isNotNull(), F.col("dist")).when(
+    return F.when(F.col("dist").isNotNull(), F.col("dist")).when(
         between, F.col("opener.dist") + F.col("upto") - F.col("opener.upto")
     )
-    return chains.select(
-        "train_no", "place", "needed_rows", "has_known", value.alias("filled")
-    )
 
 
 def whole_km(value):
@@ -191,64 +199,69 @@ def whole_km(value):
     return (down + up.cast("bigint")).cast("string")
 
 
-def fill_distances(needed, chains: DataFrame) -> DataFrame:
-    """Needed rows with ``fill_status`` and, where filled, the new distance text.
+def fill_status() -> Column:
+    return (
+        F.when(F.col("place").isNull(), "bad_seq")
+        .when(F.col("covered"), "already_known")
+        .when(F.col("several"), "duplicate_seq")
+        .when(filled_value().isNull(), "open")
+        .otherwise("filled")
+    )
+
+
+def fill_distances(chains: DataFrame) -> DataFrame:
+    """The needed rows of ``chained`` with ``fill_status`` and, where filled, the new distance text.
 
     filled; open (no verified chain); already_known (a known row has this SEQ);
     duplicate_seq (several needed rows share the SEQ); bad_seq (no whole number).
     Only ``filled`` rows may move.
     """
-    places = filled_places(chains).withColumnRenamed("train_no", "_train")
-    rows = needed.withColumns(
-        {"place": seq_number("seq"), "_train": F.coalesce("train_no", F.lit(""))}
+    columns = chains.schema["row"].dataType.names
+    rows = chains.where("side = 0").select(
+        "row.*", fill_status().alias("fill_status"), whole_km(filled_value()).alias("_new")
     )
-    status = (
-        F.when(F.col("place").isNull(), "bad_seq")
-        .when(F.col("has_known") == 1, "already_known")
-        .when(F.col("needed_rows") > 1, "duplicate_seq")
-        .when(F.col("filled").isNull(), "open")
-        .otherwise("filled")
-    )
-    joined = rows.join(places, ["_train", "place"], "left").withColumn("fill_status", status)
-    distance = F.when(F.col("fill_status") == "filled", whole_km(F.col("filled"))).otherwise(F.col("distance"))
-    return joined.withColumn("distance", distance).select(*needed.columns, "fill_status")
+    distance = F.when(F.col("fill_status") == "filled", F.col("_new")).otherwise(F.col("distance"))
+    return rows.withColumn("distance", distance).select(*columns, "fill_status")
+
+
+def placed_rows(known: DataFrame, filled: DataFrame) -> DataFrame:
+    """Rows of both tables with ``table``: the one (known, needed) that each belongs to now."""
+    place = F.when(F.col("fill_status") == "filled", "known").otherwise("needed")
+    return known.select(*BASE, F.lit("known").alias("table")).unionByName(filled.select(*BASE, place.alias("table")))
 
 
 def move_filled(known: DataFrame, filled: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(known with the filled rows appended, needed rows that stay)."""
-    moved = filled.where("fill_status = 'filled'").select(*BASE)
-    stay = filled.where("fill_status <> 'filled'").select(*BASE)
-    return known.select(*BASE).unionByName(moved), stay
+    rows = placed_rows(known, filled)
+    return rows.where("table = 'known'").select(*BASE), rows.where("table = 'needed'").select(*BASE)
 
 
 FILL_STATUSES = ["filled", "open", "already_known", "duplicate_seq", "bad_seq"]
 
 
-def fill_log(known, filled, chains, lookup) -> DataFrame:
-    """(measure, value) rows of a distance fill: one aggregate for each table.
+def fill_log(chains: DataFrame, lookup: DataFrame) -> DataFrame:
+    """(measure, value) rows of a distance fill: one roll-up of the pass, by train and then over all.
 
     Statuses that no row or chain has are left out.
     """
-    status = F.col("fill_status")
-    per_train = filled.groupBy("train_no").agg(*[total(status == s).alias(s) for s in FILL_STATUSES])
+    needed, status = F.col("side") == 0, fill_status()
+    _, _, _, chain_status = _chain_columns(F.col)
+    chain_kinds = (fv.CHAIN_GAP, fv.CHAIN_FILLED, fv.CHAIN_INCONSISTENT)
+    number = F.when(needed, F.struct(F.col("row.train_no").alias("n")))
+    per_train = chains.withColumns({"_status": F.when(needed, status), "_number": number}).groupBy("train", "_number").agg(
+        *[total(F.col("_status") == s).alias(s) for s in FILL_STATUSES],
+        total(~needed).alias("known"),
+        *[total(_chain_ends() & (chain_status == s)).alias(f"chain_{s}") for s in chain_kinds],
+    )
     rows = reduce(lambda a, b: a + b, [F.col(s) for s in FILL_STATUSES])
     of_rows = measures(
         per_train,
         {
-            "trains_processed": total(), "trains_with_at_least_one_fill": total(F.col("filled") > 0),
-            "rows_before": F.sum(rows), "known_rows_after": F.sum("filled"),
+            "trains_processed": total(rows > 0), "trains_with_at_least_one_fill": total(F.col("filled") > 0),
+            "rows_before": F.sum(rows), "known_rows_before": F.sum("known"),
+            "known_rows_after": F.sum(F.col("known") + F.col("filled")),
             **{f"rows:{s}": F.sum(s) for s in FILL_STATUSES},
+            **{f"chains:{s}": F.sum(f"chain_{s}") for s in chain_kinds},
         },
-    ).where(~F.col("measure").startswith("rows:") | (F.col("value") > 0))
-    of_chains = measures(
-        chain_log(chains),
-        {f"chains:{s}": total(status_is(s)) for s in (fv.CHAIN_GAP, fv.CHAIN_FILLED, fv.CHAIN_INCONSISTENT)},
-    ).where("value > 0")
-    return report(
-        measures(lookup, {"segment_lookup_size": total()}), of_rows, of_chains,
-        measures(known, {"known_rows_before": total(), "known_rows_after": total()}),
-    )
-
-
-def status_is(name):
-    return F.col("status") == name
+    ).where(~F.col("measure").rlike("^(rows|chains):") | (F.col("value") > 0))
+    return report(measures(lookup, {"segment_lookup_size": total()}), of_rows)

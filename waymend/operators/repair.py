@@ -11,6 +11,7 @@ from waymend.functions.text import (
 from waymend.operators.audit import malformed_train_rule
 from waymend.operators.ordered import HOT_ROWS, Ordered, hot_keys, neighbours_in_file, with_ordered
 from waymend.roles import BASE
+from waymend.session import frozen
 
 # A split-off row carries these seven fields shifted to the left.
 TAIL = BASE[5:12]
@@ -111,6 +112,8 @@ def adjacent_runs(df: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
         "_starts",
         F.when(F.col("_before.station_code") == F.col("station_code"), 0).otherwise(1).cast("long"),
     )
+    if hot[1]:  # the next step reads the rows of long trains three times
+        marked = frozen(marked)
     runs = {"run": Ordered("running", F.col("_starts"))}
     return with_ordered(marked, ["train_no"], order, runs, hot_rows, hot).drop("_before", "_starts")
 

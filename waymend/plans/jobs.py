@@ -144,11 +144,11 @@ def distance_fill(known: DataFrame, needed: DataFrame, verify_first: bool = Fals
     """Fill distances between anchors and move the filled rows to ``known``."""
     lookup = frozen(distance.segment_lookup(known))
     chains = frozen(distance.chained(needed, known, lookup, verify_first))
-    rows = distance.fill_distances(needed, chains)
+    rows = distance.fill_distances(chains)
     new_known, still = distance.move_filled(known, rows)
     return Filled(
         new_known, still, rows, distance.chain_log(chains),
-        distance.fill_log(known, rows, chains, lookup),
+        distance.fill_log(chains, lookup),
     )
 
 
