@@ -43,12 +43,6 @@ def repeated_rows(df: DataFrame, columns: list) -> DataFrame:
     return rows_of_repeated_keys(hashed.join(suspects, "_hash", "left_semi"), ["_hash", *columns]).drop("_hash")
 
 
-def excess_rows(df: DataFrame, keys: list, name: str) -> DataFrame:
-    """One row: how many rows go beyond the first of their group."""
-    return (
-        df.groupBy(*keys).agg(F.count("*").alias("_n"))
-        .agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias(name))
-    )
 
 
 def first_per_key(df: DataFrame, key: str, values: list, row_id: str = "row_id") -> DataFrame:

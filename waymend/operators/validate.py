@@ -5,69 +5,85 @@ from pyspark.sql import functions as F
 
 from waymend.functions.fixed_values import REQUIRED_FIELDS
 from waymend.functions.text import cell_text, count_packed_stops, grade
-from waymend.operators.keyed import excess_rows
 from waymend.roles import detect_columns, detect_shape, quoted
 
 
 
-def _row(df: DataFrame, **values) -> DataFrame:
-    """(measure, value) rows from a one-row aggregate."""
-    pairs = [
-        F.struct(F.lit(name).alias("measure"), value.cast("double").alias("value"))
-        for name, value in values.items()
-    ]
-    return df.select(F.explode(F.array(*pairs)).alias("m")).select("m.*")
-
-
 def statistics(df: DataFrame) -> DataFrame:
-    """(measure, value) of a table whose shape is known; blanks are 'blank:<field>'."""
+    """(measure, value) of a table whose shape is known; blanks are 'blank:<field>'.
+
+    One chain of roll-ups over one scan: equal rows, then (train, sequence), then trains, then the
+    table. Each distinct row is also a row of its station, which rides along as another kind of key.
+    """
     shape, found = detect_shape(df), detect_columns(df)
     if shape is None:
         raise ValueError("the table is neither per stop nor per train")
-    train = quoted(found["train_number"]).cast("string").alias("train")
-    blanks = {
-        f"blank:{f}": F.coalesce(F.sum((cell_text(quoted(found[f])) == "").cast("int")), F.lit(0))
-        for f in REQUIRED_FIELDS[shape]
-    }
-    counts = df.agg(F.count("*").alias("total_rows"), *[v.alias(k) for k, v in blanks.items()])
-    everything = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
-    whole = excess_rows(everything, everything.columns, "n")
-    parts = [
-        _row(counts, **{c: quoted(c) for c in counts.columns}),
-        _row(whole, duplicate_rows=F.col("n")),
-        _row(df.select(train).agg(F.count_distinct("train").alias("n")), unique_trains=F.col("n")),
-    ]
+    fields, per_stop = REQUIRED_FIELDS[shape], shape == "per_stop"
+    names = {header: f"c{i}" for i, header in enumerate(df.columns)}
+
+    def column(header):
+        return F.col(names[header])
+
+    equal = df.toDF(*names.values()).groupBy(*names.values()).agg(F.count(F.lit(1)).alias("n"))
+    n, zero = F.col("n"), F.lit(0).cast("long")
+    packed = not per_stop and "intermediate_stops" in df.columns
+    stops = count_packed_stops(column("intermediate_stops")) if packed else F.lit(None).cast("long")
+    blanks = {f"blank_{f}": F.when(cell_text(column(found[f])) == "", n).otherwise(zero) for f in fields}
+    keys = [F.struct(
+        F.lit("train").alias("kind"), column(found["train_number"]).cast("string").alias("key"),
+        (column(found["sequence"]) if per_stop else F.lit(None)).cast("string").alias("seq"),
+        n.alias("rows"), (n - 1).alias("copies"), stops.cast("long").alias("stops"), *[v.alias(k) for k, v in blanks.items()],
+    )]
     if found["station_code"]:
-        station = df.select(quoted(found["station_code"]).alias("s"))
-        parts.append(_row(station.agg(F.count_distinct("s").alias("n")), unique_stations=F.col("n")))
-    if shape == "per_stop":
-        stops = df.select(train, quoted(found["sequence"]).alias("seq"))
-        pairs = stops.groupBy("train", "seq").agg(F.count("*").alias("rows"))
-        collisions = pairs.agg(F.coalesce(F.sum(F.col("rows") - 1), F.lit(0)).alias("n"))
-        parts.append(_row(collisions, duplicate_train_sequence_pairs=F.col("n")))
-        per_train = (
-            stops.where("train is not null").groupBy("train").agg(F.count("seq").alias("stops"))
-        )
-        parts.append(_stop_measures(per_train))
-    else:
-        collisions = excess_rows(df.select(train), ["train"], "n")
-        parts.append(_row(collisions, duplicate_train_number_rows=F.col("n")))
-        if "intermediate_stops" in df.columns:
-            parts.append(_stop_measures(df.select(count_packed_stops("intermediate_stops").alias("stops"))))
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
-
-
-def _stop_measures(rows: DataFrame) -> DataFrame:
-    one = rows.agg(
-        F.bround(F.avg("stops"), 2).alias("avg"), F.max("stops").alias("max"), F.min("stops").alias("min")
+        nothing = F.lit(None).cast("string")
+        keys.append(F.struct(
+            F.lit("station").alias("kind"), column(found["station_code"]).cast("string").alias("key"), nothing.alias("seq"),
+            zero.alias("rows"), zero.alias("copies"), F.lit(None).cast("long").alias("stops"), *[zero.alias(k) for k in blanks],
+        ))
+    carried = ["rows", "copies", *blanks]
+    # Packed stops: their sum, how many rows have them, and the extremes.
+    extremes = [F.max("most").alias("most"), F.min("fewest").alias("fewest")]
+    per_pair = equal.select(F.explode(F.array(*keys)).alias("k")).select("k.*").groupBy("kind", "key", "seq").agg(
+        *[F.sum(c).alias(c) for c in carried], F.sum(F.col("stops") * F.col("rows")).alias("stops"),
+        F.sum(F.when(F.col("stops").isNotNull(), F.col("rows"))).alias("counted"),
+        F.max("stops").alias("most"), F.min("stops").alias("fewest"),
     )
-    return _row(
-        one, avg_stops_per_train=F.col("avg"), max_stops_for_a_train=F.col("max"),
-        min_stops_for_a_train=F.col("min"),
+    per_key = per_pair.groupBy("kind", "key").agg(
+        *[F.sum(c).alias(c) for c in carried], F.sum(F.col("rows") - 1).alias("clashes"),
+        F.coalesce(F.sum(F.when(F.col("seq").isNotNull(), F.col("rows"))), F.lit(0)).alias("length"),
+        F.sum("stops").alias("stops"), F.sum("counted").alias("counted"), *extremes,
     )
+    train, known = F.col("kind") == "train", F.col("key").isNotNull()
+
+    def of_trains(value, condition=None):
+        return F.when(train if condition is None else train & condition, value)
+
+    def total(value, condition=None):
+        return F.coalesce(F.sum(of_trains(value, condition)), F.lit(0))
+
+    values = {
+        "total_rows": total(F.col("rows")), **{k.replace("blank_", "blank:", 1): total(F.col(k)) for k in blanks},
+        "duplicate_rows": total(F.col("copies")), "unique_trains": F.count(of_trains(F.lit(1), known)),
+    }
+    if found["station_code"]:
+        values["unique_stations"] = F.count(F.when(~train & known, 1))
+    if per_stop:
+        values["duplicate_train_sequence_pairs"] = total(F.col("clashes"))
+        length = of_trains(F.col("length"), known)
+        values |= {
+            "avg_stops_per_train": F.bround(F.avg(length), 2), "max_stops_for_a_train": F.max(length),
+            "min_stops_for_a_train": F.min(length),
+        }
+    else:
+        values["duplicate_train_number_rows"] = total(F.col("rows") - 1)
+        if packed:
+            values |= {
+                "avg_stops_per_train": F.bround(F.sum(of_trains(F.col("stops"))) / F.sum(of_trains(F.col("counted"))), 2),
+                "max_stops_for_a_train": F.max(of_trains(F.col("most"))), "min_stops_for_a_train": F.min(of_trains(F.col("fewest"))),
+            }
+    one = per_key.agg(*[v.cast("double").alias(f"v{i}") for i, v in enumerate(values.values())])
+    pairs = [F.struct(F.lit(m).alias("measure"), F.col(f"v{i}").alias("value")) for i, m in enumerate(values)]
+    return one.select(F.explode(F.array(*pairs)).alias("m")).select("m.*")
 
 
 def _points(count, base, factor, most):
