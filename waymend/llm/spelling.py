@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from waymend.llm.common import staged
+from waymend.llm.common import shuffle_partitions, staged
 
 #: Latin-1 bytes: runs of [A-Za-zÀ-ÿ] with A-Z in lower case, all else as spaces.
 RUNS = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 192 else 32 for b in range(256))
@@ -325,6 +325,9 @@ def nearest(words: DataFrame, sample_words: int = 100_000, cell_words: int = 20_
         F.sequence(F.lit(0), F.col("parts") - 1)
     )
     cells = rows.join(sizes, ["length", "leaf"]).withColumn("part", F.explode(parts))
+    # Cells are small in bytes and long in work: a number of tasks that follows the cells, not the bytes.
+    leaves = sum(node[0] < 0 for nodes in trees.values() for node in nodes)
+    cells = cells.repartition(max(shuffle_partitions(words.sparkSession), 2 * leaves), "length", "leaf", "part")
     bests = cells.groupBy("length", "leaf", "part").applyInArrow(cell_bests, "word string, near long, best_n long, best string")
     best = F.min(F.struct((-F.col("best_n")).alias("less"), "best"))
     return bests.groupBy("word").agg(F.sum("near").alias("n_near"), best.alias("x")).select(
