@@ -43,8 +43,6 @@ def repeated_rows(df: DataFrame, columns: list) -> DataFrame:
     return rows_of_repeated_keys(hashed.join(suspects, "_hash", "left_semi"), ["_hash", *columns]).drop("_hash")
 
 
-
-
 def first_per_key(df: DataFrame, key: str, values: list, row_id: str = "row_id") -> DataFrame:
     """The earliest row of each key; null is a key too."""
     picked = F.min_by(F.struct(*values), F.col(row_id)).alias("_first")
