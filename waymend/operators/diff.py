@@ -17,34 +17,71 @@ IMPORT_HEADERS = {
 }
 
 
+HEADER = ["train_name", "source_code", "dest_code"]
+FIELDS = ["station_code", "arrival", "departure", "distance"]
+
+
+def tagged_stops(old: DataFrame, new: DataFrame) -> DataFrame:
+    """What a difference looks at, of both schedules (``side`` old or new). Header fields count on
+    the first stop, which every train has."""
+    first = F.col("pos") == 0
+
+    def side(stops, name):
+        return stops.select("train_no", "pos", F.lit(name).alias("side"), *[F.when(first, F.col(h)).alias(h) for h in HEADER], *FIELDS)
+
+    return side(old, "old").unionByName(side(new, "new"))
+
+
+SIDES = ("old", "new")
+
+
+def fingerprints(stops: DataFrame) -> DataFrame:
+    """train_no, old_stops, new_stops, same: whether both schedules have the very same stops.
+
+    A stop's hash covers its place, so the xor of a train's hashes depends on the order of its
+    stops; it is one aggregate with partial sums. Two hashes and the number of stops have to agree.
+    """
+    values = [F.coalesce(F.concat(F.lit("="), c), F.lit("")) for c in (*HEADER, *FIELDS)]
+    hashed = stops.select(
+        "train_no", "side", F.xxhash64("pos", *values).alias("h"), F.xxhash64(F.lit(7), *values, "pos").alias("g")
+    )
+
+    def of(name, value):
+        return F.when(F.col("side") == name, value)
+
+    per_train = hashed.groupBy("train_no").agg(*[
+        x.alias(f"{name}_{what}") for name in SIDES for what, x in (
+            ("stops", F.count(of(name, 1))), ("h", F.bit_xor(of(name, F.col("h")))), ("g", F.bit_xor(of(name, F.col("g")))),
+        )
+    ])
+    same = [F.col(f"old_{x}").eqNullSafe(F.col(f"new_{x}")) for x in ("stops", "h", "g")]
+    return per_train.select("train_no", "old_stops", "new_stops", (same[0] & same[1] & same[2]).alias("same"))
+
+
 def schedule_status(old: DataFrame, new: DataFrame) -> DataFrame:
     """train_no, status (new, updated, unchanged, missing), changes (array).
 
-    One full join of the stops on (train, place), whose keys are unique on both sides,
-    and one aggregate per train. Header fields are compared on the first stop, which
-    every train has; stop kinds come in the order of the place they first differ at.
+    Trains of both tables whose fingerprints differ are compared place by place (places are
+    unique on both sides); of all others only the first stop goes on. Stop kinds come in the order of
+    the place they first differ at.
     """
-    header = ["train_name", "source_code", "dest_code"]
-    fields = ["station_code", "arrival", "departure", "distance"]
-
-    def side(df, tag):
-        first = F.col("pos") == 0
-        return df.select(
-            "train_no", "pos", F.lit(True).alias(f"{tag}_has"),
-            *[F.when(first, F.col(h)).alias(f"{tag}_{h}") for h in header],
-            *[F.col(f).alias(f"{tag}_{f}") for f in fields],
-        )
+    stops = tagged_stops(old, new)
+    both = (F.col("old_stops") > 0) & (F.col("new_stops") > 0)
+    compared = stops.join(fingerprints(stops), "train_no").where((both & ~F.col("same")) | (F.col("pos") == 0))
+    fields = F.struct(*HEADER, *FIELDS)
+    per_place = compared.groupBy("train_no", "pos").agg(
+        *[F.max(F.when(F.col("side") == name, fields)).alias(name) for name in SIDES],
+        F.max("old_stops").alias("old_stops"), F.max("new_stops").alias("new_stops"),
+    )
 
     def differs(f):
-        return F.col(f"old_{f}") != F.col(f"new_{f}")
-
-    joined = side(old, "old").join(side(new, "new"), ["train_no", "pos"], "full_outer")
-    tests = {kind: differs(f) for kind, f in zip(STOP_KINDS, fields)}
-    tests["DISTANCE"] = tests["DISTANCE"] & (F.col("old_distance") != "") & (F.col("new_distance") != "")
-    per_train = joined.groupBy("train_no").agg(
-        F.count("old_has").alias("old_stops"),
-        F.count("new_has").alias("new_stops"),
-        *[F.min(F.when(differs(h), F.lit(-1).cast("bigint"))).alias(k) for k, h in zip(HEADER_KINDS, header)],
+        return F.col(f"old.{f}") != F.col(f"new.{f}")
+
+    tests = {kind: differs(f) for kind, f in zip(STOP_KINDS, FIELDS, strict=True)}
+    tests["DISTANCE"] = tests["DISTANCE"] & (F.col("old.distance") != "") & (F.col("new.distance") != "")
+    per_train = per_place.groupBy("train_no").agg(
+        F.max("old_stops").alias("old_stops"), F.max("new_stops").alias("new_stops"),
+        *[F.min(F.when(differs(h), F.lit(-1).cast("bigint"))).alias(k) for k, h in zip(HEADER_KINDS, HEADER)],
         *[F.min(F.when(test, F.col("pos"))).alias(kind) for kind, test in tests.items()],
     ).withColumn(
         "STOP_COUNT", F.when(F.col("old_stops") != F.col("new_stops"), F.lit(-1).cast("bigint"))
@@ -57,10 +94,7 @@ def schedule_status(old: DataFrame, new: DataFrame) -> DataFrame:
         for i, kind in enumerate(HEADER_KINDS + STOP_KINDS)
     ]
     found = F.array_sort(F.filter(F.array(*entries), lambda x: x.isNotNull()))
-    both = (F.col("old_stops") > 0) & (F.col("new_stops") > 0)
-    changes = F.when(both, F.transform(found, lambda x: x["kind"])).otherwise(
-        F.array().cast("array<string>")
-    )
+    changes = F.when(both, F.transform(found, lambda x: x["kind"])).otherwise(F.array().cast("array<string>"))
     status = (
         F.when(F.col("old_stops") == 0, "new").when(F.col("new_stops") == 0, "missing")
         .when(F.size("changes") > 0, "updated").otherwise("unchanged")
