@@ -272,6 +272,27 @@ def test_fill_is_exact_where_a_sum_exists():
         assert int((taken * lengths).sum()) == max(s for s in sums if s <= budget)
 
 
+def test_choice_meets_the_budget_where_a_sum_exists():
+    rng = random.Random(3)
+    for case in range(300):
+        lengths = np.array(sorted(rng.sample(range(1, 300), rng.randrange(1, 9))))
+        counts = np.array([rng.randrange(0, 4) for _ in lengths])
+        total = int((lengths * counts).sum())
+        budget = rng.randrange(total + 1) if case % 2 else max(0, total - rng.randrange(60))  # near-full ones as well
+        sums = {0}
+        for l, c in zip(lengths.tolist(), counts.tolist(), strict=True):
+            sums = {s + k * l for s in sums for k in range(c + 1)}
+        taken = mixing.choose(budget, lengths, counts, case)
+        got = int((taken * lengths).sum())
+        assert (taken >= 0).all() and (taken <= counts).all()
+        # The nearest sum on the side that is chosen: taken ones from below, left-out ones from below.
+        best = max(s for s in sums if s <= budget) if 2 * budget <= total else min(s for s in sums if s >= budget)
+        assert got == best
+        # Beyond the table's size whole documents go first; what they leave is still filled.
+        rough = mixing.choose(budget, lengths, counts, case, most_cells=50)
+        assert (rough >= 0).all() and (rough <= counts).all()
+
+
 def test_mix(spark):
     rng = random.Random(6)
     rows = [(i, words(rng, rng.randrange(1, 40)), "en", rng.choice(["a", "b", "b", "b", "c", "é", None])) for i in range(900)]

@@ -4,17 +4,18 @@ Sources in code-point order (null last) weigh 5, 2, 1, 5, 2, 1, ...; each gets i
 the total size, at most ``most`` times what it has (the excess goes to the others by weight
 until nobody is above). A source takes as many whole rounds of all its documents as fit its
 target. For the rest of the budget, documents are counted by exact length: each length gives
-the rounded-down proportional part of its documents, then, in a seeded order, single
-further ones while they fit, and a bounded-knapsack table over (length, documents left) fills
-what remains exactly, or as nearly as it can. Which documents of a length are taken is
-decided by a seeded hash of the id.
+the rounded-down proportional part of its documents, and a bounded-knapsack table over (length,
+documents left) fills what remains exactly, or as nearly as it can; if that misses, the table
+decides over all documents. Budgets beyond the table's size first take, in a seeded order,
+single further documents while they fit. Of a budget above half of the source, what is left out
+is chosen instead. Which documents of a length are taken is decided by a seeded hash of the id.
 
 Only counts meet in one place: (source, length, documents), whose number for one source is
 bounded by the square root of its words. Documents of one length are ranked in ranges of
 their hash of about ``range_rows`` rows each, so a hot length is spread.
 
 Defined cases: null texts and texts without words have size 0 and take 0; a null source is a
-source of its own, the last; sources without words have target 0 and give their share away;
+source of its own, the last; ids may be null (such rows are ranked like others); sources without words have target 0 and give their share away;
 when everything has size 0 all targets are 0; repeated rows of an id are ranked one by one;
 an empty table gives an empty result; further columns are ignored.
 """
@@ -89,16 +90,27 @@ def fill(budget: int, lengths: np.ndarray, counts: np.ndarray, most_cells: int =
     return taken
 
 
-def choose(budget: int, lengths: np.ndarray, counts: np.ndarray, seed: int) -> np.ndarray:
-    """Documents to take of each length: proportional, then single ones, then the exact fill."""
+def choose(
+    budget: int, lengths: np.ndarray, counts: np.ndarray, seed: int, most_cells: int = 4_000_000, most_work: int = 3_000_000_000
+) -> np.ndarray:
+    """Documents to take of each length so that their lengths add up to ``budget``, or nearly."""
     total = int((lengths * counts).sum())
     if budget <= 0 or total == 0:
         return np.zeros(len(lengths), np.int64)
     if budget >= total:
         return counts.copy()
+    if 2 * budget > total:
+        return counts - choose(total - budget, lengths, counts, seed, most_cells, most_work)
     # Integer arithmetic: counts times budget can pass 2**53.
     taken = np.array([int(c) * budget // total for c in counts], np.int64)
     left = budget - int((lengths * taken).sum())
+    parts = sum(int(c).bit_length() for c in counts)
+    if left <= most_cells and left * parts <= most_work:
+        near = taken + fill(left, lengths, counts - taken, most_cells)
+        if int((near * lengths).sum()) == budget or budget > most_cells or budget * parts > most_work:
+            return near
+        whole = fill(budget, lengths, counts, most_cells)
+        return max(near, whole, key=lambda t: int((t * lengths).sum()))
     order = np.random.default_rng(seed).permutation(len(lengths))
     reserve = 4 * int(lengths.max())  # leave the table something to work with
     for i in order:
