@@ -1,6 +1,7 @@
 """Search, URL filter, revisits, quality and language: plain versions or held-out accuracy."""
 
 import random
+import time
 import re
 import zlib
 
@@ -66,7 +67,7 @@ def plain_listed(url):
     best = None
     for rule, verdict in URL_RULES:
         h, _, p = rule.partition("/")
-        if (host == h or host.endswith("." + h)) and path.startswith("/" + p if p else "") and (best is None or len(rule) > len(best[0])):
+        if (host == h or host.endswith("." + h)) and path.startswith("/" + p) and (best is None or len(rule) > len(best[0])):
             best = (rule, verdict)
     return host, path, *(best or (None, None))
 
@@ -143,6 +144,27 @@ def test_a_rule_that_hangs_on_the_third_path_part(spark):
     assert all(got[i]["mined_rule"] == ("p:pills" if i % 2 else "p:books") for i in range(40))
 
 
+def test_tokens_of_the_same_rows_are_one_item(spark):
+    rng = random.Random(2)
+
+    def judged(parts):
+        shared = "/".join(f"part{chr(97 + k // 26)}{chr(97 + k % 26)}" for k in range(parts))
+        urls = [f"http://h.io/{shared}/{rng.choice(['buy', 'read'])}/x" for _ in range(60)]
+        urls += ["http://h.io/partac/other", "http://h.io/buy"]  # one of the shared parts is enough
+        df = spark.createDataFrame([*enumerate(urls), (3, urls[3])], "page_id long, url string")
+        labels = spark.createDataFrame([(i, "block" if "/buy/" in u else "allow") for i, u in enumerate(urls[:40])] + [(3, "allow"), (3, "block")], "page_id long, label string")
+        begin = time.time()
+        got = [(r["page_id"], r["verdict"]) for r in url_filter.filter_urls(df, [], labels, min_support=0.1, min_confidence=0.6).collect()]
+        return urls, sorted(got), time.time() - begin
+
+    judged(3)  # warm
+    urls, got, few = judged(6)
+    urls, got, many = judged(30)
+    assert many < 2 * few + 5
+    want = ["block" if "/buy" in u else "allow" for u in urls]
+    assert got == sorted([*enumerate(want), (3, want[3])])
+
+
 # ------------------------------------------------------------------ revisits
 
 CAPTURES = "record_id long, url string, at long, kind string, etag string, last_modified string, headers map<string,string>, found string"
@@ -236,6 +258,29 @@ def test_quality_scores_are_sparse_dot_products(spark):
         assert abs(got[i] - 1 / (1 + np.exp(-(dense @ w[:-1] + 0.3 * w[-1])))) < 1e-9
 
 
+def test_follow_leader_against_a_plain_loop():
+    rng = np.random.default_rng(3)
+    examples = [(np.sort(rng.choice(6, 3, replace=False)), rng.normal(size=3), int(rng.integers(2))) for _ in range(40)]
+    alpha, beta, l1, l2 = 1.5, 1.0, 0.01, 0.01
+    z, n = [0.0] * 7, [0.0] * 7
+
+    def weight(i):
+        if abs(z[i]) <= l1:
+            return 0.0
+        return -(z[i] - (l1 if z[i] > 0 else -l1)) / ((beta + n[i] ** 0.5) / alpha + l2)
+
+    for _ in range(2):
+        for places, values, label in examples:
+            x = [*zip(places.tolist(), values.tolist(), strict=True), (6, 0.3)]
+            p = 1 / (1 + np.exp(-sum(weight(i) * v for i, v in x)))
+            for i, v, w in [(i, v, weight(i)) for i, v in x]:
+                g = (p - label) * v
+                z[i] += g - ((n[i] + g * g) ** 0.5 - n[i] ** 0.5) / alpha * w
+                n[i] += g * g
+    got = quality.follow_leader(examples, 6, alpha, beta, l1, l2, epochs=2)
+    assert np.allclose(got, [weight(i) for i in range(7)])
+
+
 def test_quality_without_labels(spark):
     none = spark.createDataFrame([], "doc_id long, quality int")
     df = docs(spark, [(1, "a b"), (2, None)])

@@ -1,21 +1,25 @@
 """URL filter: listed rules first, mined association rules for the rest.
 
 A listed rule is host/path with a verdict; it fits its host and all subdomains when the
-url's path starts with the rule's path, and the longest fitting rule wins. Every url looks
-its candidates up by an equi join on the suffixes of its host, so no url meets all rules.
+url's path starts with the rule's path, and the longest fitting rule wins. A url without a path
+(http://host?x) does not start with the "/" of any rule, so none fits it. The list is the
+caller's and part of the plan: a url is tested against each of its rules.
 
 Urls that no listed rule fits are judged by association rules: FP-growth over the tokens of
 labelled urls (host labels, path parts, query keys) finds token sets that come with a
 verdict; rules need a least support and confidence, and a rule is pruned when a part of it
-does at least as well. Rules are matched through an inverted index: each rule is filed under
-its rarest token, a url probes with its tokens, and the remaining tokens of the rule are
-compared as sets. Urls are first reduced to their distinct sets of indexed tokens, so a host
+does at least as well. Tokens that stand in the very same labelled urls are one item (found by
+fingerprints of their rows; the smallest one names it): any of them says as much as all, and
+their combinations, which would double with each, are never mined. Rules are matched through
+an inverted index: each rule is filed under its rarest item, a url probes with its items, and
+the remaining items of the rule are compared as sets. Urls are first reduced to their distinct sets of indexed tokens, so a host
 that makes up a third of all rows is matched once. The most confident rule decides (then the
 best supported, then the smallest token list); without any, the verdict is ``default``.
 
 Defined cases: a null url or one without ``://`` has empty host and path, fits no listed
 rule and has no tokens, so it gets ``default``; a url of any length is read whole; with no
-labelled rows nothing is mined; repeated rows are judged each; other columns are ignored.
+labelled rows nothing is mined; an id with several labels counts as ``allow`` if one of them is
+(the smallest text); repeated rows are judged each; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -32,16 +36,6 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 VERDICT = "verdict="
 
 
-def host_of(url: Column) -> Column:
-    """From the first :// to /, ?, # or the end, A-Z in lower case; '' without one."""
-    return F.coalesce(F.translate(F.regexp_extract(url, r"(?s)^(?:(?!://).)*://([^/?#]*)", 1), UPPER, LOWER), F.lit(""))
-
-
-def path_of(url: Column) -> Column:
-    """What follows the host, up to ? or #; '' without one."""
-    return F.coalesce(F.regexp_extract(url, r"(?s)^(?:(?!://).)*://[^/?#]*(/[^?#]*)", 1), F.lit(""))
-
-
 def split_url(url: Column) -> tuple[Column, Column]:
     """(host, path); the first :// is found without a backtracking pattern."""
     url = F.coalesce(url.cast("string"), F.lit(""))
@@ -75,7 +69,7 @@ def listed_verdicts(pages: DataFrame, rules: Sequence[tuple[str, str]]) -> DataF
     cut.sort(key=lambda x: (-len(x[2]), x[2]))
     rule = verdict = None
     for host, path, name, v in reversed(cut):
-        fits = ((F.col("host") == host) | F.col("host").endswith("." + host)) & (F.col("path").startswith(path) if path != "/" else F.lit(True))
+        fits = ((F.col("host") == host) | F.col("host").endswith("." + host)) & F.col("path").startswith(path)
         rule = F.when(fits, F.lit(name)) if rule is None else F.when(fits, F.lit(name)).otherwise(rule)
         verdict = F.when(fits, F.lit(v)) if verdict is None else F.when(fits, F.lit(v)).otherwise(verdict)
     if rule is None:
@@ -83,10 +77,29 @@ def listed_verdicts(pages: DataFrame, rules: Sequence[tuple[str, str]]) -> DataF
     return pages.withColumn("rule", rule).withColumn("listed", verdict)
 
 
+def same_rows(labelled: DataFrame) -> DataFrame:
+    """token, item: tokens that stand in the very same rows share an item, the smallest of them.
+
+    A token's rows are compared by their number and two xor'ed hashes of the row.
+    """
+    rows = labelled.select(F.explode("tokens").alias("token"), "_row")
+    prints = rows.groupBy("token").agg(
+        F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("_row")).alias("h"), F.bit_xor(F.xxhash64(F.lit(3), "_row")).alias("g")
+    )
+    named = prints.groupBy("n", "h", "g").agg(F.min("token").alias("item"))
+    return prints.join(named, ["n", "h", "g"]).select("token", "item")
+
+
+def as_items(rows: DataFrame, items: DataFrame, id_col: str) -> DataFrame:
+    """id, ``set``: the sorted distinct items of each row that has any."""
+    found = rows.select(id_col, F.explode("tokens").alias("token")).join(items, "token")
+    return found.groupBy(id_col).agg(F.array_sort(F.collect_set("item")).alias("set"))
+
+
 def mine_rules(labelled: DataFrame, min_support=0.005, min_confidence=0.6) -> DataFrame:
-    """rule_tokens, verdict, confidence, support, anchor from rows of ``tokens`` and ``label``.
+    """rule_tokens, verdict, confidence, support, anchor from rows of ``tokens`` (items) and ``label``.
 
-    FP-growth runs on distinct tokens of each labelled url; the labels are two more items.
+    FP-growth runs on the distinct items of each labelled url; the labels are two more items.
     """
     items = labelled.where(F.col("label").isNotNull()).select(
         F.array_union("tokens", F.array(F.concat(F.lit(VERDICT), "label"))).alias("items")
@@ -118,17 +131,13 @@ def mine_rules(labelled: DataFrame, min_support=0.005, min_confidence=0.6) -> Da
     return staged(left.join(anchors, ["rule_tokens", "verdict"]))
 
 
-def match_rules(urls: DataFrame, rules: DataFrame, id_col: str) -> DataFrame:
+def match_rules(urls: DataFrame, rules: DataFrame, items: DataFrame, id_col: str) -> DataFrame:
     """id, mined, mined_rule, confidence: the best mined rule of each row that has one.
 
     ``urls`` has the id and ``tokens``.
     """
-    known = rules.select(F.explode("rule_tokens").alias("token")).distinct()
-    indexed = (
-        urls.select(F.col(id_col), F.explode("tokens").alias("token")).join(known, "token")
-        .groupBy(id_col).agg(F.array_sort(F.collect_set("token")).alias("set"))
-    )
-    indexed = staged(indexed)
+    known = rules.select(F.explode("rule_tokens").alias("item")).distinct()
+    indexed = staged(as_items(urls, items.join(known, "item"), id_col))
     sets = indexed.select("set").distinct()
     hits = (
         sets.select("set", F.explode("set").alias("anchor")).join(rules, "anchor")
@@ -155,14 +164,19 @@ def filter_urls(
     base = pages.select(F.col(id_col), F.col(url_col).alias("_url"), host.alias("host"), path.alias("path"))
     judged = listed_verdicts(base, rules).withColumn("tokens", url_tokens(F.col("_url"), F.col("host"), F.col("path"))).drop("_url")
     judged = staged(judged.withColumn("_row", F.monotonically_increasing_id()))
-    known = judged.where("listed is not null").select("tokens", F.col("listed").alias("label"))
+    known = judged.where("listed is not null").select("_row", "tokens", F.col("listed").alias("label"))
     if labels is not None:
         voted = labels.groupBy(F.col(id_col).alias("_id")).agg(F.min("label").alias("label"))
-        more = judged.where("listed is null").join(voted, judged[id_col] == voted["_id"]).select("tokens", "label")
+        more = judged.where("listed is null").join(voted, judged[id_col] == voted["_id"]).select("_row", "tokens", "label")
         known = known.unionByName(more)
-    mined = mine_rules(known, min_support, min_confidence)
+    known = staged(known)
+    items = staged(same_rows(known))
+    merged = known.join(as_items(known, items, "_row"), "_row", "left").select(
+        F.coalesce("set", F.array().cast("array<string>")).alias("tokens"), "label"
+    )
+    mined = mine_rules(merged, min_support, min_confidence)
     open_ = judged.where("listed is null")
-    hits = match_rules(open_.select("_row", "tokens"), mined, "_row")
+    hits = match_rules(open_.select("_row", "tokens"), mined, items, "_row")
     return judged.join(hits, "_row", "left").select(
         id_col, "host", "path", "rule", F.coalesce("listed", "mined", F.lit(default)).alias("verdict"),
         F.array_join("mined_rule", " ").alias("mined_rule"), "confidence",
