@@ -26,7 +26,7 @@ def shared_folder(spark: SparkSession) -> str:
     """The folder in ``spark.checkpoint.dir``; only a local session without one gets its own."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        if not spark.sparkContext.master.startswith("local["):
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="llm-")
         spark.conf.set("spark.checkpoint.dir", folder)
