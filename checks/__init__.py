@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-AREAS = ["audit", "text", "quality", "merging", "migration", "routes"]
+AREAS = ["audit", "text", "quality", "merging", "migration", "routes", "files"]
 
 
 def _areas():

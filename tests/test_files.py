@@ -2,10 +2,12 @@
 
 import json
 
+import pytest
+
 from tests.helpers import table
 from waymend.plans import jobs
 from waymend.roles import BASE, BASE_HEADERS
-from waymend.sources import readers, writers
+from waymend.sources import readers, versions, writers
 
 
 def write(path, text):
@@ -158,3 +160,53 @@ def test_replacement_and_fill_jobs(spark):
     none = spark.createDataFrame([], "number string, extra bigint")
     swapped = jobs.gated_replacement(known, needed, routes, none)
     assert swapped.needed.count() == 0 and swapped.table.where("train_no = '9'").count() == 2
+
+
+def test_json_files_are_read_in_many_splits(spark, tmp_path):
+    items = [{"code": f"S{i % 700}", "name": f'name {i} with "quotes", braces }}{{ and \\"properties\\"', "state": "é" * (i % 5)} for i in range(2000)]
+    text = json.dumps({"type": "FeatureCollection", "features": [
+        {"type": "Feature", "geometry": {"coordinates": [i, [i]]}, "properties": p} if i % 2 else {"properties": p, "geometry": None} for i, p in enumerate(items)
+    ]}, ensure_ascii=False)
+    stations = write(tmp_path / "s.json", text)
+    trains = [{"trainNumber": f"0{i % 900}", "trainName": str(i), "trainRoute": [
+        {"sno": "1", "stationName": f"st{{{i}}}", "arrives": "Source", "departs": "1:00", "distance": "1 kms"}] * (i % 3)} for i in range(2000)]
+    one = write(tmp_path / "r.json", json.dumps(trains[:1500]))
+    two = write(tmp_path / "q.json", json.dumps(trains[1500:], indent=2))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "5000")
+    try:
+        assert readers.json_pieces(spark, stations, "properties").rdd.getNumPartitions() > 8
+        got = {r["code"]: (r["name"], r["state"], r["zone"]) for r in readers.read_station_reference(spark, stations).collect()}
+        routes, duplicates = readers.read_route_json(spark, [one, two])
+        found = {r["number"]: (r["train_name"], r["route"]) for r in routes.collect()}
+        extra = {r["number"]: r["extra"] for r in duplicates.collect()}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert got == {p["code"]: (p["name"], p["state"], None) for p in items}
+    want = {t["trainNumber"].lstrip("0") or "0": t for t in trains}
+    assert {n: (name, [s.asDict() for s in route]) for n, (name, route) in found.items()} == {n: (t["trainName"], t["trainRoute"]) for n, t in want.items()}
+    assert extra == {n: sum((t["trainNumber"].lstrip("0") or "0") == n for t in trains) - 1 for n in want}
+    other = write(tmp_path / "o.json", json.dumps([{"trainName": "a", "trainNumber": "1", "trainRoute": []}]))
+    with pytest.raises(Exception, match="not the first key"):
+        readers.read_route_json(spark, [other])[0].collect()
+    assert readers.read_route_json(spark, [write(tmp_path / "e.json", "[]")])[0].count() == 0
+
+
+def test_versions_rewrite_only_touched_files(spark, tmp_path):
+    folder = str(tmp_path / "table")
+    rows = spark.range(0, 4000).selectExpr("id div 10 as train", "id as stop", "'old' as name")
+    versions.create_versions(rows.repartitionByRange(8, "train"), folder)
+    before = versions.version_files(spark, folder)
+    assert len(before) == 8
+    keys = spark.createDataFrame([(5,), (6,), (399,), (99999,), (None,)], "train long")
+    new = spark.createDataFrame([(5, 1, "new"), (777, 2, "new")], "train long, stop long, name string")
+    assert versions.rewrite_keys(spark, folder, "train", keys, new) == 1
+    after = versions.version_files(spark, folder)
+    assert len(set(before) & set(after)) == 6  # the first and the last file were touched
+    want = sorted([(i // 10, i, "old") for i in range(4000) if i // 10 not in (5, 6, 399)] + [(5, 1, "new"), (777, 2, "new")])
+    assert sorted(map(tuple, versions.read_version(spark, folder).collect())) == want
+    assert versions.read_version(spark, folder, 0).count() == 4000
+    # Nothing touched: every file stays; a version that exists is not overwritten.
+    assert versions.rewrite_keys(spark, folder, "train", keys.where("train = 99999"), new.where("false")) == 2
+    assert set(after) <= set(versions.version_files(spark, folder))
+    with pytest.raises(Exception, match="already exists"):
+        versions._publish(spark, folder, 2, before)

@@ -5,6 +5,8 @@ Every stage sees the distinct names the earlier stages left over. The master tab
 last row counts, of equal scores the name that came first.
 """
 
+from functools import reduce
+
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -13,6 +15,7 @@ from waymend.functions.fixed_values import FUZZY_ACCEPT, SUGGESTIONS, extra_alia
 from waymend.functions.text import normalize_name
 from waymend.functions.weighted import CELLS, Names
 from waymend.operators.keyed import last_per_key, top_per_key
+from waymend.operators.ordered import HOT_ROWS, Ordered, with_ordered
 from waymend.session import frozen
 
 # Reference names scored together, and groups of open names per block.
@@ -54,44 +57,63 @@ def resolve_alias(queries: DataFrame, master: DataFrame) -> DataFrame:
     return queries.join(alias_names(master), "query")
 
 
-def _lengths(df: DataFrame, column: str) -> list:
-    """Distinct text lengths: a handful of numbers, whatever the table's size."""
-    return sorted(r[0] for r in df.select(F.length(column)).distinct().collect())
-
-
-def _prefixes(column: str, lengths: list, name: str):
-    """Prefixes of a column that can equal a text of one of the given lengths."""
-    possible = F.filter(F.array(*[F.lit(n) for n in lengths]), lambda n: n <= F.length(column))
-    return F.explode(
-        F.transform(possible, lambda n: F.substring(column, F.lit(1), n))
-    ).alias(name)
+#: Sorts behind every text that begins with what stands in front of it.
+BEHIND = "\U0010ffff"
 
 
-def resolve_prefix(queries: DataFrame, master: DataFrame) -> DataFrame:
+def resolve_prefix(queries: DataFrame, master: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Names that begin, or are begun by, the name of exactly one station.
 
-    Both directions are equi joins on a prefix, cut only at lengths the other side has.
-    Stations are counted per prefix before the join, so a common prefix is one row and
-    not a list of stations.
+    Names and stations stand in one sorted sequence, by first letter. A station opens at its name and
+    closes behind every text that begins with it; so the stations that begin a name are those open
+    at the name, and those that the name begins are the ones opened between the name and its own end.
+    Both are differences of running counts. A running sum of station numbers goes with each count: where
+    the count is one, the sum is the station.
     """
-    stations = master.select("code", "canonical_name", normalize_name("canonical_name").alias("name"))
-    query_lengths, name_lengths = _lengths(queries, "query"), _lengths(stations, "name")
-    if not query_lengths or not name_lengths:
-        return stations.where("false").select(F.col("name").alias("query"), "code", "canonical_name")
-    station = F.struct("code", "canonical_name")
-    longer = (
-        stations.select("code", "canonical_name", _prefixes("name", query_lengths, "query"))
-        .groupBy("query").agg(F.count("*").alias("n"), F.min(station).alias("s"))
+    stations = master.select("code", "canonical_name", "ord", normalize_name("canonical_name").alias("name"))
+
+    def marks(df, text, rank, station=None, open_=0, query=None):
+        n, number = F.lit(0).cast("long"), F.lit(0).cast("long")
+        if station is not None:
+            n, number = F.lit(station).cast("long"), F.col("ord").cast("long") * station
+        return df.select(
+            F.substring(text, 1, 1).alias("letter"), text.alias("text"), F.lit(rank).alias("rank"),
+            (F.col("ord") if station is not None else F.lit(0)).cast("long").alias("place"),
+            (n if open_ == 0 else F.lit(0).cast("long")).alias("opened"), (number if open_ == 0 else F.lit(0).cast("long")).alias("opened_sum"),
+            n.alias("open"), number.alias("open_sum"),
+            (F.col(query) if query else F.lit(None).cast("string")).alias("query"),
+        )
+
+    named, name, query = stations.where("name <> ''"), F.col("name"), F.col("query")
+    rows = [
+        marks(queries, query, 0, query="query"),
+        marks(named, name, 1, 1),
+        marks(named, F.concat(name, F.lit(BEHIND)), 2, -1, open_=1),
+        marks(queries, F.concat(query, F.lit(BEHIND)), 3, query="query"),
+    ]
+    sequence = reduce(lambda x, y: x.unionByName(y), rows)
+    counts = ["opened", "opened_sum", "open", "open_sum"]
+    placed = with_ordered(
+        sequence, ["letter"], ["text", "rank", "place"], {f"all_{c}": Ordered("running", F.col(c)) for c in counts}, hot_rows
     )
-    equal = stations.groupBy("name").agg(F.count("*").alias("n"), F.min(station).alias("s"))
-    shorter = (
-        queries.select("query", _prefixes("query", name_lengths, "name"))
-        .where("name <> query").join(equal, "name").select("query", "n", "s")
+    start, end = F.col("rank") == 0, F.col("rank") == 3
+
+    def at(mark, column):
+        return F.max(F.when(mark, F.col(column)))
+
+    # Stations without a name begin every name.
+    nameless = stations.where("name = ''").groupBy((F.length("name") * 0).alias("always")).agg(
+        F.count(F.lit(1)).alias("more"), F.sum(F.col("ord").cast("long")).alias("more_sum")
     )
-    found = queries.join(longer, "query").select("query", "n", "s").unionByName(shorter)
-    return (
-        found.groupBy("query").agg(F.sum("n").alias("n"), F.min("s").alias("s"))
-        .where("n = 1").select("query", "s.code", "s.canonical_name")
+    per_query = placed.where("query is not null").groupBy("query").agg(
+        (at(end, "all_opened") - at(start, "all_opened") + at(start, "all_open")).alias("n"),
+        (at(end, "all_opened_sum") - at(start, "all_opened_sum") + at(start, "all_open_sum")).alias("number"),
+    ).withColumn("always", F.length("query") * 0).join(nameless, "always", "left")
+    one = per_query.where(F.col("n") + F.coalesce("more", F.lit(0)) == 1).select(
+        "query", (F.col("number") + F.coalesce("more_sum", F.lit(0))).alias("ord")
+    )
+    return one.join(stations.select(F.col("ord").cast("long").alias("ord"), "code", "canonical_name"), "ord").select(
+        "query", "code", "canonical_name"
     )
 
 

@@ -1,5 +1,6 @@
 """Session settings the jobs rely on, and the shared folder that cuts lineage."""
 
+import re
 import tempfile
 import uuid
 
@@ -33,7 +34,7 @@ def shared_folder(spark: SparkSession) -> str:
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         folder = tempfile.mkdtemp(prefix="waymend-")
         spark.conf.set("spark.checkpoint.dir", folder)

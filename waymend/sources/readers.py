@@ -121,23 +121,36 @@ def read_parquet_with_row_id(spark: SparkSession, path, columns=None, name="row_
     return _numbered(placed, ["_file"], F.col("_order"), name).drop("_order")
 
 
-STATION_REFERENCE = (
-    "features ARRAY<STRUCT<properties: STRUCT<code: STRING, name: STRING,"
-    " state: STRING, zone: STRING>>>"
-)
+STATION_REFERENCE = "properties STRUCT<code: STRING, name: STRING, state: STRING, zone: STRING>"
 TRAIN_REFERENCE = (
-    "features ARRAY<STRUCT<properties: STRUCT<number: STRING, name: STRING, zone: STRING,"
+    "properties STRUCT<number: STRING, name: STRING, zone: STRING,"
     " from_station_code: STRING, from_station_name: STRING, to_station_code: STRING,"
-    " to_station_name: STRING, type: STRING>>>"
+    " to_station_name: STRING, type: STRING>"
 )
 
 
-def _features(spark, path, schema):
-    return (
-        spark.read.schema(schema).json(path, multiLine=True)
-        .select(F.posexplode("features").alias("pos", "feature"))
-        .select("pos", "feature.properties.*")
+def json_pieces(spark: SparkSession, path, key: str) -> DataFrame:
+    """What follows each key ``key`` in JSON files: ``value`` (text up to the next one) and ``pos``, its place.
+
+    The key's name is the separator of records, so large files are read in as many splits as any
+    text, not by one task each. Inside a JSON text the quotes around the name would be
+    escaped; a piece that is cut short by a value of that very name fails in ``from_json`` (FAILFAST).
+    """
+    rows = spark.read.option("lineSep", f'"{key}"').text(path)
+    place = F.struct(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("id"),
     )
+    return rows.select("value", place.alias("pos"))
+
+
+def _parsed(value, key, schema):
+    return F.from_json(F.concat(F.lit('{"' + key + '"'), value), schema, {"mode": "FAILFAST"})
+
+
+def _features(spark, path, schema):
+    pieces = json_pieces(spark, path, "properties").where(F.ltrim("value").startswith(":"))
+    return pieces.select("pos", _parsed(F.col("value"), "properties", schema).alias("feature")).select("pos", "feature.properties.*")
 
 
 def station_reference(rows: DataFrame) -> DataFrame:
@@ -185,14 +198,20 @@ ROUTE = (
 def read_route_json(spark: SparkSession, paths: list) -> tuple[DataFrame, DataFrame]:
     """(routes, duplicates): the last file and position wins for a train number.
 
-    Each file is an array of trains, read by one task in order. routes: number,
-    train_name, route; duplicates: number, extra (rows beyond the first).
+    Each file is an array of trains whose first key is trainNumber, where the file is cut; another
+    order of keys is an error. routes: number, train_name, route; duplicates: number, extra (rows
+    beyond the first).
     """
     rows = None
     for i, path in enumerate(paths):
+        pieces = json_pieces(spark, path, "trainNumber")
+        value = F.col("value")
+        whole = value.rlike(r"(^|[{\]])\s*\z")  # up to the next object, or to the end of the array
+        checked = F.when(whole, value).otherwise(F.raise_error(F.lit(f"trainNumber is not the first key of a train in {path}")))
         part = (
-            spark.read.schema(ROUTE).json(path, multiLine=True)
-            .select(F.lit(i).alias("file_no"), F.monotonically_increasing_id().alias("pos"), "*")
+            pieces.withColumn("value", checked).where(F.ltrim("value").startswith(":"))
+            .select(F.lit(i).alias("file_no"), "pos", _parsed(F.col("value"), "trainNumber", ROUTE).alias("t"))
+            .select("file_no", "pos", "t.*")
         )
         rows = part if rows is None else rows.unionByName(part)
     return last_routes(rows)
