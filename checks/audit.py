@@ -18,6 +18,19 @@ def audit_row_flags(spark, folder):
     return a.row_flags(stops(spark, folder)).select(*FLAG)
 
 
+def audit_broken_rows(spark, folder):
+    """Rows with a piece of text as number, a blank name or no SEQ, through the whole audit."""
+    broken = stops(spark, folder).withColumns({
+        "train_no": F.when(F.col("arrival").isNull(), F.concat(F.lit("K"), "train_no")).otherwise(F.col("train_no")),
+        "station_name": F.when(F.col("departure").isNull(), " ").otherwise(F.col("station_name")),
+        "seq": F.when(F.col("distance").isNotNull(), F.col("seq")),
+    })
+    return _only(
+        a.audit(broken), "missing_required_value", "missing_optional_value", "malformed_row_non_numeric_train_no",
+        "station_code_format", "encoding_or_whitespace_issue",
+    )
+
+
 def audit_document_flags(spark, folder):
     """Code format and encoding rules over whole document texts (texts not repeated)."""
     flags = a.row_flags(document_stops(spark, folder))
@@ -90,7 +103,7 @@ def audit_summary(spark, folder):
 QUERIES = {
     f.__name__: f
     for f in (
-        audit_row_flags, audit_document_flags, audit_ordered_flags, seq_discontinuity, clock_rules,
+        audit_row_flags, audit_broken_rows, audit_document_flags, audit_ordered_flags, seq_discontinuity, clock_rules,
         endpoint_integrity, dup_exact, dup_seq, dup_stop, code_name_consistency,
         seq_values, code_name_pairs,
         audit_flag_counts, audit_summary,
@@ -274,6 +287,11 @@ _ENDS = {
 
 ORACLE = {
     "audit_row_flags": sql(" UNION ALL ".join(_row_rules("stops"))),
+    "audit_broken_rows": sql(" UNION ALL ".join(_row_rules("broken_stops")), {
+        "broken_stops": """SELECT * REPLACE (CASE WHEN arrival IS NULL THEN 'K' || train_no ELSE train_no END AS train_no,
+          CASE WHEN departure IS NULL THEN ' ' ELSE station_name END AS station_name,
+          CASE WHEN distance IS NOT NULL THEN seq END AS seq) FROM stops"""
+    }),
     "audit_document_flags": sql(
         "SELECT row_id, train_no, category, severity FROM ("
         + _row_rules("document_stops")[-2].replace("station_code || ", "'' || ")

@@ -105,6 +105,30 @@ def new_schedule(spark, folder):
     )
 
 
+def _rough_stations(spark, folder):
+    """Nations by name, regions under longer names or as aliases, no market segments."""
+    name = F.col("r_name")
+    coast = name.isin("AFRICA", "AMERICA")
+    regions = table(spark, folder, "region").select(
+        F.concat(F.lit("R"), F.col("r_regionkey")).alias("code"),
+        F.when(coast, F.concat(name, F.lit(" COAST"))).when(name == "ASIA", "FAR LAND").otherwise(name).alias("canonical_name"),
+        (F.col("r_regionkey").cast("bigint") + 100).alias("ord"),
+        F.when(name == "ASIA", F.array(F.lower(name))).otherwise(F.array().cast("array<string>")).alias("aliases"),
+    )
+    return _stations(spark, folder).where("code like 'N%'").unionByName(regions)
+
+
+def new_schedule_rough(spark, folder):
+    """Names found exactly, by alias, as a prefix, or not at all (UNKNOWN, shown as written)."""
+    return sc.new_schedule(_packed(spark, folder), _rough_stations(spark, folder)).select(
+        "train_no", "pos", "station_code", "station_name", "source_code", "dest_code", "source_name", "dest_name"
+    )
+
+
+def unresolved_report(spark, folder):
+    return sc.unresolved_names(sc.new_schedule(_packed(spark, folder), _rough_stations(spark, folder)))
+
+
 # ------------------------------------------------------------ resolution
 
 
@@ -228,7 +252,8 @@ def _two_schedules(spark, folder):
         F.when(high & (F.col("l_linestatus") == "O"), F.lit("First")).otherwise(quantity),
         F.when(high & (F.col("l_returnflag") == "N"), F.lit("LAST")).otherwise(F.col("l_returnflag")),
         F.when(high, F.when(F.col("l_linestatus") == "F", F.lit("9")).otherwise(F.lit(""))).otherwise(quantity),
-        F.col("o_custkey"), F.when(urgent, F.lit("1")).otherwise(F.col("o_custkey").cast(S)),
+        F.when(F.col("o_orderpriority") == "5-LOW", F.lit("2")).otherwise(F.col("o_custkey").cast(S)),
+        F.when(urgent, F.lit("1")).otherwise(F.col("o_custkey").cast(S)),
         F.when(F.col("o_orderstatus") == "P", F.concat(F.lit("P"), key)).otherwise(key),
     )
     return old, new
@@ -252,7 +277,7 @@ def import_rows(spark, folder):
 QUERIES = {
     f.__name__: f
     for f in (
-        old_schedule, skipped_seq_values, parse_packed_stops, new_schedule, resolve_exact, resolve_alias,
+        old_schedule, skipped_seq_values, parse_packed_stops, new_schedule, new_schedule_rough, unresolved_report, resolve_exact, resolve_alias,
         resolve_prefix, resolve_codes, resolve_names, suggest_top5, schedule_status, status_totals, import_rows,
     )
 }
@@ -302,7 +327,7 @@ _VIEWS = {
         CASE WHEN high AND l_linestatus = 'O' THEN 'First' ELSE q END AS arrival,
         CASE WHEN high AND l_returnflag = 'N' THEN 'LAST' ELSE l_returnflag END AS departure,
         CASE WHEN high AND l_linestatus = 'F' THEN '9' WHEN high THEN '' ELSE q END AS distance,
-        cust AS source, CASE WHEN urgent THEN '1' ELSE cust END AS dest
+        CASE WHEN o_orderpriority = '5-LOW' THEN '2' ELSE cust END AS source, CASE WHEN urgent THEN '1' ELSE cust END AS dest
       FROM flat WHERE NOT (l_returnflag = 'R' AND l_linestatus = 'O' AND l_discount > 0.09)""",
     "new_flat": "SELECT *, row_number() OVER (PARTITION BY train_no ORDER BY seq, row_id) - 1 AS pos FROM new_rows",
     "old_heads": """SELECT train_no, count(*) AS n, arg_min(train_name, pos) AS name, arg_min(source, pos) AS source,
@@ -325,7 +350,23 @@ _VIEWS = {
       LEFT JOIN (SELECT train_no, string_agg(kind, ', ' ORDER BY pos, rank) AS changes FROM kinds GROUP BY 1) c USING (train_no)""",
 }
 
+_ROUGH = {
+    **_VIEWS,
+    "rough": """SELECT 'N' || n_nationkey AS code, n_name AS name, n_name AS shown FROM nation UNION ALL
+      SELECT 'R' || r_regionkey, r_name, CASE WHEN r_name IN ('AFRICA', 'AMERICA') THEN r_name || ' COAST'
+        WHEN r_name = 'ASIA' THEN 'FAR LAND' ELSE r_name END FROM region""",
+    "rough_stops": """SELECT s.*, coalesce(a.code, 'UNKNOWN') AS station_code, coalesce(a.shown, s.name) AS station_name
+      FROM trip_stops s LEFT JOIN rough a ON a.name = replace(s.name, 'RL ', '')""",
+}
+
 ORACLE = {
+    "new_schedule_rough": sql(
+        """SELECT s.train_no, s.pos, s.station_code, s.station_name, coalesce(b.code, 'UNKNOWN') AS source_code,
+          coalesce(c.code, 'UNKNOWN') AS dest_code, coalesce(b.shown, 'RL ' || t.n_name) AS source_name, coalesce(c.shown, t.destination) AS dest_name
+        FROM rough_stops s JOIN trips t USING (train_no) LEFT JOIN rough b ON b.name = t.n_name LEFT JOIN rough c ON c.name = t.destination""",
+        _ROUGH,
+    ),
+    "unresolved_report": sql("""SELECT DISTINCT name AS "Station" FROM rough_stops WHERE station_code = 'UNKNOWN'""", _ROUGH),
     "old_schedule": sql(
         """SELECT train_no, row_number() OVER (PARTITION BY train_no ORDER BY l_linenumber, row_id) - 1 AS pos,
           CAST(l_linenumber AS VARCHAR) AS seq, station_code, station_name, arrival, station_code AS source_code

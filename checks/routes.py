@@ -106,9 +106,9 @@ def replace_log(spark, folder):
 def _line_stops(spark, folder, train, code):
     lines = numbered(
         spark, folder, "lineitem",
-        ["l_orderkey", "l_suppkey", "l_linenumber", "l_quantity", "l_returnflag", "l_linestatus"],
+        list(dict.fromkeys(["l_linenumber", "l_quantity", train, code])),
     )
-    return lines.select("l_linestatus", "row_id", "l_linenumber", "l_quantity", "l_returnflag", "l_orderkey", "l_suppkey"), as_stops(
+    return as_stops(
         lines, train_no=F.col(train), seq=F.col("l_linenumber"), station_code=F.col(code),
         distance=F.col("l_quantity").cast("int"),
     )
@@ -116,25 +116,25 @@ def _line_stops(spark, folder, train, code):
 
 def segment_median(spark, folder):
     """Suppliers as stations, line status as the train: long runs of neighbours."""
-    return dist.segment_lookup(_line_stops(spark, folder, "l_linestatus", "l_suppkey")[1])
+    return dist.segment_lookup(_line_stops(spark, folder, "l_linestatus", "l_suppkey"))
 
 
-def _fill_inputs(spark, folder):
-    """Open lines need a distance, finished ones have it; the flag is the station."""
+def _fill_inputs(spark, folder, code="l_returnflag"):
+    """Open lines need a distance, finished ones have it; the flag (or the part) is the station."""
     lines = numbered(
         spark, folder, "lineitem",
-        ["l_orderkey", "l_linenumber", "l_quantity", "l_returnflag", "l_linestatus"],
+        list(dict.fromkeys(["l_orderkey", "l_linenumber", "l_quantity", "l_linestatus", code])),
     )
 
     def part(df, km):
         return as_stops(
             df, train_no=F.col("l_orderkey"), seq=F.col("l_linenumber"),
-            station_code=F.col("l_returnflag"), distance=km,
+            station_code=F.col(code), distance=km,
         )
 
     needed = part(lines.where("l_linestatus = 'O'"), F.lit(None))
     known = part(lines.where("l_linestatus = 'F'"), F.col("l_quantity").cast("int"))
-    lookup = dist.segment_lookup(_line_stops(spark, folder, "l_linestatus", "l_returnflag")[1])
+    lookup = dist.segment_lookup(_line_stops(spark, folder, "l_linestatus", code))
     return needed, known, lookup, dist.chained(needed, known, lookup)
 
 
@@ -142,6 +142,11 @@ def chain_log(spark, folder):
     return dist.chain_log(_fill_inputs(spark, folder)[-1])
 
 
+def chain_log_gaps(spark, folder):
+    """Parts as stations: thousands of pairs, most of which have no known length."""
+    return dist.chain_log(_fill_inputs(spark, folder, "l_partkey")[-1])
+
+
 def chain_fill(spark, folder):
     return dist.fill_distances(_fill_inputs(spark, folder)[-1]).select("row_id", "train_no", "seq", "distance", "fill_status")
 
@@ -161,7 +166,7 @@ def fill_log(spark, folder):
 QUERIES = {
     f.__name__: f
     for f in (
-        match_routes, gated_replace, replace_log, segment_median, chain_log, chain_fill, move_rows, fill_log,
+        match_routes, gated_replace, replace_log, segment_median, chain_log, chain_log_gaps, chain_fill, move_rows, fill_log,
     )
 }
 
@@ -243,6 +248,12 @@ _FILL = {
 }
 
 
+_GAPS = {**_FILL, "lookup": _segments("l_partkey"), "route": _FILL["route"].replace("l_returnflag", "CAST(l_partkey AS VARCHAR)")}
+_CHAINS = """SELECT CAST(k AS VARCHAR) AS train_no, CAST(s1 AS VARCHAR) AS from_seq, CAST(s2 AS VARCHAR) AS to_seq, status,
+          CASE WHEN complete THEN round_even((u2 - u1)::DOUBLE / 1000000, 2) END AS chain_sum,
+          CASE WHEN complete THEN round_even((d2 - d1)::DOUBLE / 1000000, 2) END AS known_gap FROM chains"""
+
+
 def _n(measure, source):
     return f"SELECT '{measure}' AS measure, count(*) AS value FROM {source}"
 
@@ -271,12 +282,8 @@ ORACLE = {
         _VIEWS,
     ),
     "segment_median": sql(_segments("l_suppkey")),
-    "chain_log": sql(
-        """SELECT CAST(k AS VARCHAR) AS train_no, CAST(s1 AS VARCHAR) AS from_seq, CAST(s2 AS VARCHAR) AS to_seq, status,
-          CASE WHEN complete THEN round_even((u2 - u1)::DOUBLE / 1000000, 2) END AS chain_sum,
-          CASE WHEN complete THEN round_even((d2 - d1)::DOUBLE / 1000000, 2) END AS known_gap FROM chains""",
-        _FILL,
-    ),
+    "chain_log": sql(_CHAINS, _FILL),
+    "chain_log_gaps": sql(_CHAINS, _GAPS),
     "chain_fill": sql("SELECT row_id, train_no, seq, distance, fill_status FROM fills", _FILL),
     "move_rows": sql(
         """SELECT 'known' AS "table", CAST(l_orderkey AS VARCHAR) AS train_no, CAST(l_linenumber AS VARCHAR) AS seq,
