@@ -165,3 +165,47 @@ def test_previous_in_file(spark):
     got = previous_in_file(df, "row_id", ["v"], "p", block=64)
     bad = got.where(~F.col("p.v").eqNullSafe(F.when(F.col("row_id") > 0, F.col("v") - 2)))
     assert got.count() == 1000 and bad.count() == 0
+
+
+def test_numbers_of_any_length(spark):
+    big = 10**44
+    rows = [
+        full("1", str(big + 2), "AA", distance="5"), full("1", str(big + 1), "BB", distance="9"), full("1", f"00{big + 3}", "CC", distance="7"),
+        full("2", "+1", "AA"), full("2", "02", "BB"), full("2", "3.0", "CC"), full("2", "4e0", "DD"),  # whole numbers all the same
+        full("3", "-1", "AA"), full("3", "2", "BB"), full("3", "-12", "CC"),
+        full("4", "0", "AA"), full("4", "-0", "BB"),
+    ]
+    df = stops(spark, rows)
+    for hot in (a.HOT_ROWS, 2):
+        flags = {(r.train_no, r.category): (r.row_id, r.detail) for r in a.audit(df, hot_rows=hot).collect()}
+        # The double of all three numbers is the same; the order is theirs all the same.
+        assert flags["1", "distance_not_monotonic"][0] in (0, 2)
+        assert flags["1", "seq_discontinuity"][1] == f"3 different seq values {big + 1}..{big + 3} is not 1..3"
+        assert ("2", "seq_discontinuity") not in flags
+        assert flags["3", "seq_discontinuity"][1] == "3 different seq values -12..2 is not 1..3"
+        assert flags["4", "seq_discontinuity"][1] == "1 different seq values 0..0 is not 1..2"
+    steps = [r.row_id for r in a.ordered_stops(df.where("train_no = '1'")).orderBy("pos").collect()]
+    assert steps == [1, 0, 2]
+
+
+def test_repeated_rows_compare_fields_not_hashes(spark, monkeypatch):
+    from waymend.operators import keyed
+
+    monkeypatch.setattr(keyed.F, "xxhash64", lambda *c: F.lit(7).cast("long"))
+    df = spark.createDataFrame([("a", None), ("a", None), ("b", "x"), ("c", "x"), (None, None)], "p string, q string")
+    assert table(keyed.repeated_rows(df, ["p", "q"])) == [("a", None), ("a", None)]
+
+
+def test_summary_of_no_rows(spark):
+    df = stops(spark, [])
+    got = {r.measure: r.value for r in a.audit_summary(df, a.audit(df)).collect()}
+    assert set(got.values()) == {0} and "total_rows_analyzed" in got
+
+
+def test_borders_below(spark):
+    from waymend.operators.ordered import _borders_below
+
+    rows = [(v, sorted(random.Random(n).sample(range(60), n))) for n in (0, 1, 2, 5, 16, 17, 40) for v in range(-1, 61, 3)]
+    df = spark.createDataFrame(rows, "v long, b array<long>")
+    got = [r[0] for r in df.select(_borders_below(F.col("v"), F.col("b"))).collect()]
+    assert got == [sum(x <= v for x in b) for v, b in rows]

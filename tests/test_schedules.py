@@ -180,3 +180,43 @@ def test_difference(spark):
         ("born", "n", 1, "A", "a", "", "1", "", "A", "a", "C", "c", "", ""),
         ("born", "n", 2, "C", "c", "2", "", "7", "A", "a", "C", "c", "", ""),
     ]
+
+
+def test_unchanged_trains_are_not_compared(spark):
+    from waymend.operators import diff
+
+    columns = "train_no string, pos long, train_name string, source_code string, dest_code string, station_code string, arrival string, departure string, distance string"
+
+    def train(number, *codes):
+        return [(number, i, "n", "s", "d", c, None, "", str(i)) for i, c in enumerate(codes)]
+
+    old = train("1", *"ABCD") + train("2", *"ABCD") + train("3", *"AB") + train("4", *"AB")
+    new = train("1", *"ABCD") + train("2", *"ACBD") + train("3", *"ABC") + train("5", *"AB")
+    one, two = spark.createDataFrame(old, columns), spark.createDataFrame(new, columns)
+    kept = diff.stops_to_compare(diff.tagged_stops(one, two)).groupBy("train_no").count().collect()
+    assert {r[0]: r[1] for r in kept} == {"1": 2, "2": 8, "3": 5, "4": 1, "5": 1}
+    got = {r.train_no: (r.status, r.changes) for r in diff.schedule_status(one, two).collect()}
+    assert got == {
+        "1": ("unchanged", []), "2": ("updated", ["ROUTE"]), "3": ("updated", ["STOP_COUNT"]), "4": ("missing", []), "5": ("new", []),
+    }
+
+
+def test_prefixes_against_a_loop(spark):
+    rng = random.Random(7)
+
+    def name():
+        return "".join(rng.choice("ab c") for _ in range(rng.randrange(1, 7))).strip()
+
+    for nameless in ([], [("E", "", [])], [("E", "", []), ("G", " ", [])]):
+        rows = [(f"C{i}", name(), []) for i in range(25)] + nameless
+        queries = sorted({q for q in (" ".join(name().split()) for _ in range(60)) if q})
+        master = master_table(spark, rows)
+        df = spark.createDataFrame([(q,) for q in queries], "query string")
+        stations = [(c, " ".join(n.split())) for c, n, _ in rows]
+        want = {}
+        for q in queries:
+            fits = [c for c, n in stations if n.startswith(q) or q.startswith(n)]
+            if len(fits) == 1:
+                want[q] = fits[0]
+        for hot in (2_000_000, 10):
+            assert {r["query"]: r["code"] for r in rs.resolve_prefix(df, master, hot).collect()} == want

@@ -17,15 +17,15 @@ def apply(spark):
 
 def test_normalize_name(apply):
     cases = {
-        "  NEW DELHI  ": "new delhi",
-        "Bombay Central": "mumbai central",
-        "Madras Central": "chennai central",
-        "Bangalore City": "bengaluru city",
-        "Calcutta": "kolkata",
-        "Mathura Jn": "mathura junction",
-        "New Delhi (NDLS)": "new delhi",
-        "St. Thomas, Mount": "st thomas mount",
-        "New    Delhi": "new delhi",
+        " \t LOWER harbour ": "lower harbour",
+        "Bombay Docks": "mumbai docks",
+        "West Madras": "west chennai",
+        "Bangalore East 2": "bengaluru east 2",
+        "calcutta port": "kolkata port",
+        "Itarsi Jn": "itarsi junction",
+        "Old Fort (OFT)": "old fort",
+        "Mt. Abu, Road": "mt abu road",
+        "Salt     Lake": "salt lake",
         "A jn jn B": "a junction jn b",
         "Agra & Cantt.-Rd": "agra and cantonment road",
         "\tX Hal\n": "x halt",

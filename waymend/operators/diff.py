@@ -58,16 +58,22 @@ def fingerprints(stops: DataFrame) -> DataFrame:
     return per_train.select("train_no", "old_stops", "new_stops", (same[0] & same[1] & same[2]).alias("same"))
 
 
+def _both():
+    return (F.col("old_stops") > 0) & (F.col("new_stops") > 0)
+
+
+def stops_to_compare(stops: DataFrame) -> DataFrame:
+    """All stops of trains of both tables whose fingerprints differ; of other trains the first stop."""
+    return stops.join(fingerprints(stops), "train_no").where((_both() & ~F.col("same")) | (F.col("pos") == 0))
+
+
 def schedule_status(old: DataFrame, new: DataFrame) -> DataFrame:
     """train_no, status (new, updated, unchanged, missing), changes (array).
 
-    Trains of both tables whose fingerprints differ are compared place by place (places are
-    unique on both sides); of all others only the first stop goes on. Stop kinds come in the order of
-    the place they first differ at.
+    Only trains that changed are compared place by place (places are unique on both sides). Stop
+    kinds come in the order of the place they first differ at.
     """
-    stops = tagged_stops(old, new)
-    both = (F.col("old_stops") > 0) & (F.col("new_stops") > 0)
-    compared = stops.join(fingerprints(stops), "train_no").where((both & ~F.col("same")) | (F.col("pos") == 0))
+    both, compared = _both(), stops_to_compare(tagged_stops(old, new))
     fields = F.struct(*HEADER, *FIELDS)
     per_place = compared.groupBy("train_no", "pos").agg(
         *[F.max(F.when(F.col("side") == name, fields)).alias(name) for name in SIDES],
