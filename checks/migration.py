@@ -5,7 +5,7 @@ from functools import reduce
 from pyspark.sql import functions as F
 
 from checks.tables import S, as_stops, numbered, sql, table
-from checks.text import plain_form
+from checks.text import common_length, plain_form
 from waymend.functions.text import normalize_name
 from waymend.operators import diff as d
 from waymend.operators import resolve as rs
@@ -350,6 +350,65 @@ _VIEWS = {
       LEFT JOIN (SELECT train_no, string_agg(kind, ', ' ORDER BY pos, rank) AS changes FROM kinds GROUP BY 1) c USING (train_no)""",
 }
 
+# Weighted similarity of every (a, b) in a table ``asked_pairs``, written from its definition.
+_LENGTHS = "length(x) + length(y)"
+_WEIGHTED = {
+    "prepared": """SELECT DISTINCT t, list_filter(string_split(t, ' '), lambda w: w <> '') AS w FROM (SELECT a AS t FROM asked_pairs UNION SELECT b FROM asked_pairs)""",
+    "words_of": """SELECT t, array_to_string(list_sort(w), ' ') AS ordered, array_to_string(list_sort(list_distinct(w)), ' ') AS single,
+        list_distinct(w) AS ws FROM prepared""",
+    "facts_of": """SELECT a, b, p.ordered AS ao, q.ordered AS bo, p.single AS au, q.single AS bu,
+        array_to_string(list_sort(list_filter(p.ws, lambda w: list_contains(q.ws, w))), ' ') AS both_words,
+        array_to_string(list_sort(list_filter(p.ws, lambda w: NOT list_contains(q.ws, w))), ' ') AS rest_a,
+        array_to_string(list_sort(list_filter(q.ws, lambda w: NOT list_contains(p.ws, w))), ' ') AS rest_b,
+        greatest(length(a), length(b))::DOUBLE / least(length(a), length(b)) AS stretch
+      FROM asked_pairs JOIN words_of p ON p.t = a JOIN words_of q ON q.t = b""",
+    "scaled": """SELECT *, length(both_words) AS base, CASE WHEN stretch <= 8 THEN 0.9 ELSE 0.6 END::DOUBLE AS far_scale FROM facts_of""",
+    "far_texts": """SELECT a, b, a AS s, b AS l, far_scale AS w FROM scaled WHERE stretch >= 1.5
+      UNION ALL SELECT a, b, ao, bo, 0.95::DOUBLE * far_scale FROM scaled WHERE stretch >= 1.5 AND base = 0
+      UNION ALL SELECT a, b, au, bu, 0.95::DOUBLE * far_scale FROM scaled WHERE stretch >= 1.5 AND base = 0 AND (ao <> au OR bo <> bu)""",
+    "ways": """SELECT a, b, CASE WHEN length(s) <= length(l) THEN s ELSE l END AS s, CASE WHEN length(s) <= length(l) THEN l ELSE s END AS l, w FROM far_texts
+      UNION ALL SELECT a, b, l, s, w FROM far_texts WHERE length(s) = length(l)""",
+    "cuts": """SELECT a, b, s, l, w, unnest(range(1 - length(s), length(l))) AS k FROM ways""",
+    "comparisons": """SELECT a, b, a AS x, b AS y, 0 AS more, 1.0::DOUBLE AS w FROM scaled
+      UNION ALL SELECT a, b, ao, bo, 0, 0.95 FROM scaled WHERE stretch < 1.5
+      UNION ALL SELECT a, b, rest_a, rest_b, CASE WHEN base > 0 THEN 2 * (base + 1) ELSE 0 END, 0.95 FROM scaled WHERE stretch < 1.5
+      UNION ALL SELECT a, b, s, substr(l, greatest(k, 0) + 1, least(k + length(s), length(l)) - greatest(k, 0)), 0, w FROM cuts""",
+    "compared": f"""SELECT a, b, max(w * CASE WHEN {_LENGTHS} + more = 0 THEN 100.0
+        ELSE (1.0::DOUBLE - ({_LENGTHS} - 2 * CASE WHEN length(x) = 0 OR length(y) = 0 THEN 0 ELSE {common_length('x', 'y')} END)::DOUBLE / ({_LENGTHS} + more)) * 100 END) AS best
+      FROM comparisons GROUP BY 1, 2""",
+    "scores_of": """SELECT a, b, round(greatest(best, CASE WHEN base = 0 THEN 0.0 WHEN stretch >= 1.5 THEN 100.0 * 0.95::DOUBLE * far_scale
+        WHEN rest_a = '' OR rest_b = '' THEN 0.95::DOUBLE * 100.0 ELSE 0.95::DOUBLE * greatest(
+          100.0 - 100.0 * (1 + length(rest_a))::DOUBLE / (2 * base + 1 + length(rest_a)),
+          100.0 - 100.0 * (1 + length(rest_b))::DOUBLE / (2 * base + 1 + length(rest_b))) END), 9) AS score
+      FROM compared JOIN scaled USING (a, b)""",
+    "ranked_names": """SELECT a AS query, row_number() OVER (PARTITION BY a ORDER BY score DESC, first_ord) AS rank, score, code, canonical_name
+      FROM scores_of JOIN part_names ON b = name""",
+}
+_PART_NAMES = f"""SELECT {plain_form('p_name')} AS name, min(p_partkey) AS first_ord, CAST(max(p_partkey) AS VARCHAR) AS code,
+    arg_max(p_name, p_partkey) AS canonical_name FROM part GROUP BY 1"""
+_SUGGEST = {
+    **_VIEWS, "part_names": _PART_NAMES,
+    "asked_names": f"""SELECT DISTINCT {plain_form('n')} AS a FROM (SELECT event_type AS n FROM events UNION SELECT c_mktsegment FROM customer UNION SELECT r_name FROM region)""",
+    "asked_pairs": "SELECT a, name AS b FROM asked_names, part_names WHERE a <> '' AND name <> ''",
+    **_WEIGHTED,
+}
+_CASCADE = {
+    **_VIEWS, "part_names": _PART_NAMES,
+    "written": f"""SELECT n AS name, {plain_form('n')} AS query FROM (SELECT upper(p_name) AS n FROM part UNION SELECT p_brand || '  ' || p_type FROM part
+        UNION SELECT p_type FROM part UNION SELECT event_type FROM events UNION SELECT c_mktsegment FROM customer)""",
+    "aliases": f"""SELECT query, CAST(k AS VARCHAR) AS code, p_name AS canonical_name FROM (SELECT query, max(p_partkey) AS k FROM (
+        SELECT {plain_form("p_brand || ' ' || lower(p_type)")} AS query, p_partkey FROM part UNION ALL SELECT {plain_form('p_type')}, p_partkey FROM part)
+        GROUP BY 1) JOIN part ON p_partkey = k""",
+    "begun": f"""SELECT query, min(CAST(p_partkey AS VARCHAR)) AS code, min(p_name) AS canonical_name FROM (SELECT DISTINCT query FROM written WHERE query <> '')
+        JOIN (SELECT *, {plain_form('p_name')} AS name FROM part) ON starts_with(query, name) OR starts_with(name, query) GROUP BY 1 HAVING count(*) = 1""",
+    "asked_pairs": """SELECT query AS a, name AS b FROM (SELECT DISTINCT query FROM written WHERE query <> '' AND query NOT IN (SELECT name FROM part_names)
+        AND query NOT IN (SELECT query FROM aliases) AND query NOT IN (SELECT query FROM begun)), part_names WHERE name <> ''""",
+    **_WEIGHTED,
+    "top_names": """SELECT query, max(CASE WHEN rank = 1 THEN score END) AS score, max(CASE WHEN rank = 1 THEN code END) AS code,
+        max(CASE WHEN rank = 1 THEN canonical_name END) AS canonical_name, string_agg(canonical_name, '; ' ORDER BY rank) AS names
+      FROM ranked_names WHERE rank <= 5 GROUP BY 1""",
+}
+
 _ROUGH = {
     **_VIEWS,
     "rough": """SELECT 'N' || n_nationkey AS code, n_name AS name, n_name AS shown FROM nation UNION ALL
@@ -360,6 +419,19 @@ _ROUGH = {
 }
 
 ORACLE = {
+    "suggest_top5": sql("SELECT query, CAST(rank AS INTEGER) AS rank, canonical_name, round(score, 6) AS score FROM ranked_names WHERE rank <= 5", _SUGGEST),
+    "resolve_names": sql(
+        """SELECT w.name, coalesce(e.code, l.code, p.code, CASE WHEN t.score >= 80 THEN t.code END, '') AS station_code,
+          coalesce(e.canonical_name, l.canonical_name, p.canonical_name, CASE WHEN t.score >= 80 THEN t.canonical_name END, '') AS canonical_name,
+          CASE WHEN e.code IS NOT NULL THEN 'EXACT' WHEN l.code IS NOT NULL THEN 'ALIAS' WHEN p.code IS NOT NULL THEN 'PREFIX'
+            WHEN t.score >= 80 THEN 'FUZZY' ELSE '' END AS method,
+          CASE WHEN coalesce(e.code, l.code, p.code) IS NOT NULL THEN 100.0 WHEN t.score >= 80 THEN round_even(t.score, 2) ELSE 0.0 END::DOUBLE AS confidence,
+          coalesce(e.code, l.code, p.code) IS NOT NULL OR coalesce(t.score >= 80, false) AS matched,
+          CASE WHEN t.score < 80 THEN t.names END AS suggestions
+        FROM written w LEFT JOIN part_names e ON e.name = w.query LEFT JOIN aliases l USING (query) LEFT JOIN begun p USING (query)
+        LEFT JOIN top_names t USING (query)""",
+        _CASCADE,
+    ),
     "new_schedule_rough": sql(
         """SELECT s.train_no, s.pos, s.station_code, s.station_name, coalesce(b.code, 'UNKNOWN') AS source_code,
           coalesce(c.code, 'UNKNOWN') AS dest_code, coalesce(b.shown, 'RL ' || t.n_name) AS source_name, coalesce(c.shown, t.destination) AS dest_name

@@ -2,8 +2,6 @@
 
 import os
 import re
-import subprocess
-import sys
 
 import pytest
 
@@ -28,9 +26,9 @@ def test_same_as_sql(spark, connection, name):
 
 @pytest.mark.parametrize("name", list(all_queries()))
 def test_plan(spark, name):
-    """No pairwise join, no row-at-a-time Python."""
+    """No pairwise join, no Python."""
     plan = all_queries()[name](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
-    for word in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython"):
+    for word in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "InArrow", "InPandas"):
         assert word not in plan
 
 
@@ -59,9 +57,8 @@ def test_the_audit_writes_nothing_and_shuffles_by_train_once(spark):
     assert len(re.findall(r"Exchange ", plan)) - len(re.findall(r"REPARTITION", plan)) <= 8
 
 
-def test_only_similarity_has_no_sql():
-    assert set(all_queries()) - set(all_sql()) == {"resolve_names", "suggest_top5"}
-    assert set(all_sql()) <= set(all_queries())
+def test_every_query_has_sql():
+    assert set(all_queries()) == set(all_sql())
 
 
 def test_ranks_are_limited_before_the_shuffle(spark):
@@ -77,21 +74,3 @@ def test_ranks_are_limited_before_the_shuffle(spark):
 def test_only_needed_columns_are_read(spark):
     plan = all_queries()["dup_stop"](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
     assert "l_partkey" in plan and "l_shipdate" not in plan and "l_quantity" not in plan
-
-
-def test_workers_need_no_copy_of_the_package(tmp_path):
-    """Another working directory, no PYTHONPATH: the code travels with the job."""
-    root = os.path.abspath(os.path.join(os.path.dirname(__file__), ".."))
-    code = (
-        f"import sys; sys.path.insert(0, {root!r})\n"
-        "from waymend.functions.weighted import Names\n"
-        "from waymend.session import build_session\n"
-        "def best(frames):\n"
-        "    for f in frames:\n"
-        "        yield f.assign(score=[Names(['agra']).top('agra', 1)[0][0]] * len(f))\n"
-        "spark = build_session('elsewhere', 'local[1]', **{'spark.ui.enabled': 'false'})\n"
-        "rows = spark.range(3).mapInPandas(best, 'id long, score double').collect()\n"
-        "assert [r.score for r in rows] == [100.0] * 3\n"
-    )
-    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
-    subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, check=True, timeout=120)

@@ -5,7 +5,7 @@ import random
 from pyspark.sql import functions as F
 
 from waymend.functions.similarity import similarity_ratio
-from waymend.functions.weighted import Names
+from waymend.functions.weighted import prepared, upper_bound, weighted_similarity
 
 
 def lcs(a, b):
@@ -84,24 +84,24 @@ def test_native_ratio_short_and_long(spark):
         assert abs(row.s - plain(row.a, row.b)) < 1e-9, (row.a, row.b)
 
 
-def test_weighted_block_equals_pairwise_definition():
+def test_weighted_equals_the_definition_and_its_bound(spark):
     rng = random.Random(5)
-    names = [random_text(rng, 24) for _ in range(60)] + ["", "a b", "x", "new delhi junction"]
-    names += [random_text(rng, 90) for _ in range(10)]
-    block = Names(names)
-    queries = [random_text(rng, 30) for _ in range(25)] + ["new delhi", "a a b", "q" * 3]
-    queries += [random_text(rng, 120) for _ in range(6)]
-    for q in queries:
-        got = block.scores(q)
-        for i, name in enumerate(names):
-            assert abs(got[i] - weighted(q, name)) < 1e-9, (q, name)
-
-
-def test_weighted_known_values():
+    names = [random_text(rng, 24) for _ in range(25)] + ["", "a b", "x", "new delhi junction", "a b a b c", random_text(rng, 90)]
+    queries = [random_text(rng, 30) for _ in range(20)] + ["new delhi", "a a b", "q" * 3, "é?é b", random_text(rng, 100)]
+    pairs = [(q, n) for q in queries for n in names]
+    df = spark.createDataFrame(pairs, "a string, b string").repartition(8)
+    shown = df.select("a", "b", weighted_similarity("a", "b").alias("s"), upper_bound(prepared("a"), prepared("b")).alias("u"))
+    for r in shown.collect():
+        want = weighted(r.a, r.b)
+        assert abs(r.s - want) < 1e-9, (r.a, r.b)
+        assert r.u >= want - 1e-9, (r.a, r.b)
+
+
+def test_weighted_known_values(spark):
     # Values that follow from the definition by hand.
-    block = Names(["new delhi", "delhi new", "delhi", "mumbai central", ""])
-    assert list(block.scores("new delhi").round(2)) == [100.0, 95.0, 90.0, block.scores("new delhi").round(2)[3], 0.0]
-    assert block.top("delhi new", 2) == [(100.0, 1), (95.0, 0)]
+    df = spark.createDataFrame([("new delhi",), ("delhi new",), ("delhi",), ("",)], "b string")
+    got = [r[0] for r in df.select(F.round(weighted_similarity(F.lit("new delhi"), F.col("b")), 6)).collect()]
+    assert got == [100.0, 95.0, 90.0, 0.0]
 
 
 def test_ratio_of_null_is_null(spark):

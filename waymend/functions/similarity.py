@@ -112,6 +112,27 @@ def lcs_length(a, b) -> Column:
     )
 
 
+def lcs_lengths(a, others) -> Column:
+    """Of one text and each text of an array; the masks of ``a`` are made once for all."""
+    once = F.array(F.struct(
+        _masks(_chars(a)).alias("masks"), (F.call_function("shiftleft", F.lit(1).cast("long"), F.length(a)) - 1).alias("full")
+    ))
+
+    def fold(bound, text):
+        def step(v, c):
+            hit = F.coalesce(F.try_element_at(bound["masks"], c), F.lit(0).cast("long")).bitwiseAND(v)
+            return (v + hit).bitwiseOR(v - hit).bitwiseAND(bound["full"])
+
+        return F.length(a) - F.bit_count(F.aggregate(_chars(text), bound["full"], step))
+
+    one_word = F.element_at(F.transform(once, lambda bound: F.transform(others, lambda t: F.when(F.length(t) == 0, 0).otherwise(fold(bound, t)))), 1)
+    many = F.transform(others, lambda t: F.when(F.length(t) == 0, 0).otherwise(_lcs_rows(a, t)))
+    return (
+        F.when(F.length(a) == 0, F.transform(others, lambda t: F.lit(0)))
+        .when(F.length(a) <= WORD_BITS, one_word).otherwise(many)
+    )
+
+
 def similarity_ratio(a, b) -> Column:
     """0-100; two empty texts are equal (100)."""
     a, b = _column(a), _column(b)

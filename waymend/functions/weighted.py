@@ -1,213 +1,168 @@
-"""Weighted similarity of one name against a block of names, used inside tasks.
+"""Weighted similarity of two names as a native expression.
 
 The score is the largest of: the plain ratio; the ratio of the sorted words and of
 the word sets (0.95); and, once one text is at least 1.5 times as long as the other,
 the best ratio of the shorter text against a slice of the longer one (0.9, or 0.6
 beyond eight times the length), over the texts and over their words. All ratios are
-the insert/delete similarity of ``similarity.py``; numpy evaluates the same bit
-recurrence for the whole block at once. Texts beyond 63 characters switch to Python
-integers of any size, with the same code.
+the insert/delete similarity of ``similarity.py``.
+
+``prepared`` holds what the score needs of one text, so that it is made once per name and not
+once per pair; ``upper_bound`` says, from letter counts alone, what a pair cannot exceed.
 """
 
-import numpy as np
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+from waymend.functions.similarity import lcs_lengths
 
 WORD_SCALE = 0.95
 SLICE_SCALE, FAR_SLICE_SCALE = 0.9, 0.6
 SLICE_FROM, FAR_FROM = 1.5, 8.0
 
-# Numbers an array of the working memory may hold.
-CELLS = 1_000_000
-
-
-class Block:
-    """Names of one form, as rows of letter numbers (0 = beyond the end)."""
-
-    def __init__(self, texts, letters):
-        self.texts = texts
-        self.size = np.array([len(t) for t in texts], dtype=np.int64)
-        width = int(self.size.max(initial=0))
-        self.rows = np.zeros((len(texts), width), dtype=np.int32)
-        for i, text in enumerate(texts):
-            self.rows[i, : len(text)] = [letters.setdefault(c, len(letters) + 1) for c in text]
-
-
-def _positions(text, letters):
-    """For each letter number, the bit set of its places in ``text``."""
-    kind = np.uint64 if len(text) <= 63 else object
-    table = np.zeros(len(letters) + 1, dtype=kind)
-    if kind is object:
-        table[:] = 0
-    for i, c in enumerate(text):
-        n = letters.get(c)
-        if n is not None:
-            table[n] |= kind(1 << i) if kind is not object else 1 << i
-    return table
-
-
-def _ones(bits):
-    if bits.dtype == object:
-        return np.vectorize(int.bit_count, otypes=[np.int64])(bits)
-    return np.bitwise_count(bits).astype(np.int64)
-
-
-def _fold(v, full, hits):
-    for hit in hits:
-        u = v & hit
-        v = ((v + u) | (v - u)) & full
-    return v
-
-
-def _similar(common, total):
-    return np.where(total == 0, 100.0, (1.0 - (total - 2.0 * common) / np.maximum(total, 1)) * 100)
-
-
-def ratio(text, block, letters):
-    """Plain ratio of ``text`` against every name of the block."""
-    table = _positions(text, letters)
-    full = table.dtype.type((1 << len(text)) - 1) if table.dtype != object else (1 << len(text)) - 1
-    v = np.full(len(block.texts), full, dtype=table.dtype)
-    v = _fold(v, full, (table[block.rows[:, j]] for j in range(block.rows.shape[1])))
-    return _similar(len(text) - _ones(v), block.size + len(text))
-
-
-def _best_slice_of_block(text, block, letters, pick):
-    """``text`` is the shorter one: every slice of each picked name, all at once."""
-    m, rows = len(text), block.rows[pick]
-    padded = np.pad(rows, ((0, 0), (m - 1, m - 1)))
-    windows = np.lib.stride_tricks.sliding_window_view(padded, m, axis=1)
-    table = _positions(text, letters)
-    full = table.dtype.type((1 << m) - 1) if table.dtype != object else (1 << m) - 1
-    v = np.full(windows.shape[:2], full, dtype=table.dtype)
-    v = _fold(v, full, (table[windows[:, :, j]] for j in range(m)))
-    start = np.arange(windows.shape[1]) - (m - 1)
-    size = block.size[pick][:, None]
-    length = np.minimum(start + m, size) - np.maximum(start, 0)
-    scores = np.where(length > 0, _similar(m - _ones(v), m + np.maximum(length, 0)), 0.0)
-    return scores.max(axis=1)
-
-
-def _best_slice_of_text(text, block, letters, pick):
-    """The names are the shorter ones: every slice of ``text``, name length by length."""
-    table = _positions(text, letters)
-    out = np.zeros(len(pick))
-    for m in np.unique(block.size[pick]):
-        here = np.flatnonzero(block.size[pick] == m)
-        m = int(m)
-        rows = block.rows[pick[here], :m]
-        starts = range(1 - m, len(text))
-        bounds = [(max(s, 0), min(s + m, len(text))) for s in starts]
-        wrap = table.dtype.type if table.dtype != object else int
-        shift = np.array([wrap(a) for a, _ in bounds], dtype=table.dtype)[:, None]
-        full = np.array([wrap((1 << (b - a)) - 1) for a, b in bounds], dtype=table.dtype)[:, None]
-        v = np.broadcast_to(full, (len(bounds), len(here)))
-        v = _fold(v, full, ((table[rows[:, j]][None, :] >> shift) & full for j in range(m)))
-        length = np.array([b - a for a, b in bounds])[:, None]
-        out[here] = _similar(length - _ones(v), length + m).max(axis=0)
-    return out
-
-
-def best_slice(text, block, letters, pick):
-    """Best ratio of the shorter text against slices of the longer, for picked names.
-
-    Long texts take the names in smaller portions, which bounds the working arrays.
+#: Letters that are counted one by one; all others are counted together.
+LETTERS = "abcdefghijklmnopqrstuvwxyz0123456789 "
+
+
+def _joined(words) -> Column:
+    return F.array_join(F.array_sort(words), " ")
+
+
+def prepared(text) -> Column:
+    """text, ordered (its sorted words), unique (its sorted distinct words), words (distinct), counts."""
+    text = F.col(text) if isinstance(text, str) else text
+    words = F.filter(F.split(text, r"\s+"), lambda w: w != "")
+    each = [F.length(text) - F.length(F.replace(text, F.lit(c), F.lit(""))) for c in LETTERS]
+    others = F.length(F.translate(text, LETTERS, ""))
+    return F.struct(
+        text.alias("text"), _joined(words).alias("ordered"), _joined(F.array_distinct(words)).alias("unique"),
+        F.array_distinct(words).alias("words"), F.array(*each, others).alias("counts"),
+    )
+
+
+def _once(value, use) -> Column:
+    """``use`` of a value that is made once, however often it is used."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def _comparison(text, others, weight, shared=0):
+    """A text, the texts it meets, the weight of the best ratio, and how many letters (of both sides
+    together) are equal beyond the texts."""
+    shared = F.lit(shared) if isinstance(shared, int) else shared
+    weight = F.lit(weight) if isinstance(weight, float) else weight
+    return F.struct(
+        text.alias("text"), others.alias("others"), weight.cast("double").alias("weight"), shared.cast("int").alias("shared")
+    )
+
+
+def _best(comparisons) -> Column:
+    """The largest weighted ratio of an array of comparisons."""
+    def ratio(e, t, common):
+        total = F.length(e["text"]) + F.length(t) + e["shared"]
+        distance = F.length(e["text"]) + F.length(t) - F.lit(2) * common
+        return F.when(total == 0, 100.0).otherwise((F.lit(1.0) - distance.cast("double") / total) * 100)
+
+    def best(e):
+        ratios = F.zip_with(e["others"], lcs_lengths(e["text"], e["others"]), lambda t, common: ratio(e, t, common))
+        return e["weight"] * F.array_max(ratios)
+
+    return F.array_max(F.transform(comparisons, best))
+
+
+def _slices(texts) -> Column:
+    """Of the longer text, as long as the shorter one, or less at both ends."""
+    m, n = F.length(texts["short"]), F.length(texts["long"])
+
+    def cut(start):
+        begin = F.greatest(start, F.lit(0))
+        return F.substring(texts["long"], begin + 1, F.least(start + m, n) - begin)
+
+    return F.when((m == 0) | (n == 0), F.array(F.lit("\x00"))).otherwise(F.transform(F.sequence(F.lit(1) - m, n - 1), cut))
+
+
+def _against_slices(a, b, weight) -> Column:
+    """Comparisons of the shorter text with slices of the longer one; both ways for texts of one length."""
+    swap = F.length(a) > F.length(b)
+    one = F.struct(F.when(swap, b).otherwise(a).alias("short"), F.when(swap, a).otherwise(b).alias("long"), weight.alias("weight"))
+    two = F.struct(b.alias("short"), a.alias("long"), weight.alias("weight"))
+    ways = F.when(F.length(a) == F.length(b), F.array(one, two)).otherwise(F.array(one))
+    return F.transform(ways, lambda t: _comparison(t["short"], _slices(t), t["weight"]))
+
+
+def _percent(part, whole) -> Column:
+    return F.lit(100.0) - F.lit(100.0) * part.cast("double") / whole
+
+
+def _stretch(a, b) -> Column:
+    one, two = F.length(a["text"]), F.length(b["text"])
+    return F.greatest(one, two).cast("double") / F.greatest(F.least(one, two), F.lit(1))
+
+
+def _scale(stretch) -> Column:
+    return F.when(stretch <= FAR_FROM, SLICE_SCALE).otherwise(FAR_SLICE_SCALE)
+
+
+def weighted_of(a, b) -> Column:
+    """0-100 for two prepared texts; 0 where either is empty.
+
+    Everything that has to be compared letter by letter goes into one list, so the expression for
+    that stands in the plan once.
     """
-    portion = max(1, CELLS // (block.rows.shape[1] + 2 * len(text) + 1))
-    parts = [
-        _best_slice(text, block, letters, pick[i : i + portion])
-        for i in range(0, len(pick), portion)
-    ]
-    return np.concatenate(parts) if parts else np.zeros(0)
-
-
-def _best_slice(text, block, letters, pick):
-    out = np.zeros(len(pick))
-    shorter = block.size[pick] >= len(text)
-    if shorter.any():
-        out[shorter] = _best_slice_of_block(text, block, letters, pick[shorter])
-    longer = block.size[pick] <= len(text)
-    if longer.any():
-        out[longer] = np.maximum(
-            out[longer], _best_slice_of_text(text, block, letters, pick[longer])
-        )
-    return out
-
-
-class Names:
-    """A block of reference names prepared once and scored against many queries."""
-
-    def __init__(self, texts):
-        self.letters = {}
-        self.words = [t.split() for t in texts]
-        self.sets = [set(w) for w in self.words]
-        self.plain = Block(texts, self.letters)
-        self.ordered = Block([" ".join(sorted(w)) for w in self.words], self.letters)
-        self.unique = Block([" ".join(sorted(s)) for s in self.sets], self.letters)
-        self.repeats = np.array([len(w) != len(s) for w, s in zip(self.words, self.sets)], dtype=bool)
-        self.with_word = {}
-        for i, words in enumerate(self.sets):
-            for w in words:
-                self.with_word.setdefault(w, []).append(i)
-
-    def _shared_words(self, text, own, i):
-        """Word-set ratio of a pair that shares at least one word."""
-        other = self.sets[i]
-        shared, left, right = own & other, own - other, other - own
-        if not left or not right:
-            return 100.0
-        base = len(" ".join(sorted(shared)))
-        a, b = " ".join(sorted(left)), " ".join(sorted(right))
-        letters = {}
-        gap = Block([b], letters)
-        common = (len(a) + len(b)) / 2 * ratio(a, gap, letters)[0] / 100
-        distance = len(a) + len(b) - 2 * round(common)
-        whole_a, whole_b = base + 1 + len(a), base + 1 + len(b)
-        return max(
-            100 - 100 * distance / (whole_a + whole_b),
-            100 - 100 * (1 + len(a)) / (base + whole_a),
-            100 - 100 * (1 + len(b)) / (base + whole_b),
+    facts = F.struct(
+        _joined(F.array_intersect(a["words"], b["words"])).alias("both"),
+        _joined(F.array_except(a["words"], b["words"])).alias("x"), _joined(F.array_except(b["words"], a["words"])).alias("y"),
+        _stretch(a, b).alias("stretch"), ((F.size(a["words"]) > 0) & (F.size(b["words"]) > 0)).alias("worded"),
+        ((a["ordered"] != a["unique"]) | (b["ordered"] != b["unique"])).alias("repeats"),
+    )
+
+    def score(f):
+        base, x, y = F.length(f["both"]), F.length(f["x"]), F.length(f["y"])
+        shares, gap, scale = base > 0, (base > 0).cast("int"), _scale(f["stretch"])
+        plain = _comparison(a["text"], F.array(b["text"]), 1.0)
+        near = F.when(f["worded"], F.array(
+            plain, _comparison(a["ordered"], F.array(b["ordered"]), WORD_SCALE),
+            _comparison(f["x"], F.array(f["y"]), WORD_SCALE, 2 * (base + gap)),
+        )).otherwise(F.array(plain))
+        by_word = F.lit(WORD_SCALE) * scale
+        none = F.slice(F.array(plain), 1, 0)
+        far = F.concat(
+            F.array(plain), _against_slices(a["text"], b["text"], scale),
+            F.when(shares, none).otherwise(_against_slices(a["ordered"], b["ordered"], by_word)),
+            F.when(shares | ~f["repeats"], none).otherwise(_against_slices(a["unique"], b["unique"], by_word)),
         )
+        # Words that both have: what of the rest is too much, or nothing at all.
+        sets = F.when(shares, F.when((x == 0) | (y == 0), 100.0).otherwise(
+            F.greatest(_percent(gap + x, 2 * base + gap + x), _percent(gap + y, 2 * base + gap + y))
+        )).otherwise(0.0)
+        is_near = f["stretch"] < SLICE_FROM
+        known = F.when(is_near, WORD_SCALE * sets).otherwise(F.when(shares, 100.0 * by_word).otherwise(0.0))
+        return F.greatest(_best(F.when(is_near, near).otherwise(far)), known)
 
-    def scores(self, text):
-        """Weighted similarity of ``text`` to every name; 0 where either is empty."""
-        size = self.plain.size
-        if not text:
-            return np.zeros(len(size))
-        own_words = text.split()
-        own = set(own_words)
-        ordered, unique = " ".join(sorted(own_words)), " ".join(sorted(own))
-        score = ratio(text, self.plain, self.letters)
-        stretch = np.maximum(size, len(text)) / np.maximum(np.minimum(size, len(text)), 1)
-        shares = np.zeros(len(size), dtype=bool)
-        for w in own:
-            shares[self.with_word.get(w, [])] = True
-        near, far = stretch < SLICE_FROM, (stretch >= SLICE_FROM) & (size > 0)
-
-        by_word = np.maximum(
-            ratio(ordered, self.ordered, self.letters),
-            np.where(shares, 0.0, ratio(unique, self.unique, self.letters)),
-        )
-        for i in np.flatnonzero(near & shares):
-            by_word[i] = max(by_word[i], self._shared_words(text, own, i))
-        has_words = np.array([bool(s) for s in self.sets]) & bool(own)
-        score = np.where(near & has_words, np.maximum(score, by_word * WORD_SCALE), score)
-
-        pick = np.flatnonzero(far)
-        if len(pick):
-            scale = np.where(stretch[pick] <= FAR_FROM, SLICE_SCALE, FAR_SLICE_SCALE)
-            part = best_slice(text, self.plain, self.letters, pick) * scale
-            words = np.where(shares[pick], 100.0, 0.0)
-            rest = np.flatnonzero(~shares[pick])
-            words[rest] = best_slice(ordered, self.ordered, self.letters, pick[rest])
-            again = rest[self.repeats[pick[rest]] | (len(own) != len(own_words))]
-            words[again] = np.maximum(
-                words[again], best_slice(unique, self.unique, self.letters, pick[again])
-            )
-            score[pick] = np.maximum(score[pick], np.maximum(part, words * WORD_SCALE * scale))
-        score[size == 0] = 0.0
-        return score
-
-    def top(self, text, count):
-        """(score, index) of the best names, earlier names first among equals."""
-        score = self.scores(text)
-        best = np.lexsort((np.arange(len(score)), -score))[:count]
-        return [(float(score[i]), int(i)) for i in best]
+    empty = (F.length(a["text"]) == 0) | (F.length(b["text"]) == 0)
+    return F.when(empty, 0.0).otherwise(_once(facts, score))
+
+
+def weighted_similarity(a, b) -> Column:
+    pair = F.struct(prepared(a).alias("a"), prepared(b).alias("b"))
+    return _once(pair, lambda x: weighted_of(x["a"], x["b"]))
+
+
+def upper_bound(a, b) -> Column:
+    """What ``weighted_of`` cannot exceed: no common subsequence is longer than the letters that both have."""
+    common = F.aggregate(F.zip_with(a["counts"], b["counts"], lambda x, y: F.least(x, y)), F.lit(0), lambda s, x: s + x)
+    shares, stretch = F.arrays_overlap(a["words"], b["words"]), _stretch(a, b)
+
+    def ratio(c, kind):
+        # Against a text of c letters at least: a slice is never shorter than what matches in it.
+        return F.lit(200.0) * c / F.greatest(F.length(a[kind]) + F.length(b[kind]), F.lit(1))
+
+    def sliced(c, kind):
+        return F.lit(200.0) * c / F.greatest(F.least(F.length(a[kind]), F.length(b[kind])) + c, F.lit(1))
+
+    def bound(c):
+        by_word = F.when(shares, 100.0).otherwise(F.greatest(ratio(c, "ordered"), ratio(c, "unique")))
+        by_slice = F.when(shares, 100.0).otherwise(F.greatest(sliced(c, "ordered"), sliced(c, "unique")))
+        near = F.greatest(ratio(c, "text"), WORD_SCALE * by_word)
+        far = F.greatest(ratio(c, "text"), _scale(stretch) * F.greatest(sliced(c, "text"), WORD_SCALE * by_slice))
+        return F.least(F.lit(100.0), F.when(stretch < SLICE_FROM, near).otherwise(far))
+
+    return _once(common, bound)

@@ -7,21 +7,20 @@ last row counts, of equal scores the name that came first.
 
 from functools import reduce
 
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from waymend.functions.fixed_values import FUZZY_ACCEPT, SUGGESTIONS, extra_aliases
 from waymend.functions.text import normalize_name
-from waymend.functions.weighted import CELLS, Names
+from waymend.functions.weighted import prepared, upper_bound, weighted_of
 from waymend.operators.keyed import last_per_key, top_per_key
 from waymend.operators.ordered import HOT_ROWS, Ordered, with_ordered
 from waymend.session import frozen
 
-# Reference names scored together, and groups of open names per block.
-BLOCK_NAMES = 4096
-NAME_GROUPS = 64
-_SCORED = pa.schema([("query", pa.string()), ("score", pa.float64()), ("first_ord", pa.int64())])
+# Reference names in one row, open names of one group, and the least number of groups.
+BLOCK_NAMES = 512
+GROUP_NAMES = 4096
+NAME_GROUPS = 8
 
 
 def canonical_names(master: DataFrame) -> DataFrame:
@@ -117,64 +116,56 @@ def resolve_prefix(queries: DataFrame, master: DataFrame, hot_rows: int = HOT_RO
     )
 
 
-def _portions(stations):
-    """Names of similar length together, so that a long one does not widen all."""
-    portion = []
-    for station in sorted(stations, key=lambda s: (len(s[1]), s[0])):
-        if portion and (len(portion) + 1) * len(station[1]) > CELLS:
-            yield sorted(portion)
-            portion = []
-        portion.append(station)
-    if portion:
-        yield sorted(portion)
-
-
-def _score_block(names, block):
-    """Best names of one block for each open name of one group (Arrow tables)."""
-    stations = list(zip(block["first_ord"].to_pylist(), block["name"].to_pylist()))
-    queries = names["query"].to_pylist() if stations else []
-    found = {query: [] for query in queries}
-    for portion in _portions(stations) if queries else ():
-        prepared = Names([name for _, name in portion])
-        for query, best in found.items():
-            best += [(-score, portion[i][0]) for score, i in prepared.top(query, SUGGESTIONS)]
-    out = [
-        (query, -score, place)
-        for query, best in found.items()
-        for score, place in sorted(best)[:SUGGESTIONS]
-    ]
-    columns = list(zip(*out)) or [(), (), ()]
-    return pa.table(
-        {"query": columns[0], "score": columns[1], "first_ord": columns[2]}, schema=_SCORED
-    )
+def _best_of_block(asked, names):
+    """The best names of a block for one open name: (-score, first_ord), sorted.
+
+    Branch and bound: names come by descending upper bound, and a name whose bound is below
+    the score of the last one kept is not scored.
+    """
+    bounded = F.transform(names, lambda n: F.struct(
+        (-(upper_bound(asked, n["name"]) + 1e-6)).alias("bound"), n["first_ord"].alias("ord"), n["name"].alias("name")
+    ))
+
+    def step(best, n):
+        full = F.size(best) == SUGGESTIONS
+        hopeless = full & (n["bound"] > F.element_at(best, -1)["less"])
+        scored = F.struct((-F.round(weighted_of(asked, n["name"]), 9)).alias("less"), n["ord"].alias("ord"))
+        return F.when(F.coalesce(hopeless, F.lit(False)), best).otherwise(
+            F.slice(F.array_sort(F.concat(best, F.array(scored))), 1, SUGGESTIONS)
+        )
+
+    none = F.array().cast("array<struct<less:double,ord:bigint>>")
+    by_bound = F.array_sort(bounded, lambda x, y: F.when(x["bound"] < y["bound"], -1).when(x["bound"] > y["bound"], 1).otherwise(
+        F.when(x["ord"] < y["ord"], -1).when(x["ord"] > y["ord"], 1).otherwise(0)
+    ))
+    return F.aggregate(by_bound, none, step)
 
 
 def closest_names(queries: DataFrame, canonical: DataFrame, groups: int = NAME_GROUPS) -> DataFrame:
     """The five most similar canonical names of every open name: query, score,
     first_ord, rank.
 
-    Scores exist between all names, so all are compared, block against group: the
-    names of a block (at most about ``BLOCK_NAMES``) meet a group of open names inside
-    one task, which hands on five rows per name and block and never the pairs. Both
-    sides are copied once per block or group, whatever their size.
+    Any two names have a score, so every open name meets every block of names, but not every
+    name: within a block, letter counts bound the score from above, and only names that can still
+    be among the best are compared. A block is one row of about ``BLOCK_NAMES`` names; groups follow
+    the number of open names, and a row hands on five names, never the pairs.
     """
     spark = queries.sparkSession
     blocks = max(1, -(-canonical.count() // BLOCK_NAMES))
-    groups = max(groups, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    left = queries.select(
-        "query",
+    groups = max(groups, int(spark.conf.get("spark.sql.shuffle.partitions")), -(-queries.count() // GROUP_NAMES))
+    asked = queries.select(
+        "query", prepared("query").alias("asked"),
         F.pmod(F.xxhash64("query"), F.lit(groups)).cast("int").alias("group"),
-        F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"),
-    )
-    right = canonical.select(
-        F.col("query").alias("name"), "first_ord",
+    ).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    named = canonical.where("query <> ''").select(
+        F.struct(F.col("first_ord").cast("long").alias("first_ord"), prepared("query").alias("name")).alias("n"),
         F.pmod(F.xxhash64("query"), F.lit(blocks)).cast("int").alias("block"),
-        F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("group"),
     )
-    scored = (
-        left.groupBy("group", "block").cogroup(right.groupBy("group", "block"))
-        .applyInArrow(_score_block, "query string, score double, first_ord bigint")
+    packed = named.groupBy("block").agg(F.collect_list("n").alias("names")).withColumn(
+        "group", F.explode(F.sequence(F.lit(0), F.lit(groups - 1)))
     )
+    met = asked.join(packed, ["group", "block"]).select("query", _best_of_block(F.col("asked"), F.col("names")).alias("best"))
+    scored = met.select("query", F.explode("best").alias("x")).select("query", (-F.col("x.less")).alias("score"), F.col("x.ord").alias("first_ord"))
     return top_per_key(scored, ["query"], [F.desc("score"), F.asc("first_ord")], SUGGESTIONS, "rank")
 
 
@@ -217,6 +208,9 @@ def resolve_queries(queries: DataFrame, master: DataFrame, groups: int = NAME_GR
     open_ = by_table.where("method is null")
     by_prefix = staged(open_, ("PREFIX", resolve_prefix(open_.select("query"), master)))
     open_ = by_prefix.where("method is null").select("query")
+    known = done(by_table).unionByName(done(by_prefix))
+    if open_.isEmpty():  # a written table of names: no need to plan the comparison of letters
+        return known
 
     best = closest_names(open_, canonical, groups).join(
         canonical.select("first_ord", "code", "canonical_name"), "first_ord"
@@ -234,7 +228,7 @@ def resolve_queries(queries: DataFrame, master: DataFrame, groups: int = NAME_GR
         F.when(good, F.bround("top.score", 2)).otherwise(0.0).alias("confidence"),
         F.when(~good, F.transform("names", lambda x: x["canonical_name"])).alias("suggestions"),
     )
-    return frozen(done(by_table).unionByName(done(by_prefix)).unionByName(fuzzy))
+    return frozen(known.unionByName(fuzzy))
 
 
 def resolve_names(names: DataFrame, master: DataFrame, column="name", groups: int = NAME_GROUPS) -> DataFrame:
