@@ -82,9 +82,8 @@ def station_master_file(spark, folder):
         F.concat_ws(";", "p_brand", F.concat(F.lit(" "), F.col("p_type"), F.lit(" ")), F.lit("")).alias("Aliases"),
     ), path)
     master = readers.read_station_master(spark, path)
-    dense = master.agg(F.max("ord").alias("high"), F.count_distinct("ord").alias("n"))
-    joined = master.join(dense.where("high + 1 = n").withColumn("one", F.col("n") - F.col("n")), F.length("code") * 0 == F.col("one"))
-    return joined.select("code", "canonical_name", F.array_join("aliases", "|").alias("aliases"))
+    dense = master.agg(F.max("ord") + 1 == F.count_distinct("ord")).scalar()
+    return master.where(dense).select("code", "canonical_name", F.array_join("aliases", "|").alias("aliases"))
 
 
 def _features(spark, folder, rows):

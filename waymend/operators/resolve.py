@@ -101,16 +101,13 @@ def resolve_prefix(queries: DataFrame, master: DataFrame, hot_rows: int = HOT_RO
         return F.max(F.when(mark, F.col(column)))
 
     # Stations without a name begin every name.
-    nameless = stations.where("name = ''").groupBy((F.length("name") * 0).alias("always")).agg(
-        F.count(F.lit(1)).alias("more"), F.sum(F.col("ord").cast("long")).alias("more_sum")
-    )
+    nameless = stations.where("name = ''")
+    more, more_sum = nameless.agg(F.count(F.lit(1))).scalar(), nameless.agg(F.sum(F.col("ord").cast("long"))).scalar()
     per_query = placed.where("query is not null").groupBy("query").agg(
         (at(end, "all_opened") - at(start, "all_opened") + at(start, "all_open")).alias("n"),
         (at(end, "all_opened_sum") - at(start, "all_opened_sum") + at(start, "all_open_sum")).alias("number"),
-    ).withColumn("always", F.length("query") * 0).join(nameless, "always", "left")
-    one = per_query.where(F.col("n") + F.coalesce("more", F.lit(0)) == 1).select(
-        "query", (F.col("number") + F.coalesce("more_sum", F.lit(0))).alias("ord")
     )
+    one = per_query.where(F.col("n") + more == 1).select("query", (F.col("number") + F.coalesce(more_sum, F.lit(0))).alias("ord"))
     return one.join(stations.select(F.col("ord").cast("long").alias("ord"), "code", "canonical_name"), "ord").select(
         "query", "code", "canonical_name"
     )
