@@ -18,7 +18,7 @@ from waymend.functions import fixed_values as fv
 from waymend.functions.text import cell_text, number_place, to_number, whole_digits
 from waymend.operators.measures import measures, report, total
 from waymend.operators.ordered import (
-    HOT_ROWS, Ordered, hot_keys, position, previous_in_file, with_ordered,
+    HOT_ROWS, Ordered, hot_keys, previous_in_file, with_ordered,
 )
 from waymend.roles import BASE
 from waymend.session import frozen

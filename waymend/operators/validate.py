@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from waymend.functions.fixed_values import REQUIRED_FIELDS
 from waymend.functions.text import cell_text, count_packed_stops, grade
-from waymend.roles import detect_columns, detect_shape, quoted
+from waymend.roles import detect_columns, detect_shape
 
 
 
