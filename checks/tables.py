@@ -9,7 +9,7 @@ import re
 from pyspark.sql import functions as F
 
 from waymend.roles import BASE
-from waymend.sources.readers import read_parquet_with_row_id
+from waymend.sources.readers import read_parquet_with_row_id, spread  # noqa: F401 (spread: for checks.text)
 
 S = "string"
 
