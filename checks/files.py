@@ -2,6 +2,7 @@
 
 import uuid
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from checks.merging import ORACLE as MERGE_SQL
@@ -86,13 +87,27 @@ def station_master_file(spark, folder):
     return master.where(dense).select("code", "canonical_name", F.array_join("aliases", "|").alias("aliases"))
 
 
+def _json_files(rows, value, path, head="[", tail="]"):
+    """The rows' ``value`` as JSON arrays between ``head`` and ``tail``, in folders ``file=``/``piece=``.
+
+    Pieces are ranges of (file, place), named in their order: paths sort as the rows do, and no task
+    holds more than a piece, however long a file is.
+    """
+    cut = rows.repartitionByRange("file", "place").withColumn("piece", F.lpad(F.spark_partition_id().cast(S), 6, "0"))
+    within = Window.partitionBy("file", "piece").orderBy("place")
+    text = F.concat(
+        F.when(F.row_number().over(within) == 1, F.lit(head)).otherwise(F.lit("")), F.to_json(value),
+        F.when(F.lead(F.lit(True)).over(within).isNull(), F.lit(tail)).otherwise(F.lit(",")),
+    )
+    lines = cut.select("file", "piece", "place", text.alias("value")).sortWithinPartitions("file", "piece", "place")
+    lines.select("file", "piece", "value").write.partitionBy("file", "piece").text(path)
+
+
 def _features(spark, folder, rows):
     """Feature files, one for each value of ``file``."""
     path = _folder(spark)
     properties = F.struct(F.struct(*[c for c in rows.columns if c not in ("file", "place")]).alias("properties"), F.lit("Feature").alias("type"))
-    rows.groupBy("file").agg(F.array_sort(F.collect_list(F.struct("place", properties.alias("f")))).alias("all")).select(
-        "file", F.to_json(F.struct(F.lit("FeatureCollection").alias("type"), F.transform("all", lambda x: x["f"]).alias("features"))).alias("value")
-    ).write.partitionBy("file").text(path)
+    _json_files(rows, properties, path, '{"type":"FeatureCollection","features":[', "]}")
     return path
 
 
@@ -134,9 +149,7 @@ def route_files(spark, folder):
                  F.array(stop).alias("trainRoute")).alias("train"),
     )
     path = _folder(spark)
-    trains.groupBy("file").agg(F.array_sort(F.collect_list(F.struct("place", "train"))).alias("all")).select(
-        "file", F.to_json(F.transform("all", lambda x: x["train"])).alias("value")
-    ).write.partitionBy("file").text(path)
+    _json_files(trains, F.col("train"), path)
     routes, duplicates = readers.read_route_json(spark, [f"{path}/file=0", f"{path}/file=1"])
     return routes.join(duplicates, "number", "left").select(
         "number", "train_name", F.col("route")[0]["stationName"].alias("first"), F.coalesce("extra", F.lit(0)).alias("extra")

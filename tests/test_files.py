@@ -210,3 +210,24 @@ def test_versions_rewrite_only_touched_files(spark, tmp_path):
     assert set(after) <= set(versions.version_files(spark, folder))
     with pytest.raises(Exception, match="already exists"):
         versions._publish(spark, folder, 2, before)
+
+
+def test_written_json_files_are_cut_in_order(spark, tmp_path):
+    """Every piece is a JSON array of its own, and the paths sort as the places do."""
+    from pyspark.sql import functions as F
+
+    from checks.files import _json_files
+
+    rows = spark.range(2000).select(
+        (F.col("id") % 2).alias("file"), (-F.col("id")).alias("place"), F.struct(F.col("id").cast("string").alias("trainNumber")).alias("train")
+    )
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        _json_files(rows, F.col("train"), str(tmp_path / "out"))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    for file in (0, 1):
+        found = sorted((tmp_path / "out" / f"file={file}").rglob("*.txt"))
+        texts = [json.loads(f.read_text(encoding="utf-8")) for f in found]
+        assert len(texts) > 1 and max(len(x) for x in texts) < 1000
+        assert [int(t["trainNumber"]) for x in texts for t in x] == [i for i in range(1999, -1, -1) if i % 2 == file]
