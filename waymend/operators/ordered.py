@@ -164,6 +164,8 @@ def with_ordered(
         F.coalesce(_borders_below(place, F.col("_borders")), F.lit(0)).alias("_piece"),
     )
     inner = keys + ["_piece"]
+    # As many tasks as pieces: packed by bytes, a task would get as many pieces as compress well.
+    tasks = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // hot_rows))
     edges = cut.groupBy(*inner).agg(
         *[_edge(s, place).alias(f"_edge_{n}") for n, s in specs.items()]
     )
@@ -176,7 +178,7 @@ def with_ordered(
         ],
     )
     _, piece_up, piece_down = _windows(inner, order)
-    local = _add(cut, inner, order, {f"_local_{n}": s for n, s in specs.items()}).withColumns(
+    local = _add(cut.repartition(tasks, *inner), inner, order, {f"_local_{n}": s for n, s in specs.items()}).withColumns(
         {
             "_first_in_piece": F.row_number().over(piece_up) == 1,
             "_last_in_piece": F.row_number().over(piece_down) == 1,

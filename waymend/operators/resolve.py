@@ -14,13 +14,15 @@ from waymend.functions.fixed_values import FUZZY_ACCEPT, SUGGESTIONS, extra_alia
 from waymend.functions.text import normalize_name
 from waymend.functions.weighted import prepared, upper_bound, weighted_of
 from waymend.operators.keyed import last_per_key, top_per_key
-from waymend.operators.ordered import HOT_ROWS, Ordered, with_ordered
+from waymend.operators.ordered import Ordered, with_ordered
 from waymend.session import frozen
 
 # Reference names in one row, open names of one group, and the least number of groups.
 BLOCK_NAMES = 512
 GROUP_NAMES = 4096
 NAME_GROUPS = 8
+# All names may begin with the same letter, so the sequence of a letter is cut early, into pieces of this many rows.
+NAME_ROWS = 100_000
 
 
 def canonical_names(master: DataFrame) -> DataFrame:
@@ -60,7 +62,7 @@ def resolve_alias(queries: DataFrame, master: DataFrame) -> DataFrame:
 BEHIND = "\U0010ffff"
 
 
-def resolve_prefix(queries: DataFrame, master: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def resolve_prefix(queries: DataFrame, master: DataFrame, hot_rows: int = NAME_ROWS) -> DataFrame:
     """Names that begin, or are begun by, the name of exactly one station.
 
     Names and stations stand in one sorted sequence, by first letter. A station opens at its name and
@@ -71,29 +73,28 @@ def resolve_prefix(queries: DataFrame, master: DataFrame, hot_rows: int = HOT_RO
     """
     stations = master.select("code", "canonical_name", "ord", normalize_name("canonical_name").alias("name"))
 
-    def marks(df, text, rank, station=None, open_=0, query=None):
-        n, number = F.lit(0).cast("long"), F.lit(0).cast("long")
-        if station is not None:
-            n, number = F.lit(station).cast("long"), F.col("ord").cast("long") * station
+    def marks(df, text, rank, place=None):
         return df.select(
-            F.substring(text, 1, 1).alias("letter"), text.alias("text"), F.lit(rank).alias("rank"),
-            (F.col("ord") if station is not None else F.lit(0)).cast("long").alias("place"),
-            (n if open_ == 0 else F.lit(0).cast("long")).alias("opened"), (number if open_ == 0 else F.lit(0).cast("long")).alias("opened_sum"),
-            n.alias("open"), number.alias("open_sum"),
-            (F.col(query) if query else F.lit(None).cast("string")).alias("query"),
+            F.substring(text, 1, 1).alias("letter"), text.alias("text"), F.lit(rank).cast("byte").alias("rank"),
+            (F.lit(0) if place is None else F.col(place)).cast("long").alias("place"),
         )
 
     named, name, query = stations.where("name <> ''"), F.col("name"), F.col("query")
     rows = [
-        marks(queries, query, 0, query="query"),
-        marks(named, name, 1, 1),
-        marks(named, F.concat(name, F.lit(BEHIND)), 2, -1, open_=1),
-        marks(queries, F.concat(query, F.lit(BEHIND)), 3, query="query"),
+        marks(queries, query, 0),
+        marks(named, name, 1, "ord"),
+        marks(named, F.concat(name, F.lit(BEHIND)), 2, "ord"),
+        marks(queries, F.concat(query, F.lit(BEHIND)), 3),
     ]
     sequence = reduce(lambda x, y: x.unionByName(y), rows)
-    counts = ["opened", "opened_sum", "open", "open_sum"]
+    opens, closes, place = F.col("rank") == 1, F.col("rank") == 2, F.col("place")
+    # Rows carry no more than text, rank and place; what they count follows from the rank.
+    counts = {
+        "opened": F.when(opens, F.lit(1).cast("long")), "opened_sum": F.when(opens, place),
+        "open": F.when(opens, F.lit(1).cast("long")).when(closes, F.lit(-1).cast("long")), "open_sum": F.when(opens, place).when(closes, -place),
+    }
     placed = with_ordered(
-        sequence, ["letter"], ["text", "rank", "place"], {f"all_{c}": Ordered("running", F.col(c)) for c in counts}, hot_rows
+        sequence, ["letter"], ["text", "rank", "place"], {f"all_{c}": Ordered("running", v) for c, v in counts.items()}, hot_rows
     )
     start, end = F.col("rank") == 0, F.col("rank") == 3
 
@@ -103,7 +104,8 @@ def resolve_prefix(queries: DataFrame, master: DataFrame, hot_rows: int = HOT_RO
     # Stations without a name begin every name.
     nameless = stations.where("name = ''")
     more, more_sum = nameless.agg(F.count(F.lit(1))).scalar(), nameless.agg(F.sum(F.col("ord").cast("long"))).scalar()
-    per_query = placed.where("query is not null").groupBy("query").agg(
+    own = F.when(end, F.substring("text", F.lit(1), F.length("text") - 1)).otherwise(F.col("text"))
+    per_query = placed.where(start | end).groupBy(own.alias("query")).agg(
         (at(end, "all_opened") - at(start, "all_opened") + at(start, "all_open")).alias("n"),
         (at(end, "all_opened_sum") - at(start, "all_opened_sum") + at(start, "all_open_sum")).alias("number"),
     )
