@@ -121,7 +121,9 @@ def _chain(rows: DataFrame, lookup: DataFrame, verify_first: bool, hot_rows: int
     linked = leads & ~first
     keyed = paced.withColumns({
         "dist": F.when(leads, start),
-        "a": F.when(linked, F.least("code", "last.code")), "b": F.when(linked, F.greatest("code", "last.code")),
+        # Rows without a segment match nothing (no ``b``); a hash in place of ``a`` keeps them from meeting in one task.
+        "a": F.when(linked, F.least("code", "last.code")).otherwise(F.xxhash64("train", *ORDER).cast("string")),
+        "b": F.when(linked, F.greatest("code", "last.code")),
     }).drop("last")
     measured = keyed.join(lookup.select("a", "b", micro(F.col("km")).alias("step")), ["a", "b"], "left")
     summed = step(measured, {
