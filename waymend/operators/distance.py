@@ -77,15 +77,19 @@ def segment_lookup(known: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
 def tagged(needed: DataFrame, known: DataFrame) -> DataFrame:
     """Rows of both tables: ``train``, ``side`` (1 known), ``place`` (whole-number SEQ; null if the row is
     no stop of the route), ``code``, ``dist``, and the whole needed row as ``row``."""
+    def read(df):
+        """The number of a place stands in a column of its own: the sort key names it many times."""
+        return df.withColumns({"_whole": whole_digits("seq"), "_dist": micro(to_number("distance"))})
+
     columns = [F.coalesce("train_no", F.lit("")).alias("train"), cell_text("station_code").alias("code")]
-    place = number_place(whole_digits("seq"))
-    open_ = needed.select(
+    place = number_place(F.col("_whole"))
+    open_ = read(needed).select(
         *columns, place.alias("place"), F.lit(None).cast("bigint").alias("dist"), F.lit(0).alias("side"),
         # Known rows first, then the later row first.
         F.lit(0).alias("later"), (-F.col("row_id")).alias("back"), F.struct(*needed.columns).alias("row"),
     )
-    dist = micro(to_number("distance"))
-    anchors = known.select(
+    dist = F.col("_dist")
+    anchors = read(known).select(
         *columns, F.when(dist.isNotNull(), place).alias("place"), dist.alias("dist"), F.lit(1).alias("side"),
         F.lit(-1).alias("later"), (-F.col("row_id")).alias("back"), F.lit(None).cast(open_.schema["row"].dataType).alias("row"),
     )
