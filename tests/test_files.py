@@ -231,3 +231,17 @@ def test_written_json_files_are_cut_in_order(spark, tmp_path):
         texts = [json.loads(f.read_text(encoding="utf-8")) for f in found]
         assert len(texts) > 1 and max(len(x) for x in texts) < 1000
         assert [int(t["trainNumber"]) for x in texts for t in x] == [i for i in range(1999, -1, -1) if i % 2 == file]
+
+
+def test_change_reports_compute_the_status_once(spark, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(row):
+        seen.add(1)
+        return row
+
+    rows = [("1", "new", []), ("2", "updated", ["ROUTE"]), ("3", "missing", []), ("4", "unchanged", [])]
+    status = spark.createDataFrame(spark.sparkContext.parallelize(rows, 2).map(count), "train_no string, status string, changes array<string>")
+    writers.write_change_reports(status, str(tmp_path / "out"))
+    assert seen.value == len(rows)
+    assert table(readers.read_schedule(spark, str(tmp_path / "out" / "updated_trains"))) == [("2", "ROUTE")]

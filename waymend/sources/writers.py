@@ -3,6 +3,8 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from waymend.session import frozen
+
 
 def write_csv(df: DataFrame, path, mode="errorifexists"):
     df.write.mode(mode).option("header", True).csv(path)
@@ -24,7 +26,11 @@ def write_summary_json(summary: DataFrame, path, mode="errorifexists"):
 
 
 def write_change_reports(status: DataFrame, folder, mode="errorifexists"):
-    """new_trains, updated_trains (with their changes) and missing_trains."""
+    """new_trains, updated_trains (with their changes) and missing_trains.
+
+    The status is written once in between; the three reports would each compute it.
+    """
+    status = frozen(status.where("status <> 'unchanged'"))
     number = F.col("train_no").alias("Train Number")
     changes = F.array_join("changes", ", ").alias("Changes")
     write_csv(status.where("status = 'new'").select(number), f"{folder}/new_trains", mode)
