@@ -167,3 +167,27 @@ def test_quarantine(spark):
     ]
     strict = dist.fill_distances(dist.chained(needed, known, lookup, verify_first=True))
     assert strict.where("train_no = '2' and fill_status = 'filled'").count() == 0
+
+
+def test_rows_without_a_segment_spread(spark):
+    """No null in the first key of the join with the lengths: such rows would all meet in one task."""
+    from tests.helpers import stops
+    from waymend.operators import distance
+
+    known = stops(spark, [dict(train_no=str(t), seq="1", station_code="A", distance="0") for t in range(50)])
+    needed = stops(spark, [dict(train_no=str(t), seq="2", station_code="B") for t in range(50)])
+    lookup = spark.createDataFrame([("A", "B", 5.0)], "a string, b string, km double")
+    chains = distance.chained(needed, known, lookup)
+    keys = [r["a"] for r in chains.where("b is null").collect()]
+    assert len(keys) == 50 and None not in keys and len(set(keys)) == 50
+    assert chains.where("b is not null and step = 5000000").count() == 50
+
+
+def test_a_place_is_parsed_once(spark):
+    from tests.helpers import stops
+    from waymend.operators import distance
+
+    rows = stops(spark, [dict(train_no="1", seq="+007", station_code="A", distance="1")])
+    out = distance.tagged(rows, rows)
+    assert {r["place"]["whole"] for r in out.select("place").collect()} == {"7"}
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("regexp_replace") <= 20
