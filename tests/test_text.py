@@ -112,3 +112,15 @@ def test_packed_stops(apply):
 def test_grade(spark):
     df = spark.createDataFrame([(s,) for s in (90, 89, 75, 60, 40, 39)], "s int")
     assert [r[0] for r in df.select(t.grade("s")).collect()] == ["A", "B", "B", "C", "D", "F"]
+
+
+def test_pieces_of_a_long_key_keep_to_their_tasks(spark):
+    """Pieces that compress well are not packed into one task."""
+    from pyspark.sql import functions as F
+
+    from waymend.operators.ordered import Ordered, with_ordered
+
+    df = spark.range(4000).select((F.col("id") * 0).alias("k"), "id")
+    out = with_ordered(df, ["k"], ["id"], {"n": Ordered("running", F.lit(1))}, 100)
+    assert "REPARTITION_BY_NUM" in out._jdf.queryExecution().executedPlan().toString()
+    assert [r["n"] for r in out.orderBy("id").collect()] == list(range(1, 4001))
