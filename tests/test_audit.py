@@ -209,3 +209,14 @@ def test_borders_below(spark):
     df = spark.createDataFrame(rows, "v long, b array<long>")
     got = [r[0] for r in df.select(_borders_below(F.col("v"), F.col("b"))).collect()]
     assert got == [sum(x <= v for x in b) for v, b in rows]
+
+
+def test_the_digest_does_not_travel(spark):
+    """Random bytes do not compress: the digest is worked out behind the shuffle by train."""
+    import re
+
+    rows = stops(spark, [dict(train_no=str(i), seq="1", station_code="AB") for i in range(5)])
+    plan = a.audit(rows)._jdf.queryExecution().executedPlan().toString()
+    lines = plan.splitlines()
+    by_train = next(i for i, x in enumerate(lines) if re.search(r"Exchange hashpartitioning\(train_no[^\n]*REPARTITION_BY_COL", x))
+    assert any("xxhash64" in x for x in lines[:by_train]) and not any("xxhash64" in x for x in lines[by_train:])

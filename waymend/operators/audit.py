@@ -334,10 +334,11 @@ def _by_rule(df: DataFrame, hot_rows: int, alias_pairs) -> DataFrame:
 
 def _train_pass(df: DataFrame, texts: DataFrame, alias_pairs) -> DataFrame:
     """All rules from one shuffle by train: every window below is of a train or of a part of one."""
-    rows = df.select(
+    # The digest is worked out once the rows are with their train: random bytes do not compress on the way.
+    numbered = df.select(
         "row_id", *BASE, *seq_order(), to_number("distance").alias("dist_num"), whole_text("seq").alias("whole"),
-        F.xxhash64(*BASE).alias("digest"),
     ).join(texts, "station_code", "left")
+    rows = numbered.repartition("train_no").withColumn("digest", F.xxhash64(*BASE))
     train = Window.partitionBy("train_no")
     along = train.orderBy(*[F.col(c).asc_nulls_last() for c in ("seq_num", "seq_long", "row_id")])
     several = Window.partitionBy("train_no", "whole", "seq")
