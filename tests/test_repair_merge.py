@@ -153,3 +153,27 @@ def test_merge(spark):
     assert log["exact_duplicate_rows_removed_in_final_pass"] == 1 and log["trains_present_in_both"] == 4
     assert log["dataset1_cross_fill_counts:departure"] == 1 and log["final_merged_row_count"] == 8
     assert log["dataset2_filled_rows_dropped"] + log["dataset2_filled_rows_retained"] == filled2.where(f"timing_source = '{fv.FILLED}'").count()
+
+
+def test_merge_sends_rows_by_train_only(spark):
+    """Pairs, decisions and equal rows need no shuffle of their own."""
+    import re
+
+    one = stops(spark, [dict(train_no=t, station_code=c) for t in ("1", "2", None) for c in ("A", "B", None)])
+    two = stops(spark, [dict(train_no=t, station_code=c, arrival="1") for t in ("2", "3", None) for c in ("A", None)])
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        merged = m.merge_sources(m.united(one, two))
+        plan = merged._jdf.queryExecution().executedPlan().toString()
+        got = table(merged, "train_no", "station_code", "source_dataset")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    keys = re.findall(r"Exchange hashpartitioning\((\w+)#\d+, \d+\)", plan)
+    assert len(keys) == plan.count("Exchange hashpartitioning(") and set(keys) <= {"train_no", "second"}
+    assert len(keys) == 5  # each table for the decisions, each for the rows, and the decisions
+    first, second = fv.FIRST_SOURCE, fv.SECOND_SOURCE
+    assert got == sorted(
+        [("1", c, first) for c in ("A", "B", None)] + [("2", c, second) for c in ("A", None)]
+        + [("3", c, second) for c in ("A", None)] + [(None, c, first) for c in ("A", "B", None)], key=repr,
+    )

@@ -1,9 +1,10 @@
 """Fill two sibling tables from each other and merge them, whole trains at a time.
 
-Both tables are tagged and united. One aggregate over (train, station) finds what each side has
-to offer and what each side lacks; its roll-up by train gives the scores that decide which
-side keeps a train; the rows meet that one pair table once. So each table is read twice, and
-no group of rows ever has to be gathered.
+Both tables are brought together by train, tagged and united. One narrow aggregate over
+(train, station) finds what each side has to offer and what each side lacks; its roll-up by train
+decides which side keeps a train. The whole rows travel by train once: what a pair's other side
+offers is a window over the pair, the decision is joined by train, and equal rows, which are rows
+of one train, are dropped without another shuffle. So each table is read twice.
 """
 
 from functools import reduce
@@ -12,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from waymend.functions import fixed_values as fv
-from waymend.operators.keyed import drop_duplicates_keep_first, join_on_keys
+from waymend.operators.keyed import drop_duplicates_keep_first
 from waymend.operators.measures import measures, total
 from waymend.roles import BASE, align_schema
 
@@ -62,8 +63,13 @@ def fill_counts(filled: DataFrame) -> DataFrame:
 
 
 def tagged(one: DataFrame, two: DataFrame) -> DataFrame:
-    """Rows of both tables with ``side`` 1 or 2."""
-    return one.withColumn("side", F.lit(1)).unionByName(two.withColumn("side", F.lit(2)), allowMissingColumns=True)
+    """Rows of both tables with ``side`` 1 or 2 and ``of_side``, how many rows their train has on that side.
+
+    Counted before the union, so that a table that comes by train is not shuffled again.
+    """
+    count = F.count(F.lit(1)).over(Window.partitionBy("train_no"))
+    first, second = [df.withColumns({"side": F.lit(i), "of_side": count}) for i, df in ((1, one), (2, two))]
+    return first.unionByName(second, allowMissingColumns=True)
 
 
 def _added(values) -> Column:
@@ -74,17 +80,19 @@ def pair_sides(rows: DataFrame) -> DataFrame:
     """One row per (train, station) of the tagged rows: what each side offers, lacks and gets.
 
     only1_*, only2_*: fields of the side's row if it is the only one (never for a null key); rows1, rows2;
+    of_train1, of_train2: rows of the whole train (null if none);
     missing1, missing2: null fields after filling (0 without a train number); fills1_*, fills2_*:
     values filled by field; filled1, filled2: rows that got any.
     """
     lacks = _added(F.when(F.col(f).isNull(), 1 << i).otherwise(0) for i, f in enumerate(FIELDS))
-    marked = rows.select(*KEY, "side", *FIELDS, lacks.alias("lacks"))
+    marked = rows.select(*KEY, "side", "of_side", *FIELDS, lacks.alias("lacks"))
     patterns = range(1, 1 << len(FIELDS))
     counts = []
     for side in (1, 2):
         own = F.col("side") == side
         counts += [total(own).alias(f"rows{side}"), *[F.max(F.when(own, F.col(f))).alias(f"{f}{side}") for f in FIELDS]]
         counts += [total(own & (F.col("lacks") == p)).alias(f"lacks{side}_{p}") for p in patterns]
+        counts += [F.max(F.when(own, F.col("of_side"))).alias(f"of_train{side}")]
     pairs = marked.groupBy(*KEY).agg(*counts)
     keyed = F.col("train_no").isNotNull() & F.col("station_code").isNotNull()
     pairs = pairs.withColumns({
@@ -108,26 +116,28 @@ def pair_sides(rows: DataFrame) -> DataFrame:
     return pairs.withColumns(values)
 
 
-SIDE_SUMS = [
-    x for side in (1, 2) for x in (f"rows{side}", f"missing{side}", *[f"fills{side}_{f}" for f in FIELDS], f"filled{side}")
-]
+SIDE_SUMS = [x for side in (1, 2) for x in (f"missing{side}", *[f"fills{side}_{f}" for f in FIELDS], f"filled{side}")]
 
 
-def train_sides(one: DataFrame, two: DataFrame) -> DataFrame:
-    """One row per train of either table: the sums of ``pair_sides`` (rows without a train number are one train)."""
-    return pair_sides(tagged(one, two)).groupBy("train_no").agg(*[F.sum(c).alias(c) for c in SIDE_SUMS])
+def train_sides(rows: DataFrame) -> DataFrame:
+    """One row per train of the tagged rows: its rows1, rows2 and the sums of ``pair_sides`` (rows without a train
+    number are one train)."""
+    return pair_sides(rows).groupBy("train_no").agg(
+        *[F.coalesce(F.max(f"of_train{side}"), F.lit(0)).alias(f"rows{side}") for side in (1, 2)],
+        *[F.sum(c).alias(c) for c in SIDE_SUMS],
+    )
 
 
-def kept_side(rows1="rows1", rows2="rows2", missing1="missing1", missing2="missing2") -> Column:
+def kept_side() -> Column:
     """Which side keeps a train of both tables: the one with fewer missing fields; 0 for other trains."""
-    shared = (F.col(rows1) > 0) & (F.col(rows2) > 0)
-    return F.when(shared, F.when(F.col(missing1) <= F.col(missing2), 1).otherwise(2)).otherwise(0)
+    shared = (F.col("rows1") > 0) & (F.col("rows2") > 0)
+    return F.when(shared, F.when(F.col("missing1") <= F.col("missing2"), 1).otherwise(2)).otherwise(0)
 
 
 def overlap_decisions(one: DataFrame, two: DataFrame) -> DataFrame:
     """Trains of both tables, their missing fields, and which table keeps the train."""
     names = {1: "dataset1", 2: "dataset2"}
-    decided = train_sides(one, two).withColumn("kept", kept_side()).where("kept > 0")
+    decided = train_sides(tagged(one, two)).withColumn("kept", kept_side()).where("kept > 0")
     first = F.col("kept") == 1
     return decided.select(
         "train_no",
@@ -141,20 +151,25 @@ def united(one: DataFrame, two: DataFrame) -> DataFrame:
     """All rows of both tables, filled from each other: ``side``, ``timing_source``, ``filled`` and
     ``kept`` (the side that keeps the row's train, 0 if only one table has it)."""
     rows = tagged(one, two)
-    train = Window.partitionBy("train_no")
-    sums = [f"{x}{side}" for x in ("rows", "missing") for side in (1, 2)]
-    pairs = pair_sides(rows)
-    pairs = pairs.withColumns({f"train_{c}": F.sum(c).over(train) for c in sums}).select(
-        *KEY, *[f"only{side}_{f}" for side in (1, 2) for f in FIELDS],
-        kept_side(*[f"train_{c}" for c in sums]).alias("kept"),
-    )
-    first = F.col("side") == 1
-    joined = join_on_keys(rows, pairs, KEY, "inner").withColumns(
-        {f"other_{f}": F.when(first, F.col(f"only2_{f}")).otherwise(F.col(f"only1_{f}")) for f in FIELDS}
-    )
+    # A key that only the decided trains have: nothing to filter before the shuffles, so both tables share theirs.
+    second = train_sides(rows).select(F.when(kept_side() == 2, F.col("train_no")).alias("second")).where("second is not null")
+    of_both = F.count(F.lit(1)).over(Window.partitionBy("train_no"))
+    pair, keyed = Window.partitionBy(*KEY), F.col("train_no").isNotNull() & F.col("station_code").isNotNull()
+    first, sides = F.col("side") == 1, {side: F.col("side") == side for side in (1, 2)}
+    offered = rows.withColumns({
+        **{f"rows{side}": total(own).over(pair) for side, own in sides.items()},
+        **{f"{f}{side}": F.max(F.when(own, F.col(f))).over(pair) for side, own in sides.items() for f in FIELDS},
+    }).withColumns({
+        f"other_{f}": F.when(first & keyed & (F.col("rows2") == 1), F.col(f"{f}2"))
+        .when(~first & keyed & (F.col("rows1") == 1), F.col(f"{f}1")) for f in FIELDS
+    })
+    # A tie is kept by the first side, and so are the rows without a train number, which miss nothing.
+    kept = F.when(F.col("of_side") < of_both, F.when(F.col("second").isNotNull(), 2).otherwise(1)).otherwise(0)
+    joined = offered.join(second, F.col("train_no") == F.col("second"), "left").withColumn("kept", kept)
     filled = F.filter(F.array(*[F.when(_fills(f), F.lit(f)) for f in FIELDS]), lambda x: x.isNotNull())
     return joined.withColumn("filled", filled).withColumns({f: F.coalesce(f, f"other_{f}") for f in FIELDS}).select(
-        *rows.columns, F.when(F.size("filled") > 0, fv.FILLED).otherwise(fv.ORIGINAL).alias("timing_source"), "filled", "kept",
+        *[c for c in rows.columns if c != "of_side"],
+        F.when(F.size("filled") > 0, fv.FILLED).otherwise(fv.ORIGINAL).alias("timing_source"), "filled", "kept",
     )
 
 
