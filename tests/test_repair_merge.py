@@ -177,3 +177,19 @@ def test_merge_sends_rows_by_train_only(spark):
         [("1", c, first) for c in ("A", "B", None)] + [("2", c, second) for c in ("A", None)]
         + [("3", c, second) for c in ("A", None)] + [(None, c, first) for c in ("A", "B", None)], key=repr,
     )
+
+
+def test_stations_are_looked_up_in_one_reading_of_the_stops(spark, tmp_path):
+    path = str(tmp_path / "stops")
+    rows = [dict(train_no="1", station_code=c, station_name=n) for c, n in (("A", "x"), ("B", "Bee"), ("B", "later"), (None, "y"), ("C", None))]
+    stops(spark, rows).coalesce(1).write.parquet(path)
+    reference = spark.createDataFrame([("A", "X", None, None)], "code string, name string, state string, zone string")
+    secondary = spark.createDataFrame([("B", "bee town"), ("B", "Zed"), ("B", "Zed"), ("C", "Cee"), (None, "y")], "code string, name string")
+    got = x.station_crossref(spark.read.parquet(path), reference, secondary)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("InMemoryFileIndex") == 1
+    assert table(got, "station_code", "status", "secondary_names_for_code") == sorted([
+        ("A", fv.VERIFIED, None), ("B", fv.SECONDARY_ONLY, "2 names: Zed .. bee town"),
+        # Nothing is contained in a name as the empty text is.
+        ("C", fv.SECONDARY_ONLY, "1 names: Cee .. Cee"), (None, fv.NOT_FOUND, None),
+    ], key=repr)

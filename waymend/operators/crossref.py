@@ -13,7 +13,19 @@ def station_crossref(stops: DataFrame, reference: DataFrame, secondary: DataFram
 
     reference: code, name, state, zone (one row per code); secondary: code, name.
     """
-    codes = first_per_key(stops, "station_code", ["station_name"])
+    # The stops are read once: each code meets its secondary names, if any, and becomes one row again.
+    name, other, listed = norm_ref_name("station_name"), norm_ref_name("name"), F.col("listed")
+    pairs = _secondary_pairs(secondary).withColumn("listed", F.lit(True))
+    codes = (
+        first_per_key(stops, "station_code", ["station_name"]).join(pairs, "station_code", "left").groupBy("station_code")
+        .agg(
+            F.first("station_name").alias("station_name"),
+            F.max(F.when(listed, name.contains(other) | other.contains(name))).alias("secondary_match"),
+            F.when(F.count(listed) > 0, F.concat(
+                F.count(listed).cast("string"), F.lit(" names: "), F.min("name"), F.lit(" .. "), F.max("name")
+            )).alias("secondary_names"),
+        )
+    )
     primary = reference.select(
         F.col("code").alias("station_code"),
         F.col("name").alias("reference_name"),
@@ -21,21 +33,9 @@ def station_crossref(stops: DataFrame, reference: DataFrame, secondary: DataFram
         F.col("zone").alias("reference_zone"),
         F.lit(True).alias("in_primary"),
     )
-    found = codes.join(primary, "station_code", "left").withColumn(
+    joined = codes.join(primary, "station_code", "left").withColumn(
         "found_in_primary_reference", F.coalesce("in_primary", F.lit(False))
     )
-
-    name, other = norm_ref_name("station_name"), norm_ref_name("name")
-    related = (
-        codes.join(_secondary_pairs(secondary), "station_code").groupBy("station_code")
-        .agg(
-            F.max(name.contains(other) | other.contains(name)).alias("secondary_match"),
-            F.concat(
-                F.count("*").cast("string"), F.lit(" names: "), F.min("name"), F.lit(" .. "), F.max("name")
-            ).alias("secondary_names"),
-        )
-    )
-    joined = found.join(related, "station_code", "left")
     primary_hit = F.col("found_in_primary_reference")
     named = F.coalesce(F.col("reference_name") != "", F.lit(False))
     same = F.when(primary_hit & named, norm_ref_name("station_name") == norm_ref_name("reference_name"))
