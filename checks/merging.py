@@ -15,8 +15,9 @@ def sibling(spark, folder):
     )
     parts = table(spark, folder, "part").select("p_partkey", "p_name")
     orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    lines, orders = lines.withColumn("l_orderkey", F.col("l_orderkey").cast(S)), orders.withColumn("o_orderkey", F.col("o_orderkey").cast(S))
     joined = lines.join(parts, lines.l_partkey == parts.p_partkey, "left").join(
-        orders, lines.l_orderkey.cast(S) == orders.o_orderkey.cast(S), "left"
+        orders, lines.l_orderkey == orders.o_orderkey, "left"
     )
     pending = F.col("o_orderstatus") == "P"
     key = F.col("l_orderkey").cast(S)

@@ -46,8 +46,9 @@ def stops(spark, folder):
     parts = table(spark, folder, "part").select("p_partkey", "p_name")
     orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
     # By the train's number as it will be called, so that rows that meet their order are together by train.
+    lines, orders = lines.withColumn("l_orderkey", F.col("l_orderkey").cast(S)), orders.withColumn("o_orderkey", F.col("o_orderkey").cast(S))
     joined = lines.join(parts, lines.l_partkey == parts.p_partkey, "left").join(
-        orders, lines.l_orderkey.cast(S) == orders.o_orderkey.cast(S), "left"
+        orders, lines.l_orderkey == orders.o_orderkey, "left"
     )
     returned, open_ = F.col("l_returnflag") == "R", F.col("l_linestatus") == "O"
     return as_stops(
