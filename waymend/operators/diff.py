@@ -3,6 +3,8 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from waymend.operators.ordered import HOT_ROWS, Ordered, with_ordered
+
 # Kinds of change, header kinds first, in reporting order.
 HEADER_KINDS = ["TRAIN_NAME", "SOURCE", "DESTINATION", "STOP_COUNT"]
 STOP_KINDS = ["ROUTE", "ARRIVAL", "DEPARTURE", "DISTANCE"]
@@ -123,15 +125,14 @@ def import_rows(new: DataFrame, status: DataFrame) -> DataFrame:
     return rows.select(*[F.col(c).alias(h) for c, h in IMPORT_HEADERS.items()])
 
 
-def with_stop_ends(stops: DataFrame) -> DataFrame:
+def with_stop_ends(stops: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Source and destination columns from the first and last stop of each train, for
     schedules whose declared ends may differ from them."""
-    ends = stops.groupBy("train_no").agg(
-        F.min_by(F.struct("station_code", "station_name"), F.col("pos")).alias("a"),
-        F.max_by(F.struct("station_code", "station_name"), F.col("pos")).alias("b"),
-    )
+    stop = F.struct("pos", "station_code", "station_name")
+    ends = {"_a": Ordered("whole_min", stop), "_b": Ordered("whole_max", stop)}
     names = {
-        "source_code": F.col("a.station_code"), "source_name": F.col("a.station_name"),
-        "dest_code": F.col("b.station_code"), "dest_name": F.col("b.station_name"),
+        "source_code": F.col("_a.station_code"), "source_name": F.col("_a.station_name"),
+        "dest_code": F.col("_b.station_code"), "dest_name": F.col("_b.station_name"),
     }
-    return stops.join(ends, "train_no").withColumns(names).drop("a", "b")
+    known = stops.where("train_no is not null")
+    return with_ordered(known, ["train_no"], ["pos"], ends, hot_rows).withColumns(names).drop("_a", "_b")
