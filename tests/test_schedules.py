@@ -220,3 +220,28 @@ def test_prefixes_against_a_loop(spark):
                 want[q] = fits[0]
         for hot in (2_000_000, 10):
             assert {r["query"]: r["code"] for r in rs.resolve_prefix(df, master, hot).collect()} == want
+
+
+def test_stop_ends_read_the_stops_once(spark, tmp_path):
+    from waymend.operators import diff
+
+    path = str(tmp_path / "stops")
+    rows = [("1", 1, "B", "bee"), ("1", 0, "A", "a"), ("1", 2, "C", None), ("2", 0, "D", "d"), (None, 0, "E", "e")]
+    spark.createDataFrame(rows, "train_no string, pos long, station_code string, station_name string").coalesce(1).write.parquet(path)
+    want = [("1", i, "A", "a", "C", None) for i in range(3)] + [("2", 0, "D", "d", "D", "d")]
+    for hot in (1000, 2):
+        got = diff.with_stop_ends(spark.read.parquet(path), hot)
+        assert table(got, "train_no", "pos", "source_code", "source_name", "dest_code", "dest_name") == sorted(want, key=repr)
+    plan = diff.with_stop_ends(spark.read.parquet(path))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("InMemoryFileIndex") == 1
+
+
+def test_cell_text_trims_every_white_space(spark):
+    from pyspark.sql import functions as F
+
+    from waymend.functions.text import WHITE_SPACE, cell_text, trim_ws
+
+    edges = ["", *WHITE_SPACE, "!", "~", "\x7f", "é", "​", "\U0001f600", "\x00"]
+    texts = [a + m + b for a in edges for m in ("", "x", "a b") for b in edges]
+    df = spark.createDataFrame([(t,) for t in (*texts, None)], "t string")
+    assert df.where(~cell_text("t").eqNullSafe(F.coalesce(trim_ws("t"), F.lit("")))).count() == 0
