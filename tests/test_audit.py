@@ -220,3 +220,35 @@ def test_the_digest_does_not_travel(spark):
     lines = plan.splitlines()
     by_train = next(i for i, x in enumerate(lines) if re.search(r"Exchange hashpartitioning\(train_no[^\n]*REPARTITION_BY_COL", x))
     assert any("xxhash64" in x for x in lines[:by_train]) and not any("xxhash64" in x for x in lines[by_train:])
+
+
+def test_stops_joined_by_train_are_not_shuffled_again(spark):
+    """Neither to the texts about codes nor to their train: both took the whole rows before."""
+    import re
+
+    orders = spark.createDataFrame([(n, "T") for n in {r["train_no"] for r in ROWS} if n], "number string, called string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = stops(spark, ROWS)
+        joined = df.join(orders, df.train_no == orders.number, "left")
+        flags = a.audit(joined.withColumn("train_name", F.coalesce("called", "train_name")).select(df.columns))
+        plan = flags._jdf.queryExecution().executedPlan().toString()
+        assert "REPARTITION_BY_COL" not in plan and len(re.findall(r"Exchange hashpartitioning\(train_no", plan)) == 1
+        assert "SortMergeJoin [station_code" not in plan
+        assert by_category(flags) == EXPECTED
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_whole_rows_are_sorted_three_times(spark):
+    plan = a.audit(stops(spark, ROWS))._jdf.queryExecution().executedPlan().toString()
+    assert plan.split("REPARTITION_BY_COL")[0].count("Sort [train_no") == 3
+
+
+def test_many_texts_about_codes(spark, monkeypatch):
+    df = stops(spark, ROWS)
+    few = table(a.audit(df))
+    monkeypatch.setattr(a, "TEXT_BYTES", 0)
+    for hot in (a.HOT_ROWS, 2, 1):
+        assert table(a.audit(df, hot_rows=hot)) == few
+    assert "BroadcastHint" not in a.audit(df)._jdf.queryExecution().analyzed().toString()

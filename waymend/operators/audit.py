@@ -317,10 +317,24 @@ def code_name_texts(df: DataFrame) -> DataFrame:
 SEVERAL_NAMES = ["station_code_name_inconsistency", WARNING]
 
 
+def _code_name_flags(df: DataFrame, texts: DataFrame) -> DataFrame:
+    rows = df.where("station_name is not null").select("row_id", "train_no", "station_code")
+    return _constant_flags(rows.join(texts, "station_code"), *SEVERAL_NAMES, F.col("names_text"))
+
+
 def code_name_flags(df: DataFrame) -> DataFrame:
     """Every row of a code that goes with several names; ``code_name_pairs`` lists them."""
-    rows = df.where("station_name is not null").select("row_id", "train_no", "station_code")
-    return _constant_flags(rows.join(code_name_texts(df), "station_code"), *SEVERAL_NAMES, F.col("names_text"))
+    return _code_name_flags(df, code_name_texts(df))
+
+
+#: Texts of up to so many bytes are sent to all tasks; the stops would have to travel by code otherwise.
+TEXT_BYTES = 4_000_000
+
+
+def _with_few(texts: DataFrame):
+    """The texts and whether they are few; runs one small job. Only few carry the hint to be broadcast."""
+    size = texts.agg(F.sum(F.octet_length("station_code") + F.octet_length("names_text") + 64)).first()[0] or 0
+    return (F.broadcast(texts), True) if size <= TEXT_BYTES else (texts, False)
 
 
 def _by_rule(df: DataFrame, hot_rows: int, alias_pairs) -> DataFrame:
@@ -332,46 +346,54 @@ def _by_rule(df: DataFrame, hot_rows: int, alias_pairs) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
-def _train_pass(df: DataFrame, texts: DataFrame, alias_pairs) -> DataFrame:
-    """All rules from one shuffle by train: every window below is of a train or of a part of one."""
-    # The digest is worked out once the rows are with their train: random bytes do not compress on the way.
-    numbered = df.select(
-        "row_id", *BASE, *seq_order(), to_number("distance").alias("dist_num"), whole_text("seq").alias("whole"),
-    ).join(texts, "station_code", "left")
-    rows = numbered.repartition("train_no").withColumn("digest", F.xxhash64(*BASE))
+def _train_pass(df: DataFrame, texts: DataFrame | None, alias_pairs) -> DataFrame:
+    """All rules from one shuffle by train: every window below is of a train or of a part of one.
+
+    Rows that are together by train already (joined with something by its number) are not shuffled again.
+    """
+    rows = df.select("row_id", *BASE).repartition("train_no")
+    named = rows.withColumn("names_text", F.lit(None).cast("string")) if texts is None else rows.join(texts, "station_code", "left")
+    # Numbers and the digest are worked out once the rows are with their train: on the way they would only take room.
+    rows = named.withColumns({
+        **dict(zip(("seq_num", "seq_long"), seq_order(), strict=True)),
+        "dist_num": to_number("distance"), "whole": whole_text("seq"), "digest": F.xxhash64(*BASE),
+    })
     train = Window.partitionBy("train_no")
     along = train.orderBy(*[F.col(c).asc_nulls_last() for c in ("seq_num", "seq_long", "row_id")])
-    several = Window.partitionBy("train_no", "whole", "seq")
-    whole, one = F.col("whole"), F.lit(1)
+    several, one = ["train_no", "whole", "seq"], F.lit(1)
+    whole = F.col("whole")
 
     def least_and_most(c):
         return F.min(c).over(train), F.max(c).over(train)
 
     src_low, src_high = least_and_most("source_code")
     dst_low, dst_high = least_and_most("dest_code")
-    low, high = least_and_most(number_place(whole))
+    low, high = [F.struct(x["whole"].alias("whole")) for x in least_and_most(number_place(whole))]
     first = F.struct("seq_num", "row_id")
+    numbered, earliest = F.min(F.when(whole.isNotNull(), first)).over(train), F.min(first).over(train)
+    # Windows of one order follow each other, so that whole rows are sorted three times only. Those that need the
+    # first columns of an order alone read what the one of all its columns has left; else Spark would put them first.
     s = rows.withColumns({
         "pos": F.row_number().over(along).cast("long"),
         "before": F.lag(F.struct("seq", "distance", "dist_num")).over(along),
         # Rows without a train number are no train.
         "stops": F.when(F.col("train_no").isNotNull(), F.count(one).over(train)),
         "src_low": src_low, "src_high": src_high, "dst_low": dst_low, "dst_high": dst_high, "low": low, "high": high,
-        "numbered": F.min(F.when(whole.isNotNull(), first)).over(train), "earliest": F.min(first).over(train),
-    }).withColumns({
-        "same_seq": F.count(one).over(several),
-        "new_number": F.row_number().over(Window.partitionBy("train_no", "whole").orderBy("seq")) == 1,
-    }).withColumn("different", F.count(F.when(whole.isNotNull() & F.col("new_number"), one)).over(train)).withColumns({
-        "same_stop": F.count(one).over(Window.partitionBy("train_no", "station_code")),
+        "spokesman": F.coalesce(numbered["row_id"], earliest["row_id"]) == F.col("row_id"),
+    }).withColumn(
         # The digest only makes the sort cheap; all fields have to agree.
-        "same_row": F.count(one).over(Window.partitionBy("train_no", "digest", *[c for c in BASE if c != "train_no"])),
-    })
-    spokesman = F.coalesce("numbered.row_id", "earliest.row_id") == F.col("row_id")
+        "same_row", F.count(one).over(Window.partitionBy(*several, "digest", *[c for c in BASE if c not in several])),
+    ).withColumns({
+        "same_seq": F.count(F.nullif("same_row", F.lit(0))).over(Window.partitionBy(*several)),
+        "new_number": F.lag("same_row").over(Window.partitionBy("train_no", "whole").orderBy("seq")).isNull(),
+    }).withColumn("different", F.count(F.when(whole.isNotNull() & F.col("new_number"), one)).over(train)).withColumn(
+        "same_stop", F.count(one).over(Window.partitionBy("train_no", "station_code"))
+    )
     across = [
         _flag(F.col("same_row") > 1, *REPEATED_ROW),
         _flag(F.col("same_seq") > 1, *repeated_seq()),
         _flag(F.col("same_stop") > 1, *repeated_stop()),
-        _flag(spokesman & numbering_fails(), *broken_numbering()),
+        _flag(F.col("spokesman") & numbering_fails(), *broken_numbering()),
         _flag(F.col("names_text").isNotNull() & F.col("station_name").isNotNull(), *SEVERAL_NAMES, F.col("names_text")),
     ]
     return _exploded(s, row_rules() + ordered_rules(alias_pairs) + across)
@@ -382,17 +404,20 @@ def audit(df: DataFrame, hot_rows: int = HOT_ROWS, alias_pairs=None) -> DataFram
 
     Trains of up to ``hot_rows`` rows take one pass with a single shuffle; larger ones (and the
     rows without a number, if there are as many) go rule by rule, each of which can cut them.
+    What to say about codes with several names comes to the rows by broadcast if it is little; else
+    rows go to it with their number, train and code only, besides the pass.
     """
     hot, total = hot_keys(df, ["train_no"], hot_rows)
-    texts = code_name_texts(df)
-    if not total:
-        return _train_pass(df, texts, alias_pairs)
-    large = join_on_keys(df, hot, ["train_no"], "left_semi")
-    named = _constant_flags(
-        large.where("station_name is not null").join(texts, "station_code"), *SEVERAL_NAMES, F.col("names_text")
-    )
-    small = _train_pass(join_on_keys(df, hot, ["train_no"], "left_anti"), texts, alias_pairs)
-    return small.unionByName(_by_rule(large, hot_rows, alias_pairs)).unionByName(named)
+    texts, few = _with_few(code_name_texts(df))
+    parts = [_train_pass(join_on_keys(df, hot, ["train_no"], "left_anti") if total else df, texts if few else None, alias_pairs)]
+    large = join_on_keys(df, hot, ["train_no"], "left_semi") if total else None
+    if total:
+        parts.append(_by_rule(large, hot_rows, alias_pairs))
+    # Rows the pass over trains did not join with the texts: all of them, or those of large trains.
+    unnamed = large if few else df
+    if unnamed is not None:
+        parts.append(_code_name_flags(unnamed, texts))
+    return reduce(lambda a, b: a.unionByName(b), parts)
 
 
 # Summary measures that add up several categories.
