@@ -240,6 +240,12 @@ def test_stops_joined_by_train_are_not_shuffled_again(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_numbers_do_not_travel(spark):
+    plan = a.audit(stops(spark, ROWS))._jdf.queryExecution().executedPlan().toString()
+    above, below = plan.split("REPARTITION_BY_COL")
+    assert "seq_num" in above and "seq_num" not in below and "dist_num" not in below
+
+
 def test_whole_rows_are_sorted_three_times(spark):
     plan = a.audit(stops(spark, ROWS))._jdf.queryExecution().executedPlan().toString()
     assert plan.split("REPARTITION_BY_COL")[0].count("Sort [train_no") == 3
