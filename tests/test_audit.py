@@ -258,3 +258,16 @@ def test_many_texts_about_codes(spark, monkeypatch):
     for hot in (a.HOT_ROWS, 2, 1):
         assert table(a.audit(df, hot_rows=hot)) == few
     assert "BroadcastHint" not in a.audit(df)._jdf.queryExecution().analyzed().toString()
+
+
+def test_borders_are_found_by_halves(spark):
+    """Thousands of borders, and values that are structs with nulls last, as a place is."""
+    from waymend.operators.ordered import _borders_below, _place
+
+    n = 5000
+    borders = spark.range(1, n + 1).select(F.when(F.col("id") < n, F.col("id") * 2).alias("o")).select(
+        _place(["o"]).alias("p")
+    ).agg(F.array_sort(F.collect_list("p")).alias("b"))
+    rows = spark.range(0, 2 * n + 50, 7).select(F.col("id").alias("o")).union(spark.sql("SELECT CAST(NULL AS BIGINT)"))
+    got = rows.crossJoin(borders).select("o", _borders_below(_place(["o"]), F.col("b")).alias("n")).collect()
+    assert all(r.n == (n if r.o is None else min(r.o // 2, n - 1)) for r in got)

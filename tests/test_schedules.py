@@ -245,3 +245,24 @@ def test_cell_text_trims_every_white_space(spark):
     texts = [a + m + b for a in edges for m in ("", "x", "a b") for b in edges]
     df = spark.createDataFrame([(t,) for t in (*texts, None)], "t string")
     assert df.where(~cell_text("t").eqNullSafe(F.coalesce(trim_ws("t"), F.lit("")))).count() == 0
+
+
+def test_prefixes_of_one_letter_do_not_meet_in_one_task(spark, tmp_path):
+    """Rows of a long letter are cut where they are read, and names are read from what was written once."""
+    import re
+
+    path = str(tmp_path / "names")
+    spark.range(60).selectExpr("concat('b', id) AS query").coalesce(1).write.parquet(path)
+    master = master_table(spark, [(f"C{i}", f"b{i} x", []) for i in range(0, 60, 2)])
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = rs.resolve_prefix(spark.read.parquet(path), master, 10)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert not re.search(r"SortMergeJoin \[letter#\d+\],", plan)
+        assert path not in plan and "regexp_replace" not in plan
+        names = [f"b{i} x" for i in range(0, 60, 2)]
+        fits = {f"b{i}": [n for n in names if n.startswith(f"b{i}")] for i in range(60)}
+        want = {q: f"C{n[0].split()[0][1:]}" for q, n in fits.items() if len(n) == 1}
+        assert {r["query"]: r["code"] for r in out.collect()} == want
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

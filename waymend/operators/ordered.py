@@ -133,14 +133,11 @@ def _borders(rows: DataFrame, keys: list, order: list, hot_rows: int) -> DataFra
 
 
 def _borders_below(place, borders):
-    """How many of the sorted borders are not above ``place``: first in wide steps, then in one step."""
-    n = F.size(borders)
-    step = F.ceil(F.sqrt(n)).cast("int")
-    wide = F.size(F.filter(
-        F.sequence(F.lit(0), F.floor((n - 1) / step).cast("int")), lambda k: F.element_at(borders, k * step + 1) <= place
-    ))
-    start = F.greatest(wide - 1, F.lit(0)) * step
-    return F.when(n > 0, start + F.size(F.filter(F.slice(borders, start + 1, step), lambda b: b <= place))).otherwise(0)
+    """How many of the sorted borders are not above ``place``: by halves, so a thousand borders take ten looks."""
+    powers = F.array(*[F.lit(1 << k) for k in range(30, -1, -1)])
+    halves = F.slice(powers, 31 - F.floor(F.log2(F.size(borders))).cast("int"), F.lit(31))
+    below = F.aggregate(halves, F.lit(0), lambda n, half: F.when(F.try_element_at(borders, n + half) <= place, n + half).otherwise(n))
+    return F.when(F.size(borders) > 0, below).otherwise(0)
 
 
 def with_ordered(
@@ -156,12 +153,16 @@ def with_ordered(
     if not total:
         return _add(df, keys, order, specs)
 
+    # Hot keys and borders have at most one row or border for ``hot_rows`` rows. Joined by the key, all rows of a
+    # hot key would meet in one task before they are cut.
+    hot = F.broadcast(hot)
     cold_part = _add(df.join(hot, keys, "left_anti").select(df.columns), keys, order, specs)
     hot_rows_ = df.join(hot, keys, "left_semi").select(df.columns)
     place = _place(order)
-    cut = hot_rows_.join(_borders(hot_rows_, keys, order, hot_rows), keys, "left").select(
+    # The place is a column before the join: a search would build it at every look.
+    cut = hot_rows_.withColumn("_place", place).join(F.broadcast(_borders(hot_rows_, keys, order, hot_rows)), keys, "left").select(
         *df.columns,
-        F.coalesce(_borders_below(place, F.col("_borders")), F.lit(0)).alias("_piece"),
+        F.coalesce(_borders_below(F.col("_place"), F.col("_borders")), F.lit(0)).alias("_piece"),
     )
     inner = keys + ["_piece"]
     # As many tasks as pieces: packed by bytes, a task would get as many pieces as compress well.

@@ -71,7 +71,9 @@ def resolve_prefix(queries: DataFrame, master: DataFrame, hot_rows: int = NAME_R
     Both are differences of running counts. A running sum of station numbers goes with each count: where
     the count is one, the sum is the station.
     """
-    stations = master.select("code", "canonical_name", "ord", normalize_name("canonical_name").alias("name"))
+    # Each is read several times below; what they are made of is worked out once.
+    queries = frozen(queries.select("query"))
+    stations = frozen(master.select("code", "canonical_name", "ord", normalize_name("canonical_name").alias("name")))
 
     def marks(df, text, rank, place=None):
         return df.select(
