@@ -271,3 +271,13 @@ def test_borders_are_found_by_halves(spark):
     rows = spark.range(0, 2 * n + 50, 7).select(F.col("id").alias("o")).union(spark.sql("SELECT CAST(NULL AS BIGINT)"))
     got = rows.crossJoin(borders).select("o", _borders_below(_place(["o"]), F.col("b")).alias("n")).collect()
     assert all(r.n == (n if r.o is None else min(r.o // 2, n - 1)) for r in got)
+
+
+def test_what_windows_add_is_not_sorted(spark):
+    """The windows that add wide columns come behind the last sort, and so do the texts about codes."""
+    import re
+
+    plan = a.audit(stops(spark, ROWS))._jdf.queryExecution().executedPlan().toString().split("REPARTITION_BY_COL")[0]
+    last, *before = re.split(r"Sort \[train_no", plan)
+    assert "row_number" in last and "names_text" in last and len(before) == 3
+    assert not any("row_number" in x or "names_text" in x for x in before)

@@ -352,14 +352,11 @@ def _train_pass(df: DataFrame, texts: DataFrame | None, alias_pairs) -> DataFram
     Rows that are together by train already (joined with something by its number) are not shuffled again.
     """
     rows = df.select("row_id", *BASE).repartition("train_no")
-    named = rows.withColumn("names_text", F.lit(None).cast("string")) if texts is None else rows.join(texts, "station_code", "left")
-    # Numbers and the digest are worked out once the rows are with their train: on the way they would only take room.
-    rows = named.withColumns({
-        **dict(zip(("seq_num", "seq_long"), seq_order(), strict=True)),
-        "dist_num": to_number("distance"), "whole": whole_text("seq"), "digest": F.xxhash64(*BASE),
-    })
+    # Numbers and the digest are worked out once the rows are with their train, and where they are needed: on the way and in
+    # the sorts before they would only take room. The texts come last for the same reason.
+    rows = rows.withColumns({"whole": whole_text("seq"), "digest": F.xxhash64(*BASE)})
     train = Window.partitionBy("train_no")
-    along = train.orderBy(*[F.col(c).asc_nulls_last() for c in ("seq_num", "seq_long", "row_id")])
+    along = train.orderBy(*[F.col(c).asc_nulls_last() for c in ("seq_num", "seq_long", "row_id", "same_stop")])
     several, one = ["train_no", "whole", "seq"], F.lit(1)
     whole = F.col("whole")
 
@@ -371,24 +368,28 @@ def _train_pass(df: DataFrame, texts: DataFrame | None, alias_pairs) -> DataFram
     low, high = [F.struct(x["whole"].alias("whole")) for x in least_and_most(number_place(whole))]
     first = F.struct("seq_num", "row_id")
     numbered, earliest = F.min(F.when(whole.isNotNull(), first)).over(train), F.min(first).over(train)
-    # Windows of one order follow each other, so that whole rows are sorted three times only. Those that need the
-    # first columns of an order alone read what the one of all its columns has left; else Spark would put them first.
-    s = rows.withColumns({
-        "pos": F.row_number().over(along).cast("long"),
-        "before": F.lag(F.struct("seq", "distance", "dist_num")).over(along),
-        # Rows without a train number are no train.
-        "stops": F.when(F.col("train_no").isNotNull(), F.count(one).over(train)),
-        "src_low": src_low, "src_high": src_high, "dst_low": dst_low, "dst_high": dst_high, "low": low, "high": high,
-        "spokesman": F.coalesce(numbered["row_id"], earliest["row_id"]) == F.col("row_id"),
-    }).withColumn(
+    # Windows of one order follow each other, so that whole rows are sorted three times only, and those that add much come
+    # last, so that it is not sorted. Spark would put windows over fewer columns first, unless they read a result of
+    # the ones before: so counts go over those results, which are never 0, and one ends the order along a train.
+    s = rows.withColumn(
         # The digest only makes the sort cheap; all fields have to agree.
         "same_row", F.count(one).over(Window.partitionBy(*several, "digest", *[c for c in BASE if c not in several])),
     ).withColumns({
         "same_seq": F.count(F.nullif("same_row", F.lit(0))).over(Window.partitionBy(*several)),
         "new_number": F.lag("same_row").over(Window.partitionBy("train_no", "whole").orderBy("seq")).isNull(),
     }).withColumn("different", F.count(F.when(whole.isNotNull() & F.col("new_number"), one)).over(train)).withColumn(
-        "same_stop", F.count(one).over(Window.partitionBy("train_no", "station_code"))
-    )
+        "same_stop", F.count(F.nullif("different", F.lit(-1))).over(Window.partitionBy("train_no", "station_code"))
+    ).withColumns({
+        **dict(zip(("seq_num", "seq_long"), seq_order(), strict=True)), "dist_num": to_number("distance"),
+    }).withColumns({
+        "pos": F.row_number().over(along).cast("long"),
+        "before": F.lag(F.struct("seq", "distance", "dist_num")).over(along),
+        # Rows without a train number are no train.
+        "stops": F.when(F.col("train_no").isNotNull(), F.count(F.nullif("same_stop", F.lit(0))).over(train)),
+        "src_low": src_low, "src_high": src_high, "dst_low": dst_low, "dst_high": dst_high, "low": low, "high": high,
+        "spokesman": F.coalesce(numbered["row_id"], earliest["row_id"]) == F.col("row_id"),
+    })
+    s = s.withColumn("names_text", F.lit(None).cast("string")) if texts is None else s.join(texts, "station_code", "left")
     across = [
         _flag(F.col("same_row") > 1, *REPEATED_ROW),
         _flag(F.col("same_seq") > 1, *repeated_seq()),
